@@ -6,7 +6,7 @@ logical schemas. Timestamps are stored without a zone and read as UTC.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The daily weather calendar covers these days; later trips stay unmatched.
@@ -30,33 +30,44 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def later(ts: Column, minutes: Column) -> Column:
+    return F.timestamp_micros(F.unix_micros(ts) + minutes * 60_000_000)
+
+
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trip records under their raw column names, one per line item."""
-    item = table(spark, sf_dir, "lineitem")
-    order = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    order = table(spark, sf_dir, "orders")
     buyer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     seller = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    placed = order.join(buyer, order.o_custkey == buyer.c_custkey)
-    joined = item.join(placed, item.l_orderkey == placed.o_orderkey).join(seller, item.l_suppkey == seller.s_suppkey)
-    pickup = F.timestamp_add("MINUTE", F.col("o_orderkey") % 1440, F.col("o_orderdate").cast("timestamp"))
+    # Order-level columns are computed once per order, below the join with its items.
+    placed = order.join(buyer, order.o_custkey == buyer.c_custkey).select(
+        "o_orderkey",
+        later(F.col("o_orderdate").cast("timestamp"), F.col("o_orderkey") % 1440).alias("tpep_pickup_datetime"),
+        F.when(F.col("c_custkey") % 301 != 0, F.col("c_nationkey")).cast("bigint").alias("DOLocationID"),
+        F.concat(F.lit("trips/"), F.date_format("o_orderdate", "yyyy-MM"), F.lit(".parquet")).alias("_source_file"),
+    )
+    item = table(spark, sf_dir, "lineitem")
+    # Items and orders grow together, so they always meet in a shuffle join; file sizes
+    # of compressed columns could otherwise talk the planner into broadcasting either.
+    joined = item.join(placed.hint("merge"), item.l_orderkey == placed.o_orderkey)
+    joined = joined.join(seller, item.l_suppkey == seller.s_suppkey)
     ride = (F.col("l_partkey") * 7 + F.col("l_quantity").cast("bigint") * 3) % 200 - 10
-    picked = joined.withColumn("tpep_pickup_datetime", pickup)
-    return picked.select(
+    return joined.select(
         (F.col("l_suppkey") % 2 + 1).alias("VendorID"),
         "tpep_pickup_datetime",
-        F.timestamp_add("MINUTE", ride, F.col("tpep_pickup_datetime")).alias("tpep_dropoff_datetime"),
+        later(F.col("tpep_pickup_datetime"), ride).alias("tpep_dropoff_datetime"),
         F.when(F.col("l_linenumber") == 7, F.lit(None))
         .when(F.col("l_partkey") % 50 == 0, F.lit(12.0))
         .otherwise(F.col("l_linenumber").cast("double"))
         .alias("passenger_count"),
         F.when(F.col("l_orderkey") % 97 != 0, F.col("l_quantity") / 2).alias("trip_distance"),
         F.col("s_nationkey").cast("bigint").alias("PULocationID"),
-        F.when(F.col("c_custkey") % 301 != 0, F.col("c_nationkey")).cast("bigint").alias("DOLocationID"),
+        "DOLocationID",
         F.when(F.col("l_partkey") % 211 == 0, F.lit(-1.0))
         .otherwise(F.col("l_extendedprice") / 1000)
         .alias("fare_amount"),
         (F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))).alias("total_amount"),
-        F.concat(F.lit("trips/"), F.date_format("o_orderdate", "yyyy-MM"), F.lit(".parquet")).alias("_source_file"),
+        "_source_file",
         F.col("l_shipdate").cast("timestamp").alias("_ingested_at"),
         *TRIP_TIEBREAK,
     )

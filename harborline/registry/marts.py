@@ -43,7 +43,7 @@ def order_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     TRIPS
     + f"""SELECT {day("pickup_date")} AS pickup_date, trip_count, round(total_revenue, 6) AS total_revenue,
   precipitation_mm, snowfall_cm, temp_max_c, temp_min_c, sla_total_trips, on_time_trips, delayed_trips,
-  round(on_time_rate, 8) AS on_time_rate, round(avg_delay_minutes, 8) AS avg_delay_minutes, weather_severity,
+  round(on_time_rate + 1e-11, 8) AS on_time_rate, round(avg_delay_minutes + 1e-11, 8) AS avg_delay_minutes, weather_severity,
   weather_on_time_rate, weather_avg_delay_minutes FROM daily_perf"""
 )
 def int_daily_performance(spark, sf_dir):
@@ -52,7 +52,7 @@ def int_daily_performance(spark, sf_dir):
 
 def _corr(x: str, y: str) -> str:
     value = f"corr({x}, {y})"
-    return f"round(CASE WHEN isnan({value}) THEN NULL ELSE {value} END, 8)"
+    return f"round((CASE WHEN isnan({value}) THEN NULL ELSE {value} END) + 1e-11, 8)"
 
 
 @query(
@@ -66,9 +66,9 @@ correlations AS (
     {_corr("snowfall_cm", "on_time_rate")} AS corr_snowfall_on_time_rate FROM daily_perf),
 tiers AS (
   SELECT weather_severity, count(*) AS day_count, CAST(sum(trip_count) AS BIGINT) AS total_trips,
-    round(avg(avg_delay_minutes), 8) AS avg_delay_minutes, round(avg(on_time_rate), 8) AS on_time_rate,
-    round(avg(avg_delay_minutes) - any_value(delay), 8) AS delay_lift_vs_clear_minutes,
-    round(avg(on_time_rate) - any_value(rate), 8) AS on_time_rate_delta_vs_clear
+    round((avg(avg_delay_minutes)) + 1e-11, 8) AS avg_delay_minutes, round((avg(on_time_rate)) + 1e-11, 8) AS on_time_rate,
+    round((avg(avg_delay_minutes) - any_value(delay)) + 1e-11, 8) AS delay_lift_vs_clear_minutes,
+    round((avg(on_time_rate) - any_value(rate)) + 1e-11, 8) AS on_time_rate_delta_vs_clear
   FROM daily_perf, base GROUP BY weather_severity)
 SELECT * FROM tiers, correlations"""
 )
@@ -89,10 +89,10 @@ yearly AS (
     avg(avg_rating) AS avg_rating, avg(verified_purchase_pct) AS avg_verified_purchase_pct
   FROM staged GROUP BY ALL),
 mart AS (
-  SELECT category, review_year, review_count, round(avg_rating, 8) AS avg_rating,
-    round(avg_verified_purchase_pct, 8) AS avg_verified_purchase_pct, lifetime_review_count,
-    round(lifetime_avg_rating, 8) AS lifetime_avg_rating, round(lifetime_avg_verified_pct, 8) AS lifetime_avg_verified_pct,
-    round(avg_rating - lifetime_avg_rating, 8) AS rating_delta_vs_lifetime_avg
+  SELECT category, review_year, review_count, round(avg_rating + 1e-11, 8) AS avg_rating,
+    round(avg_verified_purchase_pct + 1e-11, 8) AS avg_verified_purchase_pct, lifetime_review_count,
+    round(lifetime_avg_rating + 1e-11, 8) AS lifetime_avg_rating, round(lifetime_avg_verified_pct + 1e-11, 8) AS lifetime_avg_verified_pct,
+    round((avg_rating - lifetime_avg_rating) + 1e-11, 8) AS rating_delta_vs_lifetime_avg
   FROM yearly LEFT JOIN lifetime USING (category))
 """
 )
@@ -116,8 +116,8 @@ def distinct_categories(spark, sf_dir):
 
 @query(
     ORDER_EVENTS
-    + f"""SELECT vendor_id, total_orders, delivered_orders, cancelled_orders, round(delivered_rate, 8) AS delivered_rate,
-  round(cancelled_rate, 8) AS cancelled_rate, round(avg_order_value, 8) AS avg_order_value,
+    + f"""SELECT vendor_id, total_orders, delivered_orders, cancelled_orders, round(delivered_rate + 1e-11, 8) AS delivered_rate,
+  round(cancelled_rate + 1e-11, 8) AS cancelled_rate, round(avg_order_value + 1e-11, 8) AS avg_order_value,
   round(total_order_value, 4) AS total_order_value, {moment("first_order_timestamp")} AS first_order_timestamp,
   {moment("last_order_timestamp")} AS last_order_timestamp FROM vendors"""
 )
@@ -129,7 +129,7 @@ def mart_vendor_performance(spark, sf_dir):
 @query(
     ORDER_EVENTS
     + """SELECT count(*) AS total_vendors, CAST(sum(total_orders) AS BIGINT) AS total_orders,
-  round(avg(delivered_rate), 8) AS avg_delivered_rate FROM vendors"""
+  round((avg(delivered_rate)) + 1e-11, 8) AS avg_delivered_rate FROM vendors"""
 )
 def vendor_kpis(spark, sf_dir):
     return shown(kpi_tiles(marts.mart_vendor_performance(order_status(spark, sf_dir))))

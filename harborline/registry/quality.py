@@ -139,7 +139,7 @@ _NULL_CHECKED = ["pickup_ts", "dropoff_ts", "pickup_location_id", "dropoff_locat
     TRIPS
     + "\nUNION ALL\n".join(
         f"""SELECT 'trips' AS table_name, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_rows,
-  round(count(*) FILTER (WHERE {c} IS NULL) * 100 / count(*)::DOUBLE, 8) AS null_pct,
+  round((count(*) FILTER (WHERE {c} IS NULL) * 100 / count(*)::DOUBLE) + 1e-11, 8) AS null_pct,
   {_status(f"count(*) FILTER (WHERE {c} IS NULL)")} AS status FROM silver"""
         for c in _NULL_CHECKED
     )

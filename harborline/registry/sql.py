@@ -9,7 +9,7 @@ from harborline.plans.inputs import ORDER_STAGES, WEATHER_FIRST_DAY, WEATHER_LAS
 
 def half_up(x: str, n: int) -> str:
     """Round half up on the decimal value, the way Spark rounds a double."""
-    return f"CAST(round(CAST({x} AS DECIMAL(38, 14)), {n}) AS DOUBLE)"
+    return f"CAST(round(CAST({x} AS DECIMAL(38, 9)), {n}) AS DOUBLE)"
 
 
 def day(x: str) -> str:

@@ -37,8 +37,8 @@ _ROW = [
     "dropoff_location_id",
 ]
 _ROW_SQL = f"""delivery_id, vendor_id, {moment("pickup_ts")} AS pickup_ts, {moment("dropoff_ts")} AS dropoff_ts,
-  {day("pickup_date")} AS pickup_date, round(trip_duration_minutes, 8) AS trip_duration_minutes, trip_distance_miles,
-  passenger_count, round(fare_amount, 8) AS fare_amount, round(total_amount, 6) AS total_amount,
+  {day("pickup_date")} AS pickup_date, round(trip_duration_minutes + 1e-11, 8) AS trip_duration_minutes, trip_distance_miles,
+  passenger_count, round(fare_amount + 1e-11, 8) AS fare_amount, round(total_amount, 6) AS total_amount,
   pickup_location_id, dropoff_location_id"""
 _SLA_SQL = "total_trips, on_time_trips, delayed_trips, on_time_rate, avg_delay_minutes"
 
@@ -59,7 +59,7 @@ def gold_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     TRIPS
     + f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, delivery_id,
-  round(trip_duration_minutes, 8) AS trip_duration_minutes, {day("pickup_date")} AS pickup_date FROM derived"""
+  round(trip_duration_minutes + 1e-11, 8) AS trip_duration_minutes, {day("pickup_date")} AS pickup_date FROM derived"""
 )
 def trip_surrogate_key(spark, sf_dir):
     derived = silver.derive_trips(inputs.raw_trips(spark, sf_dir))
@@ -101,9 +101,9 @@ def sla_by_day_location(spark, sf_dir):
 
 @query(
     TRIPS
-    + f"""SELECT {day("pickup_date")} AS pickup_date, trip_count, round(avg_fare_amount, 8) AS avg_fare_amount,
-  round(avg_trip_distance_miles, 8) AS avg_trip_distance_miles,
-  round(avg_trip_duration_minutes, 8) AS avg_trip_duration_minutes, round(total_revenue, 6) AS total_revenue,
+    + f"""SELECT {day("pickup_date")} AS pickup_date, trip_count, round(avg_fare_amount + 1e-11, 8) AS avg_fare_amount,
+  round(avg_trip_distance_miles + 1e-11, 8) AS avg_trip_distance_miles,
+  round(avg_trip_duration_minutes + 1e-11, 8) AS avg_trip_duration_minutes, round(total_revenue, 6) AS total_revenue,
   temp_max_c, temp_min_c, precipitation_mm, snowfall_cm FROM gold_daily"""
 )
 def daily_delivery_summary(spark, sf_dir):
@@ -130,7 +130,7 @@ def out_of_range_counts(spark, sf_dir):
 @query(
     TRIPS
     + """SELECT count(*) AS row_count, count(*) FILTER (WHERE temp_max_c IS NULL) AS unmatched_rows,
-  round(count(*) FILTER (WHERE temp_max_c IS NULL) / count(*)::DOUBLE * 100, 8) AS unmatched_pct FROM enriched"""
+  round((count(*) FILTER (WHERE temp_max_c IS NULL) / count(*)::DOUBLE * 100) + 1e-11, 8) AS unmatched_pct FROM enriched"""
 )
 def weather_match_report(spark, sf_dir):
     return shown(match_report(enriched_trips(spark, sf_dir), "temp_max_c"))
@@ -143,7 +143,7 @@ def unmatched_dates(spark, sf_dir):
 
 def _null_rate(c: str) -> str:
     nulls = f"count(*) FILTER (WHERE {c} IS NULL)"
-    return f"{nulls} AS {c}_nulls, round({nulls} / count(*)::DOUBLE * 100, 8) AS {c}_null_pct"
+    return f"{nulls} AS {c}_nulls, round(({nulls} / count(*)::DOUBLE * 100) + 1e-11, 8) AS {c}_null_pct"
 
 
 _NULLABLE = ["vendor_id", "trip_distance_miles", "passenger_count", "dropoff_location_id"]
@@ -164,7 +164,7 @@ def null_rate_by_month(spark, sf_dir):
     + """SELECT count(*) AS input_rows, count(*) FILTER (WHERE is_valid) AS valid_rows,
   count(*) FILTER (WHERE NOT is_valid) AS rejected_rows, (SELECT count(*) FROM silver) AS kept_rows,
   count(*) FILTER (WHERE is_valid) - (SELECT count(*) FROM silver) AS removed_rows,
-  round(count(*) FILTER (WHERE NOT is_valid) / count(*)::DOUBLE * 100, 8) AS reject_rate_pct FROM flagged"""
+  round((count(*) FILTER (WHERE NOT is_valid) / count(*)::DOUBLE * 100) + 1e-11, 8) AS reject_rate_pct FROM flagged"""
 )
 def reject_reconciliation(spark, sf_dir):
     flagged = silver.trips_flagged(inputs.raw_trips(spark, sf_dir))
