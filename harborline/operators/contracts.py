@@ -79,7 +79,8 @@ def check(df: DataFrame, rules: Sequence[Rule], table: str) -> DataFrame:
     for r in rules:
         if r.unique_over:
             keyed = df.dropna(subset=list(r.unique_over)).groupBy(*r.unique_over)
-            repeated = keyed.agg(F.count(F.lit(1)).alias("n")).agg(F.count_if(F.col("n") > 1).alias("failing_rows"))
+            sizes = keyed.agg(F.count(F.lit(1)).alias("_size"))
+            repeated = sizes.agg(F.count_if(F.col("_size") > 1).alias("failing_rows"))
             parts.append(
                 repeated.select(F.lit(r.column).alias("column_name"), F.lit(r.name).alias("rule"), "failing_rows")
             )

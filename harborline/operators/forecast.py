@@ -53,39 +53,40 @@ def fit_seasonal(df: DataFrame, ds: str = "ds", y: str = "y", series: Sequence[s
     """
     t, v = _day(ds), F.col(y).cast("double")
     usable = df.filter(F.col(y).isNotNull() & F.col(ds).isNotNull())
-    weekly = usable.groupBy(*series, F.dayofweek(ds).alias("wd")).agg(
-        F.count(F.lit(1)).cast("double").alias("n"),
-        F.avg(t).alias("mt"),
-        F.avg(v).alias("mv"),
-        F.regr_sxx(v, t).alias("tt"),
-        F.regr_sxy(v, t).alias("tv"),
-        F.regr_syy(v, t).alias("vv"),
-        F.max(ds).alias("last"),
+    weekly = usable.groupBy(*series, F.dayofweek(ds).alias("_wd")).agg(
+        F.count(F.lit(1)).cast("double").alias("_n"),
+        F.avg(t).alias("_mean_t"),
+        F.avg(v).alias("_mean_v"),
+        F.regr_sxx(v, t).alias("_tt"),
+        F.regr_sxy(v, t).alias("_tv"),
+        F.regr_syy(v, t).alias("_vv"),
+        F.max(ds).alias("_last"),
     )
-    n = F.col("n")
+    n = F.col("_n")
     merged = weekly.groupBy(*series).agg(
-        F.collect_list(F.struct("wd", "n", "mt", "mv", "tt", "tv", "vv")).alias("parts"),  # at most 7
-        F.sum("n").alias("N"),
-        (F.sum(n * F.col("mt")) / F.sum("n")).alias("T"),
-        (F.sum(n * F.col("mv")) / F.sum("n")).alias("V"),
-        F.max("last").alias("_last_day"),
+        # At most seven entries.
+        F.collect_list(F.struct("_wd", "_n", "_mean_t", "_mean_v", "_tt", "_tv", "_vv")).alias("_parts"),
+        F.sum(n).alias("_days"),
+        (F.sum(n * F.col("_mean_t")) / F.sum(n)).alias("_centre_t"),
+        (F.sum(n * F.col("_mean_v")) / F.sum(n)).alias("_centre_v"),
+        F.max("_last").alias("_last_day"),
     )
+    t0, v0, b = F.col("_centre_t"), F.col("_centre_v"), F.col("_slope")
 
     def over_parts(term) -> Column:
-        return F.aggregate("parts", F.lit(0.0), lambda acc, p: acc + term(p))
+        return F.aggregate("_parts", F.lit(0.0), lambda acc, p: acc + term(p))
 
-    b = F.col("_slope")
-    co = over_parts(lambda p: p["tv"] + p["n"] * (p["mt"] - F.col("T")) * (p["mv"] - F.col("V")))
-    spread = over_parts(lambda p: p["tt"] + p["n"] * (p["mt"] - F.col("T")) * (p["mt"] - F.col("T")))
-    left_over = over_parts(lambda p: p["vv"] - 2 * b * p["tv"] + b * b * p["tt"])
+    joint = over_parts(lambda p: p["_tv"] + p["_n"] * (p["_mean_t"] - t0) * (p["_mean_v"] - v0))
+    spread = over_parts(lambda p: p["_tt"] + p["_n"] * (p["_mean_t"] - t0) * (p["_mean_t"] - t0))
+    left_over = over_parts(lambda p: p["_vv"] - 2 * b * p["_tv"] + b * b * p["_tt"])
     fitted = (
-        merged.filter("N > 0")
-        .withColumn("_slope", F.coalesce(F.try_divide(co, spread), F.lit(0.0)))
-        .withColumn("_sigma", F.sqrt(F.greatest(F.try_divide(left_over, F.col("N") - 1), F.lit(0.0))))
+        merged.filter("_days > 0")
+        .withColumn("_slope", F.coalesce(F.try_divide(joint, spread), F.lit(0.0)))
+        .withColumn("_sigma", F.sqrt(F.greatest(F.try_divide(left_over, F.col("_days") - 1), F.lit(0.0))))
         .withColumn("_weekday", F.explode(F.sequence(F.lit(1), F.lit(7))))
     )
-    seen = F.get(F.filter("parts", lambda p: p["wd"] == F.col("_weekday")), F.lit(0))
-    level = F.coalesce(seen["mv"] - b * seen["mt"], F.col("V") - b * F.col("T"))
+    seen = F.get(F.filter("_parts", lambda p: p["_wd"] == F.col("_weekday")), F.lit(0))
+    level = F.coalesce(seen["_mean_v"] - b * seen["_mean_t"], v0 - b * t0)
     return fitted.select(*series, "_weekday", "_slope", level.alias("_level"), "_sigma", "_last_day")
 
 
