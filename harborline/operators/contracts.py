@@ -6,7 +6,7 @@ one grouped count. Only results (one row per rule) ever leave the executors.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -90,26 +90,40 @@ def check(df: DataFrame, rules: Sequence[Rule], table: str) -> DataFrame:
     )
 
 
+def expectations(df: DataFrame, table: str, rows: int | None = None, nulls: Mapping[str, int] | None = None) -> DataFrame:
+    """Known numbers against a table, all in one pass.
+
+    ``rows`` is the exact row count; ``nulls`` gives known null counts per column, so that
+    an expected drift passes and any change of it fails. Returns
+    ``(table_name, check_name, expected, actual, mismatch, status)``.
+    """
+    wanted = [] if rows is None else [("row_count", rows, F.count(F.lit(1)))]
+    wanted += [(f"{c}_nulls", n, F.count_if(F.col(c).isNull())) for c, n in (nulls or {}).items()]
+    counted = df.agg(*[measure.alias(f"c{i}") for i, (_, _, measure) in enumerate(wanted)])
+    results = []
+    for i, (name, number, _) in enumerate(wanted):
+        expected, actual = F.lit(number).cast("bigint"), F.col(f"c{i}")
+        results.append(
+            F.struct(
+                F.lit(table).alias("table_name"),
+                F.lit(name).alias("check_name"),
+                expected.alias("expected"),
+                actual.alias("actual"),
+                (actual - expected).alias("mismatch"),
+                F.when(actual == expected, "PASS").otherwise("FAIL").alias("status"),
+            )
+        )
+    return counted.select(F.inline(F.array(*results)))
+
+
 def expect_count(df: DataFrame, n: int, table: str) -> DataFrame:
     """Exact row-count check with the signed mismatch."""
-    return _expect(df.agg(F.count(F.lit(1)).alias("actual")), n, table, "row_count")
+    return expectations(df, table, rows=n)
 
 
 def expect_null_count(df: DataFrame, col: str, n: int, table: str) -> DataFrame:
     """Expected-drift check: the null count of a column equals a known number."""
-    return _expect(df.agg(F.count_if(F.col(col).isNull()).alias("actual")), n, table, f"{col}_nulls")
-
-
-def _expect(counted: DataFrame, n: int, table: str, what: str) -> DataFrame:
-    expected = F.lit(n).cast("bigint")
-    return counted.select(
-        F.lit(table).alias("table_name"),
-        F.lit(what).alias("check_name"),
-        expected.alias("expected"),
-        F.col("actual"),
-        (F.col("actual") - expected).alias("mismatch"),
-        F.when(F.col("actual") == expected, "PASS").otherwise("FAIL").alias("status"),
-    )
+    return expectations(df, table, nulls={col: n})
 
 
 def null_report(df: DataFrame, cols: Sequence[str], table: str) -> DataFrame:

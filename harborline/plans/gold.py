@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from harborline.functions.columns import month_key, weather_severity
 from harborline.operators.projection import date_range
 from harborline.operators.sla import daily_from_cube, sla_from_cube, sla_summary, trip_cube, with_sla
 from harborline.session import written_once
+from harborline.sources.sinks import ensure_namespace, write_table
 
 
 def daily_summary(trips: DataFrame, date: str = "pickup_date") -> DataFrame:
@@ -61,3 +63,13 @@ def trip_gold_tables(trips: DataFrame) -> dict[str, DataFrame]:
         "delivery_sla": sla_from_cube(cube, ["pickup_date", "pickup_location_id"]),
         "weather_delay_impact": sla_from_cube(cube, ["pickup_date", "weather_severity"]),
     }
+
+
+def build_gold(frames: Mapping[str, DataFrame], namespace: str, location: str | None = None) -> dict[str, int]:
+    """Overwrite one managed table per frame and return the rows read back from each.
+
+    No global sort precedes the write: the order of a table's rows is not kept, and
+    readers sort what they show.
+    """
+    ensure_namespace(next(iter(frames.values())).sparkSession, namespace, location)
+    return {name: write_table(df, f"{namespace}.{name}", replace_schema=True) for name, df in frames.items()}

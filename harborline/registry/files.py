@@ -181,8 +181,7 @@ def export_roundtrip(spark, sf_dir):
         "review_summary": gold.review_summary(silver_reviews(spark, sf_dir)),
         "order_status_current": status,
     }
-    for name, frame in frames.items():
-        sinks.write_table(frame, f"{space}.{name}")
+    gold.build_gold(frames, space)
     current = readers.read_table(spark, f"{space}.order_status_current")
     sinks.materialize(marts.mart_vendor_performance(current), f"{space}.vendor_performance", "table")
     names = [*frames, "vendor_performance"]

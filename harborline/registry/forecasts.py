@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harborline.operators.forecast import (
-    compare_models,
     fit_seasonal,
     holdout_split,
     naive_baseline,
@@ -16,6 +15,7 @@ from harborline.operators.forecast import (
 )
 from harborline.operators.projection import serve
 from harborline.plans import inputs, marts
+from harborline.plans.forecasting import evaluate, run_record
 from harborline.registry.core import query, shown
 from harborline.registry.sql import FORECAST, day
 from harborline.session import written_once
@@ -74,13 +74,24 @@ scores AS (SELECT model, {_MAPE}, count(*) - count(yhat) AS unscored_days FROM p
 SELECT *, mape < (SELECT mape FROM scores WHERE model = 'naive') AS beats_baseline FROM scores"""
 )
 def forecast_mape_compare(spark, sf_dir):
+    return shown(evaluate(written_once(demand(spark, sf_dir), "daily-demand")), 6)
+
+
+@query(
+    FORECAST
+    + f""", preds AS (
+  SELECT 'seasonal' AS model, h.ds, h.y, level + b * h.t AS yhat FROM holdout h JOIN past_fit USING (wd)
+  UNION ALL
+  SELECT 'naive', h.ds, h.y, p.y FROM holdout h LEFT JOIN days p ON p.ds = h.ds - 7),
+scores AS (SELECT model, {_MAPE} FROM preds GROUP BY model)
+SELECT max(mape) FILTER (WHERE model = 'seasonal') AS model_mape, max(mape) FILTER (WHERE model = 'naive') AS naive_mape,
+  max(mape) FILTER (WHERE model = 'seasonal') < max(mape) FILTER (WHERE model = 'naive') AS model_beats_naive,
+  (SELECT count(*) FROM forecast) AS output_rows, (SELECT count(*) FROM days) AS historical_rows,
+  (SELECT count(*) FROM ahead) AS future_rows FROM scores"""
+)
+def forecast_run_record(spark, sf_dir):
     series = written_once(demand(spark, sf_dir), "daily-demand")
-    train, holdout = holdout_split(series)
-    preds = {
-        "seasonal": predict_seasonal(holdout.select("ds"), fit_seasonal(train)),
-        "naive": naive_baseline(series),
-    }
-    return shown(compare_models(holdout, preds, baseline="naive"), 6)
+    return shown(run_record(evaluate(series), seasonal_forecast(series)), 6)
 
 
 _ERRORS = (

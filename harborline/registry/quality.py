@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from harborline.operators import contracts
 from harborline.operators.profiling import row_counts
 from harborline.plans import inputs, marts, silver
+from harborline.plans.audit import REVIEW_REQUIRED, TRIP_REQUIRED
+from harborline.plans.audit import silver_quality_summary as quality_summary
 from harborline.registry.core import query, shown
 from harborline.registry.forecasts import staged_forecast
 from harborline.registry.marts import order_status, staged_reviews, staged_trip_tables
@@ -132,7 +134,7 @@ def contract_verdict(spark, sf_dir):
     return contracts.verdict(contract_rows(spark, sf_dir))
 
 
-_NULL_CHECKED = ["pickup_ts", "dropoff_ts", "pickup_location_id", "dropoff_location_id", "delivery_id"]
+_NULL_CHECKED = list(TRIP_REQUIRED)
 
 
 @query(
@@ -167,7 +169,7 @@ def _expected_sql(table: str, check: str, expected: str, actual: str) -> str:
     + "\nUNION ALL\n".join(
         [
             _expected_sql("trips_raw", "row_count", "SELECT count(*) FROM lineitem", "SELECT count(*) FROM raw"),
-            _expected_sql("trips_silver", "row_count", "SELECT count(*) FROM lineitem", "SELECT count(*) FROM silver"),
+            _expected_sql("trips_enriched", "row_count", "SELECT count(*) FROM lineitem", "SELECT count(*) FROM silver"),
             _expected_sql("trips_enriched", "temp_max_c_nulls", "SELECT 0::BIGINT", "SELECT count(*) FROM enriched WHERE temp_max_c IS NULL"),
         ]
     )
@@ -175,11 +177,9 @@ def _expected_sql(table: str, check: str, expected: str, actual: str) -> str:
 def expected_counts(spark, sf_dir):
     """Row and null counts against known numbers; the landed row count is the expectation here."""
     landed = inputs.table(spark, sf_dir, "lineitem").count()  # answered from file footers
-    enriched = written_once(enriched_trips(spark, sf_dir).select("temp_max_c"), "enriched-probe")
-    counted = contracts.row_count_audit(
-        [("trips_raw", inputs.raw_trips(spark, sf_dir), landed), ("trips_silver", enriched, landed)]
-    )
-    return counted.unionByName(contracts.expect_null_count(enriched, "temp_max_c", 0, "trips_enriched"))
+    raw = contracts.expect_count(inputs.raw_trips(spark, sf_dir), landed, "trips_raw")
+    enriched = enriched_trips(spark, sf_dir)
+    return raw.unionByName(contracts.expectations(enriched, "trips_enriched", rows=landed, nulls={"temp_max_c": 0}))
 
 
 @query(
@@ -190,3 +190,47 @@ UNION ALL SELECT 'trip_rejects', count(*) FROM flagged WHERE NOT is_valid"""
 def table_row_counts(spark, sf_dir):
     kept, rejected = silver.trips_silver(inputs.raw_trips(spark, sf_dir), inputs.TRIP_TIEBREAK)
     return row_counts({"trips": kept, "trip_rejects": rejected})
+
+
+def _quality_sql(name: str, expected: str, actual: str, good: str, source: str) -> str:
+    return (
+        f"SELECT '{name}' AS check_name, '{expected}' AS expected, CAST({actual} AS VARCHAR) AS actual, "
+        f"CASE WHEN {good} THEN 'PASS' ELSE 'FAIL' END AS status FROM {source}"
+    )
+
+
+def _null_sql(table: str, column: str, source: str, expected: int = 0) -> str:
+    nulls = f"count(*) FILTER (WHERE {column} IS NULL)"
+    return _quality_sql(f"{table}.{column} nulls", str(expected), nulls, f"{nulls} = {expected}", source)
+
+
+def _repeated_sql(table: str, key: str, source: str) -> str:
+    groups = f"(SELECT {key} FROM {source} GROUP BY {key} HAVING count(*) > 1)"
+    return _quality_sql(f"{table} duplicate {key}", "0", "count(*)", "count(*) = 0", groups)
+
+
+@query(
+    _blocks()
+    + "\n"
+    + "\nUNION ALL\n".join(
+        [_null_sql("trips", c, "silver") for c in TRIP_REQUIRED]
+        + [_null_sql("reviews", c, "review_silver") for c in REVIEW_REQUIRED]
+        + [
+            _quality_sql(
+                "reviews.rating range",
+                "1-5",
+                "printf('%.1f-%.1f', min(rating), max(rating))",
+                "min(rating) >= 1 AND max(rating) <= 5",
+                "review_silver",
+            ),
+            _null_sql("trips_weather", "temp_max_c", "enriched"),
+            _repeated_sql("trips", "delivery_id", "silver"),
+            _repeated_sql("reviews", "review_id", "review_silver"),
+        ]
+    )
+)
+def silver_quality_summary(spark, sf_dir):
+    trips = written_once(silver_trips(spark, sf_dir).select(*TRIP_REQUIRED, "pickup_date"), "silver-trips")
+    reviews = written_once(silver_reviews(spark, sf_dir).select(*REVIEW_REQUIRED, "rating"), "silver-reviews")
+    enriched = silver.trips_enriched(trips, inputs.weather(spark))
+    return quality_summary(trips, reviews, enriched, 0)

@@ -13,9 +13,6 @@ from harborline.registry.sql import ORDER_EVENTS, moment
 from harborline.session import scratch_dir
 from harborline.streaming import events as ev
 
-STATE_KEY = ["order_id"]
-STATE_ORDER = "last_event_timestamp"
-
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a stream of bus messages, without staging a copy of it."""
@@ -27,20 +24,9 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def drain(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Run the order stream into history and current state; return both tables."""
-    base = scratch_dir(spark, "orders")
-    history, state = f"{base}/history", f"{base}/state"
-
-    def keep_history(batch: DataFrame, batch_id: int) -> None:
-        ev.append_history(batch, batch_id, history)
-
-    def update_state(batch: DataFrame, batch_id: int) -> None:
-        ev.upsert_latest(
-            batch.sparkSession, state, ev.order_updates(batch), STATE_KEY, STATE_ORDER, ["delivery_id"], batch_id
-        )
-
     parsed = ev.parse_events(event_stream(spark, sf_dir))
-    ev.fan_out(parsed, {f"{base}/_chk/history": keep_history, f"{base}/_chk/state": update_state})
-    return ev.read_history(spark, history), ev.read_state(spark, state, STATE_KEY, STATE_ORDER)
+    history, state = ev.run_order_stream(parsed, scratch_dir(spark, "orders"), ["delivery_id"])
+    return ev.read_history(spark, history), ev.read_state(spark, state, ev.ORDER_KEY, ev.ORDER_TIME)
 
 
 @query(
@@ -68,7 +54,7 @@ def stream_state_store(spark, sf_dir):
     """The same state as a streaming aggregate; every update batch keeps its changed keys."""
     base = scratch_dir(spark, "state-store")
     updates = ev.order_updates(ev.parse_events(event_stream(spark, sf_dir))).drop("updated_at")
-    current = ev.current_state(updates, STATE_KEY, STATE_ORDER, ["delivery_id"])
+    current = ev.current_state(updates, ev.ORDER_KEY, ev.ORDER_TIME, ["delivery_id"])
 
     def keep_changes(batch: DataFrame, batch_id: int) -> None:
         ev.append_history(batch, batch_id, f"{base}/changes")
@@ -76,7 +62,7 @@ def stream_state_store(spark, sf_dir):
     writer = current.writeStream.outputMode("update").foreachBatch(keep_changes)
     ev.run_available_now(writer.option("checkpointLocation", f"{base}/_chk"))
     changes = ev.read_history(spark, f"{base}/changes")
-    return shown(ev.newest_per_key(changes, STATE_KEY, STATE_ORDER, ["delivery_id"]))
+    return shown(ev.newest_per_key(changes, ev.ORDER_KEY, ev.ORDER_TIME, ["delivery_id"]))
 
 
 @query(ORDER_EVENTS + "SELECT current_status, count(*) AS order_count FROM status GROUP BY current_status")

@@ -184,4 +184,4 @@ def duplicate_line_keys(spark, sf_dir):
 @query()
 def row_sample(spark, sf_dir):
     """Rows only: which rows an unordered limit returns is not determined."""
-    return sample_rows(silver_trips(spark, sf_dir).select("delivery_id", "pickup_location_id"), 250)
+    return sample_rows(inputs.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey"), 250)

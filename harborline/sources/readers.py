@@ -172,13 +172,17 @@ def saved_schema(spark: SparkSession, path: str) -> StructType | None:
     return StructType.fromJson(json.loads(lines[0].value)) if lines else None
 
 
-def infer_json_schema(spark: SparkSession, src: str, schema_path: str, sampling_ratio: float = 1.0) -> StructType:
-    """Infer the schema of JSON lines once, persist it, and reuse it on later runs."""
+def infer_json_schema(spark: SparkSession, src: str, schema_path: str, max_files: int = 1000) -> StructType:
+    """Infer the schema of JSON lines once, persist it, and reuse it on later runs.
+
+    The first ``max_files`` files decide it. That loses nothing when the lines are then
+    parsed with ``rescue_json``, which keeps whatever the schema does not cover.
+    """
     known = saved_schema(spark, schema_path)
     if known is not None:
         return known
-    reader = spark.read.option("samplingRatio", str(sampling_ratio)).option("recursiveFileLookup", "true")
-    inferred = reader.json(src).schema
+    files = [row.path for row in _file_frame(spark, src, "").orderBy("path").limit(max_files).collect()]
+    inferred = spark.read.json(files).schema
     fields = [StructField(f.name, f.dataType, True) for f in inferred.fields if f.name != _CORRUPT]
     schema = StructType(fields)
     spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(schema_path)

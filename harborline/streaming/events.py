@@ -24,6 +24,10 @@ ORDER_EVENT = StructType(
     ]
 )
 
+# What identifies an order, and what orders its states.
+ORDER_KEY = ("order_id",)
+ORDER_TIME = "last_event_timestamp"
+
 BATCH = "_batch_id"
 
 
@@ -195,6 +199,25 @@ def current_state(stream: DataFrame, keys: Sequence[str], order_col: str, tiebre
     return usable.groupBy(*keys).agg(newest).select(*keys, "_newest.*")
 
 
+def run_order_stream(stream: DataFrame, base: str, tiebreak: Sequence[str] = ()) -> tuple[str, str]:
+    """Drain parsed order events into a history and a state table under ``base``.
+
+    Returns the two locations; each side keeps its own checkpoint, so either can be
+    rebuilt alone.
+    """
+    history, state = f"{base}/history", f"{base}/state"
+
+    def keep_history(batch: DataFrame, batch_id: int) -> None:
+        append_history(batch, batch_id, history)
+
+    def update_state(batch: DataFrame, batch_id: int) -> None:
+        updates = order_updates(batch)
+        upsert_latest(batch.sparkSession, state, updates, ORDER_KEY, ORDER_TIME, tiebreak, batch_id)
+
+    fan_out(stream, {f"{base}/_checkpoints/history": keep_history, f"{base}/_checkpoints/state": update_state})
+    return history, state
+
+
 # --- reconciliation ---------------------------------------------------------------
 
 
