@@ -56,6 +56,29 @@ def reconcile(flagged: DataFrame, deduped: DataFrame) -> DataFrame:
         {c: zero for c in ("input_rows", "valid_rows", "rejected_rows")}
     )
     totals = before.unionByName(after).agg(*[F.sum(c).alias(c) for c in before.columns])
+    return _reconciled(totals)
+
+
+def reconcile_keys(flagged: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``reconcile`` for a deduplication on ``keys``, without running the deduplication.
+
+    Rows are combined per key before the shuffle; rejected rows collapse to one group,
+    whatever their keys.
+    """
+    valid = F.col(VALID_FLAG)
+    grouping = [F.when(valid, F.col(k)).alias(k) for k in keys]
+    groups = flagged.groupBy(valid.alias(VALID_FLAG), *grouping).agg(F.count(F.lit(1)).alias("_rows"))
+    rows = F.col("_rows")
+    totals = groups.agg(
+        F.coalesce(F.sum(rows), F.lit(0)).alias("input_rows"),
+        F.coalesce(F.sum(F.when(valid, rows)), F.lit(0)).alias("valid_rows"),
+        F.coalesce(F.sum(F.when(~valid, rows)), F.lit(0)).alias("rejected_rows"),
+        F.count_if(valid).alias("kept_rows"),
+    )
+    return _reconciled(totals)
+
+
+def _reconciled(totals: DataFrame) -> DataFrame:
     return totals.select(
         "input_rows",
         "valid_rows",

@@ -11,10 +11,12 @@ from pyspark.sql.types import DateType, DoubleType, LongType, StringType, Struct
 from harborline.functions.columns import month_in_path
 from harborline.operators.profiling import run_summary
 from harborline.plans import gold, inputs, marts
+from harborline.plans.external import read_exported
 from harborline.registry.core import query, shown
 from harborline.registry.marts import order_status
 from harborline.registry.reviews import silver_reviews
-from harborline.registry.sql import ORDER_EVENTS, REVIEWS, day
+from harborline.registry.sql import ORDER_EVENTS, REVIEWS, TRIPS, day
+from harborline.registry.trips import gold_trips
 from harborline.session import scratch_dir
 from harborline.sources import readers, sinks
 from harborline.streaming.ingest import ingest_json_stream
@@ -156,6 +158,29 @@ def typed_external_read(spark, sf_dir):
     return shown(readers.read_typed(spark, path, _TYPED))
 
 
+@query(
+    TRIPS
+    + f"""SELECT {day("pickup_date")} AS pickup_date, trip_count, round(total_revenue, 6) AS total_revenue,
+  precipitation_mm, snowfall_cm, temp_max_c, temp_min_c, sla_total_trips, on_time_trips, delayed_trips,
+  round(on_time_rate + 1e-11, 8) AS on_time_rate, round(avg_delay_minutes + 1e-11, 8) AS avg_delay_minutes,
+  weather_severity, weather_on_time_rate, weather_avg_delay_minutes FROM daily_perf"""
+)
+def exported_gold_to_daily_model(spark, sf_dir):
+    """Gold tables, exported to plain Parquet, read through declared types, staged and joined."""
+    base = scratch_dir(spark, "exported")
+    space = "trips_" + base.rsplit("-", 1)[-1]
+    tables = gold.trip_gold_tables(gold_trips(spark, sf_dir))
+    gold.build_gold(tables, space, f"{base}/warehouse")
+    sinks.export_tables(spark, [f"{space}.{name}" for name in tables], f"{base}/export")
+    typed = {name: read_exported(spark, f"{base}/export", name) for name in tables}
+    model = marts.int_daily_performance(
+        marts.stg_daily_delivery_summary(typed["daily_delivery_summary"]),
+        marts.stg_delivery_sla(typed["delivery_sla"]),
+        marts.stg_weather_delay_impact(typed["weather_delay_impact"]),
+    )
+    return shown(model, total_revenue=6)
+
+
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
 def json_path_projection(spark, sf_dir):
     event = inputs.table(spark, sf_dir, "events")

@@ -114,6 +114,24 @@ def distinct_categories(spark, sf_dir):
     return distinct_values(staged_reviews(spark, sf_dir), "category")
 
 
+@query(
+    REVIEWS
+    + """SELECT category, review_month AS review_month_raw, review_month || '-01' AS review_month, review_count,
+  avg_rating, verified_purchase_pct FROM monthly"""
+)
+def stg_review_summary(spark, sf_dir):
+    return shown(staged_reviews(spark, sf_dir))
+
+
+@query(
+    ORDER_EVENTS
+    + f"""SELECT order_id, delivery_id, pickup_location_id, vendor_id, order_value, current_status,
+  {moment("last_event_timestamp")} AS last_event_timestamp FROM status"""
+)
+def stg_order_status_current(spark, sf_dir):
+    return shown(order_status(spark, sf_dir).drop("updated_at"))
+
+
 @query(
     ORDER_EVENTS
     + f"""SELECT vendor_id, total_orders, delivered_orders, cancelled_orders, round(delivered_rate + 1e-11, 8) AS delivered_rate,

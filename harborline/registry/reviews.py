@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.functions.columns import array_count, first_field
+from harborline.functions.columns import array_count
 from harborline.operators.profiling import value_range
 from harborline.operators.projection import nested_fields
 from harborline.plans import gold, inputs, silver
@@ -38,21 +38,11 @@ def review_silver_valid(spark, sf_dir):
     return shown(read_table(spark, target).select(*_ROW, *_IMAGES))
 
 
-@query(
-    """SELECT conv_id, count(*)::INT AS turn_count, arg_min(role, turn) AS first_role,
-  arg_min(text, turn) AS first_text FROM conversations GROUP BY conv_id"""
-)
+@query(REVIEWS + "SELECT o_orderkey, image_count, primary_image_url FROM raw")
 def review_nested_images(spark, sf_dir):
-    """Array-of-struct access: length, and fields of the first element."""
-    turns = inputs.table(spark, sf_dir, "conversations")
-    # One conversation is one nested value in the source model, a few turns long.
-    nested = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
-    return nested.select(
-        "conv_id",
-        array_count("turns").alias("turn_count"),
-        first_field("turns", "role").alias("first_role"),
-        first_field("turns", "text").alias("first_text"),
-    )
+    """Array-of-struct access over NULL, empty and filled arrays."""
+    derived = silver.derive_reviews(inputs.raw_reviews(spark, sf_dir))
+    return derived.select("o_orderkey", "image_count", "primary_image_url")
 
 
 @query(REVIEWS + "SELECT * FROM monthly")

@@ -5,13 +5,12 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from harborline.functions.columns import month_in_path
 from harborline.operators.joins import match_report, unmatched_keys
 from harborline.operators.profiling import duplicate_keys, null_rate_by, sample_rows
 from harborline.operators.projection import date_range_counts
-from harborline.operators.validity import keep_latest, reconcile
+from harborline.operators.validity import reconcile_keys
 from harborline.plans import gold, inputs, silver
 from harborline.registry.core import query, shown
 from harborline.registry.sql import TRIPS, day, moment
@@ -168,9 +167,7 @@ def null_rate_by_month(spark, sf_dir):
 )
 def reject_reconciliation(spark, sf_dir):
     flagged = silver.trips_flagged(inputs.raw_trips(spark, sf_dir))
-    order = [F.desc("_ingested_at"), *[F.desc(c) for c in inputs.TRIP_TIEBREAK]]
-    kept = keep_latest(flagged.filter("_is_valid"), ["delivery_id"], order)
-    return shown(reconcile(flagged, kept))
+    return shown(reconcile_keys(flagged, ["delivery_id"]))
 
 
 @query(

@@ -102,7 +102,8 @@ def read_drifting_parquet(
     scan applies ``casts`` and records ``_source_file`` before the union by name, in
     which absent columns become NULL.
     """
-    files = _file_frame(spark, path, suffix)
+    # A listing scan has a task per file; a few footers per task are cheaper.
+    files = _file_frame(spark, path, suffix).coalesce(4 * spark.sparkContext.defaultParallelism)
     footers = files.mapInPandas(_footer_shapes, "path string, shape string")
     groups: dict[str, list[str]] = {}
     for row in footers.toLocalIterator():

@@ -28,7 +28,7 @@ ORDER_EVENT = StructType(
 ORDER_KEY = ("order_id",)
 ORDER_TIME = "last_event_timestamp"
 
-BATCH = "_batch_id"
+BATCH = "batch_id"
 
 
 # --- source and parsing -----------------------------------------------------------

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from harborline.operators import contracts as ct
 from harborline.operators import joins, profiling, projection, sla
-from harborline.operators.validity import flag_valid, keep_latest, reconcile, split_valid
+from harborline.operators.validity import flag_valid, keep_latest, reconcile, reconcile_keys, split_valid
 from harborline.plans import gold
 
 
@@ -44,6 +44,8 @@ def test_reconcile(spark):
     got = reconcile(flagged, kept).first()
     assert (got.input_rows, got.valid_rows, got.rejected_rows, got.kept_rows, got.removed_rows) == (4, 2, 2, 1, 1)
     assert got.reject_rate_pct == 50.0
+    assert reconcile_keys(flagged, ["k"]).first() == got
+    assert tuple(reconcile_keys(flagged.limit(0), ["k"]).first()) == (0, 0, 0, 0, 0, None)
 
 
 # --- projection -------------------------------------------------------------------

@@ -175,3 +175,13 @@ def test_materialize_kinds(spark):
 def test_rows_to_df_uses_the_given_schema(spark):
     df = readers.rows_to_df(spark, [(1, 2.0, None)], SCHEMA)
     assert df.schema == SCHEMA and df.count() == 1
+
+
+def test_declared_gold_schemas_cover_the_staging_models(spark, tmp_path):
+    from harborline.plans import external, marts
+
+    for name, ddl in external.GOLD_SCHEMAS.items():
+        spark.createDataFrame([], ddl).coalesce(1).write.parquet(str(tmp_path / name))
+        staged = getattr(marts, f"stg_{name}")(external.read_exported(spark, str(tmp_path), name))
+        assert staged.count() == 0
+    assert dict(staged.dtypes)["forecast_date"] == "date"
