@@ -93,6 +93,8 @@ def fit_seasonal(df: DataFrame, ds: str = "ds", y: str = "y", series: Sequence[s
 def predict_seasonal(days: DataFrame, fit: DataFrame, ds: str = "ds", series: Sequence[str] = ()) -> DataFrame:
     """Add ``yhat`` and the residual spread ``_sigma`` to a frame of days."""
     by_weekday = fit.select(*series, "_weekday", "_slope", "_level", "_sigma")
+    if not series:
+        by_weekday = F.broadcast(by_weekday)  # seven rows
     joined = days.withColumn("_weekday", F.dayofweek(ds)).join(by_weekday, [*series, "_weekday"], "left")
     yhat = F.col("_level") + F.col("_slope") * _day(ds)
     return joined.withColumn("yhat", yhat).drop("_weekday", "_slope", "_level")

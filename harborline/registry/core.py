@@ -17,8 +17,8 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a function under its own name, with the SQL that must agree with it."""
+def query(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a function under its own (or the given) name, with the SQL that must agree with it."""
 
     def register(fn: Query) -> Query:
         @functools.wraps(fn)
@@ -26,9 +26,10 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
             return fn(spark, sf_dir)
 
-        QUERIES[fn.__name__] = run
+        key = name or fn.__name__
+        QUERIES[key] = run
         if sql is not None:
-            ORACLES[fn.__name__] = sql
+            ORACLES[key] = sql
         return run
 
     return register

@@ -11,6 +11,7 @@ from pyspark.sql.types import DateType, DoubleType, LongType, StringType, Struct
 from harborline.functions.columns import month_in_path
 from harborline.operators.profiling import run_summary
 from harborline.plans import gold, inputs, marts
+from harborline.plans.bronze import build_trips_bronze
 from harborline.plans.external import read_exported
 from harborline.registry.core import query, shown
 from harborline.registry.marts import order_status
@@ -47,6 +48,27 @@ def drifting_parquet_union(spark, sf_dir):
     return union.withColumn("source_month", month_in_path("_source_file")).drop("_source_file")
 
 
+@query(
+    TRIPS
+    + """SELECT strftime(pickup_ts, '%Y-%m') AS source_month, count(*) AS total_rows,
+  count(*) FILTER (WHERE l_suppkey % 89 = 0) AS VendorID_nulls,
+  round((count(*) FILTER (WHERE l_suppkey % 89 = 0) / count(*)::DOUBLE * 100) + 1e-11, 8) AS VendorID_null_pct,
+  0::BIGINT AS PULocationID_nulls, 0::DOUBLE AS PULocationID_null_pct FROM raw GROUP BY 1"""
+)
+def bronze_null_report(spark, sf_dir):
+    """Land raw trips by month, build the bronze table, and report null rates per landed month."""
+    base = scratch_dir(spark, "bronze")
+    raw = inputs.raw_trips(spark, sf_dir).drop("_source_file", "_ingested_at")
+    landed = raw.withColumns(
+        {
+            "VendorID": F.when(F.col("l_suppkey") % 89 != 0, F.col("VendorID")),
+            "source_month": F.date_format("tpep_pickup_datetime", "yyyy-MM"),
+        }
+    )
+    sinks.write_table(landed, f"{base}/landing", partition_by=["source_month"])
+    return shown(build_trips_bronze(spark, f"{base}/landing", f"{base}/table"))
+
+
 @query(
     f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, {day("o_orderdate")} AS o_orderdate,
   o_orderstatus = 'F' AS is_late_drop FROM orders"""

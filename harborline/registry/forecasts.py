@@ -33,7 +33,7 @@ def staged_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(FORECAST + f"SELECT {day('ds')} AS ds, CAST(y AS BIGINT) AS y, ds IN (SELECT ds FROM holdout) AS is_holdout FROM days")
 def forecast_holdout_split(spark, sf_dir):
-    train, holdout = holdout_split(demand(spark, sf_dir))
+    train, holdout = holdout_split(written_once(demand(spark, sf_dir), "daily-demand"))
     both = train.withColumn("is_holdout", F.lit(False)).unionByName(holdout.withColumn("is_holdout", F.lit(True)))
     return shown(both)
 
@@ -44,7 +44,7 @@ def forecast_holdout_split(spark, sf_dir):
 FROM holdout h LEFT JOIN days p ON p.ds = h.ds - 7"""
 )
 def forecast_naive_holdout(spark, sf_dir):
-    series = demand(spark, sf_dir)
+    series = written_once(demand(spark, sf_dir), "daily-demand")
     _, holdout = holdout_split(series)
     baseline = naive_baseline(series).join(holdout.select("ds"), "ds", "left_semi")
     return shown(baseline.select("ds", "y", F.col("yhat").cast("double")))

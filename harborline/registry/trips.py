@@ -172,7 +172,8 @@ def reject_reconciliation(spark, sf_dir):
 
 @query(
     """SELECT l_orderkey, l_linenumber, count(*) AS row_count FROM lineitem
-GROUP BY ALL HAVING count(*) > 1"""
+GROUP BY ALL HAVING count(*) > 1""",
+    name="duplicate_keys",
 )
 def duplicate_line_keys(spark, sf_dir):
     return duplicate_keys(inputs.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])

@@ -34,7 +34,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     without it is an error, because a machine-local folder would be invisible to the
     other executors and lost with its machine.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")

@@ -95,7 +95,8 @@ def fan_out(stream: DataFrame, sinks: Mapping[str, Callable[[DataFrame, int], No
 def append_history(batch: DataFrame, batch_id: int, target: str) -> None:
     """Append a micro-batch unchanged; a retried batch replaces its own folder.
 
-    Empty batches leave nothing behind.
+    Empty batches leave nothing behind. Batch numbers belong to a checkpoint, so a target
+    belongs to one checkpoint too: a new checkpoint needs a new target.
     """
     if batch.isEmpty():
         return
@@ -154,7 +155,8 @@ def upsert_latest(
     in place. On Parquet the batch's winners are appended as one folder per batch, which
     costs only the batch, and ``read_state`` resolves each key: strictly newer wins, and
     on a tie the earlier batch stays. That is the result of merging batch by batch.
-    Running a batch again replaces its own folder, so a retry changes nothing.
+    Running a batch again replaces its own folder, so a retry changes nothing (as with
+    ``append_history``, a target belongs to one checkpoint).
     """
     if updates.isEmpty():
         return

@@ -225,7 +225,7 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
 
     from harborline.session import scratch_dir
 
-    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: None), sparkContext=SimpleNamespace(master="yarn"))
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: None), sparkContext=SimpleNamespace(master="yarn", getCheckpointDir=lambda: None))
     with pytest.raises(ValueError):
         scratch_dir(cluster, "x")
     assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
