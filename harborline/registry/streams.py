@@ -25,8 +25,8 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def drain(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Run the order stream into history and current state; return both tables."""
     parsed = ev.parse_events(event_stream(spark, sf_dir))
-    history, state = ev.run_order_stream(parsed, scratch_dir(spark, "orders"), ["delivery_id"])
-    return ev.read_history(spark, history), ev.read_state(spark, state, ev.ORDER_KEY, ev.ORDER_TIME)
+    tables = ev.run_order_stream(parsed, scratch_dir(spark, "orders"), ["delivery_id"])
+    return ev.read_history(spark, tables.history), ev.read_state(spark, tables.state, ev.ORDER_KEY, ev.ORDER_TIME)
 
 
 @query(
@@ -65,6 +65,23 @@ def stream_state_store(spark, sf_dir):
     return shown(ev.newest_per_key(changes, ev.ORDER_KEY, ev.ORDER_TIME, ["delivery_id"]))
 
 
+@query(
+    ORDER_EVENTS
+    + f"""SELECT '{{"order_id":"' || order_id || '","dele' AS _corrupt_record FROM history
+WHERE CAST(substr(delivery_id, 2) AS BIGINT) % 101 = 0"""
+)
+def stream_dead_letters(spark, sf_dir):
+    """Every 101st message cut short on the way: it must end up whole among the dead letters."""
+    number = F.get_json_object(F.col("value").cast("string"), "$.delivery_id")
+    text = F.col("value").cast("string")
+    cut = F.concat(F.substring_index(text, ",", 1), F.lit(',"dele'))
+    damaged = F.when(F.substring(number, 2, 20).cast("bigint") % 101 == 0, cut).otherwise(text)
+    messages = event_stream(spark, sf_dir).select(damaged.cast("binary").alias("value"))
+    parsed = ev.parse_events(messages, corrupt_col="_corrupt_record")
+    tables = ev.run_order_stream(parsed, scratch_dir(spark, "damaged"), ["delivery_id"])
+    return ev.read_history(spark, tables.dead_letters).select("_corrupt_record")
+
+
 @query(ORDER_EVENTS + "SELECT current_status, count(*) AS order_count FROM status GROUP BY current_status")
 def stream_status_breakdown(spark, sf_dir):
     _, state = drain(spark, sf_dir)

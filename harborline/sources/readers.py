@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from functools import reduce
 
 import pandas as pd
@@ -76,20 +76,29 @@ def list_files(spark: SparkSession, path: str, suffix: str) -> list[str]:
     return sorted(row.path for row in _file_frame(spark, path, suffix).toLocalIterator())
 
 
-def _footer_shapes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per file, its column names and physical types as one comparable text."""
-    import pyarrow.parquet as pq
-    from pyarrow import fs
+def _footer_reader() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """A function that adds to each file its column names and physical types as one text.
 
-    for batch in batches:
-        shapes = []
-        for path in batch["path"]:
-            uri = "file://" + path[len("file:"):] if path.startswith("file:/") and path[6] != "/" else path
-            filesystem, inner = fs.FileSystem.from_uri(uri)
-            with filesystem.open_input_file(inner) as handle:
-                schema = pq.read_schema(handle)
-            shapes.append(";".join(sorted(f"{f.name}:{f.type}" for f in schema)))
-        yield pd.DataFrame({"path": batch["path"], "shape": shapes})
+    It is built inside this one, so that it travels to the executors by value and they
+    need no copy of this package.
+    """
+
+    def shapes(batches):
+        import pandas
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        for batch in batches:
+            found = []
+            for path in batch["path"]:
+                bare = path.startswith("file:/") and not path.startswith("file://")
+                filesystem, inner = fs.FileSystem.from_uri("file://" + path[5:] if bare else path)
+                with filesystem.open_input_file(inner) as handle:
+                    schema = pq.read_schema(handle)
+                found.append(";".join(sorted(f"{f.name}:{f.type}" for f in schema)))
+            yield pandas.DataFrame({"path": batch["path"], "shape": found})
+
+    return shapes
 
 
 def read_drifting_parquet(
@@ -104,7 +113,7 @@ def read_drifting_parquet(
     """
     # A listing scan has a task per file; a few footers per task are cheaper.
     files = _file_frame(spark, path, suffix).coalesce(4 * spark.sparkContext.defaultParallelism)
-    footers = files.mapInPandas(_footer_shapes, "path string, shape string")
+    footers = files.mapInPandas(_footer_reader(), "path string, shape string")
     groups: dict[str, list[str]] = {}
     for row in footers.toLocalIterator():
         groups.setdefault(row.shape, []).append(row.path)

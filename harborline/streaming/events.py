@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,12 +51,22 @@ def event_source(spark: SparkSession, kind: str, options: Mapping[str, str]) ->
     raise ValueError(f"kind must be 'kafka' or 'files', not {kind!r}")
 
 
-def parse_events(df: DataFrame, schema: StructType = ORDER_EVENT, ts_col: str | None = "event_timestamp") -> DataFrame:
+def parse_events(
+    df: DataFrame,
+    schema: StructType = ORDER_EVENT,
+    ts_col: str | None = "event_timestamp",
+    corrupt_col: str | None = None,
+) -> DataFrame:
     """Binary JSON to typed columns; ``ts_col`` becomes a timestamp.
 
-    A message that cannot be parsed becomes a row of NULLs; see ``split_dead_letters``.
+    A message that cannot be parsed becomes a row of NULLs, or of what could be read of
+    it; with ``corrupt_col`` its text is kept there. See ``split_dead_letters``.
     """
-    event = F.from_json(F.col("value").cast("string"), schema).alias("event")
+    options = {}
+    if corrupt_col:
+        schema = StructType([*schema.fields, StructField(corrupt_col, StringType())])
+        options["columnNameOfCorruptRecord"] = corrupt_col
+    event = F.from_json(F.col("value").cast("string"), schema, options).alias("event")
     typed = df.select(event).select("event.*")
     return typed if ts_col is None else typed.withColumn(ts_col, F.try_to_timestamp(F.col(ts_col)))
 
@@ -201,23 +212,39 @@ def current_state(stream: DataFrame, keys: Sequence[str], order_col: str, tiebre
     return usable.groupBy(*keys).agg(newest).select(*keys, "_newest.*")
 
 
-def run_order_stream(stream: DataFrame, base: str, tiebreak: Sequence[str] = ()) -> tuple[str, str]:
-    """Drain parsed order events into a history and a state table under ``base``.
+@dataclass(frozen=True)
+class OrderTables:
+    """Where an order stream keeps its three tables."""
 
-    Returns the two locations; each side keeps its own checkpoint, so either can be
-    rebuilt alone.
+    history: str
+    state: str
+    dead_letters: str
+
+
+def run_order_stream(stream: DataFrame, base: str, tiebreak: Sequence[str] = ()) -> OrderTables:
+    """Drain parsed order events into history, current state and dead letters under ``base``.
+
+    History keeps every event. Events without a key or time cannot change a state and go
+    to the dead letters, in the same micro-batch as the state update. History and state
+    have their own checkpoints.
     """
-    history, state = f"{base}/history", f"{base}/state"
+    tables = OrderTables(f"{base}/history", f"{base}/state", f"{base}/dead_letters")
 
     def keep_history(batch: DataFrame, batch_id: int) -> None:
-        append_history(batch, batch_id, history)
+        append_history(batch, batch_id, tables.history)
 
     def update_state(batch: DataFrame, batch_id: int) -> None:
-        updates = order_updates(batch)
-        upsert_latest(batch.sparkSession, state, updates, ORDER_KEY, ORDER_TIME, tiebreak, batch_id)
+        batch.persist()
+        try:
+            usable, dead = split_dead_letters(batch, ORDER_KEY, "event_timestamp")
+            append_history(dead, batch_id, tables.dead_letters)
+            updates = order_updates(usable)
+            upsert_latest(batch.sparkSession, tables.state, updates, ORDER_KEY, ORDER_TIME, tiebreak, batch_id)
+        finally:
+            batch.unpersist()
 
     fan_out(stream, {f"{base}/_checkpoints/history": keep_history, f"{base}/_checkpoints/state": update_state})
-    return history, state
+    return tables
 
 
 # --- reconciliation ---------------------------------------------------------------

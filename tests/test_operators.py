@@ -210,6 +210,8 @@ def test_expectations_and_verdict(spark):
     assert nulls.first().status == "PASS"
     one_pass = ct.expectations(df, "t", rows=3, nulls={"n": 1})
     assert [r.status for r in one_pass.collect()] == ["FAIL", "PASS"]
+    audit = ct.row_count_audit([("t", df, 2), ("u", df, 5)])
+    assert [(r.table_name, r.mismatch, r.status) for r in audit.collect()] == [("t", 0, "PASS"), ("u", -3, "FAIL")]
     both = count.unionByName(nulls)
     assert tuple(ct.verdict(both).first()) == (2, 1, "FAIL")
     ct.enforce(nulls)

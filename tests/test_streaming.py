@@ -28,16 +28,8 @@ def land(spark, path, messages):
 
 
 def run_state(spark, src, base):
-    def update(batch, batch_id):
-        ev.upsert_latest(
-            batch.sparkSession, f"{base}/state", ev.order_updates(batch), ["order_id"], "last_event_timestamp", ["delivery_id"], batch_id
-        )
-
-    def history(batch, batch_id):
-        ev.append_history(batch, batch_id, f"{base}/history")
-
-    parsed = ev.parse_events(ev.event_source(spark, "files", {"path": src, "maxFilesPerTrigger": "1"}))
-    ev.fan_out(parsed, {f"{base}/c1": history, f"{base}/c2": update})
+    source = ev.event_source(spark, "files", {"path": src, "maxFilesPerTrigger": "1"})
+    ev.run_order_stream(ev.parse_events(source, corrupt_col="_corrupt_record"), base, ["delivery_id"])
 
 
 def state(spark, base):
@@ -68,6 +60,8 @@ def test_out_of_order_batches_and_ties(spark, tmp_path):
     assert state(spark, base)["a"] == ("d5", "delivered")
     history = ev.read_history(spark, f"{base}/history")
     assert history.count() == 8 and history.filter("order_id IS NULL").count() == 1
+    dead = ev.read_history(spark, f"{base}/dead_letters").collect()
+    assert [r._corrupt_record for r in dead] == ["{bad"]
 
 
 def test_upserts_equal_a_sequential_merge(spark, tmp_path, rows):
