@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -9,6 +10,10 @@ from pyspark.sql import functions as F
 
 ColumnLike = Column | str
 
+# How a path names its month, and (before a suffix) its file.
+MONTH_PATTERN = r"(\d{4}-\d{2})"
+STEM_PATTERN = r"([^/]+)"
+
 
 def as_column(c: ColumnLike) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -28,13 +33,12 @@ def surrogate_key(*parts: ColumnLike, sep: str = "|") -> Column:
 
 def file_stem(path: ColumnLike, suffix: str) -> Column:
     """Base name of a file path without ``suffix``; ``''`` if the path does not end so."""
-    escaped = suffix.replace(".", r"\.")
-    return F.regexp_extract(as_column(path), rf"([^/]+){escaped}$", 1)
+    return F.regexp_extract(as_column(path), STEM_PATTERN + re.escape(suffix) + "$", 1)
 
 
 def month_in_path(path: ColumnLike) -> Column:
     """First ``yyyy-MM`` found in a path; ``''`` if there is none."""
-    return F.regexp_extract(as_column(path), r"(\d{4}-\d{2})", 1)
+    return F.regexp_extract(as_column(path), MONTH_PATTERN, 1)
 
 
 # --- dates ------------------------------------------------------------------------

@@ -10,7 +10,15 @@ from pyspark.sql import functions as F
 
 from harborline.functions.columns import month_key, weather_severity
 from harborline.operators.projection import date_range
-from harborline.operators.sla import daily_from_cube, sla_from_cube, sla_summary, trip_cube, with_sla
+from harborline.operators.sla import (
+    AVERAGED,
+    DAY_CONSTANTS,
+    daily_from_cube,
+    sla_from_cube,
+    sla_summary,
+    trip_cube,
+    with_sla,
+)
 from harborline.session import written_once
 from harborline.sources.sinks import ensure_namespace, write_table
 
@@ -19,11 +27,9 @@ def daily_summary(trips: DataFrame, date: str = "pickup_date") -> DataFrame:
     """Trips, averages, revenue and that day's weather (constant within a day)."""
     return trips.groupBy(date).agg(
         F.count(F.lit(1)).alias("trip_count"),
-        F.avg("fare_amount").alias("avg_fare_amount"),
-        F.avg("trip_distance_miles").alias("avg_trip_distance_miles"),
-        F.avg("trip_duration_minutes").alias("avg_trip_duration_minutes"),
+        *[F.avg(c).alias(f"avg_{c}") for c in AVERAGED],
         F.sum("total_amount").alias("total_revenue"),
-        *[F.max(c).alias(c) for c in ("temp_max_c", "temp_min_c", "precipitation_mm", "snowfall_cm")],
+        *[F.max(c).alias(c) for c in DAY_CONSTANTS],
     )
 
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from harborline.functions.columns import div0, month_start, safe_corr, safe_div
 from harborline.operators.contracts import accepted_range, accepted_values, not_null, unique
+from harborline.plans.external import GOLD_SCHEMAS
 
 # The allowed classifications.
 SEVERITIES = ["Clear", "Rain", "Snow", "Extreme Cold"]
@@ -16,65 +18,34 @@ FINAL_STATUSES = ["delivered", "cancelled"]
 # --- staging ----------------------------------------------------------------------
 
 
-def stg_daily_delivery_summary(df: DataFrame) -> DataFrame:
-    return df.select(
-        "pickup_date",
-        "trip_count",
-        "avg_fare_amount",
-        "total_revenue",
-        "avg_trip_distance_miles",
-        "avg_trip_duration_minutes",
-        "precipitation_mm",
-        "snowfall_cm",
-        "temp_max_c",
-        "temp_min_c",
-    )
+def _declared(df: DataFrame, table: str) -> DataFrame:
+    return df.select(*StructType.fromDDL(GOLD_SCHEMAS[table]).names)
 
 
-_SLA_COLUMNS = ("total_trips", "on_time_trips", "delayed_trips", "on_time_rate", "avg_delay_minutes")
+def stg_daily_delivery_summary(df: DataFrame) -> DataFrame:
+    return _declared(df, "daily_delivery_summary")
 
 
 def stg_delivery_sla(df: DataFrame) -> DataFrame:
-    return df.select("pickup_date", "pickup_location_id", *_SLA_COLUMNS)
+    return _declared(df, "delivery_sla")
 
 
 def stg_weather_delay_impact(df: DataFrame) -> DataFrame:
-    return df.select("pickup_date", "weather_severity", *_SLA_COLUMNS)
+    return _declared(df, "weather_delay_impact")
 
 
 def stg_review_summary(df: DataFrame) -> DataFrame:
-    return df.select(
-        "category",
-        F.col("review_month").alias("review_month_raw"),
-        month_start("review_month").alias("review_month"),
-        "review_count",
-        "avg_rating",
-        "verified_purchase_pct",
-    )
+    """Keeps the month's text and adds it as a date."""
+    months = {"review_month_raw": F.col("review_month"), "review_month": month_start("review_month")}
+    return _declared(df, "review_summary").withColumns(months)
 
 
 def stg_order_status_current(df: DataFrame) -> DataFrame:
-    return df.select(
-        "order_id",
-        "delivery_id",
-        "pickup_location_id",
-        "vendor_id",
-        "order_value",
-        "current_status",
-        "last_event_timestamp",
-        "updated_at",
-    )
+    return _declared(df, "order_status_current")
 
 
 def stg_demand_forecast(df: DataFrame) -> DataFrame:
-    return df.select(
-        F.col("forecast_date").cast("date").alias("forecast_date"),
-        "actual_trip_count",
-        "predicted_trip_count",
-        "predicted_lower_bound",
-        "predicted_upper_bound",
-        "is_future",
-    )
+    return _declared(df, "demand_forecast").withColumn("forecast_date", F.col("forecast_date").cast("date"))
 
 
 def staging_contracts() -> dict[str, list]:

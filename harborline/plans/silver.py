@@ -22,27 +22,16 @@ from harborline.operators.projection import rename_present
 from harborline.operators.validity import flag_valid, keep_latest, split_valid
 from harborline.sources.sinks import quarantine, write_table
 
-# Raw trip column -> delivery vocabulary.
+# Raw trip columns that change their name; the others keep theirs.
 TRIP_NAMES = {
     "VendorID": "vendor_id",
     "tpep_pickup_datetime": "pickup_ts",
     "tpep_dropoff_datetime": "dropoff_ts",
-    "passenger_count": "passenger_count",
     "trip_distance": "trip_distance_miles",
     "RatecodeID": "rate_code_id",
-    "store_and_fwd_flag": "store_and_fwd_flag",
     "PULocationID": "pickup_location_id",
     "DOLocationID": "dropoff_location_id",
     "payment_type": "payment_type_id",
-    "fare_amount": "fare_amount",
-    "extra": "extra",
-    "mta_tax": "mta_tax",
-    "tip_amount": "tip_amount",
-    "tolls_amount": "tolls_amount",
-    "improvement_surcharge": "improvement_surcharge",
-    "total_amount": "total_amount",
-    "congestion_surcharge": "congestion_surcharge",
-    "airport_fee": "airport_fee",
 }
 
 
