@@ -8,15 +8,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 100_000
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only after counting that it has at most ``max_rows`` rows.
+def bounded_broadcast(
+    df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
+) -> DataFrame:
+    """Mark ``df`` for broadcast only after measuring that it is within both bounds.
 
-    The count stops at ``max_rows + 1`` rows. A larger frame comes back unmarked and is
-    joined by shuffle, where adaptive execution splits skewed partitions.
+    The measurement stops at ``max_rows + 1`` rows and sizes them as JSON text. A larger
+    frame comes back unmarked and is joined by shuffle, where adaptive execution splits
+    skewed partitions.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
+    size = F.sum(F.octet_length(F.to_json(F.struct("*"))))
+    measured = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("rows"), F.coalesce(size, F.lit(0)).alias("bytes"))
+    found = measured.first()
+    if found.rows <= max_rows and found.bytes <= max_bytes:
         return F.broadcast(df)
     return df
 

@@ -68,7 +68,7 @@ def peek_raw(df: DataFrame, n: int = 5) -> DataFrame:
 def _file_frame(spark: SparkSession, path: str, suffix: str) -> DataFrame:
     # The content column is pruned, so only the listing is read.
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    return listing.option("pathGlobFilter", f"*{suffix}").load(path).select("path")
+    return listing.option("pathGlobFilter", f"*{suffix}").load(path).select("path", "modificationTime")
 
 
 def list_files(spark: SparkSession, path: str, suffix: str) -> list[str]:
@@ -112,7 +112,7 @@ def read_drifting_parquet(
     which absent columns become NULL.
     """
     # A listing scan has a task per file; a few footers per task are cheaper.
-    files = _file_frame(spark, path, suffix).coalesce(4 * spark.sparkContext.defaultParallelism)
+    files = _file_frame(spark, path, suffix).select("path").coalesce(4 * spark.sparkContext.defaultParallelism)
     footers = files.mapInPandas(_footer_reader(), "path string, shape string")
     groups: dict[str, list[str]] = {}
     for row in footers.toLocalIterator():
@@ -191,12 +191,35 @@ def infer_json_schema(spark: SparkSession, src: str, schema_path: str, max_files
     known = saved_schema(spark, schema_path)
     if known is not None:
         return known
-    files = [row.path for row in _file_frame(spark, src, "").orderBy("path").limit(max_files).collect()]
-    inferred = spark.read.json(files).schema
-    fields = [StructField(f.name, f.dataType, True) for f in inferred.fields if f.name != _CORRUPT]
-    schema = StructType(fields)
-    spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(schema_path)
-    return schema
+    inferred = _infer(spark, _file_frame(spark, src, "").orderBy("path").limit(max_files))
+    _save_schema(spark, inferred, schema_path)
+    return inferred
+
+
+def evolve_json_schema(spark: SparkSession, src: str, schema_path: str, max_files: int = 1000) -> StructType:
+    """Add columns that the newest ``max_files`` files bring to the persisted schema.
+
+    Known columns keep their type, so values that changed type are rescued, not recast.
+    """
+    known = saved_schema(spark, schema_path)
+    if known is None:
+        return infer_json_schema(spark, src, schema_path, max_files)
+    newest = _file_frame(spark, src, "").orderBy(F.desc("modificationTime"), "path").limit(max_files)
+    added = [f for f in _infer(spark, newest) if f.name not in known.names]
+    if not added:
+        return known
+    evolved = StructType([*known.fields, *added])
+    _save_schema(spark, evolved, schema_path)
+    return evolved
+
+
+def _infer(spark: SparkSession, files: DataFrame) -> StructType:
+    inferred = spark.read.json([row.path for row in files.collect()]).schema
+    return StructType([StructField(f.name, f.dataType, True) for f in inferred.fields if f.name != _CORRUPT])
+
+
+def _save_schema(spark: SparkSession, schema: StructType, path: str) -> None:
+    spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
 def explode_parallel_arrays(df: DataFrame, struct_col: str, mapping: Mapping[str, tuple[str, str]]) -> DataFrame:

@@ -6,28 +6,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from harborline.operators.projection import with_audit
-from harborline.sources.readers import infer_json_schema, rescue_json
+from harborline.sources.readers import evolve_json_schema, infer_json_schema, rescue_json
 from harborline.streaming.events import run_available_now
 
 
-def json_stream(spark: SparkSession, src: str, schema_path: str, glob: str | None = None) -> DataFrame:
+def json_stream(spark: SparkSession, src: str, schema_path: str, evolve: bool = False) -> DataFrame:
     """New JSON lines under ``src`` as typed columns plus ``_rescued_data`` and audit columns.
 
-    The schema is inferred on the first run and persisted; keys that appear later are
-    rescued, so the column set stays stable.
+    The schema is inferred on the first run and persisted. Keys that appear later are
+    rescued, or with ``evolve`` become columns from the run that meets them (read the
+    target with ``mergeSchema`` then).
     """
-    schema = infer_json_schema(spark, src, schema_path)
+    schema = (evolve_json_schema if evolve else infer_json_schema)(spark, src, schema_path)
     reader = spark.readStream.option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
     return rescue_json(with_audit(reader.text(src)), "value", schema)
 
 
 def ingest_json_stream(
-    spark: SparkSession, src: str, schema_path: str, checkpoint: str, target: str, fmt: str = "parquet"
+    spark: SparkSession,
+    src: str,
+    schema_path: str,
+    checkpoint: str,
+    target: str,
+    fmt: str = "parquet",
+    evolve: bool = False,
 ) -> StreamingQuery:
     """Append files that arrived since the last run to ``target``, then stop."""
-    stream = json_stream(spark, src, schema_path)
+    stream = json_stream(spark, src, schema_path, evolve)
     writer = (
         stream.writeStream.format(fmt)
         .outputMode("append")

@@ -110,6 +110,13 @@ def test_enrich_daily_broadcasts_within_the_bound_only(spark, rows):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
 
 
+def test_broadcast_is_bounded_by_bytes_too(spark):
+    wide = spark.range(3).select("id", F.repeat(F.lit("x"), 1000).alias("t"))
+    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    assert hinted(joins.bounded_broadcast(wide, 3)) and not hinted(joins.bounded_broadcast(wide, 2))
+    assert not hinted(joins.bounded_broadcast(wide, 3, max_bytes=2000))
+
+
 def test_match_report_of_nothing_is_zero(spark):
     assert tuple(joins.match_report(spark.createDataFrame([], "t double"), "t").first()) == (0, 0, 0.0)
 

@@ -150,3 +150,17 @@ def test_json_ingest_reads_each_file_once_and_rescues_new_keys(spark, tmp_path):
     assert set(got) == {"a", "b", "c"} and spark.read.parquet(paths[3]).count() == 3
     assert json.loads(got["c"]._rescued_data) == {"rating": "bad", "new": "1"} and got["c"].rating is None
     assert got["a"]._source_file.endswith("Sports.jsonl") and got["a"]._ingested_at is not None
+
+
+def test_json_ingest_can_evolve_its_schema(spark, tmp_path):
+    src = tmp_path / "src"
+    src.mkdir()
+    paths = [str(tmp_path / p) for p in ("src", "schema", "checkpoint", "table")]
+    (src / "one.jsonl").write_text('{"asin": "a", "rating": 5.0}\n')
+    ingest_json_stream(spark, *paths, evolve=True)
+    (src / "two.jsonl").write_text('{"asin": "b", "rating": "bad", "votes": 3}\n')
+    ingest_json_stream(spark, *paths, evolve=True)
+    table = spark.read.option("mergeSchema", "true").parquet(paths[3])
+    got = {r.asin: (r.rating, r.votes, r._rescued_data) for r in table.collect()}
+    assert got == {"a": (5.0, None, None), "b": (None, 3, '{"rating":"bad"}')}
+    assert dict(table.dtypes)["rating"] == "double"
