@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harborline.functions.columns import (
@@ -20,6 +20,7 @@ from harborline.functions.columns import (
 from harborline.operators.joins import enrich_daily
 from harborline.operators.projection import rename_present
 from harborline.operators.validity import flag_valid, keep_latest, split_valid
+from harborline.sources.readers import explode_parallel_arrays
 from harborline.sources.sinks import quarantine, write_table
 
 # Raw trip columns that change their name; the others keep theirs.
@@ -35,6 +36,19 @@ TRIP_NAMES = {
 }
 
 
+# Output column -> (array in the daily weather payload, type).
+WEATHER_FIELDS = {
+    "weather_date": ("time", "date"),
+    "temp_max_c": ("temperature_2m_max", "double"),
+    "temp_min_c": ("temperature_2m_min", "double"),
+    "precipitation_mm": ("precipitation_sum", "double"),
+    "snowfall_cm": ("snowfall_sum", "double"),
+    "windspeed_max_kmh": ("windspeed_10m_max", "double"),
+}
+_ARRAYS = ", ".join(f"{a}: array<{'string' if t == 'date' else t}>" for a, t in WEATHER_FIELDS.values())
+WEATHER_JSON = f"daily struct<{_ARRAYS}>"
+
+
 def _latest_order(tiebreak: Sequence[str]) -> list[Column]:
     return [F.desc("_ingested_at"), *[F.desc(c) for c in tiebreak]]
 
@@ -61,6 +75,12 @@ def trips_silver(bronze: DataFrame, tiebreak: Sequence[str] = (), null_policy: s
     return keep_latest(valid, ["delivery_id"], _latest_order(tiebreak)), rejected
 
 
+def weather_days(spark: SparkSession, path: str) -> DataFrame:
+    """The daily weather dimension from landed JSON whose arrays run in parallel."""
+    landed = spark.read.schema(WEATHER_JSON).option("multiLine", "true").json(path)
+    return explode_parallel_arrays(landed, "daily", WEATHER_FIELDS).filter(F.col("weather_date").isNotNull())
+
+
 def trips_enriched(silver: DataFrame, weather: DataFrame) -> DataFrame:
     """Trips with the weather of their pickup day, or NULLs outside its calendar."""
     return enrich_daily(silver, weather, "pickup_date", "weather_date")
