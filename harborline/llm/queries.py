@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.llm import line_windows, ngram_join
+from harborline.llm import line_windows, mixing, ngram_join, segment_lid, simhash_windows
 from harborline.llm.tables import table
 
 QUERIES, ORACLES = {}, {}
@@ -21,6 +21,23 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
 
 
+@_register
+def op2_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_windows.findings(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_register
+def op6_segmented_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return segment_lid.predict(docs, segment_lid.fit(docs))
+
+
+@_register
+def op9_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mixed(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "tokens", "domain", "rate", "posterior")
+
+
 @_register
 def op10_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = line_windows.drop_repeated_lines(table(spark, sf_dir, "documents"))
