@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.llm import line_windows, mixing, ngram_join, segment_lid, simhash_windows
+from harborline.llm import line_windows, mixing, ngram_join, quality_fm, secrets_crf, segment_lid, simhash_windows
 from harborline.llm.tables import table
 
 QUERIES, ORACLES = {}, {}
@@ -21,11 +21,23 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
 
 
+@_register
+def op1_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_fm.score(docs, quality_fm.fit(docs, table(spark, sf_dir, "labels")))
+
+
 @_register
 def op2_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_windows.findings(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@_register
+def op5_secrets_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secrets_crf.scan(docs, secrets_crf.fit(docs))
+
+
 @_register
 def op6_segmented_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
