@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from harborline.llm.tables import split_by_ids
 from harborline.session import written_once
 
 LINES = 3
@@ -48,13 +49,17 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     covered = written_once(repeated_lines(docs, id_col, text_col, size), "covered-lines")
     lines = F.split(F.col(f"`{text_col}`"), "\n")
     key = F.xxhash64(F.col(f"`{text_col}`"))
-    renamed = covered.select(F.col("doc_id").alias("_covered_id"), F.col("text_key").alias("_covered_key"), F.col("covered").alias("_covered"))
-    joined = docs.select("*", lines.alias("_split"), key.alias("_own_key")).join(renamed, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("_covered_id")) & (F.col("_own_key") == F.col("_covered_key")), "left")
+    covered = covered.select(F.col("doc_id").alias("_covered_id"), F.col("text_key").alias("_covered_key"), F.col("covered").alias("_covered"))
+    same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("_covered_id")) & (key == F.col("_covered_key"))
+    # most documents have nothing to remove: only the others are shuffled to meet their lines
+    some, clean = split_by_ids(docs, key, covered, "_covered_key")
+    joined = some.join(covered.hint("merge"), same, "left").withColumn("_split", lines)
     left = F.array_except(F.sequence(F.lit(0), F.size("_split") - 1), F.col("_covered"))
     kept = F.transform(left, lambda i: F.get(F.col("_split"), i))
     text = F.when(F.col("_covered").isNull(), F.col(f"`{text_col}`")).otherwise(F.array_join(kept, "\n"))
     out = [text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
-    return joined.select(*out, F.size("_split").alias("_lines"), F.coalesce(F.size("_covered"), F.lit(0)).alias("_removed"))
+    cut = joined.select(*out, F.size("_split").alias("_lines"), F.when(F.col("_covered").isNull(), 0).otherwise(F.size("_covered")).alias("_removed"))
+    return cut.union(clean.select("*", F.size(lines).alias("_lines"), F.lit(0).alias("_removed")))
 
 
 ORACLE_SQL = """

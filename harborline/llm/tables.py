@@ -30,12 +30,17 @@ def sampled(df: DataFrame, key: Column, rows: int, seed: int = 7) -> DataFrame:
 
 
 def only_ids(df: DataFrame, key: Column, ids: DataFrame, id_name: str) -> DataFrame:
-    """Rows of ``df`` whose key may be among ``ids``, found without a shuffle of ``df``.
+    """Rows of ``df`` whose key may be among ``ids``, found without a shuffle of ``df``. A null key has none.
 
     A bitmap of fixed size (at most ``FILTER_BITS`` bits, so it can be broadcast whatever
     the size of ``ids``) lets all rows with these ids pass, and some others. It only saves
     moving rows: the join that follows decides.
     """
+    return split_by_ids(df, key, ids, id_name)[0]
+
+
+def split_by_ids(df: DataFrame, key: Column, ids: DataFrame, id_name: str) -> tuple[DataFrame, DataFrame]:
+    """The rows that may have one of the ids (see ``only_ids``), and those that surely have none."""
     bit = F.pmod(F.xxhash64(F.col(id_name)), F.lit(FILTER_BITS))
     bits = (
         ids.select(bit.alias("_bit"))
@@ -44,11 +49,10 @@ def only_ids(df: DataFrame, key: Column, ids: DataFrame, id_name: str) -> DataFr
     )
     names = df.columns
     own = df.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.pmod(F.xxhash64(key), F.lit(FILTER_BITS)).alias("_at"))
-    return (
-        own.join(F.broadcast(bits), F.expr("_at div 64 = _word"))
-        .where(F.expr("(shiftright(_bits, cast(_at % 64 as int)) & 1L) = 1L"))
-        .select(*[F.col("_row").getField(c).alias(c) for c in names])
-    )
+    met = own.join(F.broadcast(bits), F.expr("_at div 64 = _word"), "left")
+    hit = F.coalesce(F.expr("(shiftright(_bits, cast(_at % 64 as int)) & 1L) = 1L"), F.lit(False))
+    rows = lambda which: met.where(which).select(*[F.col("_row").getField(c).alias(c) for c in names])
+    return rows(hit), rows(~hit)
 
 
 def components(links: DataFrame) -> DataFrame:
