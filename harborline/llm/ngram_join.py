@@ -79,10 +79,10 @@ def _least_overlap(n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _prefixes(size: int, percent: int, counts: np.ndarray):
-    """Rows ``(token, sig, n, matches, len, last, at)``: the adaptive prefix of each set.
+    """Rows ``(token, sig, n, matches, len, at)``: the adaptive prefix of each set, once a task for equal sets.
 
     Tokens are ordered as signed numbers, rare ones first; ``at`` is the place of the token in its
-    set, ``len`` the length of the prefix and ``last`` its last token.
+    set and ``len`` the length of the prefix.
     """
     rank = np.empty(len(counts), np.uint64)
     rank[np.argsort(counts, kind="stable")] = np.arange(len(counts), dtype=np.uint64)
@@ -91,16 +91,21 @@ def _prefixes(size: int, percent: int, counts: np.ndarray):
     beyond = np.maximum(counts - np.median(counts), 0)[np.argsort(counts, kind="stable")].astype(float)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: set[int] = set()
         for batch in batches:
             for part in W.steps(batch):
                 sets, at = _sets(part, size)
                 sig = _signatures(sets, at)
+                new = np.zeros(len(sig), bool)
+                for i, own in enumerate(sig.tolist()):
+                    new[i] = own not in met
+                    met.add(own)
                 # reorder: the rank of the bucket replaces its number, so that sorting is by frequency
                 tokens, _ = W.distinct((rank[(sets >> low).astype(np.int64)] << low) | (sets & ((np.uint64(1) << low) - np.uint64(1))), at)
                 n = np.diff(at)
                 base = n - _least_overlap(n, percent)
                 lengths, chosen = np.zeros(len(n), np.int64), np.zeros(len(n), np.int64)
-                for i in np.flatnonzero(n):
+                for i in np.flatnonzero((n > 0) & new):
                     most = min(MOST_MATCHES, n[i] - base[i])
                     ahead = np.cumsum(beyond[(tokens[at[i] : at[i] + base[i] + most] >> low).astype(np.int64)])
                     matches = np.arange(1, most + 1)
@@ -111,11 +116,10 @@ def _prefixes(size: int, percent: int, counts: np.ndarray):
                 rows = np.repeat(np.arange(len(n)), lengths)
                 position = np.arange(len(rows)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
                 ordered = W.signed(tokens ^ np.uint64(1 << 63))
-                last = ordered[np.maximum(at[:-1] + lengths - 1, 0)[rows]]
                 numbers = (pa.array(x.astype(np.int32)) for x in (n[rows], chosen[rows], lengths[rows], position + 1))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ordered[at[:-1][rows] + position]), pa.array(W.signed(sig[rows])), pa.array(last), *numbers],
-                    ["token", "sig", "last", "n", "matches", "len", "at"],
+                    [pa.array(ordered[at[:-1][rows] + position]), pa.array(W.signed(sig[rows])), *numbers],
+                    ["token", "sig", "n", "matches", "len", "at"],
                 )
 
     return run
@@ -139,14 +143,26 @@ def _linked(size: int, percent: int):
 
 def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The links among candidate pairs ``(a, b)`` of classes, from the texts of their first rows."""
-    pairs = written_once(pairs, "candidates")
-    named = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct().join(classes, "sig")
-    named = written_once(named.select("sig", "id_key", "text_key"), "involved")
-    some = only_ids(texts, F.col("text_key"), named, "text_key")
-    held = named.join(some, ["id_key", "text_key"]).select("sig", "text")
-    with_a = pairs.join(held.select(F.col("sig").alias("a"), F.col("text").alias("text_a")), "a")
-    with_b = with_a.join(held.select(F.col("sig").alias("b"), F.col("text").alias("text_b")), "b")
-    return written_once(with_b.select("a", "b", "text_a", "text_b").mapInArrow(_linked(size, percent), "a long, b long").distinct(), "links")
+    of = lambda side: classes.select(F.col("sig").alias(side), F.col("id_key").alias(f"id_{side}"), F.col("text_key").alias(f"key_{side}"))
+    pairs = written_once(pairs.join(of("a"), "a").join(of("b"), "b"), "candidates")
+    some = only_ids(texts, F.col("text_key"), pairs.select("key_a").union(pairs.select("key_b")), "key_a")
+    for side in ("a", "b"):
+        held = some.select(F.col("id_key").alias(f"id_{side}"), F.col("text_key").alias(f"key_{side}"), F.col("text").alias(f"text_{side}"))
+        pairs = pairs.join(held.hint("merge"), [f"id_{side}", f"key_{side}"])
+    return written_once(pairs.select("a", "b", "text_a", "text_b").mapInArrow(_linked(size, percent), "a long, b long").distinct(), "links")
+
+
+def _stars(live: DataFrame, percent: int) -> DataFrame:
+    """For each class the representative that most of its early prefix tokens point to.
+
+    The representative of a token is the class with the fewest tokens of its own before it: the centre of its copies.
+    """
+    early = live.where((F.col("n") - F.col("at") + 1) * (100 + percent) >= 2 * percent * F.col("n"))
+    central = F.min(F.struct((F.col("at") / F.col("n")).alias("place"), "sig", "n")).alias("central")
+    central = written_once(early.groupBy("token").agg(central).select("token", F.col("central.sig").alias("b"), F.col("central.n").alias("m")), "centres")
+    stars = early.join(central, "token").where(F.col("sig") != F.col("b")).where((F.least("n", "m") * 100 >= F.greatest("n", "m") * percent))
+    counted = stars.groupBy(F.col("sig").alias("a"), "b").agg(F.count("*").alias("c"))
+    return counted.groupBy("a").agg(F.max_by("b", F.struct("c", "b")).alias("b"))
 
 
 def _apart(live: DataFrame, merged: DataFrame, percent: int) -> DataFrame:
@@ -154,12 +170,12 @@ def _apart(live: DataFrame, merged: DataFrame, percent: int) -> DataFrame:
 
     A pair is made once, at its first shared token. There the sets can share no more than what
     follows in each, and in all no more than the shared prefix tokens and what follows the prefix
-    that ends first; pairs for which that is too little, or that share fewer tokens than they
+    of one of them; pairs for which that is too little, or that share fewer tokens than they
     must, are left out. Each entry carries the shared tokens of its prefix for that, up to
     ``CARRIED``: sets with more of them pass these tests on what is carried and go on to verification.
     """
-    labelled = live.select("token", "sig", "n", "matches", "len", "last", "at").join(merged.withColumnRenamed("node", "sig"), "sig", "left")
-    facts = [F.first(c).alias(c) for c in ("n", "matches", "len", "last", "at")]
+    labelled = live.select("token", "sig", "n", "matches", "len", "at").join(merged.withColumnRenamed("node", "sig"), "sig", "left")
+    facts = [F.first(c).alias(c) for c in ("n", "matches", "len", "at")]
     labelled = written_once(labelled.groupBy("token", "sig").agg(F.first(F.coalesce("root", "sig")).alias("root"), *facts), "labelled")
     several = labelled.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("token")
     apart = written_once(labelled.join(several, "token"), "apart")
@@ -170,7 +186,7 @@ def _apart(live: DataFrame, merged: DataFrame, percent: int) -> DataFrame:
     both = F.array_intersect("x.tokens", "y.tokens")
     whole = (F.size("x.tokens") <= CARRIED) & (F.size("y.tokens") <= CARRIED)
     fits = lambda most: most * (100 + percent) >= (F.col("x.n") + F.col("y.n")) * percent
-    rest = F.when(F.col("x.last") <= F.col("y.last"), F.col("x.n") - F.col("x.len")).otherwise(F.col("y.n") - F.col("y.len"))
+    rest = F.greatest(F.col("x.n") - F.col("x.len"), F.col("y.n") - F.col("y.len"))
     return (
         x.join(
             y,
@@ -202,16 +218,12 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     classes = rows.where("n > 0").groupBy("sig").agg(first.alias("first"), F.first("n").alias("n"))
     classes = written_once(classes.select("sig", "first.id_key", "first.text_key", "n"), "classes")
 
-    prefixes = source.select("text").mapInArrow(_prefixes(size, percent, counts), "token long, sig long, last long, n int, matches int, len int, at int")
-    central = F.min(F.struct((F.col("at") / F.col("n")).alias("place"), "sig"))["sig"]  # with few tokens of its own before the shared ones
-    met = prefixes.groupBy("token").agg(F.min("sig").alias("low"), F.max("sig").alias("high"), central.alias("central")).where("low <> high")
-    live = written_once(prefixes.join(met.select("token", "low", "central"), "token"), "prefixes")
+    prefixes = source.select("text").mapInArrow(_prefixes(size, percent, counts), "token long, sig long, n int, matches int, len int, at int")
+    met = prefixes.groupBy("token").agg(F.min("sig").alias("low"), F.max("sig").alias("high")).where("low <> high")
+    live = written_once(prefixes.join(met.select("token"), "token"), "prefixes")
 
     texts = source.select(_id_key(F.col("doc_id")).alias("id_key"), "text_key", "text")
-    stars = live.select(F.col("sig").alias("a"), F.explode(F.array("low", "central")).alias("b")).where("a <> b")
-    best = stars.groupBy("a", "b").agg(F.count("*").alias("c")).groupBy("a").agg(F.max_by("b", F.struct("c", "b")).alias("b"))
-    nearest = live.where("sig <> central").groupBy("sig").agg(F.min_by("central", "at").alias("b")).select(F.col("sig").alias("a"), "b")
-    links = _verified(best.union(nearest).distinct(), classes, texts, size, percent)
+    links = _verified(_stars(live, percent), classes, texts, size, percent)
     more = _verified(_apart(live, components(links), percent), classes, texts, size, percent)
     roots = components(links.union(more))
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 
 U = np.uint64
 #: Bytes of text that one vectorised step works on; a longer text is a step of its own.
-STEP_BYTES = 1 << 21
+STEP_BYTES = 1 << 20
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
