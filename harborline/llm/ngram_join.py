@@ -219,7 +219,8 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     classes = written_once(classes.select("sig", "first.id_key", "first.text_key", "n"), "classes")
 
     prefixes = source.select("text").mapInArrow(_prefixes(size, percent, counts), "token long, sig long, n int, matches int, len int, at int")
-    met = prefixes.groupBy("token").agg(F.min("sig").alias("low"), F.max("sig").alias("high")).where("low <> high")
+    # equal sets of different tasks count too: that keeps a few entries more and loses none
+    met = prefixes.groupBy("token").agg(F.count("*").alias("c")).where("c > 1")
     live = written_once(prefixes.join(met.select("token"), "token"), "prefixes")
 
     texts = source.select(_id_key(F.col("doc_id")).alias("id_key"), "text_key", "text")

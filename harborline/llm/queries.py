@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.llm import line_windows, mixing, ngram_join, quality_fm, secrets_crf, segment_lid, simhash_windows
+from harborline.llm import compact_windows, line_windows, mixing, ngram_join, pii_weak, pivot_dedup, quality_fm, secrets_crf, segment_lid, simhash_windows
 from harborline.llm.tables import table
 
 QUERIES, ORACLES = {}, {}
@@ -16,6 +16,11 @@ def _register(fn):
     return fn
 
 
+@_register
+def op3_pivot_permutation_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @_register
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
@@ -44,6 +49,16 @@ def op6_segmented_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segment_lid.predict(docs, segment_lid.fit(docs))
 
 
+@_register
+def op7_compact_window_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compact_windows.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@_register
+def op8_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_weak.scan(table(spark, sf_dir, "documents"))
+
+
 @_register
 def op9_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.mixed(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
