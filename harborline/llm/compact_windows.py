@@ -4,17 +4,17 @@ A text is the sequence of its five-word shingles. For each of ``HASHES`` hash fu
 the Cartesian tree over the shingles' hashes that has its least value at place ``c`` spans the compact window ``l..r``: every
 passage within it that contains ``c`` has that min-hash. Windows of at least ``WIDTH`` shingles (50 words) are kept, about
 ``2 n / WIDTH`` for each function, and grouped by function and value: passages with one signature meet.
-Every window is held against the representative of its group (the one of the smallest document), which is linear in
-the group. Aligned windows of two documents are joined along their offset, and where at least ``ENOUGH``
-functions agree the passages are candidates. They are verified on the shingles themselves: the stretch with the
+Every window is held against two representatives of its group (those of the smallest and the largest document), which is
+linear in the group. Aligned windows of two documents are joined along their offset, and where at least ``ENOUGH``
+functions agree the passages are candidates. They are verified on the shingles themselves: stretches with the
 best balance of shared and foreign shingles must have ``WIDTH`` shingles and a Jaccard similarity of 0.8 to its counterpart.
 
 Defined results: texts of fewer than 50 words, null and empty texts have no passages; a passage that repeats within its
 document is found where the two places do not overlap; rows with a null id take no part; repeated rows (equal id and
 text) are one document; an empty table gives no rows; other columns are ignored.
 
-Linking with a group's representative only is the method's one loss: a passage that is similar to others of its group but
-not to the representative is reported when it meets one of them in the group of another hash function, and missed otherwise.
+Linking with a group's representatives only is the method's one loss: a passage that is similar to others of its group but
+to neither representative is reported when it meets one of them in the group of another hash function, and missed otherwise.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from harborline.llm import words as W
 from harborline.llm.tables import only_ids
 from harborline.session import written_once
 
-SIZE, WIDTH, HASHES, ENOUGH, SIMILARITY = 5, 46, 5, 2, 0.8
+SIZE, WIDTH, HASHES, ENOUGH, SIMILARITY = 5, 46, 5, 1, 0.8
 
 
 def _spread(x: np.ndarray, width: int, pick) -> np.ndarray:
@@ -114,20 +114,33 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def best_stretch(shared: np.ndarray) -> tuple[int, int]:
-    """Start and end of the stretch with the most shared shingles less four times the foreign ones."""
-    sums = np.concatenate([[0], np.cumsum(np.where(shared, 1, -4))])
+    """Start and end of the stretch with the most shared shingles less eight times the foreign ones.
+
+    Eight shared shingles for a foreign one, on both sides, are a Jaccard similarity of 0.8.
+    """
+    sums = np.concatenate([[0], np.cumsum(np.where(shared, 1, -8))])
     low = np.minimum.accumulate(sums)
     end = int(np.argmax(sums - low))
     return int(np.argmin(sums[: end + 1])), end
 
 
-def verified(x: np.ndarray, y: np.ndarray) -> tuple[int, int, int, int, float]:
-    """``(start, end, other_start, other_end, similarity)`` of the best similar stretches of two passages."""
-    a, b = best_stretch(np.isin(x, y))
-    c, d = best_stretch(np.isin(y, x[a:b]))
-    own, other = np.unique(x[a:b]), np.unique(y[c:d])
-    both = len(np.intersect1d(own, other, assume_unique=True))
-    return a, b, c, d, both / max(len(own) + len(other) - both, 1)
+def verified(x: np.ndarray, y: np.ndarray) -> Iterator[tuple[int, int, int, int, float]]:
+    """``(start, end, other_start, other_end, similarity)`` of the similar stretches of two passages, best first."""
+    shared, left = np.isin(x, y), [(0, len(x))]
+    while left:
+        low, high = left.pop()
+        if high - low < WIDTH:
+            continue
+        a, b = (low + k for k in best_stretch(shared[low:high]))
+        if b - a < WIDTH:
+            continue
+        c, d = best_stretch(np.isin(y, x[a:b]))
+        own, other = np.unique(x[a:b]), np.unique(y[c:d])
+        both = len(np.intersect1d(own, other, assume_unique=True))
+        similarity = both / max(len(own) + len(other) - both, 1)
+        if d - c >= WIDTH and similarity >= SIMILARITY:
+            yield a, b, c, d, similarity
+        left += [(low, a), (b, high)]
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,9 +149,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for i, (doc, s, rep, t) in enumerate(zip(*[batch.column(c).to_pylist() for c in ("doc_id", "s", "rep_id", "rep_s")], strict=True)):
             x, y = (values[at[i] : at[i + 1]] for at, values in lists)
-            a, b, c, d, similarity = verified(x, y)
-            if b - a >= WIDTH and d - c >= WIDTH and similarity >= SIMILARITY:
-                rows.append((doc, s + a, s + b + SIZE - 1, rep, t + c, t + d + SIZE - 1, similarity))
+            rows += [(doc, s + a, s + b + SIZE - 1, rep, t + c, t + d + SIZE - 1, similarity) for a, b, c, d, similarity in verified(x, y)]
         names = ["doc_id", "start_word", "end_word", "source_id", "source_start", "source_end", "similarity"]
         kinds = [pa.int64()] * 6 + [pa.float64()]
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names)
@@ -151,12 +162,17 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     windows = source.mapInArrow(_windows, "key long, hash byte, doc_id long, l int, c int, r int")
     met = windows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     live = written_once(windows.join(met.select("key"), "key"), "windows")
-    rep = F.min(F.struct("doc_id", "l", "c", "r")).alias("rep")
-    reps = written_once(live.groupBy("key").agg(rep).select("key", F.col("rep.doc_id").alias("rep_id"), *[F.col(f"rep.{p}").alias(f"rep_{p}") for p in "lcr"]), "representatives")
+    own = F.struct("doc_id", "l", "c", "r")
+    ends = live.groupBy("key").agg(F.min(own).alias("low"), F.max(own).alias("high")).where("low <> high")
+    ends = ends.select("key", F.explode(F.array("low", "high")).alias("rep"))
+    reps = written_once(ends.select("key", F.col("rep.doc_id").alias("rep_id"), *[F.col(f"rep.{p}").alias(f"rep_{p}") for p in "lcr"]), "representatives")
     apart = (F.col("doc_id") != F.col("rep_id")) | (F.col("l") > F.col("rep_r")) | (F.col("rep_l") > F.col("r"))
     before, after = F.least(F.expr("c - l"), F.expr("rep_c - rep_l")), F.least(F.expr("r - c"), F.expr("rep_r - rep_c"))
     meets = live.join(reps, "key").where(apart).select("doc_id", "rep_id", "hash", F.expr("c - rep_c").alias("shift"), (F.col("c") - before).alias("s"), (F.col("c") + after).alias("e"))
-    meets = meets.where(F.col("e") - F.col("s") + 1 >= WIDTH).distinct()
+    meets = meets.where(F.col("e") - F.col("s") + 1 >= WIDTH)
+    # each pair of documents once, as (larger id, smaller id)
+    turned = meets.select(F.col("rep_id").alias("doc_id"), F.col("doc_id").alias("rep_id"), "hash", (-F.col("shift")).alias("shift"), F.expr("s - shift").alias("s"), F.expr("e - shift").alias("e"))
+    meets = meets.where("doc_id > rep_id or (doc_id = rep_id and shift > 0)").union(turned.where("doc_id > rep_id or (doc_id = rep_id and shift > 0)")).distinct()
     # stretches of one offset that touch are one
     along = Window.partitionBy("doc_id", "rep_id", "shift").orderBy("s", "e", "hash")
     reach = F.max("e").over(along.rowsBetween(Window.unboundedPreceding, -1))
@@ -169,8 +185,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     asked = asked.groupBy("doc_id").agg(F.collect_list(F.struct("s", "e")).alias("wanted"))  # as many as a document has stretches
     some = only_ids(source, F.col("doc_id"), found.select("doc_id").union(found.select("rep_id")), "doc_id").distinct()
     slices = written_once(some.join(asked.hint("merge"), "doc_id").select("doc_id", "text", "wanted").mapInArrow(_slices, "doc_id long, s int, e int, tokens array<long>"), "slices")
-    own = slices.withColumnRenamed("tokens", "tokens_x")
+    mine = slices.withColumnRenamed("tokens", "tokens_x")
     other = slices.select(F.col("doc_id").alias("rep_id"), F.col("s").alias("rep_s"), F.col("e").alias("rep_e"), F.col("tokens").alias("tokens_y"))
-    pairs = found.join(own, ["doc_id", "s", "e"]).join(other, ["rep_id", "rep_s", "rep_e"])
+    pairs = found.join(mine, ["doc_id", "s", "e"]).join(other, ["rep_id", "rep_s", "rep_e"])
     names = "doc_id long, start_word long, end_word long, source_id long, source_start long, source_end long, similarity double"
     return pairs.select("doc_id", "s", "rep_id", "rep_s", "tokens_x", "tokens_y").mapInArrow(_verify, names).distinct()
