@@ -8,7 +8,7 @@ identity gives all pairwise interactions of a text in time linear in its feature
 The weights are fitted by Adam steps on at most ``fit_rows`` labelled rows outside the held-out
 third (those of the smallest hashes); labels, language, source and id are no features.
 
-Defined results: null and empty texts get the score of a text without words; rows that share an id are scored
+Defined results: null and empty texts get the score of a text without words (their stated lengths may differ); rows that share an id are scored
 by their own texts; rows with a null id are scored, never learned from and not held out; an id with two different labels
 counts once for each; without labelled rows every score is 0.5 (predicted 1); an empty table gives no rows.
 """
