@@ -165,9 +165,9 @@ def verdict(results: DataFrame) -> DataFrame:
     )
 
 
-def enforce(results: DataFrame, max_reported: int = 20) -> None:
-    """Raise ``ContractViolation`` naming the failed checks, if there are any."""
-    failed = results.filter(F.col("status") != "PASS").limit(max_reported).collect()
+def enforce(results: DataFrame) -> None:
+    """Raise ``ContractViolation`` naming every failed check, if there are any (one row a rule)."""
+    failed = results.filter(F.col("status") != "PASS").collect()
     if failed:
         raise ContractViolation("; ".join(str(row.asDict()) for row in failed))
 

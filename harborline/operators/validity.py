@@ -32,15 +32,17 @@ def split_valid(df: DataFrame, cond: Column, null_policy: str = "reject") -> tup
 
 
 def keep_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
-    """One row per key: the first under ``order_by``, which should be a total order.
+    """One row per key: the first under ``order_by``; ties go to the smaller hash of the whole row.
 
+    The hash makes the winner the same in every run, whatever the order of the input.
     Catalyst turns ``row_number() <= 1`` into a group limit on both sides of the
     shuffle, so each task sends at most one row per key and a key that holds a large
     share of the table never gathers in one task.
     """
     if not order_by:
         raise ValueError("keep_latest needs an ordering")
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order_by))
+    hashed = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order_by, F.xxhash64(*hashed)))
     return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
 
 

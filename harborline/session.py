@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +29,7 @@ def build_session(app: str, cpus: str | int = "*", conf: dict[str, str] | None =
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under ``spark.checkpoint.dir``, the storage all executors share.
 
-    A local session without that setting gets a temporary folder; a cluster session
+    A local session without that setting uses a folder in its warehouse; a cluster session
     without it is an error, because a machine-local folder would be invisible to the
     other executors and lost with its machine.
     """
@@ -38,8 +37,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="harborline-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

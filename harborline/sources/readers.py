@@ -6,9 +6,9 @@ from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, MapType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructField, StructType
 
 from harborline.operators.projection import cast_columns
 
@@ -76,6 +76,23 @@ def list_files(spark: SparkSession, path: str, suffix: str) -> list[str]:
     return sorted(row.path for row in _file_frame(spark, path, suffix).toLocalIterator())
 
 
+#: Schemes of paths as Spark lists them, and those under which the footer reader opens them.
+FOOTER_SCHEMES = {"file": "file", "hdfs": "hdfs", "viewfs": "viewfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
+
+
+def footer_uri() -> Callable[[str], str]:
+    """A function from a listed path to the footer reader's URI; nested, so that it travels by value."""
+    schemes = dict(FOOTER_SCHEMES)
+
+    def uri(path: str) -> str:
+        scheme, _, rest = path.partition(":")
+        if scheme not in schemes:
+            raise ValueError(f"footers cannot be read from {scheme}: paths; the schemes are {sorted(schemes)}")
+        return f"{schemes[scheme]}://{rest.removeprefix('//')}"
+
+    return uri
+
+
 def _footer_reader() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """A function that adds to each file its column names and physical types as one text.
 
@@ -83,6 +100,8 @@ def _footer_reader() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame
     need no copy of this package.
     """
 
+    uri = footer_uri()
+
     def shapes(batches):
         import pandas
         import pyarrow.parquet as pq
@@ -91,8 +110,7 @@ def _footer_reader() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame
         for batch in batches:
             found = []
             for path in batch["path"]:
-                bare = path.startswith("file:/") and not path.startswith("file://")
-                filesystem, inner = fs.FileSystem.from_uri("file://" + path[5:] if bare else path)
+                filesystem, inner = fs.FileSystem.from_uri(uri(path))
                 with filesystem.open_input_file(inner) as handle:
                     schema = pq.read_schema(handle)
                 found.append(";".join(sorted(f"{f.name}:{f.type}" for f in schema)))
@@ -115,12 +133,14 @@ def read_drifting_parquet(
     files = _file_frame(spark, path, suffix).select("path").coalesce(4 * spark.sparkContext.defaultParallelism)
     footers = files.mapInPandas(_footer_reader(), "path string, shape string")
     groups: dict[str, list[str]] = {}
-    for row in footers.toLocalIterator():
+    for row in footers.collect():  # one parallel job; a short text for each file
         groups.setdefault(row.shape, []).append(row.path)
     if not groups:
         raise FileNotFoundError(f"no {suffix} files under {path}")
+    # the base path keeps the columns of a key=value layout
+    reader = spark.read if path.endswith(suffix) else spark.read.option("basePath", path)
     scans = [
-        cast_columns(spark.read.parquet(*sorted(paths)).withColumn("_source_file", F.col("_metadata.file_path")), casts)
+        cast_columns(reader.parquet(*sorted(paths)).withColumn("_source_file", F.col("_metadata.file_path")), casts)
         for _, paths in sorted(groups.items())
     ]
     return union_all_by_name(scans)
@@ -133,28 +153,50 @@ def union_all_by_name(dfs: Sequence[DataFrame]) -> DataFrame:
 # --- JSON -------------------------------------------------------------------------
 
 
+_TEXTS = MapType(StringType(), StringType())
+
+
+def _misfits(raw: Column, typed: Column, schema: StructType, prefix: Column) -> Column:
+    """``(key, value)`` entries of what ``typed`` lost of the object ``raw``, nested objects included.
+
+    A key carries its path: ``a.b`` for a field of a struct, ``a[0].b`` for one of an array's elements.
+    """
+    known = [f.name for f in schema.fields]
+    untyped = F.array_compact(F.array(*[F.when(typed.getField(n).isNull(), F.lit(n)) for n in known]))
+    own = F.map_filter(raw, lambda k, v: ~k.isin(*known) | (v.isNotNull() & F.array_contains(untyped, k)))
+    parts = [F.transform(F.map_entries(own), lambda e: F.struct(F.concat(prefix, e["key"]).alias("key"), e["value"].alias("value")))]
+    for field in schema.fields:
+        kind, text, inner = field.dataType, raw[field.name], typed.getField(field.name)
+        if isinstance(kind, StructType):
+            parts.append(_misfits(F.from_json(text, _TEXTS), inner, kind, F.concat(prefix, F.lit(f"{field.name}."))))
+        elif isinstance(kind, ArrayType) and isinstance(kind.elementType, StructType):
+            place = lambda i, name=field.name: F.concat(prefix, F.lit(f"{name}["), i.cast("string"), F.lit("]."))
+
+            def of_element(e, i, inner=inner, kind=kind, place=place):
+                return _misfits(e, F.get(inner, i), kind.elementType, place(i))
+
+            each = F.transform(F.from_json(text, ArrayType(_TEXTS)), lambda e, i: of_element(e, i))
+            parts.append(F.flatten(each))
+    empty = F.array().cast("array<struct<key:string,value:string>>")
+    return F.concat(*[F.coalesce(p, empty) for p in parts])
+
+
 def rescue_json(df: DataFrame, value_col: str, schema: StructType) -> DataFrame:
     """Parse JSON text to typed columns and keep whatever does not fit.
 
     ``_rescued_data`` holds, as JSON, the keys the schema does not know and the values
-    whose type does not match; a line that is not JSON at all is kept whole under
+    whose type does not match, those inside structs and arrays of structs under their
+    paths; a line that is not JSON at all is kept whole under
     ``_corrupt_record``. It is NULL for a clean line. Other columns pass through.
     """
     text = F.col(value_col).cast("string")
-    parsed = df.withColumns(
-        {"_typed": F.from_json(text, schema), "_raw": F.from_json(text, MapType(StringType(), StringType()))}
-    )
-    untyped = F.array_compact(
-        F.array(*[F.when(F.col("_typed").getField(f.name).isNull(), F.lit(f.name)) for f in schema.fields])
-    )
-    known = [f.name for f in schema.fields]
-    misfits = F.map_filter(
-        "_raw", lambda k, v: ~k.isin(*known) | (v.isNotNull() & F.array_contains(untyped, k))
-    )
+    parsed = df.withColumns({"_typed": F.from_json(text, schema), "_raw": F.from_json(text, _TEXTS)})
+    misfits = F.map_from_entries(_misfits(F.col("_raw"), F.col("_typed"), schema, F.lit("")))
     whole_line = F.create_map(F.lit(_CORRUPT), text)
     broken = F.col("_raw").isNull() & text.isNotNull()
     rescued = F.when(broken, F.to_json(whole_line)).when(F.size(misfits) > 0, F.to_json(misfits))
     passed = [c for c in df.columns if c != value_col]
+    known = [f.name for f in schema.fields]
     return parsed.select(*passed, *[F.col("_typed").getField(n).alias(n) for n in known], rescued.alias(RESCUED))
 
 
@@ -182,30 +224,25 @@ def saved_schema(spark: SparkSession, path: str) -> StructType | None:
     return StructType.fromJson(json.loads(lines[0].value)) if lines else None
 
 
-def infer_json_schema(spark: SparkSession, src: str, schema_path: str, max_files: int = 1000) -> StructType:
-    """Infer the schema of JSON lines once, persist it, and reuse it on later runs.
-
-    The first ``max_files`` files decide it. That loses nothing when the lines are then
-    parsed with ``rescue_json``, which keeps whatever the schema does not cover.
-    """
+def infer_json_schema(spark: SparkSession, src: str, schema_path: str) -> StructType:
+    """Infer the schema of all landed JSON lines once, persist it, and reuse it on later runs."""
     known = saved_schema(spark, schema_path)
     if known is not None:
         return known
-    inferred = _infer(spark, _file_frame(spark, src, "").orderBy("path").limit(max_files))
+    inferred = _infer(spark, src)
     _save_schema(spark, inferred, schema_path)
     return inferred
 
 
-def evolve_json_schema(spark: SparkSession, src: str, schema_path: str, max_files: int = 1000) -> StructType:
-    """Add columns that the newest ``max_files`` files bring to the persisted schema.
+def evolve_json_schema(spark: SparkSession, src: str, schema_path: str) -> StructType:
+    """Add to the persisted schema the columns that any landed file brings.
 
     Known columns keep their type, so values that changed type are rescued, not recast.
     """
     known = saved_schema(spark, schema_path)
     if known is None:
-        return infer_json_schema(spark, src, schema_path, max_files)
-    newest = _file_frame(spark, src, "").orderBy(F.desc("modificationTime"), "path").limit(max_files)
-    added = [f for f in _infer(spark, newest) if f.name not in known.names]
+        return infer_json_schema(spark, src, schema_path)
+    added = [f for f in _infer(spark, src) if f.name not in known.names]
     if not added:
         return known
     evolved = StructType([*known.fields, *added])
@@ -213,8 +250,9 @@ def evolve_json_schema(spark: SparkSession, src: str, schema_path: str, max_file
     return evolved
 
 
-def _infer(spark: SparkSession, files: DataFrame) -> StructType:
-    inferred = spark.read.json([row.path for row in files.collect()]).schema
+def _infer(spark: SparkSession, src: str) -> StructType:
+    # one distributed read of the whole folder: no file is left out and no path comes to the driver
+    inferred = spark.read.option("recursiveFileLookup", "true").json(src).schema
     return StructType([StructField(f.name, f.dataType, True) for f in inferred.fields if f.name != _CORRUPT])
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -10,15 +12,18 @@ from harborline.sources.readers import evolve_json_schema, infer_json_schema, re
 from harborline.streaming.events import run_available_now
 
 
-def json_stream(spark: SparkSession, src: str, schema_path: str, evolve: bool = False) -> DataFrame:
+def json_stream(
+    spark: SparkSession, src: str, schema_path: str, evolve: bool = False, options: Mapping[str, str] | None = None
+) -> DataFrame:
     """New JSON lines under ``src`` as typed columns plus ``_rescued_data`` and audit columns.
 
     The schema is inferred on the first run and persisted. Keys that appear later are
     rescued, or with ``evolve`` become columns from the run that meets them (read the
-    target with ``mergeSchema`` then).
+    target with ``mergeSchema`` then). ``options`` go to the reader: ``maxFilesPerTrigger``, for
+    one, keeps a long backlog from becoming one micro-batch.
     """
     schema = (evolve_json_schema if evolve else infer_json_schema)(spark, src, schema_path)
-    reader = spark.readStream.option("recursiveFileLookup", "true")
+    reader = spark.readStream.option("recursiveFileLookup", "true").options(**(options or {}))
     return rescue_json(with_audit(reader.text(src)), "value", schema)
 
 
@@ -30,9 +35,10 @@ def ingest_json_stream(
     target: str,
     fmt: str = "parquet",
     evolve: bool = False,
+    options: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
     """Append files that arrived since the last run to ``target``, then stop."""
-    stream = json_stream(spark, src, schema_path, evolve)
+    stream = json_stream(spark, src, schema_path, evolve, options)
     writer = (
         stream.writeStream.format(fmt)
         .outputMode("append")

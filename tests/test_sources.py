@@ -198,3 +198,38 @@ def test_footer_reader_travels_without_this_package(tmp_path):
     code = "import pickle, sys; f = pickle.load(open('f.pkl', 'rb')); assert 'harborline' not in sys.modules; print(callable(f))"
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, env={"PATH": "/usr/bin"})
     assert done.stdout.strip() == "True", done.stderr
+
+
+def test_nested_misfits_are_rescued_under_their_paths(spark):
+    schema = StructType.fromDDL("a int, s struct<x:int,d:struct<y:int>>, items array<struct<u:string,n:int>>")
+    lines = [
+        ('{"a":1,"s":{"x":2,"d":{"y":3}},"items":[{"u":"p","n":1}]}',),
+        ('{"a":"no","s":{"x":"bad","z":9,"d":{"y":1,"q":5}},"items":[{"u":"p","n":1},{"n":"bad","k":7}],"new":4}',),
+    ]
+    out = readers.rescue_json(spark.createDataFrame(lines, "value string"), "value", schema).collect()
+    rescued = [json.loads(r["_rescued_data"]) if r["_rescued_data"] else None for r in out]
+    assert rescued[0] is None
+    assert rescued[1] == {"a": "no", "new": "4", "s.x": "bad", "s.z": "9", "s.d.q": "5", "items[1].n": "bad", "items[1].k": "7"}
+
+
+def test_late_columns_of_any_file_are_seen(spark, tmp_path):
+    for i in range(6):
+        (tmp_path / "src").mkdir(exist_ok=True)
+        (tmp_path / "src" / f"f{i}.jsonl").write_text(json.dumps({"a": i, f"k{i}": 1}) + "\n")
+    found = readers.infer_json_schema(spark, str(tmp_path / "src"), str(tmp_path / "schema"))
+    assert set(found.names) == {"a", *(f"k{i}" for i in range(6))}
+
+
+def test_footer_schemes():
+    uri = readers.footer_uri()
+    assert uri("file:/a/b") == "file:///a/b" and uri("file:///a/b") == "file:///a/b"
+    assert uri("s3a://bucket/k") == "s3://bucket/k" and uri("hdfs://n:1/k") == "hdfs://n:1/k"
+    with pytest.raises(ValueError, match="dbfs"):
+        uri("dbfs:/a")
+
+
+def test_partition_columns_of_a_layout_are_kept(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(4).withColumn("p", F.col("id") % 2).write.partitionBy("p").parquet(path)
+    out = readers.read_drifting_parquet(spark, path, {})
+    assert {(r["id"], r["p"]) for r in out.collect()} == {(0, 0), (1, 1), (2, 0), (3, 1)}
