@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType, LongType, StringType, StructField, StructType
 
 from harborline.functions.columns import month_in_path
-from harborline.operators.profiling import run_summary
+from harborline.operators.profiling import run_summary, sample_rows
+from harborline.operators.projection import lower_names
 from harborline.plans import gold, inputs, marts
 from harborline.plans.bronze import build_trips_bronze
 from harborline.plans.external import read_exported
@@ -107,6 +108,10 @@ FROM (SELECT *, event_id % 101 = 0 AS broken, event_id % 15 = 0 AS mistyped, eve
 )
 def rescued_json(spark, sf_dir):
     """Event lines with unknown keys, mistyped values and broken text, by event number."""
+    return _drifted_events(spark, sf_dir)
+
+
+def _drifted_events(spark, sf_dir):
     event = inputs.table(spark, sf_dir, "events")
     clean = F.to_json(
         F.struct(
@@ -130,6 +135,15 @@ def rescued_json(spark, sf_dir):
     return readers.rescue_json(lines, "value", _DRIFTED)
 
 
+@query(
+    """SELECT count(*) FILTER (WHERE event_id % 101 = 0 OR event_id % 15 = 0 OR event_id % 10 = 0) AS rescued_rows,
+  round(count(*) FILTER (WHERE event_id % 101 = 0 OR event_id % 15 = 0 OR event_id % 10 = 0) * 100.0::DOUBLE / count(*) + 1e-11, 8)
+    AS rescued_pct FROM events"""
+)
+def rescued_summary(spark, sf_dir):
+    return shown(readers.rescued_report(_drifted_events(spark, sf_dir)))
+
+
 @query(
     f"""SELECT strftime(o_orderdate, '%Y-%m') AS month, {day("o_orderdate")} AS day, count(*) AS orders,
   round(sum(o_totalprice), 2) AS revenue FROM orders GROUP BY ALL"""
@@ -171,11 +185,13 @@ _TYPED = StructType(
 
 @query(f"SELECT o_orderkey, o_orderstatus, o_totalprice, {day('o_orderdate')} AS o_orderdate FROM orders")
 def typed_external_read(spark, sf_dir):
-    """Files that hold only text under upper-case names, read through a declared schema."""
+    """Files that hold only text under upper-case names, replaced after a first read, then read through a declared schema."""
     path = scratch_dir(spark, "external")
     order = inputs.table(spark, sf_dir, "orders")
     as_text = order.select([F.col(f.name).cast("string").alias(f.name.upper()) for f in _TYPED])
-    as_text.write.parquet(path)
+    as_text.filter("O_ORDERSTATUS = 'F'").write.parquet(path)
+    readers.read_typed(spark, path, _TYPED).count()
+    as_text.write.mode("overwrite").parquet(path)
     readers.refresh(spark, path)
     return shown(readers.read_typed(spark, path, _TYPED))
 
@@ -248,3 +264,53 @@ def export_roundtrip(spark, sf_dir):
 def run_summary_record(spark, sf_dir):
     landed = inputs.table(spark, sf_dir, "orders").count()
     return run_summary(spark, {"landed_rows": landed, "table": "orders"})
+
+
+@query("SELECT DISTINCT o_orderstatus, true AS all_listed, true AS all_sized FROM orders")
+def landed_file_inventory(spark, sf_dir):
+    """Files of a landed table by directory: the listing against what a scan of them reports."""
+    path = scratch_dir(spark, "listed")
+    inputs.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus").write.partitionBy("o_orderstatus").parquet(path)
+    status = F.regexp_extract("path", "o_orderstatus=([^/]+)/", 1).alias("o_orderstatus")
+    listed = spark.createDataFrame([(f,) for f in readers.list_files(spark, path, ".parquet")], "path string")
+    listed = listed.groupBy(status).agg(F.count(F.lit(1)).alias("listed"))
+    scanned = readers.file_inventory(spark.read.parquet(path)).groupBy(status)
+    scanned = scanned.agg(F.count(F.lit(1)).alias("scanned"), (F.min("size") > 0).alias("all_sized"))
+    both = scanned.join(listed, "o_orderstatus", "full")
+    return both.select("o_orderstatus", F.equal_null("listed", "scanned").alias("all_listed"), "all_sized")
+
+
+@query("SELECT least(count(*), 5) AS peeked_rows, least(count(*), 5) AS found_rows FROM orders")
+def raw_peek(spark, sf_dir):
+    """A few raw rows of a table with upper-case names; which ones is open, but each is a row of the table."""
+    order = inputs.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    upper = order.select(*[F.col(c).alias(c.upper()) for c in order.columns])
+    peeked = readers.peek_raw(lower_names(upper)).select(F.from_json("value", order.schema).alias("row")).select("row.*")
+    return _found(peeked, order, "peeked_rows")
+
+
+@query("SELECT least(count(*), 250) AS sampled_rows, least(count(*), 250) AS found_rows FROM lineitem")
+def row_sample_properties(spark, sf_dir):
+    """What holds of any sample: its size, and that every row is one of the table."""
+    item = inputs.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
+    return _found(sample_rows(item, 250), item, "sampled_rows")
+
+
+def _found(some, table, name):
+    """How many rows there are, and how many of them the table has."""
+    met = table.join(F.broadcast(some.distinct()), table.columns, "left_semi").distinct().withColumn("_is_row", F.lit(True))
+    return some.join(met, table.columns, "left").agg(F.count(F.lit(1)).alias(name), F.count("_is_row").alias("found_rows"))
+
+
+@query(
+    """SELECT name, count(*) AS orders FROM orders JOIN (VALUES ('F', 'fulfilled'), ('O', 'open'), ('P', 'partly shipped')) AS s(code, name)
+  ON o_orderstatus = code GROUP BY name"""
+)
+def orders_by_named_status(spark, sf_dir):
+    """A small table held in memory, joined with the orders."""
+    names = readers.rows_to_df(spark, [("F", "fulfilled"), ("O", "open"), ("P", "partly shipped")], _STATUS_NAMES)
+    order = inputs.table(spark, sf_dir, "orders")
+    return order.join(names, order.o_orderstatus == names.code).groupBy("name").agg(F.count(F.lit(1)).alias("orders"))
+
+
+_STATUS_NAMES = StructType([StructField("code", StringType()), StructField("name", StringType())])

@@ -30,6 +30,7 @@ ORDER_KEY = ("order_id",)
 ORDER_TIME = "last_event_timestamp"
 
 BATCH = "batch_id"
+STREAM = "stream_id"
 
 
 # --- source and parsing -----------------------------------------------------------
@@ -103,19 +104,29 @@ def fan_out(stream: DataFrame, sinks: Mapping[str, Callable[[DataFrame, int], No
 # --- history ----------------------------------------------------------------------
 
 
+def batch_folder(spark: SparkSession, target: str, batch_id: int) -> str:
+    """The folder of a micro-batch.
+
+    Batch numbers start anew with each checkpoint, so the folder also names the running
+    query, whose id its checkpoint keeps: no other checkpoint can write into it.
+    """
+    stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
+    return f"{target}/{STREAM}={stream}/{BATCH}={batch_id}"
+
+
 def append_history(batch: DataFrame, batch_id: int, target: str) -> None:
     """Append a micro-batch unchanged; a retried batch replaces its own folder.
 
-    Empty batches leave nothing behind. Batch numbers belong to a checkpoint, so a target
-    belongs to one checkpoint too: a new checkpoint needs a new target.
+    Empty batches leave nothing behind. A new checkpoint on the same target adds what it
+    reads and replaces nothing.
     """
     if batch.isEmpty():
         return
-    batch.write.mode("overwrite").parquet(f"{target}/{BATCH}={batch_id}")
+    batch.write.mode("overwrite").parquet(batch_folder(batch.sparkSession, target, batch_id))
 
 
 def read_history(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.option("basePath", target).parquet(target).drop(BATCH)
+    return spark.read.option("basePath", target).parquet(target).drop(STREAM, BATCH)
 
 
 # --- current state ----------------------------------------------------------------
@@ -166,8 +177,7 @@ def upsert_latest(
     in place. On Parquet the batch's winners are appended as one folder per batch, which
     costs only the batch, and ``read_state`` resolves each key: strictly newer wins, and
     on a tie the earlier batch stays. That is the result of merging batch by batch.
-    Running a batch again replaces its own folder, so a retry changes nothing (as with
-    ``append_history``, a target belongs to one checkpoint).
+    Running a batch again replaces its own folder, so a retry changes nothing.
     """
     if updates.isEmpty():
         return
@@ -179,7 +189,7 @@ def upsert_latest(
         winners.sparkSession.sql(merge_statement(target, view, keys, order_col))
         winners.sparkSession.catalog.dropTempView(view)
     elif fmt == "parquet":
-        winners.write.mode("overwrite").parquet(f"{target}/{BATCH}={batch_id}")
+        winners.write.mode("overwrite").parquet(batch_folder(spark, target, batch_id))
     else:
         raise ValueError(f"no upsert for format {fmt!r}")
 
@@ -187,17 +197,17 @@ def upsert_latest(
 def read_state(spark: SparkSession, target: str, keys: Sequence[str], order_col: str) -> DataFrame:
     """The current row of every key of a Parquet state table."""
     log = spark.read.option("basePath", target).parquet(target)
-    return keep_latest(log, keys, [F.desc(order_col), F.asc(BATCH)]).drop(BATCH)
+    return keep_latest(log, keys, [F.desc(order_col), F.asc(BATCH)]).drop(STREAM, BATCH)
 
 
 def compact_state(spark: SparkSession, target: str, new_target: str, keys: Sequence[str], order_col: str) -> None:
     """Rewrite a state table as one row per key, at a new location.
 
-    The rows keep the batch number that wrote them, so later batches still apply.
+    The rows keep the stream and batch number that wrote them, so later batches still apply.
     """
     log = spark.read.option("basePath", target).parquet(target)
     current = keep_latest(log, keys, [F.desc(order_col), F.asc(BATCH)])
-    current.hint("rebalance", F.col(BATCH)).write.partitionBy(BATCH).parquet(new_target)
+    current.hint("rebalance", F.col(BATCH)).write.partitionBy(STREAM, BATCH).parquet(new_target)
 
 
 def current_state(stream: DataFrame, keys: Sequence[str], order_col: str, tiebreak: Sequence[str] = ()) -> DataFrame:

@@ -103,6 +103,17 @@ def test_retried_history_batch_is_not_duplicated(spark, tmp_path):
     assert ev.read_history(spark, str(tmp_path / "h")).count() == 5
 
 
+def test_a_second_checkpoint_replaces_nothing(spark, tmp_path):
+    target = str(tmp_path / "history")
+    for name, number in (("one", 1), ("two", 2)):
+        land(spark, str(tmp_path / name), [message("a", number, number)])
+        source = ev.event_source(spark, "files", {"path": str(tmp_path / name)})
+        sink = lambda batch, batch_id: ev.append_history(batch, batch_id, target)
+        for _ in range(2):
+            ev.fan_out(ev.parse_events(source), {str(tmp_path / f"checkpoint-{name}"): sink})
+    assert sorted(r.delivery_id for r in ev.read_history(spark, target).collect()) == ["d1", "d2"]
+
+
 def test_state_store_variant_ignores_batch_order(spark, tmp_path):
     src = str(tmp_path / "src")
     land(spark, src, [message("a", 1, 10, "delivered")])
