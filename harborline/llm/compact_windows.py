@@ -99,7 +99,7 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The shingles of the stretches asked for: ``(doc_id, s, e, tokens)``."""
+    """The shingles of the stretches asked for, with the other columns of each request."""
     for batch in batches:
         for part in W.steps(batch):
             shingles, at = W.shingles(*W.words(part.column("text")), SIZE)
@@ -107,10 +107,16 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             w_at, flat = wanted.offsets.to_numpy(), wanted.flatten()
             rows = np.repeat(np.arange(len(part)), np.diff(w_at))
             s, e = (flat.field(k).to_numpy() for k in (0, 1))
-            pieces = [W.signed(shingles[at[row] : at[row + 1]][a : b + 1]) for row, a, b in zip(rows, s, e, strict=True)]
+            pieces = [_narrow(shingles[at[row] : at[row + 1]][a : b + 1]) for row, a, b in zip(rows, s, e, strict=True)]
             lengths = np.concatenate([[0], np.cumsum([len(p) for p in pieces])]).astype(np.int32)
-            tokens = pa.ListArray.from_arrays(pa.array(lengths), pa.array(np.concatenate(pieces) if pieces else np.zeros(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(rows)), pa.array(s), pa.array(e), tokens], ["doc_id", "s", "e", "tokens"])
+            tokens = pa.ListArray.from_arrays(pa.array(lengths), pa.array(np.concatenate(pieces) if pieces else np.zeros(0, np.int32)))
+            names = [flat.type.field(k).name for k in range(flat.type.num_fields)]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(rows)), *[flat.field(k) for k in range(len(names))], tokens], ["doc_id", *names, "tokens"])
+
+
+def _narrow(shingles: np.ndarray) -> np.ndarray:
+    """The upper 32 bits, enough to compare two passages: of ``n`` and ``m`` shingles, ``n * m / 2 ** 32`` are taken for equal in error."""
+    return (shingles >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def best_stretch(shared: np.ndarray) -> tuple[int, int]:
@@ -181,12 +187,16 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     stretches = stretches.agg(F.min("s").alias("s"), F.max("e").alias("e"), F.count_distinct("hash").alias("n")).where(F.col("n") >= ENOUGH)
     found = written_once(stretches.select("doc_id", "rep_id", "s", "e", (F.col("s") - F.col("shift")).alias("rep_s"), (F.col("e") - F.col("shift")).alias("rep_e")), "stretches")
 
-    asked = found.select("doc_id", "s", "e").union(found.select("rep_id", "rep_s", "rep_e")).distinct()
-    asked = asked.groupBy("doc_id").agg(F.collect_list(F.struct("s", "e")).alias("wanted"))  # as many as a document has stretches
-    some = only_ids(source, F.col("doc_id"), found.select("doc_id").union(found.select("rep_id")), "doc_id").distinct()
-    slices = written_once(some.join(asked.hint("merge"), "doc_id").select("doc_id", "text", "wanted").mapInArrow(_slices, "doc_id long, s int, e int, tokens array<long>"), "slices")
-    mine = slices.withColumnRenamed("tokens", "tokens_x")
-    other = slices.select(F.col("doc_id").alias("rep_id"), F.col("s").alias("rep_s"), F.col("e").alias("rep_e"), F.col("tokens").alias("tokens_y"))
-    pairs = found.join(mine, ["doc_id", "s", "e"]).join(other, ["rep_id", "rep_s", "rep_e"])
+    # texts are moved to the requests for their stretches; a request of the larger id carries what it is held against
+    def cut(requests: DataFrame, fields: list[str]) -> DataFrame:
+        asked = requests.groupBy("doc_id").agg(F.collect_list(F.struct(*fields)).alias("wanted"))  # as many as a document has stretches
+        some = only_ids(source, F.col("doc_id"), requests.select("doc_id"), "doc_id").distinct()
+        kinds = ", ".join(f"{c} {requests.schema[c].dataType.simpleString()}" for c in fields)
+        return some.join(asked.hint("merge"), "doc_id").select("doc_id", "text", "wanted").mapInArrow(_slices, f"doc_id long, {kinds}, tokens array<int>")
+
+    against = found.select(F.col("rep_id").alias("doc_id"), F.col("rep_s").alias("s"), F.col("rep_e").alias("e")).distinct()
+    other = cut(against, ["s", "e"]).toDF("rep_id", "rep_s", "rep_e", "tokens_y")
+    mine = cut(found, ["s", "e", "rep_id", "rep_s", "rep_e"]).withColumnRenamed("tokens", "tokens_x")
+    pairs = mine.join(other, ["rep_id", "rep_s", "rep_e"])
     names = "doc_id long, start_word long, end_word long, source_id long, source_start long, source_end long, similarity double"
     return pairs.select("doc_id", "s", "rep_id", "rep_s", "tokens_x", "tokens_y").mapInArrow(_verify, names).distinct()
