@@ -170,11 +170,11 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     live = written_once(windows.join(met.select("key"), "key"), "windows")
     own = F.struct("doc_id", "l", "c", "r")
     ends = live.groupBy("key").agg(F.min(own).alias("low"), F.max(own).alias("high")).where("low <> high")
-    ends = ends.select("key", F.explode(F.array("low", "high")).alias("rep"))
-    reps = written_once(ends.select("key", F.col("rep.doc_id").alias("rep_id"), *[F.col(f"rep.{p}").alias(f"rep_{p}") for p in "lcr"]), "representatives")
+    both = live.join(written_once(ends, "representatives"), "key").withColumn("rep", F.explode(F.array("low", "high")))
+    both = both.select("hash", "doc_id", *"lcr", F.col("rep.doc_id").alias("rep_id"), *[F.col(f"rep.{p}").alias(f"rep_{p}") for p in "lcr"])
     apart = (F.col("doc_id") != F.col("rep_id")) | (F.col("l") > F.col("rep_r")) | (F.col("rep_l") > F.col("r"))
     before, after = F.least(F.expr("c - l"), F.expr("rep_c - rep_l")), F.least(F.expr("r - c"), F.expr("rep_r - rep_c"))
-    meets = live.join(reps, "key").where(apart).select("doc_id", "rep_id", "hash", F.expr("c - rep_c").alias("shift"), (F.col("c") - before).alias("s"), (F.col("c") + after).alias("e"))
+    meets = both.where(apart).select("doc_id", "rep_id", "hash", F.expr("c - rep_c").alias("shift"), (F.col("c") - before).alias("s"), (F.col("c") + after).alias("e"))
     meets = meets.where(F.col("e") - F.col("s") + 1 >= WIDTH)
     # each pair of documents once, as (larger id, smaller id)
     turned = meets.select(F.col("rep_id").alias("doc_id"), F.col("doc_id").alias("rep_id"), "hash", (-F.col("shift")).alias("shift"), F.expr("s - shift").alias("s"), F.expr("e - shift").alias("e"))
@@ -187,10 +187,12 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     stretches = stretches.agg(F.min("s").alias("s"), F.max("e").alias("e"), F.count_distinct("hash").alias("n")).where(F.col("n") >= ENOUGH)
     found = written_once(stretches.select("doc_id", "rep_id", "s", "e", (F.col("s") - F.col("shift")).alias("rep_s"), (F.col("e") - F.col("shift")).alias("rep_e")), "stretches")
 
-    # texts are moved to the requests for their stretches; a request of the larger id carries what it is held against
+    # texts are moved once to the requests of both sides; a request of the larger id carries what it is held against
+    ids = found.select("doc_id").union(found.select("rep_id"))
+    some = only_ids(source, F.col("doc_id"), ids, "doc_id").distinct()
+
     def cut(requests: DataFrame, fields: list[str]) -> DataFrame:
         asked = requests.groupBy("doc_id").agg(F.collect_list(F.struct(*fields)).alias("wanted"))  # as many as a document has stretches
-        some = only_ids(source, F.col("doc_id"), requests.select("doc_id"), "doc_id").distinct()
         kinds = ", ".join(f"{c} {requests.schema[c].dataType.simpleString()}" for c in fields)
         return some.join(asked.hint("merge"), "doc_id").select("doc_id", "text", "wanted").mapInArrow(_slices, f"doc_id long, {kinds}, tokens array<int>")
 
