@@ -6,8 +6,8 @@ passage within it that contains ``c`` has that min-hash. Windows of at least ``W
 ``2 n / WIDTH`` for each function, and grouped by function and value: passages with one signature meet.
 Every window is held against two representatives of its group (those of the smallest and the largest document), which is
 linear in the group. Aligned windows of two documents are joined along their offset, and where at least ``ENOUGH``
-functions agree the passages are candidates. They are verified on the shingles themselves: stretches with the
-best balance of shared and foreign shingles must have ``WIDTH`` shingles and a Jaccard similarity of 0.8 to its counterpart.
+functions agree the passages are candidates. They are verified on the shingles themselves: the longest
+stretches with enough shared for each foreign shingle must have ``WIDTH`` shingles and a Jaccard similarity of 0.8 to their counterpart.
 
 Defined results: texts of fewer than 50 words, null and empty texts have no passages; a passage that repeats within its
 document is found where the two places do not overlap; rows with a null id take no part; repeated rows (equal id and
@@ -31,6 +31,8 @@ from harborline.llm.tables import only_ids
 from harborline.session import written_once
 
 SIZE, WIDTH, HASHES, ENOUGH, SIMILARITY = 5, 46, 5, 1, 0.8
+#: Shared shingles asked for a foreign one, from what is needed to what is enough.
+CHARGES = (4, 6, 8)
 
 
 def _spread(x: np.ndarray, width: int, pick) -> np.ndarray:
@@ -119,34 +121,62 @@ def _narrow(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-def best_stretch(shared: np.ndarray) -> tuple[int, int]:
-    """Start and end of the stretch with the most shared shingles less eight times the foreign ones.
+def longest_stretch(shared: np.ndarray, charge: int) -> tuple[int, int]:
+    """Start and end of the longest stretch, from a shared shingle to a shared one, with at least ``charge`` shared ones for each foreign one."""
+    starts = np.flatnonzero(shared)
+    if not len(starts):
+        return 0, 0
+    sums = np.concatenate([[0], np.cumsum(np.where(shared, 1, -charge))])
+    low = np.minimum.accumulate(sums[starts])
+    first = starts[np.searchsorted(-low, -sums[starts + 1])]  # the first start from which the balance up to an end is not negative
+    best = int(np.argmax(starts - first))
+    return int(first[best]), int(starts[best]) + 1
 
-    Eight shared shingles for a foreign one, on both sides, are a Jaccard similarity of 0.8.
-    """
-    sums = np.concatenate([[0], np.cumsum(np.where(shared, 1, -8))])
-    low = np.minimum.accumulate(sums)
-    end = int(np.argmax(sums - low))
-    return int(np.argmin(sums[: end + 1])), end
+
+def _counterpart(x: np.ndarray, y: np.ndarray, shared: np.ndarray, charge: int) -> tuple[int, int, int, int, float]:
+    """The longest stretch of ``x``, what answers to it in ``y``, and their similarity; 0 if one is too short."""
+    a, b = longest_stretch(shared, charge)
+    if b - a < WIDTH:
+        return a, b, 0, 0, 0.0
+    c, d = longest_stretch(np.isin(y, x[a:b]), charge)
+    own, other = np.unique(x[a:b]), np.unique(y[c:d])
+    both = len(np.intersect1d(own, other, assume_unique=True))
+    return a, b, c, d, both / (len(own) + len(other) - both) if d - c >= WIDTH else 0.0
 
 
 def verified(x: np.ndarray, y: np.ndarray) -> Iterator[tuple[int, int, int, int, float]]:
-    """``(start, end, other_start, other_end, similarity)`` of the similar stretches of two passages, best first."""
+    """``(start, end, other_start, other_end, similarity)`` of the similar stretches of two passages.
+
+    A similarity of 0.8 needs four shared shingles for a foreign one on either side, and eight on both sides are enough:
+    the longest stretch is tried by each of ``CHARGES``. One that fails is narrowed to what its counterpart shares, or else parted at its widest gap.
+    """
     shared, left = np.isin(x, y), [(0, len(x))]
     while left:
         low, high = left.pop()
-        if high - low < WIDTH:
-            continue
-        a, b = (low + k for k in best_stretch(shared[low:high]))
-        if b - a < WIDTH:
+        held = None
+        for charge in CHARGES if high - low >= WIDTH else ():
+            tried = _counterpart(x[low:high], y, shared[low:high], charge)
+            if tried[1] - tried[0] < WIDTH:
+                break
+            held = tried
+            if held[4] >= SIMILARITY:
+                break
+        if held is None:
             continue
-        c, d = best_stretch(np.isin(y, x[a:b]))
-        own, other = np.unique(x[a:b]), np.unique(y[c:d])
-        both = len(np.intersect1d(own, other, assume_unique=True))
-        similarity = both / max(len(own) + len(other) - both, 1)
-        if d - c >= WIDTH and similarity >= SIMILARITY:
-            yield a, b, c, d, similarity
+        a, b, c, d, similarity = held[0] + low, held[1] + low, *held[2:]
         left += [(low, a), (b, high)]
+        if similarity >= SIMILARITY:
+            yield a, b, c, d, similarity
+            continue
+        p, q = (a + k for k in longest_stretch(np.isin(x[a:b], y[c:d]), CHARGES[-1]))
+        if WIDTH <= q - p < b - a:
+            left += [(a, p), (p, q), (q, b)]
+            continue
+        own = a + np.flatnonzero(shared[a:b])
+        gaps = np.diff(own)
+        if gaps.max() > 1:
+            widest = int(np.argmax(gaps))
+            left += [(a, int(own[widest]) + 1), (int(own[widest + 1]), b)]
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

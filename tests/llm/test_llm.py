@@ -314,6 +314,33 @@ def test_repeated_passages(spark):
     assert compact_windows.repeated_passages(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_edited_passages(spark):
+    rng = random.Random(13)
+    texts = []
+    for n, at in ((60, 30), (89, 44)):
+        passage = prose(rng, n).split()
+        edited = [*passage[:at], "changed", *passage[at + 1 :]]
+        texts += [f"{prose(rng, 79)} first {' '.join(passage)} second {prose(rng, 70)}", f"{prose(rng, 19)} third {' '.join(edited)} fourth {prose(rng, 90)}"]
+    found = {(r["doc_id"], r["source_id"]): r for r in compact_windows.repeated_passages(frame(spark, texts)).collect()}
+    assert set(found) == {(1, 0), (3, 2)}
+    assert (found[1, 0]["start_word"], found[1, 0]["end_word"], found[1, 0]["source_start"], found[1, 0]["source_end"]) == (20, 80, 80, 140)
+    assert (found[3, 2]["start_word"], found[3, 2]["end_word"]) == (20, 109) and found[1, 0]["similarity"] == pytest.approx(51 / 61)
+
+
+def test_similar_stretches_of_awkward_passages():
+    far = lambda n, at: np.arange(n) + at
+    a, b, junk = far(60, 0), far(50, 1000), far(80, 5000)
+    assert {v[:4] for v in compact_windows.verified(np.concatenate([a, b]), np.concatenate([a, junk, b]))} == {(0, 60, 0, 60), (60, 110, 140, 190)}
+    # ten words put in on one side: 4 foreign shingles here, 14 there
+    assert [v[4] for v in compact_windows.verified(np.concatenate([a, far(4, 9000), far(40, 60)]), np.concatenate([a, far(14, 9100), far(40, 60)]))] == [100 / 118]
+    # a good stretch between scattered shared shingles
+    x, y = far(83, 0), far(83, 0)
+    for side, base in ((x, 10000), (y, 20000)):
+        for s, e in ((4, 8), (34, 39), (64, 68)):
+            side[s:e] += base
+    assert any(v[0] <= 8 and v[1] >= 64 and v[4] >= 0.8 for v in compact_windows.verified(x, y))
+
+
 def test_rates_meet_targets(spark):
     rng = random.Random(2)
     langs = ["aa" if i % 4 else "bb" for i in range(200)]
