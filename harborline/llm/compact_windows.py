@@ -10,7 +10,7 @@ functions agree the passages are candidates. They are verified on the shingles t
 stretches with enough shared for each foreign shingle must have ``WIDTH`` shingles and a Jaccard similarity of 0.8 to their counterpart.
 
 Defined results: texts of fewer than 50 words, null and empty texts have no passages; a passage that repeats within its
-document is found where the two places do not overlap; rows with a null id take no part; repeated rows (equal id and
+document is found at each place that has no word in common with the one it is held against; rows with a null id take no part; repeated rows (equal id and
 text) are one document; an empty table gives no rows; other columns are ignored.
 
 Linking with a group's representatives only is the method's one loss: a passage that is similar to others of its group but
@@ -33,6 +33,8 @@ from harborline.session import written_once
 SIZE, WIDTH, HASHES, ENOUGH, SIMILARITY = 5, 46, 5, 1, 0.8
 #: Shared shingles asked for a foreign one, from what is needed to what is enough.
 CHARGES = (4, 6, 8)
+#: How far two places of one text must be from each other for passages of ``WIDTH`` shingles not to share a word.
+APART = WIDTH + SIZE - 1
 
 
 def _spread(x: np.ndarray, width: int, pick) -> np.ndarray:
@@ -45,10 +47,10 @@ def _spread(x: np.ndarray, width: int, pick) -> np.ndarray:
     return out
 
 
-def compact_windows(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def compact_windows(values: np.ndarray, width: int, every: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(l, c, r)`` of the windows of at least ``width`` places; value 0 separates texts and is in no window.
 
-    Equal values share a window, which is given once, with the first of their places.
+    Equal values share a window, which is given once, with the first of their places, or with ``every`` one of them.
     """
     least = _spread(values, width, np.minimum)
     least[max(len(values) - width + 1, 0) :] = 0
@@ -72,13 +74,42 @@ def compact_windows(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndar
                 if step < jump:
                     break
         bounds.append(at)
+    if every:
+        return bounds[0], heads, bounds[1]
     _, first = np.unique(np.stack([bounds[0], own.view(np.int64)], axis=1), axis=0, return_index=True) if len(heads) else (None, np.zeros(0, np.int64))
     first = np.sort(first)
     return bounds[0][first], heads[first], bounds[1][first]
 
 
+def _territories(values: np.ndarray, left: np.ndarray, centre: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, ...]:
+    """``(l, c, r, slack)``: the places of equal minima that share a window, with what each has to answer for.
+
+    A place that is within ``APART`` of the last one kept is answered for by that, with ``slack``. A window ends ``WIDTH`` beyond the
+    next kept places, so that the windows of a text that repeats itself throughout grow with its length and not with its square.
+    """
+    order = np.lexsort((centre, values[centre], left))
+    left, centre, right = left[order], centre[order], right[order]
+    head = np.ones(len(left), bool)
+    head[1:] = (left[1:] != left[:-1]) | (values[centre[1:]] != values[centre[:-1]])
+    keep, slack = head.copy(), np.zeros(len(left), np.int8)
+    last = 0
+    for i in np.flatnonzero(~head):
+        last = i - 1 if head[i - 1] else last
+        keep[i] = centre[i] - centre[last] >= APART
+        if keep[i]:
+            last = i
+        else:
+            slack[last] = APART
+    left, centre, right, head, slack = left[keep], centre[keep], right[keep], head[keep], slack[keep]
+    more = np.flatnonzero(~head)
+    own = left.copy()
+    own[more] = np.maximum(left[more], centre[more - 1] - WIDTH)
+    right[more - 1] = np.minimum(right[more - 1], centre[more] + APART + WIDTH)
+    return own, centre, right, slack
+
+
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows ``(key, hash, doc_id, l, c, r)``."""
+    """Rows ``(key, hash, doc_id, l, c, r, slack)``."""
     for batch in batches:
         for part in W.steps(batch):
             shingles, at = W.shingles(*W.words(part.column("text")), SIZE)
@@ -93,11 +124,11 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for j, seed in enumerate(W.randoms(HASHES, 51)):
                 values = np.zeros(starts[-1] + sizes[-1] + 1, np.uint64)
                 values[inner] = W.mix(tokens ^ seed) | np.uint64(1)
-                left, centre, right = compact_windows(values, WIDTH)
+                left, centre, right, slack = _territories(values, *compact_windows(values, WIDTH, every=True))
                 rows = np.searchsorted(starts, centre, "right") - 1
                 keys = W.signed(W.mix(values[centre] + np.uint64(j)))
                 places = [pa.array((p - starts[rows]).astype(np.int32)) for p in (left, centre, right)]
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(keys), j, np.int8)), ids.take(pa.array(rows)), *places], ["key", "hash", "doc_id", "l", "c", "r"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(keys), j, np.int8)), ids.take(pa.array(rows)), *places, pa.array(slack)], ["key", "hash", "doc_id", "l", "c", "r", "slack"])
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,13 +210,31 @@ def verified(x: np.ndarray, y: np.ndarray) -> Iterator[tuple[int, int, int, int,
             left += [(a, int(own[widest]) + 1), (int(own[widest + 1]), b)]
 
 
+def _parted(x: np.ndarray, y: np.ndarray, shift: int) -> Iterator[tuple[int, int, int, int, float]]:
+    """As ``verified`` of two stretches of one text, ``x`` being ``shift`` places after ``y``, but for passages that have no word in common."""
+    beyond = len(y) + SIZE - 1 - shift  # shingles of x that share a word with y
+    if beyond <= 0:
+        yield from verified(x, y)
+        return
+    n = min(len(x), len(y))
+    same = np.concatenate([[False], x[:n] == y[:n], [False]])
+    starts, ends = np.flatnonzero(same[1:] & ~same[:-1]), np.flatnonzero(~same[1:] & same[:-1])
+    long = ends - starts >= SIZE
+    # a text is parted, in places of x, where a run of repeated shingles starts and where the run it repeats has ended
+    for at in np.unique(np.concatenate([starts[long], ends[long] - shift + SIZE - 1])).tolist():
+        first, stop = max(at, 0), at + shift - SIZE + 1
+        if len(x) - first >= WIDTH <= stop:
+            for a, b, c, d, similarity in verified(x[first:], y[:stop]):
+                yield a + first, b + first, c, d, similarity
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         lists = [(c.offsets.to_numpy(), c.values.to_numpy(zero_copy_only=False)) for c in (batch.column("tokens_x"), batch.column("tokens_y"))]
         rows = []
         for i, (doc, s, rep, t) in enumerate(zip(*[batch.column(c).to_pylist() for c in ("doc_id", "s", "rep_id", "rep_s")], strict=True)):
             x, y = (values[at[i] : at[i + 1]] for at, values in lists)
-            rows += [(doc, s + a, s + b + SIZE - 1, rep, t + c, t + d + SIZE - 1, similarity) for a, b, c, d, similarity in verified(x, y)]
+            rows += [(doc, s + a, s + b + SIZE - 1, rep, t + c, t + d + SIZE - 1, similarity) for a, b, c, d, similarity in (_parted(x, y, s - t) if doc == rep else verified(x, y))]
         names = ["doc_id", "start_word", "end_word", "source_id", "source_start", "source_end", "similarity"]
         kinds = [pa.int64()] * 6 + [pa.float64()]
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names)
@@ -195,16 +244,20 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """``(doc_id, start_word, end_word, source_id, source_start, source_end, similarity)``: passages, in words from 0 with
     the end exclusive, that nearly repeat a passage of ``source_id``, a document with a smaller id or the same one."""
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).where("doc_id is not null and text is not null")
-    windows = source.mapInArrow(_windows, "key long, hash byte, doc_id long, l int, c int, r int")
+    windows = source.mapInArrow(_windows, "key long, hash byte, doc_id long, l int, c int, r int, slack byte")
     met = windows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     live = written_once(windows.join(met.select("key"), "key"), "windows")
-    own = F.struct("doc_id", "l", "c", "r")
+    own = F.struct("doc_id", "c", "l", "r", "slack")
     ends = live.groupBy("key").agg(F.min(own).alias("low"), F.max(own).alias("high")).where("low <> high")
     both = live.join(written_once(ends, "representatives"), "key").withColumn("rep", F.explode(F.array("low", "high")))
-    both = both.select("hash", "doc_id", *"lcr", F.col("rep.doc_id").alias("rep_id"), *[F.col(f"rep.{p}").alias(f"rep_{p}") for p in "lcr"])
-    apart = (F.col("doc_id") != F.col("rep_id")) | (F.col("l") > F.col("rep_r")) | (F.col("rep_l") > F.col("r"))
-    before, after = F.least(F.expr("c - l"), F.expr("rep_c - rep_l")), F.least(F.expr("r - c"), F.expr("rep_r - rep_c"))
-    meets = both.where(apart).select("doc_id", "rep_id", "hash", F.expr("c - rep_c").alias("shift"), (F.col("c") - before).alias("s"), (F.col("c") + after).alias("e"))
+    slack = F.greatest("slack", "rep.slack").cast("int").alias("slack")
+    both = both.select("hash", "doc_id", *"lcr", slack, F.col("rep.doc_id").alias("rep_id"), *[F.col(f"rep.{p}").alias(f"rep_{p}") for p in "lcr"])
+    apart = (F.col("doc_id") != F.col("rep_id")) | (F.abs(F.expr("c - rep_c")) >= APART)
+    # with slack, the place that is met may be another one than the place aligned to
+    before = F.least("c", "rep_c", F.least(F.expr("c - l"), F.expr("rep_c - rep_l")) + F.col("slack"))
+    after = F.least(F.expr("r - c"), F.expr("rep_r - rep_c")) + F.col("slack")
+    meets = both.where(apart)
+    meets = meets.select("doc_id", "rep_id", "hash", F.expr("c - rep_c").alias("shift"), (F.col("c") - before).alias("s"), (F.col("c") + after).alias("e"))
     meets = meets.where(F.col("e") - F.col("s") + 1 >= WIDTH)
     # each pair of documents once, as (larger id, smaller id)
     turned = meets.select(F.col("rep_id").alias("doc_id"), F.col("doc_id").alias("rep_id"), "hash", (-F.col("shift")).alias("shift"), F.expr("s - shift").alias("s"), F.expr("e - shift").alias("e"))

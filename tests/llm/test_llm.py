@@ -327,6 +327,28 @@ def test_edited_passages(spark):
     assert (found[3, 2]["start_word"], found[3, 2]["end_word"]) == (20, 109) and found[1, 0]["similarity"] == pytest.approx(51 / 61)
 
 
+def test_passages_that_repeat_in_their_document(spark):
+    rng = random.Random(14)
+    texts = []
+    for gap in (0, 3):
+        passage = " ".join(f"p{gap}x{rng.randrange(10**6)}" for _ in range(60))
+        between = " ".join(f"g{i}" for i in range(gap))
+        texts += [f"{prose(rng, 70)} start {passage} {between} {passage} stop {prose(rng, 70)}"]
+    loop = " ".join(f"l{i}" for i in range(30))
+    texts += [" ".join([loop] * 40), f"{prose(rng, 100)} {texts[0].split(' start ')[1].split(' stop ')[0]} {prose(rng, 100)}"]
+    found = [r for r in compact_windows.repeated_passages(frame(spark, texts)).collect()]
+    assert all(r["end_word"] - r["start_word"] >= 50 and r["similarity"] >= 0.8 for r in found)
+    own = [r for r in found if r["doc_id"] == r["source_id"]]
+    assert all(r["source_end"] <= r["start_word"] for r in own)
+    spans = lambda rows: {(r["source_start"], r["source_end"], r["start_word"], r["end_word"]) for r in rows}
+    assert (71, 131, 131, 191) in spans(r for r in own if r["doc_id"] == 0)
+    assert (71, 131, 134, 194) in spans(r for r in own if r["doc_id"] == 1)
+    looped = {w for r in own if r["doc_id"] == 2 for a, b in ((r["start_word"], r["end_word"]), (r["source_start"], r["source_end"])) for w in range(a, b)}
+    assert looped == set(range(1200))
+    copied = {w for r in found if r["doc_id"] == 3 for w in range(r["start_word"], r["end_word"])}
+    assert copied == set(range(100, 220))
+
+
 def test_similar_stretches_of_awkward_passages():
     far = lambda n, at: np.arange(n) + at
     a, b, junk = far(60, 0), far(50, 1000), far(80, 5000)
