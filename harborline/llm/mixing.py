@@ -3,7 +3,7 @@
 A multinomial classifier, trained on a bounded sample of a labelled table, gives each document a
 posterior over domains. Document rates ``r`` (how often a document is to be seen) are fitted by
 projected-gradient least squares: the expected tokens of domain ``k``, ``sum(r * tokens *
-posterior[k])``, shall equal the target weight times the token budget, with ``0 <= r <= most``. The gradient needs the
+posterior[k])``, shall equal the target weight times the token budget, with ``r >= 0`` (and ``r <= most`` where a caller sets it). The gradient needs the
 domain totals only, so a step is one pass over the documents that returns one small row per
 task; the rates themselves follow from a document's posterior and the steps' few numbers and are never moved.
 Steps start from rate 1 and are taken in the metric of the tokens, so the rates stay as near to 1 as the targets allow.
@@ -11,11 +11,12 @@ Steps start from rate 1 and are taken in the metric of the tokens, so the rates
 Defined results: null and blank texts have no tokens and the rate their posterior implies; classes
 without labelled rows are left out and the targets of the others scaled to a total of 1; without any labelled
 row, or in an empty table, every rate is 1; unreachable targets give the nearest totals in
-the least-squares sense; repeated rows have equal rates; labels with unknown ids are ignored.
+the least-squares sense, and what is left is logged by domain; repeated rows have equal rates; labels with unknown ids are ignored.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,8 +29,11 @@ from harborline.llm import words as W
 from harborline.llm.tables import sampled
 from harborline.session import written_once
 
-BITS, FIT_ROWS, MOST_RATE = 13, 3000, 4.0
-STEPS, ENOUGH = 60, 1e-4
+BITS, FIT_ROWS = 13, 3000
+#: No rate is too high unless the caller says so.
+MOST_RATE = float("inf")
+#: Steps end where each domain is within ``ENOUGH`` of all tokens, or where the squared residual falls by less than ``STILL`` of itself.
+ENOUGH, STILL = 1e-4, 1e-4
 #: Target token weights by language; documents labelled as of low quality are a domain of their own.
 TARGETS = {"de": 0.20, "en": 0.45, "es": 0.15, "fr": 0.18, "low": 0.02}
 
@@ -108,23 +112,25 @@ def _totals(members: DataFrame, steps: list[np.ndarray], most: float, k: int) ->
     return sums[:k], sums[k:].reshape(k, k)
 
 
-def fit_rates(members: DataFrame, goal: np.ndarray, most: float = MOST_RATE, limit: int = STEPS) -> list[np.ndarray]:
-    """The gradient steps whose rates bring the domain totals to ``goal`` (shares of all tokens)."""
+def fit_rates(members: DataFrame, goal: np.ndarray, most: float = MOST_RATE) -> tuple[list[np.ndarray], np.ndarray]:
+    """The gradient steps whose rates bring the domain totals to ``goal`` (shares of all tokens), and what each total is then above it."""
     steps: list[np.ndarray] = []
     totals, moments = _totals(members, steps, most, len(goal))
     tokens = totals.sum()
     if tokens == 0:
-        return steps
+        return steps, np.zeros(len(goal))
     # scaled by domain, so that a small one converges as fast as a large one
     scale = 1 / np.sqrt(np.maximum(totals, 1e-9 * tokens))
     reach = np.linalg.eigvalsh(scale[:, None] * moments * scale[None, :])[-1]
-    for _ in range(limit):
+    last = np.inf
+    while True:
         short = totals - goal * tokens
-        if np.abs(short).max() <= ENOUGH * tokens:
-            break
+        residual = float(np.square(scale * short).sum())
+        if np.abs(short).max() <= ENOUGH * tokens or residual > last * (1 - STILL):
+            return steps, short / tokens
+        last = residual
         steps.append(scale**2 * short / reach)
         totals, _ = _totals(members, steps, most, len(goal))
-    return steps
 
 
 def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, most: float = MOST_RATE) -> DataFrame:
@@ -136,8 +142,10 @@ def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None =
         return docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.greatest(F.coalesce(words, F.lit(0)), F.lit(0)).cast("long").alias("tokens"), F.lit(None).cast("string").alias("domain"), F.lit(1.0).alias("rate"), F.array().cast("array<double>").alias("posterior"))
     members = written_once(memberships(docs, model), "memberships")
     goal = np.array([targets.get(name, 0.0) for name in model.names])
-    steps = fit_rates(members, goal / goal.sum() if goal.sum() else np.full(len(goal), 1 / len(goal)), most)
+    steps, over = fit_rates(members, goal / goal.sum() if goal.sum() else np.full(len(goal), 1 / len(goal)), most)
     names = model.names
+    level = logging.WARNING if np.abs(over).max() > ENOUGH else logging.INFO
+    logging.getLogger(__name__).log(level, "shares above target after %d steps: %s", len(steps), {n: round(float(x), 6) for n, x in zip(names, over, strict=True)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:

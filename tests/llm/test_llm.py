@@ -376,3 +376,19 @@ def test_rates_meet_targets(spark):
     kept = mixing.with_rates(docs.withColumn("rate", F.lit("x")), labels, {"aa": 0.4, "bb": 0.6})
     assert kept.count() == 201 and {"rate", "mix_rate"} <= set(kept.columns)
     assert {r["rate"] for r in mixing.mixed(docs, labels.limit(0)).collect()} == {1.0}
+
+
+def test_rates_of_a_rare_domain_meet_targets(spark, caplog):
+    rng = random.Random(3)
+    langs = ["bb" if i % 50 == 0 else "aa" for i in range(400)]
+    docs = frame(spark, [prose(rng, 30, SPEECH[k]) for k in langs], langs=langs)
+    labels = spark.createDataFrame([(i, 1) for i in range(400)], "doc_id long, quality int")
+
+    def shares(**bound):
+        out = mixing.mixed(docs, labels, {"aa": 0.7, "bb": 0.3}, **bound).collect()
+        return np.sum([np.array(r["posterior"]) * r["rate"] * r["tokens"] for r in out], axis=0) / sum(r["tokens"] for r in out)
+
+    assert shares() == pytest.approx([0.7, 0.3], abs=2e-4)
+    assert not [r for r in caplog.records if r.levelname == "WARNING" and "target" in r.message]
+    assert shares(most=4.0)[1] < 0.1
+    assert [r for r in caplog.records if r.levelname == "WARNING" and "'bb': -0.2" in r.message]
