@@ -13,8 +13,9 @@ Defined results: texts of fewer than 50 words, null and empty texts have no pass
 document is found at each place that has no word in common with the one it is held against; rows with a null id take no part; repeated rows (equal id and
 text) are one document; an empty table gives no rows; other columns are ignored.
 
-Linking with a group's representatives only is the method's one loss: a passage that is similar to others of its group but
-to neither representative is reported when it meets one of them in the group of another hash function, and missed otherwise.
+Windows that no verified passage explains after that may be similar to others of their group but to neither representative. They
+are held against all windows, explained or not, with which they share the minima of two functions, so that a frequent phrase alone
+brings nothing together. Two passages with a similarity of 0.8 share two minima of five with a chance of 0.993.
 """
 
 from __future__ import annotations
@@ -240,18 +241,65 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names)
 
 
-def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, start_word, end_word, source_id, source_start, source_end, similarity)``: passages, in words from 0 with
-    the end exclusive, that nearly repeat a passage of ``source_id``, a document with a smaller id or the same one."""
-    source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).where("doc_id is not null and text is not null")
-    windows = source.mapInArrow(_windows, "key long, hash byte, doc_id long, l int, c int, r int, slack byte")
-    met = windows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    live = written_once(windows.join(met.select("key"), "key"), "windows")
-    own = F.struct("doc_id", "c", "l", "r", "slack")
-    ends = live.groupBy("key").agg(F.min(own).alias("low"), F.max(own).alias("high")).where("low <> high")
-    both = live.join(written_once(ends, "representatives"), "key").withColumn("rep", F.explode(F.array("low", "high")))
-    slack = F.greatest("slack", "rep.slack").cast("int").alias("slack")
-    both = both.select("hash", "doc_id", *"lcr", slack, F.col("rep.doc_id").alias("rep_id"), *[F.col(f"rep.{p}").alias(f"rep_{p}") for p in "lcr"])
+def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``(both, open, hash, doc_id, l, c, r, slack)``: the part that two windows of different functions share and that holds
+    both minima, under both keys; only where the group of one of them still has an open window."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            held = batch.column("windows").slice(i, 1).flatten()
+            key, kind, l, c, r, slack, near, todo = (held.field(f).to_numpy(zero_copy_only=False) for f in ("key", "hash", "l", "c", "r", "slack", "near", "open"))
+            order = np.argsort(c, kind="stable")
+            places = c[order]
+            low, high = np.searchsorted(places, l, "left"), np.searchsorted(places, r, "right")
+            one = np.repeat(np.arange(len(c)), high - low)
+            other = order[np.arange(len(one)) - np.repeat(np.cumsum(high - low) - (high - low), high - low) + low[one]]
+            fits = (kind[one] < kind[other]) & (near[one] | near[other]) & (l[other] <= c[one]) & (c[one] <= r[other])
+            one, other = one[fits], other[fits]
+            wide = np.minimum(r[one], r[other]) - np.maximum(l[one], l[other]) + 1 >= WIDTH
+            one, other = one[wide], other[wide]
+            both = W.signed(W.mix(key[one].view(np.uint64) + W.mix(key[other].view(np.uint64))))
+            doc = pa.array(np.full(len(one), batch.column("doc_id")[i].as_py(), np.int64))
+            places = [pa.array(v) for v in (np.maximum(l[one], l[other]), c[one], np.minimum(r[one], r[other]), np.maximum(slack[one], slack[other]))]
+            yield pa.RecordBatch.from_arrays([pa.array(both), pa.array(todo[one] | todo[other]), pa.array(kind[one]), doc, *places], ["both", "open", "hash", "doc_id", "l", "c", "r", "slack"])
+
+
+def _marked(live: DataFrame, links: DataFrame) -> DataFrame:
+    """``live`` with ``open``, for windows of groups of more than three whose minimum no link covers, and ``near``, for all of their groups.
+
+    In a group of up to three, the representatives are held against every other window.
+    """
+    sides = links.select("doc_id", F.col("start_word").alias("low"), F.col("end_word").alias("high"))
+    sides = sides.union(links.select("source_id", "source_start", "source_end")).distinct()
+    # spans of a document that touch are one
+    along = Window.partitionBy("doc_id").orderBy("low", "high")
+    reach = F.max("high").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    island = F.sum(F.when(F.col("low") <= F.col("reach"), 0).otherwise(1)).over(along.rowsBetween(Window.unboundedPreceding, 0))
+    spans = sides.withColumn("reach", reach).withColumn("island", island).groupBy("doc_id", "island").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    spans = spans.groupBy("doc_id").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+    covers = F.exists("spans", lambda p: (p["low"] <= F.col("c")) & (F.col("c") + SIZE <= p["high"]))
+    told = written_once(live.join(spans, "doc_id", "left").select(*live.columns, (~F.coalesce(covers, F.lit(False))).alias("alone")), "explained")
+    groups = told.groupBy("key").agg(F.count("*").alias("n"), F.max("alone").alias("some")).where("n > 3 and some").select("key", F.lit(True).alias("near"))
+    marked = told.join(groups, "key", "left").withColumn("near", F.coalesce("near", F.lit(False)))
+    return marked.select(*live.columns, "near", (F.col("near") & F.col("alone")).alias("open"))
+
+
+def _still_apart(live: DataFrame, links: DataFrame) -> DataFrame:
+    """All pairs of windows that share the minima of two functions, where no link explains one of them yet."""
+    names = ["key", "hash", "l", "c", "r", "slack", "near", "open"]
+    own = _marked(live, links).groupBy("doc_id").agg(F.collect_list(F.struct(*names)).alias("windows"), F.max("near").alias("some")).where("some")
+    rows = own.select("doc_id", "windows").mapInArrow(_signatures, "both long, open boolean, hash byte, doc_id long, l int, c int, r int, slack byte")
+    rows = written_once(rows, "double-keys")
+    groups = rows.groupBy("both").agg(F.count("*").alias("n"), F.max("open").alias("some")).where("n > 1 and some").select("both")
+    rows = written_once(rows.join(groups, "both"), "apart")
+    x, y = rows.where("open").alias("x"), rows.alias("y")
+    once = ~F.col("y.open") | (F.struct("x.doc_id", "x.c", "x.l", "x.r") < F.struct("y.doc_id", "y.c", "y.l", "y.r"))
+    pairs = x.join(y, (F.col("x.both") == F.col("y.both")) & once)
+    slack = F.greatest("x.slack", "y.slack").cast("int").alias("slack")
+    return pairs.select("x.hash", "x.doc_id", *[f"x.{p}" for p in "lcr"], slack, F.col("y.doc_id").alias("rep_id"), *[F.col(f"y.{p}").alias(f"rep_{p}") for p in "lcr"])
+
+
+def _links(source: DataFrame, both: DataFrame) -> DataFrame:
+    """The verified passages among pairs of windows."""
     apart = (F.col("doc_id") != F.col("rep_id")) | (F.abs(F.expr("c - rep_c")) >= APART)
     # with slack, the place that is met may be another one than the place aligned to
     before = F.least("c", "rep_c", F.least(F.expr("c - l"), F.expr("rep_c - rep_l")) + F.col("slack"))
@@ -285,3 +333,19 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     pairs = mine.join(other, ["rep_id", "rep_s", "rep_e"])
     names = "doc_id long, start_word long, end_word long, source_id long, source_start long, source_end long, similarity double"
     return pairs.select("doc_id", "s", "rep_id", "rep_s", "tokens_x", "tokens_y").mapInArrow(_verify, names).distinct()
+
+
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, start_word, end_word, source_id, source_start, source_end, similarity)``: passages, in words from 0 with
+    the end exclusive, that nearly repeat a passage of ``source_id``, a document with a smaller id or the same one."""
+    source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).where("doc_id is not null and text is not null")
+    windows = source.mapInArrow(_windows, "key long, hash byte, doc_id long, l int, c int, r int, slack byte")
+    met = windows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    live = written_once(windows.join(met.select("key"), "key"), "windows")
+    own = F.struct("doc_id", "c", "l", "r", "slack")
+    ends = live.groupBy("key").agg(F.min(own).alias("low"), F.max(own).alias("high")).where("low <> high")
+    both = live.join(written_once(ends, "representatives"), "key").withColumn("rep", F.explode(F.array("low", "high")))
+    slack = F.greatest("slack", "rep.slack").cast("int").alias("slack")
+    both = both.select("hash", "doc_id", *"lcr", slack, F.col("rep.doc_id").alias("rep_id"), *[F.col(f"rep.{p}").alias(f"rep_{p}") for p in "lcr"])
+    links = written_once(_links(source, both), "links")
+    return links.union(_links(source, _still_apart(live, links))).distinct()

@@ -8,6 +8,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -23,6 +24,7 @@ from harborline.llm import (
     segment_lid,
     simhash_windows,
 )
+from harborline.llm import words as W
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 ODD = [None, "", "   \n ", "one", "a b", "a b", "é ü ñ", "x" * 3000, "7 " * 4000]
@@ -349,6 +351,30 @@ def test_passages_that_repeat_in_their_document(spark):
     assert copied == set(range(100, 220))
 
 
+def test_passages_unlike_the_representatives_of_their_group(spark):
+    fresh = iter(range(10**6))
+    filler = lambda n: " ".join(f"f{next(fresh)}" for _ in range(n))
+    passage = [f"p{i}" for i in range(50)]
+    tokens, _ = W.shingles(*W.words(pa.array([" ".join(passage)])), compact_windows.SIZE)
+    least = [int(np.argmin(W.mix(tokens ^ seed) | np.uint64(1))) for seed in W.randoms(compact_windows.HASHES, 51)]
+    # documents before and after that hold the least shingles of the passage, each in text of its own
+    others = lambda: [f"{filler(60)} {' '.join(passage[at : at + 5])} {filler(60)}" for at in least for _ in range(16)]
+    low, high = others(), others()
+    texts = [*low, *[f"{filler(30)} {' '.join(passage)} {filler(30)}" for _ in range(2)], *high]
+    found = compact_windows.repeated_passages(frame(spark, texts)).collect()
+    assert {(r["doc_id"], r["source_id"], r["start_word"], r["end_word"]) for r in found} == {(len(low) + 1, len(low), 30, 80)}
+
+
+def test_pairs_beyond_the_representatives(spark):
+    names = "key long, hash byte, doc_id long, l int, c int, r int, slack byte"
+    live = spark.createDataFrame([(1, 0, d, 0, 50, 100, 0) for d in range(6)] + [(2 + d // 2, 1, d, 0, 60, 100, 0) for d in (2, 3)], names)
+    links = spark.createDataFrame([], "doc_id long, start_word long, end_word long, source_id long, source_start long, source_end long, similarity double")
+    pairs = compact_windows._still_apart(live, links).select("doc_id", "rep_id").collect()
+    assert {tuple(r) for r in pairs} == {(2, 3)}
+    links = spark.createDataFrame([(3, 40, 100, 9, 0, 60, 1.0)], links.schema)
+    assert {tuple(r) for r in compact_windows._still_apart(live, links).select("doc_id", "rep_id").collect()} == {(2, 3)}
+
+
 def test_similar_stretches_of_awkward_passages():
     far = lambda n, at: np.arange(n) + at
     a, b, junk = far(60, 0), far(50, 1000), far(80, 5000)
