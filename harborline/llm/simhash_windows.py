@@ -3,7 +3,7 @@
 Each benchmark item has a 256-bit SimHash of its five-word shingles, weighted by their counts.
 Every window of a document that is as long as the item gets one too. The fingerprints are cut into
 16 blocks of 16 bits: two fingerprints within ``RADIUS`` bits differ by at most ``RADIUS // 16`` bits in
-one block at least, so looking up all block values at that distance finds every pair within the radius
+one block at least. The search is a full scan: each window is held against all items of its length, with no lookup by block
 (``RADIUS`` is 4 standard deviations above the distance expected at the similarity sought).
 Pairs within the radius are verified by the exact weighted Jaccard similarity of their shingles,
 ``sum(min(counts)) / sum(max(counts))``. Windows that hold too few shingles of the benchmark
@@ -48,7 +48,7 @@ def _packed(ones: np.ndarray, m: np.ndarray) -> np.ndarray:
 
 
 class Items:
-    """The fingerprints of a block of benchmark items, and their index by blocks of bits."""
+    """The fingerprints of a block of benchmark items, cut into blocks of bits."""
 
     def __init__(self, ids: list[int], texts: list[str]):
         hashes, at = W.words(pa.array(texts, pa.string()))
@@ -75,7 +75,7 @@ class Items:
         return found
 
     def near(self, marks: np.ndarray, items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (window, item) within the radius, by way of the blocks."""
+        """Pairs (window, item) within the radius: a full scan of the items given."""
         apart = np.bitwise_count(marks[:, None, :] ^ self.marks[items][None, :, :])
         candidate = (apart <= RADIUS // (256 // BLOCK_BITS)).any(axis=2)
         w, i = np.nonzero(candidate)
