@@ -53,8 +53,8 @@ def _describe(pivots: dict[int, np.ndarray]):
             sizes = np.diff(at)
             lists: list[list[int]] = [[]] * len(sizes)
             for size in np.unique(sizes):
-                own = np.flatnonzero(sizes == size)
-                for some in np.array_split(own, len(own) // 2048 + 1):
+                own = np.flatnonzero(sizes == size) if int(size) in pivots else []
+                for some in np.array_split(own, len(own) // 2048 + 1) if len(own) else ():
                     units = _units(values[at[some][:, None] + np.arange(size)])
                     near = np.argsort(-(units @ pivots[int(size)].T), axis=1, kind="stable")[:, :NEAREST]
                     for row, names in zip(some, near.tolist(), strict=True):
@@ -94,7 +94,8 @@ def near_vectors(embeddings: DataFrame, least: float = LEAST, pivots: int = PIVO
     classes = rows.where("node is not null").groupBy("node").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies"), F.first("label").alias("label"), F.first("vector").alias("vector"))
     classes = written_once(classes, "vectors")
 
-    sizes = [r[0] for r in classes.select(F.size("vector")).distinct().limit(64).collect()]
+    # a vector whose length no other has links with nothing and needs no pivots
+    sizes = [r[0] for r in classes.groupBy(F.size("vector").alias("size")).agg(F.count("*").alias("n")).where("n > 1").select("size").collect()]
     points = {}
     for size in sizes:
         some = sampled(classes.where(F.size("vector") == size).select("node", "vector"), F.col("node"), pivots, nearest_seed).collect()
@@ -106,7 +107,7 @@ def near_vectors(embeddings: DataFrame, least: float = LEAST, pivots: int = PIVO
     spots = range(NEAREST)
     triples = [F.array(*[F.get("near", F.lit(i)) for i in (i, j, k)]) for i in spots for j in spots[i + 1 :] for k in spots[j + 1 :]]
     few = F.when(F.size("near") < SHARED, F.array(F.array(F.lit(-1)))).otherwise(F.filter(F.array(*triples), lambda t: F.get(t, F.lit(SHARED - 1)).isNotNull()))
-    entries = ordered.select("node", "label", "near", F.explode(few).alias("triple"))
+    entries = ordered.where(F.size("near") > 0).select("node", "label", "near", F.explode(few).alias("triple"))
     x, y = entries.alias("x"), entries.alias("y")
     first = F.slice(F.array_intersect("x.near", "y.near"), 1, SHARED)
     meets = (F.col("x.label") == F.col("y.label")) & (F.col("x.triple") == F.col("y.triple")) & (F.col("x.node") < F.col("y.node"))

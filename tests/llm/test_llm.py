@@ -418,3 +418,9 @@ def test_rates_of_a_rare_domain_meet_targets(spark, caplog):
     assert not [r for r in caplog.records if r.levelname == "WARNING" and "target" in r.message]
     assert shares(most=4.0)[1] < 0.1
     assert [r for r in caplog.records if r.levelname == "WARNING" and "'bb': -0.2" in r.message]
+
+
+def test_vectors_of_many_lengths(spark):
+    rows = [(n, [1.0] * n, 1) for n in range(1, 81)] + [(100, [1.0, 1.0, 1.01], 1)]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in pivot_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()}
+    assert got == {n: (0, n) for n in range(1, 81)} | {3: (1, 3), 100: (1, 3)}
