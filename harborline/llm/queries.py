@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.llm import compact_windows, licenses, line_windows, mixing, ngram_join, pii_weak, pivot_dedup, quality_fm, secrets_crf, segment_lid, simhash_windows
+from harborline.llm import compact_windows, licenses, line_windows, mixing, ngram_join, pii_weak, pivot_dedup, prefix_trie, quality_fm, secrets_crf, segment_lid, simhash_windows
 from harborline.llm.tables import table
 
 QUERIES, ORACLES = {}, {}
@@ -77,3 +77,11 @@ ORACLES["op10_line_windows"] = line_windows.ORACLE_SQL
 @_register
 def op11_license_expressions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(licenses.scan(table(spark, sf_dir, "documents")))
+
+
+@_register
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations")).drop("k1", "k2", "n_ends")
+
+
+ORACLES["op13_conversation_trie"] = prefix_trie.ORACLE_SQL
