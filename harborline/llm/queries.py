@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.llm import compact_windows, licenses, line_windows, mixing, ngram_join, pii_weak, pivot_dedup, prefix_trie, quality_fm, secrets_crf, segment_lid, simhash_windows
+from harborline.llm import compact_windows, licenses, line_windows, mixing, ngram_join, phrases, pii_weak, pivot_dedup, prefix_trie, quality_fm, secrets_crf, segment_lid, simhash_windows
 from harborline.llm.tables import table
 
 QUERIES, ORACLES = {}, {}
@@ -85,3 +85,11 @@ def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op13_conversation_trie"] = prefix_trie.ORACLE_SQL
+
+
+@_register
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_phrase_collocations"] = phrases.ORACLE_SQL
