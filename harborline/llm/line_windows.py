@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harborline.llm.tables import split_by_ids
+from harborline.llm.tables import fresh, split_by_ids
 from harborline.session import written_once
 
 LINES = 3
@@ -44,22 +44,25 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return starts.select("doc_id", "text_key", covered.alias("covered"))
 
 
-def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = LINES) -> DataFrame:
-    """All rows and columns of ``docs``, the text without repeated lines; ``_lines`` and ``_removed`` count its lines."""
+def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = LINES, counts: tuple[str, str] = ("_lines", "_removed")) -> DataFrame:
+    """All rows and columns of ``docs``, the text without repeated lines; ``counts`` names two more columns, its lines and how many went."""
+    if any(fresh(docs, c) != c for c in counts):
+        raise ValueError(f"the table has a column of the name {counts[0]} or {counts[1]}; name the counts otherwise")
     covered = written_once(repeated_lines(docs, id_col, text_col, size), "covered-lines")
     lines = F.split(F.col(f"`{text_col}`"), "\n")
     key = F.xxhash64(F.col(f"`{text_col}`"))
-    covered = covered.select(F.col("doc_id").alias("_covered_id"), F.col("text_key").alias("_covered_key"), F.col("covered").alias("_covered"))
-    same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("_covered_id")) & (key == F.col("_covered_key"))
+    gone_id, gone_key, gone, split = (fresh(docs, c) for c in ("_covered_id", "_covered_key", "_covered", "_split"))
+    covered = covered.select(F.col("doc_id").alias(gone_id), F.col("text_key").alias(gone_key), F.col("covered").alias(gone))
+    same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(gone_id)) & (key == F.col(gone_key))
     # most documents have nothing to remove: only the others are shuffled to meet their lines
-    some, clean = split_by_ids(docs, key, covered, "_covered_key")
-    joined = some.join(covered.hint("merge"), same, "left").withColumn("_split", lines)
-    left = F.array_except(F.sequence(F.lit(0), F.size("_split") - 1), F.col("_covered"))
-    kept = F.transform(left, lambda i: F.get(F.col("_split"), i))
-    text = F.when(F.col("_covered").isNull(), F.col(f"`{text_col}`")).otherwise(F.array_join(kept, "\n"))
+    some, clean = split_by_ids(docs, key, covered, gone_key)
+    joined = some.join(covered.hint("merge"), same, "left").withColumn(split, lines)
+    left = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col(gone))
+    kept = F.transform(left, lambda i: F.get(F.col(split), i))
+    text = F.when(F.col(gone).isNull(), F.col(f"`{text_col}`")).otherwise(F.array_join(kept, "\n"))
     out = [text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
-    cut = joined.select(*out, F.size("_split").alias("_lines"), F.when(F.col("_covered").isNull(), 0).otherwise(F.size("_covered")).alias("_removed"))
-    return cut.union(clean.select("*", F.size(lines).alias("_lines"), F.lit(0).alias("_removed")))
+    cut = joined.select(*out, F.size(split).alias(counts[0]), F.when(F.col(gone).isNull(), 0).otherwise(F.size(gone)).alias(counts[1]))
+    return cut.union(clean.select("*", F.size(lines).alias(counts[0]), F.lit(0).alias(counts[1])))
 
 
 ORACLE_SQL = """

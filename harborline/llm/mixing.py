@@ -8,6 +8,9 @@ domain totals only, so a step is one pass over the documents that returns one sm
 task; the rates themselves follow from a document's posterior and the steps' few numbers and are never moved.
 Steps start from rate 1 and are taken in the metric of the tokens, so the rates stay as near to 1 as the targets allow.
 
+A domain for which no target is given keeps the share of the tokens it has, and the targets given share the
+rest; it is logged by name. Targets of 0 have to be given as such: documents that belong to such a domain alone get rate 0.
+
 Defined results: null and blank texts have no tokens and the rate their posterior implies; classes
 without labelled rows are left out and the targets of the others scaled to a total of 1; without any labelled
 row, or in an empty table, every rate is 1; unreachable targets give the nearest totals in
@@ -26,7 +29,7 @@ from pyspark.sql import functions as F
 
 from harborline.llm import features
 from harborline.llm import words as W
-from harborline.llm.tables import sampled
+from harborline.llm.tables import fresh, sampled
 from harborline.session import written_once
 
 BITS, FIT_ROWS = 13, 3000
@@ -112,13 +115,25 @@ def _totals(members: DataFrame, steps: list[np.ndarray], most: float, k: int) ->
     return sums[:k], sums[k:].reshape(k, k)
 
 
+def shares(given: np.ndarray, present: np.ndarray) -> np.ndarray:
+    """Target shares with a total of 1: domains without one (nan) keep their present share, the others divide the rest as given."""
+    known = ~np.isnan(given)
+    goal = np.where(known, 0.0, present)
+    if given[known].sum() > 0:
+        goal[known] = given[known] / given[known].sum() * (1 - goal.sum())
+    elif not goal.sum():
+        goal[:] = 1 / len(goal)
+    return goal / goal.sum()
+
+
 def fit_rates(members: DataFrame, goal: np.ndarray, most: float = MOST_RATE) -> tuple[list[np.ndarray], np.ndarray]:
-    """The gradient steps whose rates bring the domain totals to ``goal`` (shares of all tokens), and what each total is then above it."""
+    """The gradient steps whose rates bring the domain totals to ``goal`` (see ``shares``), and what each total is then above it."""
     steps: list[np.ndarray] = []
     totals, moments = _totals(members, steps, most, len(goal))
     tokens = totals.sum()
     if tokens == 0:
         return steps, np.zeros(len(goal))
+    goal = shares(goal, totals / tokens)
     # scaled by domain, so that a small one converges as fast as a large one
     scale = 1 / np.sqrt(np.maximum(totals, 1e-9 * tokens))
     reach = np.linalg.eigvalsh(scale[:, None] * moments * scale[None, :])[-1]
@@ -141,9 +156,11 @@ def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None =
         words = F.size(F.expr("filter(split(text, '[ \\t-\\r]+'), x -> x <> '')")).cast("long")
         return docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.greatest(F.coalesce(words, F.lit(0)), F.lit(0)).cast("long").alias("tokens"), F.lit(None).cast("string").alias("domain"), F.lit(1.0).alias("rate"), F.array().cast("array<double>").alias("posterior"))
     members = written_once(memberships(docs, model), "memberships")
-    goal = np.array([targets.get(name, 0.0) for name in model.names])
-    steps, over = fit_rates(members, goal / goal.sum() if goal.sum() else np.full(len(goal), 1 / len(goal)), most)
     names = model.names
+    untold = [name for name in names if name not in targets]
+    if untold:
+        logging.getLogger(__name__).warning("no target for %s: they keep their share", untold)
+    steps, over = fit_rates(members, np.array([targets.get(name, np.nan) for name in names]), most)
     level = logging.WARNING if np.abs(over).max() > ENOUGH else logging.INFO
     logging.getLogger(__name__).log(level, "shares above target after %d steps: %s", len(steps), {n: round(float(x), 6) for n, x in zip(names, over, strict=True)})
 
@@ -159,8 +176,11 @@ def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None =
 
 
 def with_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, most: float = MOST_RATE) -> DataFrame:
-    """The documents with a rate above 0, with ``mix_domain`` and ``mix_rate`` beside their own columns."""
+    """The documents with a rate above 0, with ``mix_domain`` and ``mix_rate`` beside their own columns, in place of such columns of their own."""
+    added = ("mix_domain", "mix_rate")
     found = mixed(docs, labels, targets, most).groupBy("doc_id", "text_key").agg(F.first("domain").alias("mix_domain"), F.first("rate").alias("mix_rate"))
-    own = docs.select("*", F.xxhash64("text").alias("_own_key")).alias("own")
-    joined = own.join(found.alias("found"), F.expr("own.doc_id <=> found.doc_id and own._own_key = found.text_key"))
-    return joined.where("mix_rate > 0").select(*[F.col(f"own.`{c}`") for c in docs.columns], "mix_domain", "mix_rate")
+    key = fresh(docs, "_own_key")
+    own = docs.select("*", F.xxhash64("text").alias(key)).alias("own")
+    joined = own.join(found.alias("found"), F.expr(f"own.doc_id <=> found.doc_id and own.`{key}` = found.text_key"))
+    kept = [F.col(f"own.`{c}`") for c in docs.columns if c not in added]
+    return joined.where("found.mix_rate > 0").select(*kept, *[F.col(f"found.{c}") for c in added])

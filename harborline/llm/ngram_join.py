@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harborline.llm import words as W
-from harborline.llm.tables import components, only_ids
+from harborline.llm.tables import components, fresh, only_ids
 from harborline.session import written_once
 
 #: Bits of the table of shingle counts (2 ** 17 counts, 1 MB): fixed, whatever the corpus.
@@ -205,6 +205,11 @@ def _apart(live: DataFrame, merged: DataFrame, percent: int) -> DataFrame:
 
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4, percent: int = 85) -> DataFrame:
     """Per row: ``doc_id``, ``n_shingles`` (set size), ``component_id`` (smallest id reachable by links)."""
+    return _found(docs, id_col, text_col, size, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def _found(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
+    """The rows of ``ngram_components`` with their ``text_key``, and ``kept``: id and text of the first document of the component."""
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     source = source.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     described = source.mapInArrow(_describe(size), "doc_id long, text_key long, n long, sig long, bucket int")
@@ -228,12 +233,13 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     more = _verified(_apart(live, components(links), percent), classes, texts, size, percent)
     roots = components(links.union(more))
 
-    ids = classes.select("sig", F.when(F.col("id_key.known"), F.col("id_key.id")).alias("id"))
-    grouped = ids.join(roots.withColumnRenamed("node", "sig"), "sig", "left").select("sig", "id", F.coalesce("root", "sig").alias("root"))
-    smallest = grouped.groupBy("root").agg(F.min("id").alias("component_id"))
-    named = written_once(grouped.join(smallest, "root").select("sig", "component_id"), "components")
+    ids = classes.select("sig", F.struct("id_key", "text_key").alias("first"))
+    grouped = ids.join(roots.withColumnRenamed("node", "sig"), "sig", "left").select("sig", "first", F.coalesce("root", "sig").alias("root"))
+    smallest = grouped.groupBy("root").agg(F.min("first").alias("kept"))
+    named = written_once(grouped.join(smallest, "root").select("sig", "kept"), "components")
     out = rows.join(named, "sig", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    smallest_id = F.when(F.col("kept.id_key.known"), F.col("kept.id_key.id"))
+    return out.select("doc_id", "text_key", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, smallest_id).otherwise(F.col("doc_id")).alias("component_id"), "kept")
 
 
 def _id_key(doc_id: Column) -> Column:
@@ -244,8 +250,14 @@ def _id_key(doc_id: Column) -> Column:
 def one_of_each_group(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """Documents without their near copies: of each component the one with the smallest id stays.
 
-    Rows that repeat the kept id stay too; documents without words or without an id stay. All columns are returned.
+    A document is an id with its text: of two texts under one id, only the one that is a copy goes. Of several texts
+    under the smallest id, the one with the smallest hash stays. Rows that repeat the kept document stay too; documents without words or
+    without an id stay. All columns are returned.
     """
-    found = ngram_components(docs, size=size, percent=percent)
-    gone = written_once(found.where("n_shingles > 0 and doc_id <> component_id").select("doc_id").distinct(), "near-copies")
-    return docs.join(gone.select(F.col("doc_id").alias("_gone_id")), docs["doc_id"] == F.col("_gone_id"), "left_anti")
+    found = _found(docs, "doc_id", "text", size, percent)
+    other = F.struct(_id_key(F.col("doc_id")).alias("id_key"), "text_key") != F.col("kept")
+    gone = written_once(found.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull() & other).select("doc_id", "text_key").distinct(), "near-copies")
+    gone_id, gone_key = fresh(docs, "_gone_id"), fresh(docs, "_gone_key")
+    gone = gone.select(F.col("doc_id").alias(gone_id), F.col("text_key").alias(gone_key))
+    same = (F.col("doc_id").cast("long") == F.col(gone_id)) & (F.xxhash64(F.col("text").cast("string")) == F.col(gone_key))
+    return docs.join(gone, same, "left_anti")

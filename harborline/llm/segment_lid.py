@@ -8,8 +8,8 @@ words of a bounded sample of labelled rows for each language). Every byte is a p
 own, so each word has a probability.
 
 Words are runs of letters (ASCII letters and all bytes above 127) of the lower-cased text, each
-with the vocabulary's word-start mark before it; words of more than ``MOST_BYTES`` bytes are scored
-in parts of that length. The best language has the highest total; the score is the posterior at the
+with the vocabulary's word-start mark before it. Pieces of all lengths of the vocabulary count, and words of any length
+are scored whole. The best language has the highest total; the score is the posterior at the
 mean word, raised to at most ``WORDS_COUNTED`` words, so that it says how clearly the text speaks
 for one language and not how long it is.
 
@@ -29,23 +29,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harborline.llm import words as W
-from harborline.llm.tables import held_out, third
+from harborline.llm.tables import fresh, held_out, third
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
-MOST_BYTES, PIECE_BYTES, WORDS_COUNTED = 48, 12, 12
+#: Words of up to so many bytes are scored together by length, longer ones each on its own; fitting leaves the longer ones out.
+MOST_BYTES = 48
+WORDS_COUNTED = 12
+#: Places of a long word of which the spans are looked up at once.
+LONG_STEP = 1 << 15
 FIT_ROWS, ROUNDS, LEAST = 400, 4, 1e-6
 LETTER = np.zeros(256, bool)
 LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
 VALUES = W.byte_values(~LETTER)
-_PLACE, _TERM = W.randoms(PIECE_BYTES, 41), W.randoms(256, 42)
+_TERM = W.randoms(256, 42)
 
 
 class Pieces:
     """Vocabulary pieces by the hash of their bytes; ids below 256 are single bytes."""
 
     def __init__(self, pieces: set[bytes]):
-        self.all = [bytes([b]) for b in range(256)] + sorted(p for p in pieces if 1 < len(p) <= PIECE_BYTES)
-        keys = np.array([sum(int(_TERM[b]) * int(_PLACE[k]) for k, b in enumerate(p)) % (1 << 64) for p in self.all], np.uint64)
+        self.all = [bytes([b]) for b in range(256)] + sorted(p for p in pieces if len(p) > 1)
+        self.longest = max(map(len, self.all))
+        self.places = W.randoms(self.longest, 41)
+        keys = np.array([sum(int(_TERM[b]) * int(self.places[k]) for k, b in enumerate(p)) % (1 << 64) for p in self.all], np.uint64)
         self.levels, left = [], np.arange(256, len(keys))
         while len(left):  # a slot holds one piece; those that find theirs taken go to the next level
             bits = max(10, int(len(left) - 1).bit_length() + 4)
@@ -74,13 +80,26 @@ class Pieces:
         ids = {}
         for start in range(n):
             keys = np.zeros(len(rows), np.uint64)
-            for end in range(start + 1, min(n, start + PIECE_BYTES) + 1):
-                keys = keys + _TERM[rows[:, end - 1]] * _PLACE[end - 1 - start]
+            for end in range(start + 1, min(n, start + self.longest) + 1):
+                keys = keys + _TERM[rows[:, end - 1]] * self.places[end - 1 - start]
                 ids[start, end] = rows[:, start].astype(np.int32) if end == start + 1 else self.ids(keys)
         for end in range(1, n + 1):
-            for start in range(max(0, end - PIECE_BYTES), end):
+            for start in range(max(0, end - self.longest), end):
                 yield start, end, ids[start, end]
 
+    def spans(self, word: np.ndarray) -> Iterator[np.ndarray]:
+        """For each end in one word of any length: the pieces of the spans that end there, from the shortest."""
+        for begin in range(0, len(word), LONG_STEP):
+            first = max(0, begin - self.longest + 1)
+            terms = _TERM[word[first : begin + LONG_STEP]]
+            ids = np.full((len(terms), self.longest), -1, np.int32)
+            ids[:, 0] = word[first : begin + LONG_STEP]
+            keys = terms * self.places[0]
+            for size in range(2, min(self.longest, len(terms)) + 1):
+                keys = keys[:-1] + terms[size - 1 :] * self.places[size - 1]
+                ids[size - 1 :, size - 1] = self.ids(keys)
+            yield from ids[begin - first :]
+
 
 def load_pieces(path: str = VOCABULARY) -> Pieces:
     """The pieces of a sentencepiece model in lower case, the word-start mark as a space."""
@@ -92,20 +111,14 @@ def load_pieces(path: str = VOCABULARY) -> Pieces:
 
 
 def _words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Bytes, starts, ends and rows of the words of the lower-cased texts, long words in parts."""
+    """Bytes, starts, ends and rows of the words of the lower-cased texts."""
     data, at = W.utf8(pc.utf8_lower(column.fill_null("")))
-    starts, ends, rows = W.spans(data, at, LETTER[data])
-    if len(starts) and (ends - starts).max() > MOST_BYTES:
-        parts = -(-(ends - starts) // MOST_BYTES)
-        k = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-        rows, stop, starts = np.repeat(rows, parts), np.repeat(ends, parts), np.repeat(starts, parts) + MOST_BYTES * k
-        ends = np.minimum(starts + MOST_BYTES, stop)
-    return data, starts, ends, rows
+    return data, *W.spans(data, at, LETTER[data])
 
 
 def _by_length(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Words of one length at a time: their places, and their bytes after the word-start mark."""
-    for n in np.unique(lengths):
+    """Words of one length of up to ``MOST_BYTES`` at a time: their places, and their bytes after the word-start mark."""
+    for n in np.unique(lengths[lengths <= MOST_BYTES]):
         own = np.flatnonzero(lengths == n)
         rows = np.full((len(own), n + 1), 32, np.uint8)
         rows[:, 1:] = data[starts[own][:, None] + np.arange(n)]
@@ -130,8 +143,22 @@ class Model:
                 elif len(some):
                     ahead[end, some] += ahead[start, some] * self.chances[ids[some]]
             out[own] = np.log(ahead[-1])
+        for i in np.flatnonzero(lengths > MOST_BYTES):
+            out[i] = self._long_word(np.append(np.uint8(32), data[starts[i] : starts[i] + lengths[i]]))
         return out
 
+    def _long_word(self, word: np.ndarray) -> np.ndarray:
+        """The same for one word of any length: sums of the last places only, scaled anew at each."""
+        behind = np.zeros((self.pieces.longest, len(self.langs)))  # from the nearest place
+        behind[0] = 1
+        scale = np.zeros(len(self.langs))
+        for ids in self.pieces.spans(word):
+            total = (behind * self.chances[ids]).sum(axis=0)
+            scale += np.log(total)
+            behind[1:] = behind[:-1] / total
+            behind[0] = 1
+        return scale
+
     def texts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The best language of each text, as a number, and its score."""
         data, starts, ends, rows = _words(column)
@@ -216,13 +243,13 @@ def in_known_language(docs: DataFrame, least: float = 0.5, path: str = VOCABULAR
     model = fit(docs, path)
     if model is None:
         return docs.where(F.lit(False))
-    own = [c for c in docs.columns]
-    marked = docs.withColumn("_worded", F.coalesce(F.col(f"`{text_col}`").rlike("\\p{L}"), F.lit(False)))
+    own, flag = docs.columns, fresh(docs, "_worded")
+    marked = docs.withColumn(flag, F.coalesce(F.col(f"`{text_col}`").rlike("\\p{L}"), F.lit(False)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.steps(batch, text_col):
-                _, score = judged(model, part.column(text_col), part.column("_worded"))
-                yield part.filter(pc.and_(part.column("_worded"), pc.greater_equal(score, least))).select(own)
+                _, score = judged(model, part.column(text_col), part.column(flag))
+                yield part.filter(pc.and_(part.column(flag), pc.greater_equal(score, least))).select(own)
 
     return marked.mapInArrow(run, docs.schema)

@@ -15,6 +15,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def third(doc_id: Column) -> Column:
     """The fold of a document: crc32 of its id as text, modulo 3."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 3
