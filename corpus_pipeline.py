@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harborline.llm import line_windows, mixing, ngram_join, segment_lid, simhash_windows
-from harborline.llm.tables import table
+from harborline.llm.tables import fresh, table
 from harborline.session import written_once
 
 
@@ -22,8 +22,10 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut later copies of three-line windows; ``n_chars`` follows, and documents of which nothing is left go."""
-    cut = line_windows.drop_repeated_lines(docs).where(F.coalesce(F.col("text").rlike("\\S"), F.lit(True)) | (F.col("_removed") == 0))
-    own = F.when(F.col("_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    counts = fresh(docs, "_lines"), fresh(docs, "_removed")
+    removed = F.col(counts[1])
+    cut = line_windows.drop_repeated_lines(docs, counts=counts).where(F.coalesce(F.col("text").rlike("\\S"), F.lit(True)) | (removed == 0))
+    own = F.when(removed > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return cut.withColumn("n_chars", own).select(*docs.columns)
 
 
