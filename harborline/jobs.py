@@ -15,7 +15,7 @@ from harborline.operators.forecast import prepare_series, seasonal_forecast
 from harborline.plans import bronze, forecasting, gold, marts, silver
 from harborline.sources.readers import read_table
 from harborline.sources.sinks import ensure_namespace, materialize, write_table
-from harborline.streaming.events import ORDER_KEY, ORDER_TIME, OrderTables, parse_events, read_state, run_order_stream
+from harborline.streaming.events import ORDER_KEY, ORDER_TIME, OrderTables, fold_state, parse_events, read_state, run_order_stream
 from harborline.streaming.ingest import ingest_json_stream
 
 Period = tuple[dt.date, dt.date]
@@ -53,9 +53,10 @@ def reviews_job(spark: SparkSession, landing: str, base: str, namespace: str, ti
 
 
 def orders_job(stream: DataFrame, base: str, namespace: str, tiebreak: Sequence[str] = ()) -> OrderTables:
-    """Drain the order stream, then publish the current state as a gold table."""
+    """Drain the order stream, fold its state log, and publish the current state as a gold table."""
     tables = run_order_stream(parse_events(stream, corrupt_col="_corrupt_record"), f"{base}/orders", tiebreak)
     spark = stream.sparkSession
+    fold_state(spark, tables.state, ORDER_KEY, ORDER_TIME)
     state = read_state(spark, tables.state, ORDER_KEY, ORDER_TIME)
     gold.build_gold({"order_status_current": state}, namespace)
     return tables

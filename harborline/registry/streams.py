@@ -11,7 +11,9 @@ from harborline.plans import inputs
 from harborline.registry.core import query, shown
 from harborline.registry.sql import ORDER_EVENTS, moment
 from harborline.session import scratch_dir
+from harborline.sources import folders
 from harborline.streaming import events as ev
+from harborline.streaming.state import Manifest
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,3 +104,65 @@ def stream_reconciliation(spark, sf_dir):
     totals = ev.stream_reconciliation(history, state, "order_id", expected.n, expected.k)
     enforce(totals)
     return totals
+
+
+#: The part of the day whose events land first, second, third and last: each brings days that earlier ones have passed.
+_ARRIVAL = (2, 0, 3, 1)
+
+
+def bus_drains(spark: SparkSession, sf_dir: str) -> tuple[ev.OrderTables, list, Manifest]:
+    """Land the events in four parts, out of order and with the day as their time; drain and fold after two and after all four.
+
+    A drain takes a quarter of the files at a time, so that it has several micro-batches. All events of an order
+    in one part lie in one file. Returns the tables, the progress of each micro-batch and the last manifest.
+    """
+    base = scratch_dir(spark, "bus")
+    tables = ev.OrderTables(f"{base}/history", f"{base}/state", f"{base}/dead_letters")
+    arrival = F.get(F.array(*[F.lit(i) for i in _ARRIVAL]), F.floor(F.hour("ts") / 6).cast("int"))
+    parts = inputs.table(spark, sf_dir, "events").select(F.date_trunc("day", "ts").alias("ts"), arrival.alias("arrival"), "user_id", "event_id", "event_type", "value")
+    progress, folded = [], None
+    for drained in ((0, 1), (2, 3)):
+        for i in drained:
+            inputs.order_event_values(parts.where(F.col("arrival") == i).repartition("user_id")).write.mode("append").parquet(f"{base}/bus")
+        files = sum(name.endswith(".parquet") for name in folders.names(spark, f"{base}/bus"))
+        source = ev.event_source(spark, "files", {"path": f"{base}/bus", "maxFilesPerTrigger": str(max(1, files // 4))})
+        query = ev.drain_once(ev.parse_events(source), f"{base}/checkpoint", f"{base}/commits", ev.order_sinks(tables, ["delivery_id"]))
+        progress.append([p for p in query.recentProgress if p.numInputRows])
+        folded = ev.fold_state(spark, tables.state, ev.ORDER_KEY, ev.ORDER_TIME)
+    return tables, progress, folded
+
+
+_DAILY = """WITH landed AS (
+  SELECT CAST(user_id AS VARCHAR) AS order_id, 'd' || event_id AS delivery_id, date_trunc('day', ts) AS last_event_timestamp,
+    [2, 0, 3, 1][hour(ts) // 6 + 1] AS arrival, value AS order_value FROM events)
+"""
+
+
+@query(
+    _DAILY
+    + f"""SELECT order_id, delivery_id, {moment("last_event_timestamp")} AS last_event_timestamp, order_value FROM landed
+QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY last_event_timestamp DESC, arrival, delivery_id DESC) = 1"""
+)
+def stream_state_across_batches(spark, sf_dir):
+    """Newest state over micro-batches out of order: newer days win, and on equal ones the batch that came first."""
+    tables, _, _ = bus_drains(spark, sf_dir)
+    return shown(ev.read_state(spark, tables.state, ev.ORDER_KEY, ev.ORDER_TIME).select("order_id", "delivery_id", ev.ORDER_TIME, "order_value"))
+
+
+@query(
+    """SELECT count(*) AS read_rows, count(*) AS history_rows, count(DISTINCT user_id) AS state_rows,
+  true AS several_batches, CAST(1 AS BIGINT) AS generation, true AS log_bounded FROM events"""
+)
+def stream_admission_report(spark, sf_dir):
+    """Each event read once for all sinks, in several micro-batches; after two folds only the last drain's batches are left."""
+    tables, progress, folded = bus_drains(spark, sf_dir)
+    left = [n for s in folders.names(spark, tables.state) if s.startswith(ev.STREAM) for n in folders.names(spark, f"{tables.state}/{s}") if n.startswith(ev.BATCH)]
+    state = ev.read_state(spark, tables.state, ev.ORDER_KEY, ev.ORDER_TIME)
+    return ev.read_history(spark, tables.history).agg(F.count("*").alias("history_rows")).select(
+        F.lit(sum(p.numInputRows for drain in progress for p in drain)).cast("long").alias("read_rows"),
+        "history_rows",
+        F.lit(state.count()).cast("long").alias("state_rows"),
+        F.lit(sum(map(len, progress)) >= 3).alias("several_batches"),
+        F.lit(folded.generation).cast("long").alias("generation"),
+        F.lit(len(left) <= len(progress[-1])).alias("log_bounded"),
+    )

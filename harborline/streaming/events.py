@@ -11,6 +11,10 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from harborline.operators.validity import keep_latest
+from harborline.sources import folders
+from harborline.streaming.state import BATCH, STREAM, compact_state, fold_state, manifest, read_state
+
+__all__ = ["compact_state", "fold_state", "manifest", "read_state"]
 
 # The order event, one JSON object per message.
 ORDER_EVENT = StructType(
@@ -29,9 +33,6 @@ ORDER_EVENT = StructType(
 ORDER_KEY = ("order_id",)
 ORDER_TIME = "last_event_timestamp"
 
-BATCH = "batch_id"
-STREAM = "stream_id"
-
 
 # --- source and parsing -----------------------------------------------------------
 
@@ -101,20 +102,51 @@ def fan_out(stream: DataFrame, sinks: Mapping[str, Callable[[DataFrame, int], No
     return running
 
 
+def stream_name(spark: SparkSession, otherwise: str = "direct") -> str:
+    """The running query, whose id its checkpoint keeps; outside a stream the name that the caller gives."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or otherwise
+
+
+def drain_once(stream: DataFrame, checkpoint: str, commits: str, sinks: Mapping[str, Callable[[DataFrame, int], None]]) -> StreamingQuery:
+    """Drain one stream into several sinks from a single read of its source.
+
+    Each micro-batch is read and parsed once, kept, and given to the sinks in turn. A sink that is done leaves a marker with the
+    stream and the batch under ``commits``. Where a later one fails, the batch comes again after the restart, and
+    those that have their marker skip it. A sink that dies before its marker sees its batch twice, so it has to
+    replace what it wrote for that batch, as the sinks here do. Only the newest marker of a sink is kept.
+    """
+    spark = stream.sparkSession
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            for name, sink in sinks.items():
+                done = f"{commits}/{name}/{STREAM}={stream_name(spark)}"
+                if folders.exists(spark, f"{done}/{BATCH}={batch_id}"):
+                    continue
+                sink(batch, batch_id)
+                folders.touch(spark, f"{done}/{BATCH}={batch_id}")
+                folders.remove(spark, f"{done}/{BATCH}={batch_id - 1}")
+        finally:
+            batch.unpersist()
+
+    return run_available_now(stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint))
+
+
 # --- history ----------------------------------------------------------------------
 
 
-def batch_folder(spark: SparkSession, target: str, batch_id: int) -> str:
+def batch_folder(spark: SparkSession, target: str, batch_id: int, stream: str = "direct") -> str:
     """The folder of a micro-batch.
 
     Batch numbers start anew with each checkpoint, so the folder also names the running
-    query, whose id its checkpoint keeps: no other checkpoint can write into it.
+    query, whose id its checkpoint keeps: no other checkpoint can write into it. Callers outside a stream
+    that share a target name themselves by ``stream``.
     """
-    stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
-    return f"{target}/{STREAM}={stream}/{BATCH}={batch_id}"
+    return f"{target}/{STREAM}={stream_name(spark, stream)}/{BATCH}={batch_id}"
 
 
-def append_history(batch: DataFrame, batch_id: int, target: str) -> None:
+def append_history(batch: DataFrame, batch_id: int, target: str, stream: str = "direct") -> None:
     """Append a micro-batch unchanged; a retried batch replaces its own folder.
 
     Empty batches leave nothing behind. A new checkpoint on the same target adds what it
@@ -122,7 +154,7 @@ def append_history(batch: DataFrame, batch_id: int, target: str) -> None:
     """
     if batch.isEmpty():
         return
-    batch.write.mode("overwrite").parquet(batch_folder(batch.sparkSession, target, batch_id))
+    batch.write.mode("overwrite").parquet(batch_folder(batch.sparkSession, target, batch_id, stream))
 
 
 def read_history(spark: SparkSession, target: str) -> DataFrame:
@@ -169,6 +201,7 @@ def upsert_latest(
     tiebreak: Sequence[str] = (),
     batch_id: int = 0,
     fmt: str = "parquet",
+    stream: str = "direct",
 ) -> None:
     """Apply one micro-batch of updates to a keyed state table.
 
@@ -189,27 +222,11 @@ def upsert_latest(
         winners.sparkSession.sql(merge_statement(target, view, keys, order_col))
         winners.sparkSession.catalog.dropTempView(view)
     elif fmt == "parquet":
-        winners.write.mode("overwrite").parquet(batch_folder(spark, target, batch_id))
+        winners.write.mode("overwrite").parquet(batch_folder(spark, target, batch_id, stream))
     else:
         raise ValueError(f"no upsert for format {fmt!r}")
 
 
-def read_state(spark: SparkSession, target: str, keys: Sequence[str], order_col: str) -> DataFrame:
-    """The current row of every key of a Parquet state table."""
-    log = spark.read.option("basePath", target).parquet(target)
-    return keep_latest(log, keys, [F.desc(order_col), F.asc(BATCH)]).drop(STREAM, BATCH)
-
-
-def compact_state(spark: SparkSession, target: str, new_target: str, keys: Sequence[str], order_col: str) -> None:
-    """Rewrite a state table as one row per key, at a new location.
-
-    The rows keep the stream and batch number that wrote them, so later batches still apply.
-    """
-    log = spark.read.option("basePath", target).parquet(target)
-    current = keep_latest(log, keys, [F.desc(order_col), F.asc(BATCH)])
-    current.hint("rebalance", F.col(BATCH)).write.partitionBy(STREAM, BATCH).parquet(new_target)
-
-
 def current_state(stream: DataFrame, keys: Sequence[str], order_col: str, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Current state as a streaming aggregate kept in Spark's state store.
 
@@ -235,26 +252,27 @@ def run_order_stream(stream: DataFrame, base: str, tiebreak: Sequence[str] = ())
     """Drain parsed order events into history, current state and dead letters under ``base``.
 
     History keeps every event. Events without a key or time cannot change a state and go
-    to the dead letters, in the same micro-batch as the state update. History and state
-    have their own checkpoints.
+    to the dead letters. The source is read once for the three.
     """
     tables = OrderTables(f"{base}/history", f"{base}/state", f"{base}/dead_letters")
+    drain_once(stream, f"{base}/_checkpoints/orders", f"{base}/_commits", order_sinks(tables, tiebreak))
+    return tables
+
 
-    def keep_history(batch: DataFrame, batch_id: int) -> None:
+def order_sinks(tables: OrderTables, tiebreak: Sequence[str] = ()) -> dict[str, Callable[[DataFrame, int], None]]:
+    """The three tables as sinks of one stream of parsed order events."""
+
+    def history(batch: DataFrame, batch_id: int) -> None:
         append_history(batch, batch_id, tables.history)
 
-    def update_state(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            usable, dead = split_dead_letters(batch, ORDER_KEY, "event_timestamp")
-            append_history(dead, batch_id, tables.dead_letters)
-            updates = order_updates(usable)
-            upsert_latest(batch.sparkSession, tables.state, updates, ORDER_KEY, ORDER_TIME, tiebreak, batch_id)
-        finally:
-            batch.unpersist()
+    def dead_letters(batch: DataFrame, batch_id: int) -> None:
+        append_history(split_dead_letters(batch, ORDER_KEY, "event_timestamp")[1], batch_id, tables.dead_letters)
 
-    fan_out(stream, {f"{base}/_checkpoints/history": keep_history, f"{base}/_checkpoints/state": update_state})
-    return tables
+    def state(batch: DataFrame, batch_id: int) -> None:
+        usable, _ = split_dead_letters(batch, ORDER_KEY, "event_timestamp")
+        upsert_latest(batch.sparkSession, tables.state, order_updates(usable), ORDER_KEY, ORDER_TIME, tiebreak, batch_id)
+
+    return {"history": history, "dead_letters": dead_letters, "state": state}
 
 
 # --- reconciliation ---------------------------------------------------------------

@@ -89,6 +89,94 @@ def test_upserts_equal_a_sequential_merge(spark, tmp_path, rows):
     assert after == sorted([*expected, ("new", 0, 1)], key=repr)
 
 
+def folder_count(path):
+    return sum(1 for p in path.rglob("*") if p.is_dir())
+
+
+def test_folding_equals_a_sequential_merge_and_stays_bounded(spark, tmp_path, rows):
+    rng = random.Random(5)
+    target, merged, counts = tmp_path / "state", {}, []
+    for batch_id in range(20):
+        events = [(f"k{rng.randrange(9)}", rng.randrange(15), batch_id * 100 + i) for i in range(rng.randrange(1, 9))]
+        newest = {}
+        for key, ts, number in events:
+            newest[key] = max(newest.get(key, (-1, -1)), (ts, number))
+        for key, (ts, number) in newest.items():
+            if key not in merged or ts > merged[key][0]:
+                merged[key] = (ts, number)
+        df = spark.createDataFrame(events, "k string, ts int, n int")
+        ev.upsert_latest(spark, str(target), df, ["k"], "ts", ["n"], batch_id)
+        ev.fold_state(spark, str(target), ["k"], "ts")
+        counts.append(folder_count(target))
+        if batch_id % 6 == 5:
+            got = rows(ev.read_state(spark, str(target), ["k"], "ts").select("k", "ts", "n"))
+            assert got == sorted(((k, t, n) for k, (t, n) in merged.items()), key=repr)
+    assert max(counts[4:]) == counts[4] and ev.manifest(spark, str(target)).generation == 19
+    assert ev.fold_state(spark, str(target), ["k"], "ts").generation == 19  # nothing waits
+
+
+def test_a_fold_that_died_and_a_covered_batch_that_comes_again(spark, tmp_path, rows):
+    target = str(tmp_path / "state")
+
+    def put(batch_id, *events):
+        ev.upsert_latest(spark, target, spark.createDataFrame(list(events), "k string, ts int, n int"), ["k"], "ts", ["n"], batch_id)
+
+    def current():
+        return rows(ev.read_state(spark, target, ["k"], "ts").select("k", "ts", "n"))
+
+    put(0, ("a", 5, 1))
+    put(1, ("a", 5, 2), ("b", 1, 3))
+    assert ev.fold_state(spark, target, ["k"], "ts", least_batches=3).generation == -1
+    first = ev.fold_state(spark, target, ["k"], "ts")
+    assert (first.generation, first.covered) == (0, {"direct": 1})
+    # rows of a next generation without its manifest: nobody reads them, and the next fold replaces them
+    spark.createDataFrame([("x", 99, 9)], "k string, ts int, n int").write.parquet(f"{target}/_generations/{1:012d}/rows")
+    put(1, ("a", 5, 2), ("b", 1, 3))
+    assert current() == [("a", 5, 1), ("b", 1, 3)]
+    put(2, ("a", 4, 4), ("b", 2, 5))
+    assert ev.fold_state(spark, target, ["k"], "ts").generation == 1
+    assert current() == [("a", 5, 1), ("b", 2, 5)]
+
+
+def test_one_read_for_all_sinks_and_a_sink_that_fails_once(spark, tmp_path):
+    src, base = str(tmp_path / "src"), str(tmp_path)
+    for first in (0, 10):
+        land(spark, src, [message(f"o{i}", i, i) for i in range(first, first + 10)])
+    source = ev.event_source(spark, "files", {"path": src, "maxFilesPerTrigger": "1"})
+    calls, broken = [], [True]
+
+    def one(batch, batch_id):
+        calls.append(("one", batch_id))
+        ev.append_history(batch, batch_id, f"{base}/one")
+
+    def two(batch, batch_id):
+        calls.append(("two", batch_id))
+        if batch_id == 1 and broken:
+            broken.clear()
+            raise RuntimeError("sink is away")
+        ev.append_history(batch, batch_id, f"{base}/two")
+
+    drain = lambda: ev.drain_once(ev.parse_events(source), f"{base}/chk", f"{base}/commits", {"one": one, "two": two})
+    with pytest.raises(StreamingQueryException):
+        drain()
+    assert ev.read_history(spark, f"{base}/one").count() == 20 and ev.read_history(spark, f"{base}/two").count() == 10
+    query = drain()
+    assert calls == [("one", 0), ("two", 0), ("one", 1), ("two", 1), ("two", 1)]
+    for table in ("one", "two"):
+        assert sorted(r.delivery_id for r in ev.read_history(spark, f"{base}/{table}").collect()) == sorted(f"d{i}" for i in range(20))
+    assert sum(p.numInputRows for p in query.recentProgress) == 10  # the second batch, read once for the sink that lacked it
+    land(spark, src, [message("z", 99, 1)])
+    query = drain()
+    assert calls[5:] == [("one", 2), ("two", 2)] and sum(p.numInputRows for p in query.recentProgress) == 1
+
+
+def test_callers_outside_a_stream_can_name_themselves(spark, tmp_path):
+    target = str(tmp_path / "h")
+    for name in ("left", "right"):
+        ev.append_history(spark.range(2), 0, target, stream=name)
+    assert ev.read_history(spark, target).count() == 4
+
+
 def test_empty_batches_write_nothing(spark, tmp_path):
     empty = spark.createDataFrame([], "k string, ts int")
     ev.append_history(empty, 0, str(tmp_path / "h"))
