@@ -32,7 +32,7 @@ def trips_job(
     partition_by: Sequence[str] = ("pickup_date",),
 ) -> dict[str, int]:
     """Landed trip files and weather JSON to bronze, silver, enriched and the three trip gold tables."""
-    bronze.build_trips_bronze(spark, landing, f"{base}/bronze/trips")
+    bronze.build_trips_bronze(spark, landing, f"{base}/bronze/trips", manifest=f"{base}/manifests/trips")
     split = silver.trips_silver(read_table(spark, f"{base}/bronze/trips"), tiebreak)
     kept, rejected = silver.build_silver(split, f"{base}/silver/trips", f"{base}/rejects/trips", partition_by)
     joined = silver.trips_enriched(read_table(spark, f"{base}/silver/trips"), silver.weather_days(spark, weather))

@@ -21,13 +21,16 @@ TRIP_CASTS = {
 }
 
 
-def trips_bronze(spark: SparkSession, source: str) -> DataFrame:
-    unioned = read_drifting_parquet(spark, source, TRIP_CASTS)
+def trips_bronze(spark: SparkSession, source: str, manifest: str | None = None) -> DataFrame:
+    unioned = read_drifting_parquet(spark, source, TRIP_CASTS, manifest=manifest)
     return unioned.withColumn("_ingested_at", F.current_timestamp())
 
 
-def build_trips_bronze(spark: SparkSession, source: str, target: str, fmt: str = "parquet") -> DataFrame:
-    """Full reprocess of the landed files; returns the per-month null report."""
-    write_table(trips_bronze(spark, source), target, replace_schema=True, fmt=fmt)
+def build_trips_bronze(spark: SparkSession, source: str, target: str, fmt: str = "parquet", manifest: str | None = None) -> DataFrame:
+    """Full reprocess of the landed files; returns the per-month null report.
+
+    With ``manifest`` the files' schemas are kept there, so a rerun opens the footers of new files only.
+    """
+    write_table(trips_bronze(spark, source, manifest), target, replace_schema=True, fmt=fmt)
     written = spark.read.format(fmt).load(target)
     return null_rate_by(written, month_in_path("_source_file"), ["VendorID", "PULocationID"], "source_month")

@@ -20,7 +20,7 @@ from harborline.registry.reviews import silver_reviews
 from harborline.registry.sql import ORDER_EVENTS, REVIEWS, TRIPS, day
 from harborline.registry.trips import gold_trips
 from harborline.session import scratch_dir
-from harborline.sources import readers, sinks
+from harborline.sources import folders, inventory, readers, sinks
 from harborline.streaming.ingest import ingest_json_stream
 
 
@@ -272,14 +272,65 @@ def landed_file_inventory(spark, sf_dir):
     path = scratch_dir(spark, "listed")
     inputs.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus").write.partitionBy("o_orderstatus").parquet(path)
     status = F.regexp_extract("path", "o_orderstatus=([^/]+)/", 1).alias("o_orderstatus")
-    listed = spark.createDataFrame([(f,) for f in readers.list_files(spark, path, ".parquet")], "path string")
-    listed = listed.groupBy(status).agg(F.count(F.lit(1)).alias("listed"))
+    listed = inventory.listing(spark, path, ".parquet").groupBy(status).agg(F.count(F.lit(1)).alias("listed"))
     scanned = readers.file_inventory(spark.read.parquet(path)).groupBy(status)
     scanned = scanned.agg(F.count(F.lit(1)).alias("scanned"), (F.min("size") > 0).alias("all_sized"))
     both = scanned.join(listed, "o_orderstatus", "full")
     return both.select("o_orderstatus", F.equal_null("listed", "scanned").alias("all_listed"), "all_sized")
 
 
+@query(
+    """SELECT DISTINCT o_orderstatus, change FROM orders JOIN (
+  VALUES ('F', 'new'), ('O', 'gone'), ('P', 'new'), ('P', 'gone')) AS c(status, change) ON o_orderstatus = status"""
+)
+def landed_file_changes(spark, sf_dir):
+    """Between two states of a landing folder one status arrives, one is rewritten and one is deleted."""
+    base = scratch_dir(spark, "changes")
+    src, store = f"{base}/src", f"{base}/files"
+    order = inputs.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    of = lambda *wanted: order.filter(F.col("o_orderstatus").isin(*wanted)).write.partitionBy("o_orderstatus")
+    of("O", "P").parquet(src)
+    inventory.publish(inventory.listing(spark, src, ".parquet"), store)
+    for status in ("O", "P"):
+        folders.remove(spark, f"{src}/o_orderstatus={status}")
+    of("F", "P").mode("append").parquet(src)
+    changed = inventory.difference(inventory.listing(spark, src, ".parquet"), inventory.stored(spark, store))
+    return changed.select(F.regexp_extract("path", "o_orderstatus=([^/]+)/", 1).alias("o_orderstatus"), "change").distinct()
+
+
+@query(
+    """SELECT DISTINCT CASE WHEN l_linestatus = 'F' THEN '2023-02' ELSE '2023-01' END AS source_month,
+  CASE WHEN l_linestatus = 'F' THEN 'VendorID:double;airport_fee:double' ELSE 'VendorID:int64' END AS shape,
+  l_linestatus = 'F' AS footers_read, 1 AS n_units FROM lineitem"""
+)
+def drifting_parquet_manifest(spark, sf_dir):
+    """The shapes of two drops, by a second run that opens the footers of the second drop only; each shape is one folder."""
+    base = scratch_dir(spark, "shapes")
+    item = inputs.table(spark, sf_dir, "lineitem")
+    item.filter("l_linestatus <> 'F'").select(F.col("l_suppkey").cast("bigint").alias("VendorID")).write.parquet(f"{base}/src/trips-2023-01")
+    readers.file_shapes(spark, f"{base}/src", manifest=f"{base}/manifest")
+    late = item.filter("l_linestatus = 'F'").select(F.col("l_suppkey").cast("double").alias("VendorID"), F.col("l_tax").alias("airport_fee"))
+    late.write.parquet(f"{base}/src/trips-2023-02")
+    shapes = readers.file_shapes(spark, f"{base}/src", manifest=f"{base}/manifest")
+    units = readers.folder_units(shapes, f"{base}/src").groupBy("shape").agg(F.count("*").cast("int").alias("n_units"))
+    seen = shapes.select(month_in_path("path").alias("source_month"), "shape", F.col("is_read").alias("footers_read")).distinct()
+    return seen.join(units, "shape")
+
+
+@query("SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'F' THEN o_totalprice END AS late_price FROM orders")
+def json_schema_evolution(spark, sf_dir):
+    """JSON lines in two drops, the second with a column of its own, which only its files are read for."""
+    base = scratch_dir(spark, "evolution")
+    order = inputs.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    late = F.col("o_orderstatus") == "F"
+    drops = [order.filter(~late).drop("o_totalprice"), order.filter(late).withColumnRenamed("o_totalprice", "late_price")]
+    for i, drop in enumerate(drops):
+        drop.write.json(f"{base}/src/drop-{i}")
+        ingest_json_stream(spark, f"{base}/src", f"{base}/schema", f"{base}/checkpoint", f"{base}/table", evolve=True)
+    landed = spark.read.option("mergeSchema", "true").parquet(f"{base}/table")
+    return landed.select("o_orderkey", "o_orderstatus", "late_price")
+
+
 @query("SELECT least(count(*), 5) AS peeked_rows, least(count(*), 5) AS found_rows FROM orders")
 def raw_peek(spark, sf_dir):
     """A few raw rows of a table with upper-case names; which ones is open, but each is a row of the table."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from functools import reduce
 
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructField, StructType
 
 from harborline.operators.projection import cast_columns
+from harborline.session import written_once
+from harborline.sources import inventory
 
 RESCUED = "_rescued_data"
 _CORRUPT = "_corrupt_record"
@@ -65,15 +68,9 @@ def peek_raw(df: DataFrame, n: int = 5) -> DataFrame:
 # --- file discovery and schema drift ----------------------------------------------
 
 
-def _file_frame(spark: SparkSession, path: str, suffix: str) -> DataFrame:
-    # The content column is pruned, so only the listing is read.
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    return listing.option("pathGlobFilter", f"*{suffix}").load(path).select("path", "modificationTime")
-
-
 def list_files(spark: SparkSession, path: str, suffix: str) -> list[str]:
-    """Sorted files under ``path`` that end in ``suffix``."""
-    return sorted(row.path for row in _file_frame(spark, path, suffix).toLocalIterator())
+    """Sorted files under ``path`` that end in ``suffix``, for small folders; ``inventory.listing`` keeps them in a frame."""
+    return sorted(row.path for row in inventory.listing(spark, path, suffix).select("path").collect())
 
 
 #: Schemes of paths as Spark lists them, and those under which the footer reader opens them.
@@ -114,38 +111,122 @@ def _footer_reader() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame
                 with filesystem.open_input_file(inner) as handle:
                     schema = pq.read_schema(handle)
                 found.append(";".join(sorted(f"{f.name}:{f.type}" for f in schema)))
-            yield pandas.DataFrame({"path": batch["path"], "shape": found})
+            yield batch.assign(shape=pandas.Series(found, index=batch.index, dtype=object))
+
+    return shapes
+
 
+SHAPED = inventory.FILE + ", shape string"
+
+
+def file_shapes(spark: SparkSession, path: str, suffix: str = ".parquet", manifest: str | None = None) -> DataFrame:
+    """``(path, size, modified, shape, is_read)`` of all files; ``shape`` names their columns and physical types.
+
+    Executors read the footers. With ``manifest``, a folder in which the shapes are kept, only those of files that are new
+    or changed since the last run (``is_read``), and the manifest is brought up to date.
+    """
+    now = inventory.listing(spark, path, suffix)
+    if manifest is None:
+        return _footers(now).withColumn("is_read", F.lit(True))
+    now = written_once(now, "listing")
+    same = ["path", "size", "modified"]
+    known = now.join(inventory.stored(spark, manifest, SHAPED), same)
+    unseen = now.join(known.select(*same), same, "left_anti")
+    shapes = known.withColumn("is_read", F.lit(False)).unionByName(_footers(unseen).withColumn("is_read", F.lit(True)))
+    shapes = written_once(shapes, "shapes")
+    inventory.publish(shapes.drop("is_read"), manifest)
     return shapes
 
 
+def _footers(files: DataFrame) -> DataFrame:
+    # A listing scan has a task per file; a few footers per task are cheaper.
+    few = files.coalesce(4 * files.sparkSession.sparkContext.defaultParallelism)
+    return few.mapInPandas(_footer_reader(), SHAPED)
+
+
+def _above(path: Column) -> Column:
+    return F.regexp_extract(path, "^(.*)/[^/]+$", 1)
+
+
+def _units(files: DataFrame, root: str) -> tuple[DataFrame, str]:
+    """``(shape, unit, newest)``: the topmost folders that hold files of one shape only, and files of mixed folders one by one.
+
+    Also how they are to be read: ``partitioned`` where all folders below ``root`` are ``key=value`` ones, ``nested`` where none is. In a
+    ``mixed`` layout units are the folders the files lie in.
+    """
+    placed = files.select("path", "shape", "modified", _above(F.col("path")).alias("folder"))
+    depth = F.lit(_depth(root))
+    inner = F.slice(F.split("folder", "/+"), depth + 1, F.greatest(F.size(F.split("folder", "/+")) - depth, F.lit(0)))
+    kinds = placed.select(F.explode(inner).alias("name")).agg(F.min(F.col("name").contains("=")).alias("all"), F.max(F.col("name").contains("=")).alias("any")).first()
+    layout = "partitioned" if kinds["all"] else "nested" if not kinds["any"] else "mixed"
+    by_folder = placed.groupBy("folder").agg(F.min("shape").alias("least"), F.max("shape").alias("most"), F.max("modified").alias("newest"))
+    parts = F.split("folder", "/")
+    lowest = F.size(parts) if layout == "mixed" else F.least(F.size(parts), F.size(parts) - F.size(F.filter(inner, lambda x: x != "")))
+    upper = F.transform(F.sequence(lowest, F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
+    folders = by_folder.select(F.explode(upper).alias("unit"), "least", "most", "newest")
+    folders = folders.groupBy("unit").agg(F.min("least").alias("shape"), F.max("most").alias("most"), F.max("newest").alias("newest")).where("shape = most").drop("most")
+    inside = folders.select(F.col("unit").alias("_upper"))
+    top = folders.join(inside, _above(F.col("unit")) == F.col("_upper"), "left_anti")
+    single = placed.join(folders.select(F.col("unit").alias("folder")), "folder", "left_anti")
+    return top.unionByName(single.select(F.col("path").alias("unit"), "shape", F.col("modified").alias("newest"))), layout
+
+
+def folder_units(shapes: DataFrame, path: str) -> DataFrame:
+    """``(shape, unit, newest)``: what ``read_drifting_parquet`` reads for each shape of ``file_shapes``."""
+    some = shapes.select("path").head()
+    return shapes.select("shape", F.col("path").alias("unit"), F.col("modified").alias("newest")).limit(0) if some is None else _units(shapes, _listed_root(path, some.path))[0]
+
+
+def _depth(root: str) -> int:
+    """Parts of a root's path, as they are counted in the paths of its files."""
+    return len(re.split("/+", root.rstrip("/")))
+
+
 def read_drifting_parquet(
-    spark: SparkSession, path: str, casts: Mapping[str, DataType | str], suffix: str = ".parquet"
+    spark: SparkSession, path: str, casts: Mapping[str, DataType | str], suffix: str = ".parquet", manifest: str | None = None
 ) -> DataFrame:
     """Union Parquet files whose schemas disagree.
 
-    Executors read the footers; files that share a schema become one scan, so the plan
-    grows with the number of distinct schemas and not with the number of files. Each
+    Executors read the footers (see ``file_shapes``) and group the files by schema; the driver gets one row for each
+    schema, with the topmost folders that hold nothing else, so the plan grows with the
+    number of distinct schemas and not with the number of files. Each
     scan applies ``casts`` and records ``_source_file`` before the union by name, in
-    which absent columns become NULL.
+    which absent columns become NULL. Files that land meanwhile wait for the next read.
     """
-    # A listing scan has a task per file; a few footers per task are cheaper.
-    files = _file_frame(spark, path, suffix).select("path").coalesce(4 * spark.sparkContext.defaultParallelism)
-    footers = files.mapInPandas(_footer_reader(), "path string, shape string")
-    groups: dict[str, list[str]] = {}
-    for row in footers.collect():  # one parallel job; a short text for each file
-        groups.setdefault(row.shape, []).append(row.path)
-    if not groups:
+    shapes = file_shapes(spark, path, suffix, manifest)
+    if manifest is None:
+        shapes = written_once(shapes, "shapes")
+    some = shapes.select("path").head()
+    if some is None:
         raise FileNotFoundError(f"no {suffix} files under {path}")
-    # the base path keeps the columns of a key=value layout
-    reader = spark.read if path.endswith(suffix) else spark.read.option("basePath", path)
-    scans = [
-        cast_columns(reader.parquet(*sorted(paths)).withColumn("_source_file", F.col("_metadata.file_path")), casts)
-        for _, paths in sorted(groups.items())
-    ]
+    if path.endswith(suffix) and shapes.select(F.count_distinct("shape")).first()[0] == 1:
+        groups, layout = [([path], None)], "mixed"
+    else:
+        units, layout = _units(shapes, _listed_root(path, some.path))
+        rows = units.groupBy("shape").agg(F.sort_array(F.collect_set("unit")).alias("units"), F.max(F.unix_micros("newest")).alias("newest")).collect()
+        groups = [(r.units, r.newest) for r in sorted(rows, key=lambda r: r.shape)]
+    reader = spark.read.option("pathGlobFilter", f"*{suffix}")
+    if layout == "nested":
+        reader = reader.option("recursiveFileLookup", "true")
+    elif not path.endswith(suffix):
+        reader = reader.option("basePath", path)  # keeps the columns of a key=value layout
+    scans = []
+    for found, newest in groups:
+        scan = reader.parquet(*found)
+        if newest is not None:
+            scan = scan.where(F.col("_metadata.file_modification_time") <= F.timestamp_micros(F.lit(newest)))
+        scans.append(cast_columns(scan.withColumn("_source_file", F.col("_metadata.file_path")), casts))
     return union_all_by_name(scans)
 
 
+def _listed_root(path: str, listed: str) -> str:
+    """``path`` as the listing writes it, with the scheme and authority of a listed file."""
+    inner = path.split("://", 1)[-1] if "://" in path else path.split(":", 1)[-1]
+    inner = inner.rstrip("/")
+    at = listed.find(inner + "/")
+    return listed[: at + len(inner)] if at >= 0 else path
+
+
 def union_all_by_name(dfs: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
 
@@ -235,19 +316,69 @@ def infer_json_schema(spark: SparkSession, src: str, schema_path: str) -> Struct
 
 
 def evolve_json_schema(spark: SparkSession, src: str, schema_path: str) -> StructType:
-    """Add to the persisted schema the columns that any landed file brings.
+    """Add to the persisted schema the columns that newly landed files bring.
 
-    Known columns keep their type, so values that changed type are rescued, not recast.
+    Only files that are not in the inventory beside the schema are read; their lines are merged to one schema by a
+    single aggregate. Known columns keep their type, so values that changed type are rescued, not recast.
     """
+    store = f"{schema_path.rstrip('/')}_files"
+    now = written_once(inventory.listing(spark, src), "listing")
     known = saved_schema(spark, schema_path)
     if known is None:
-        return infer_json_schema(spark, src, schema_path)
-    added = [f for f in _infer(spark, src) if f.name not in known.names]
-    if not added:
-        return known
-    evolved = StructType([*known.fields, *added])
-    _save_schema(spark, evolved, schema_path)
-    return evolved
+        known = infer_json_schema(spark, src, schema_path)
+    else:
+        taken = {name.lower() for name in known.names}
+        added = [f for f in merged_json_schema(_unseen_lines(spark, src, now, store)).fields if f.name.lower() not in taken]
+        if added:
+            known = StructType([*known.fields, *added])
+            _save_schema(spark, known, schema_path)
+    inventory.publish(now, store)
+    return known
+
+
+def _unseen_lines(spark: SparkSession, src: str, now: DataFrame, store: str) -> DataFrame:
+    """The lines of files that are new or changed since the inventory at ``store``.
+
+    Files before the oldest of them are left out by their time, without a look into them. Only where
+    seen files are as young are the paths compared too.
+    """
+    unseen = written_once(inventory.difference(now, inventory.stored(spark, store)).where("change <> 'gone'"), "unseen-files")
+    since = unseen.agg(F.min(F.unix_micros("modified"))).first()[0]
+    lines = spark.read.option("recursiveFileLookup", "true").text(src)
+    if since is None:
+        return lines.select("value").limit(0)
+    moment = F.timestamp_micros(F.lit(since))
+    young = lines.where(F.col("_metadata.file_modification_time") >= moment).select("value", F.col("_metadata.file_name").alias("_name"), F.col("_metadata.file_path").alias("_path"))
+    others = now.join(unseen, "path", "left_anti").where(F.col("modified") >= moment)
+    if others.isEmpty():
+        return young.select("value")
+    wanted = unseen.select(F.regexp_replace("path", "^([a-z0-9]+):/+", "$1:/").alias("_path"))
+    plain = F.regexp_replace(F.url_decode(F.replace("_path", F.lit("+"), F.lit("%2B"))), "^([a-z0-9]+):/+", "$1:/")
+    return young.withColumn("_path", plain).join(wanted, "_path", "left_semi").select("value")
+
+
+#: How the merged type of JSON values is written, and the column type that holds all of them as JSON inference would.
+_MERGED_TYPE = re.compile(r"`(?:[^`]|``)*`|\b(?:OBJECT(?=<)|VARIANT\b(?!:)|VOID\b(?!:)|DECIMAL\(\d+,\s*(\d+)\))")
+
+
+def merged_json_schema(lines: DataFrame, value_col: str = "value") -> StructType:
+    """The schema of JSON lines by one aggregate that merges types: unlike ones become text, numbers the wider number.
+
+    Lines that are no JSON objects bring no columns.
+    """
+    merged = lines.select(F.try_parse_json(value_col).alias("v")).where(F.schema_of_variant("v").startswith("OBJECT<"))
+    found = merged.agg(F.schema_of_variant_agg("v")).first()[0]
+    if not found or not found.startswith("OBJECT<") or found == "OBJECT<>":
+        return StructType()
+
+    def plain(m: re.Match) -> str:
+        if m[0].startswith("`"):
+            return m[0]
+        if m[0] == "OBJECT":
+            return "STRUCT"
+        return "STRING" if m[0] in ("VARIANT", "VOID") else "DOUBLE" if int(m[1]) else "DECIMAL(38,0)"
+
+    return StructType.fromDDL(f"root {_MERGED_TYPE.sub(plain, found)}").fields[0].dataType
 
 
 def _infer(spark: SparkSession, src: str) -> StructType:
