@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from harborline.operators.contracts import check, enforce
 from harborline.operators.forecast import prepare_series, seasonal_forecast
+from harborline.operators.validity import VALID_FLAG
 from harborline.plans import bronze, forecasting, gold, marts, silver
 from harborline.sources.readers import read_table
-from harborline.sources.sinks import ensure_namespace, materialize, write_table
+from harborline.sources.sinks import ensure_namespace, materialize, read_split, write_split, write_table
 from harborline.streaming.events import ORDER_KEY, ORDER_TIME, OrderTables, fold_state, parse_events, read_state, run_order_stream
 from harborline.streaming.ingest import ingest_json_stream
 
@@ -33,9 +34,10 @@ def trips_job(
 ) -> dict[str, int]:
     """Landed trip files and weather JSON to bronze, silver, enriched and the three trip gold tables."""
     bronze.build_trips_bronze(spark, landing, f"{base}/bronze/trips", manifest=f"{base}/manifests/trips")
-    split = silver.trips_silver(read_table(spark, f"{base}/bronze/trips"), tiebreak)
-    kept, rejected = silver.build_silver(split, f"{base}/silver/trips", f"{base}/rejects/trips", partition_by)
-    joined = silver.trips_enriched(read_table(spark, f"{base}/silver/trips"), silver.weather_days(spark, weather))
+    settled = silver.trips_settled(read_table(spark, f"{base}/bronze/trips"), tiebreak)
+    kept, rejected = write_split(settled, f"{base}/silver/trips", VALID_FLAG, partition_by)
+    trips = read_split(spark, f"{base}/silver/trips", True, settled.schema)
+    joined = silver.trips_enriched(trips, silver.weather_days(spark, weather))
     enriched = write_table(joined, f"{base}/silver/trips_weather", partition_by=partition_by)
     wanted = gold.in_period(read_table(spark, f"{base}/silver/trips_weather"), *period)
     tables = gold.build_gold(gold.trip_gold_tables(wanted), namespace)
@@ -46,9 +48,9 @@ def reviews_job(spark: SparkSession, landing: str, base: str, namespace: str, ti
     """Newly landed review lines into bronze; silver and the review summary are rebuilt from it."""
     target = f"{base}/bronze/reviews"
     ingest_json_stream(spark, landing, f"{base}/schemas/reviews", f"{base}/checkpoints/reviews", target)
-    split = silver.reviews_silver(read_table(spark, target), tiebreak)
-    kept, rejected = silver.build_silver(split, f"{base}/silver/reviews", f"{base}/rejects/reviews", ["category"])
-    summary = gold.review_summary(read_table(spark, f"{base}/silver/reviews"))
+    settled = silver.reviews_settled(read_table(spark, target), tiebreak)
+    kept, rejected = write_split(settled, f"{base}/silver/reviews", VALID_FLAG, ["category"])
+    summary = gold.review_summary(read_split(spark, f"{base}/silver/reviews", True, settled.schema))
     return {"reviews": kept, "review_rejects": rejected, **gold.build_gold({"review_summary": summary}, namespace)}
 
 

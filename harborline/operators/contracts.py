@@ -1,7 +1,8 @@
-"""Data contracts: declare rules, evaluate them in as few passes as possible.
+"""Data contracts: declare rules, evaluate them in one pass over each table.
 
-All row-level rules of a table are counted in one aggregate; each uniqueness rule adds
-one grouped count. Only results (one row per rule) ever leave the executors.
+Rules without keys are counted in one aggregate. With uniqueness rules the aggregate has two levels: rows are
+grouped by key with the failures of all row rules summed on the way, and the groups are summed to totals. Several
+keys are grouping sets of that one pass. Only results (one row per rule) ever leave the executors.
 """
 
 from __future__ import annotations
@@ -63,31 +64,37 @@ def check(df: DataFrame, rules: Sequence[Rule], table: str) -> DataFrame:
     For ``unique``, ``failing_rows`` is the number of keys that occur more than once
     (keys with a NULL part are ignored).
     """
-    parts = []
-    row_rules = [r for r in rules if r.failing is not None]
-    if row_rules:
-        counts = [F.count_if(r.failing).alias(f"r{i}") for i, r in enumerate(row_rules)]
-        results = [
-            F.struct(
-                F.lit(r.column).alias("column_name"),
-                F.lit(r.name).alias("rule"),
-                F.col(f"r{i}").alias("failing_rows"),
-            )
-            for i, r in enumerate(row_rules)
-        ]
-        parts.append(df.agg(*counts).select(F.inline(F.array(*results))))
-    for r in rules:
-        if r.unique_over:
-            keyed = df.dropna(subset=list(r.unique_over)).groupBy(*r.unique_over)
-            sizes = keyed.agg(F.count(F.lit(1)).alias("_size"))
-            repeated = sizes.agg(F.count_if(F.col("_size") > 1).alias("failing_rows"))
-            parts.append(
-                repeated.select(F.lit(r.column).alias("column_name"), F.lit(r.name).alias("rule"), "failing_rows")
-            )
-    merged = reduce(DataFrame.unionByName, parts)
-    return merged.withColumns({"table_name": F.lit(table), "status": _status(F.col("failing_rows"))}).select(
-        *RESULT_COLUMNS
-    )
+    keyed = [r for r in rules if r.unique_over]
+    counted = _counted_by_key(df, rules, keyed) if keyed else df.agg(*[F.count_if(r.failing).alias(f"r{i}") for i, r in enumerate(rules)])
+    results = [
+        F.struct(
+            F.lit(table).alias("table_name"),
+            F.lit(r.column).alias("column_name"),
+            F.lit(r.name).alias("rule"),
+            F.col(f"r{i}").alias("failing_rows"),
+            _status(F.col(f"r{i}")).alias("status"),
+        )
+        for i, r in enumerate(rules)
+    ]
+    return counted.select(F.inline(F.array(*results))).select(*RESULT_COLUMNS)
+
+
+def _counted_by_key(df: DataFrame, rules: Sequence[Rule], keyed: Sequence[Rule]) -> DataFrame:
+    """One row: failures of rule ``i`` as ``r{i}``. Each row meets one group for each key, its flags the first of them only."""
+    flags = {i: F.coalesce(r.failing, F.lit(False)).cast("bigint").alias(f"f{i}") for i, r in enumerate(rules) if not r.unique_over}
+    keys = []
+    for j, r in enumerate(keyed):
+        whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in r.unique_over])
+        keys.append(F.when(whole, F.struct(*[F.col(c) for c in r.unique_over])).alias(f"k{j}"))
+    names = [f"k{j}" for j in range(len(keyed))]
+    rows = df.select(*keys, *flags.values())
+    grouped = rows.groupBy(*names) if len(names) == 1 else rows.groupingSets([[n] for n in names], *names)
+    which = F.lit(0) if len(names) == 1 else reduce(lambda acc, j: F.when(F.grouping(names[j]) == 0, F.lit(j)).otherwise(acc), range(len(names)), F.lit(-1))
+    groups = grouped.agg(which.alias("_set"), F.count(F.lit(1)).alias("_size"), *[F.sum(f"f{i}").alias(f"f{i}") for i in flags])
+    total = lambda c: F.coalesce(F.sum(F.when(F.col("_set") == 0, F.col(c))), F.lit(0))
+    repeated = lambda j: F.count_if((F.col("_set") == j) & F.col(f"k{j}").isNotNull() & (F.col("_size") > 1))
+    places = {id(r): j for j, r in enumerate(keyed)}
+    return groups.agg(*[(repeated(places[id(r)]) if r.unique_over else total(f"f{i}")).alias(f"r{i}") for i, r in enumerate(rules)])
 
 
 def expectations(df: DataFrame, table: str, rows: int | None = None, nulls: Mapping[str, int] | None = None) -> DataFrame:

@@ -31,21 +31,35 @@ def split_valid(df: DataFrame, cond: Column, null_policy: str = "reject") -> tup
     return df.filter(settled), df.filter(~settled)
 
 
-def keep_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
+def keep_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], row: Sequence[str] | None = None) -> DataFrame:
     """One row per key: the first under ``order_by``; ties go to the smaller hash of the whole row.
 
     The hash makes the winner the same in every run, whatever the order of the input.
     Catalyst turns ``row_number() <= 1`` into a group limit on both sides of the
     shuffle, so each task sends at most one row per key and a key that holds a large
-    share of the table never gathers in one task.
+    share of the table never gathers in one task. ``row`` names the columns of the hash, by default all.
     """
     if not order_by:
         raise ValueError("keep_latest needs an ordering")
-    hashed = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    named = df.columns if row is None else row
+    hashed = [F.col(f"`{f.name}`") for f in df.schema.fields if f.name in named and "map<" not in f.dataType.simpleString()]
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order_by, F.xxhash64(*hashed)))
     return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
 
 
+def settle(flagged: DataFrame, keys: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
+    """The newest valid row of each key and all rejected rows, with their flag, in one pass over the input.
+
+    Each rejected row is a group of its own in the window that ranks valid rows, so all of them pass and the group
+    limit before the shuffle holds for the others as in ``keep_latest``.
+    """
+    valid = F.col(VALID_FLAG)
+    groups = [f"_key{i}" for i in range(len(keys))]
+    own = {g: F.when(valid, F.col(k)) for g, k in zip(groups, keys, strict=True)} | {"_own": F.when(~valid, F.monotonically_increasing_id())}
+    row = [c for c in flagged.columns if c != VALID_FLAG]
+    return keep_latest(flagged.withColumns(own), [VALID_FLAG, *groups, "_own"], order_by, row).drop(*groups, "_own")
+
+
 def reconcile(flagged: DataFrame, deduped: DataFrame) -> DataFrame:
     """One row: input = valid + rejected, and how many valid rows deduplication removed."""
     zero = F.lit(0).cast("bigint")

@@ -19,7 +19,7 @@ from harborline.functions.columns import (
 )
 from harborline.operators.joins import enrich_daily
 from harborline.operators.projection import rename_present
-from harborline.operators.validity import flag_valid, keep_latest, split_valid
+from harborline.operators.validity import flag_valid, keep_latest, settle, split_valid
 from harborline.sources.readers import explode_parallel_arrays
 from harborline.sources.sinks import quarantine, write_table
 
@@ -109,6 +109,16 @@ def reviews_silver(bronze: DataFrame, tiebreak: Sequence[str] = (), null_policy:
     return keep_latest(valid, ["review_id"], _latest_order(tiebreak)), rejected
 
 
+def trips_settled(bronze: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
+    """Valid and deduplicated trips, and the rejected ones, with their flag, from one pass over bronze."""
+    return settle(trips_flagged(bronze), ["delivery_id"], _latest_order(tiebreak))
+
+
+def reviews_settled(bronze: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
+    """Valid and deduplicated reviews, and the rejected ones, with their flag, from one pass over bronze."""
+    return settle(reviews_flagged(bronze), ["review_id"], _latest_order(tiebreak))
+
+
 def build_silver(
     split: tuple[DataFrame, DataFrame], target: str, rejects: str, partition_by: Sequence[str], fmt: str = "parquet"
 ) -> tuple[int, int]:

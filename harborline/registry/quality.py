@@ -5,9 +5,10 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from harborline.operators import contracts
-from harborline.operators.profiling import row_counts
+from harborline.operators.validity import VALID_FLAG
 from harborline.plans import inputs, marts, silver
 from harborline.plans.audit import REVIEW_REQUIRED, TRIP_REQUIRED
 from harborline.plans.audit import silver_quality_summary as quality_summary
@@ -17,7 +18,8 @@ from harborline.registry.marts import order_status, staged_reviews, staged_trip_
 from harborline.registry.reviews import silver_reviews
 from harborline.registry.sql import FORECAST, ORDER_EVENTS, REVIEWS, TRIPS
 from harborline.registry.trips import enriched_trips, silver_trips
-from harborline.session import written_once
+from harborline.session import scratch_dir, written_once
+from harborline.sources.sinks import read_split, write_split
 
 # One oracle statement per rule; tables are named as in each block's common table expressions.
 _TABLES = {
@@ -102,16 +104,13 @@ _RULES = [
 
 def contract_rows(spark, sf_dir) -> DataFrame:
     trips = staged_trip_tables(spark, sf_dir)
-    # Both a row-rule pass and a uniqueness pass read these two.
-    status = written_once(order_status(spark, sf_dir), "order-status")
-    forecast = written_once(staged_forecast(spark, sf_dir), "forecast")
     frames = {
         "stg_daily_delivery_summary": trips["daily"],
         "stg_delivery_sla": trips["sla"],
         "stg_weather_delay_impact": trips["weather"],
         "stg_review_summary": staged_reviews(spark, sf_dir),
-        "stg_order_status_current": status,
-        "stg_demand_forecast": forecast,
+        "stg_order_status_current": order_status(spark, sf_dir),
+        "stg_demand_forecast": staged_forecast(spark, sf_dir),
     }
     rules = marts.staging_contracts()
     return reduce(DataFrame.unionByName, [contracts.check(frames[m], rules[m], m) for m in frames])
@@ -188,8 +187,27 @@ def expected_counts(spark, sf_dir):
 UNION ALL SELECT 'trip_rejects', count(*) FROM flagged WHERE NOT is_valid"""
 )
 def table_row_counts(spark, sf_dir):
-    kept, rejected = silver.trips_silver(inputs.raw_trips(spark, sf_dir), inputs.TRIP_TIEBREAK)
-    return row_counts({"trips": kept, "trip_rejects": rejected})
+    settled = silver.trips_settled(inputs.raw_trips(spark, sf_dir), inputs.TRIP_TIEBREAK)
+    sides = {"trips": F.col(VALID_FLAG), "trip_rejects": ~F.col(VALID_FLAG)}
+    counted = settled.agg(*[F.count_if(side).alias(name) for name, side in sides.items()])
+    return counted.select(F.inline(F.array(*[F.struct(F.lit(name).alias("table_name"), F.col(name).alias("row_count")) for name in sides])))
+
+
+@query(
+    TRIPS
+    + """SELECT 'trips' AS table_name, count(*) AS written_rows, count(*) AS observed_rows, count(DISTINCT vendor_id) AS folders FROM silver
+UNION ALL SELECT 'trip_rejects', count(*), count(*), count(DISTINCT vendor_id) FROM flagged WHERE NOT is_valid"""
+)
+def trip_split_write(spark, sf_dir):
+    """Valid and rejected trips written by one job over one read of bronze, and their counts as observed on the way."""
+    target = scratch_dir(spark, "trip-split")
+    settled = silver.trips_settled(inputs.raw_trips(spark, sf_dir), inputs.TRIP_TIEBREAK)
+    observed = write_split(settled, target, VALID_FLAG, ["vendor_id"])
+    sides = []
+    for name, kept, n in zip(("trips", "trip_rejects"), (True, False), observed, strict=True):
+        side = read_split(spark, target, kept, settled.schema)
+        sides.append(side.agg(F.lit(name).alias("table_name"), F.count("*").alias("written_rows"), F.lit(n).cast("long").alias("observed_rows"), F.count_distinct("vendor_id").alias("folders")))
+    return sides[0].unionByName(sides[1])
 
 
 def _quality_sql(name: str, expected: str, actual: str, good: str, source: str) -> str:

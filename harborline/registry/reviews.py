@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from harborline.functions.columns import array_count
 from harborline.operators.profiling import value_range
 from harborline.operators.projection import nested_fields
+from harborline.operators.validity import VALID_FLAG
 from harborline.plans import gold, inputs, silver
 from harborline.registry.core import query, shown
 from harborline.registry.sql import REVIEWS, moment
 from harborline.session import scratch_dir
-from harborline.sources.readers import read_table
+from harborline.sources.sinks import read_split, write_split
 
 _ROW = ["review_id", "asin", "user_id", "category", "review_ts", "rating", "text", "verified_purchase", "helpful_vote"]
 _IMAGES = ["image_count", "primary_image_url"]
@@ -31,11 +32,11 @@ def silver_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
   verified_purchase, helpful_vote, image_count, primary_image_url FROM silver"""
 )
 def review_silver_valid(spark, sf_dir):
-    """Writes the silver table partitioned by category, and its rejects, then reads it back."""
-    target, rejects = scratch_dir(spark, "reviews"), scratch_dir(spark, "review-rejects")
-    split = silver.reviews_silver(inputs.raw_reviews(spark, sf_dir), ["o_orderkey"])
-    silver.build_silver(tuple(df.select(*_ROW, *_IMAGES) for df in split), target, rejects, ["category"])
-    return shown(read_table(spark, target).select(*_ROW, *_IMAGES))
+    """Writes the silver table partitioned by category and its rejects in one job, then reads the valid side back."""
+    target = scratch_dir(spark, "reviews")
+    settled = silver.reviews_settled(inputs.raw_reviews(spark, sf_dir), ["o_orderkey"]).select(*_ROW, *_IMAGES, VALID_FLAG)
+    write_split(settled, target, VALID_FLAG, ["category"])
+    return shown(read_split(spark, target, True, settled.schema).select(*_ROW, *_IMAGES))
 
 
 @query(REVIEWS + "SELECT o_orderkey, image_count, primary_image_url FROM raw")

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from harborline.sources.readers import read_table
 
@@ -42,6 +42,30 @@ def quarantine(df: DataFrame, target: str, fmt: str = "parquet") -> int:
     return write_table(df, target, fmt=fmt)
 
 
+#: The folder level that keeps valid and rejected rows apart in a table written by ``write_split``.
+SPLIT = "is_valid"
+
+
+def write_split(settled: DataFrame, target: str, flag: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> tuple[int, int]:
+    """Write kept and rejected rows in one job, each under its own folder, and return their counts.
+
+    The input is computed once: the counts are observed while it is written. ``read_split`` reads one side.
+    """
+    out = settled.withColumnRenamed(flag, SPLIT)
+    seen = Observation()
+    kept = F.col(SPLIT)
+    observed = out.observe(seen, F.count_if(kept).alias("kept"), F.count_if(~kept).alias("rejected"))
+    observed.hint("rebalance", kept, *[F.col(c) for c in partition_by]).write.format(fmt).mode("overwrite").partitionBy(SPLIT, *partition_by).save(target)
+    return seen.get["kept"], seen.get["rejected"]
+
+
+def read_split(spark: SparkSession, target: str, kept: bool, schema: StructType, fmt: str = "parquet") -> DataFrame:
+    """The kept or the rejected rows of a split table, empty where there are none. ``schema`` is that of the rows written."""
+    fields = [f for f in schema.fields if f.name not in (SPLIT, "_is_valid")]
+    full = StructType([*fields, StructField(SPLIT, BooleanType())])
+    return spark.read.format(fmt).schema(full).load(target).where(F.col(SPLIT) == kept).drop(SPLIT)
+
+
 def export_tables(spark: SparkSession, names: Sequence[str], base: str) -> DataFrame:
     """Copy catalog tables to plain Parquet and report the rows written to each.
 

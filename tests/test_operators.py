@@ -4,9 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from harborline.operators import contracts as ct
-from harborline.operators import joins, profiling, projection, sla
+from harborline.operators import joins, profiling, projection, sla, validity
 from harborline.operators.validity import flag_valid, keep_latest, reconcile, reconcile_keys, split_valid
 from harborline.plans import gold
+from harborline.sources import sinks
 
 
 # --- validity ---------------------------------------------------------------------
@@ -238,3 +239,47 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
     with pytest.raises(ValueError):
         scratch_dir(cluster, "x")
     assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_unique_and_row_rules_share_one_scan(spark, tmp_path):
+    rows = [(1, "a", 5), (1, "b", None), (2, "a", -1), (None, "a", 5), (None, None, 5), (3, "c", 5), (3, "c", 5)]
+    spark.createDataFrame(rows, "k int, g string, v int").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    rules = [ct.unique("k"), ct.not_null("v"), ct.unique(["k", "g"]), ct.accepted_range("v", 0), ct.unique("v"), ct.not_null("k")]
+    for some in (rules, rules[:2], rules[1:2], rules[:1]):
+        checked = ct.check(df, some, "t")
+        plan = checked._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan parquet") == 1
+        got = {(r.column_name, r.rule): (r.failing_rows, r.status) for r in checked.collect()}
+        want = {("k", "unique"): (2, "FAIL"), ("v", "not_null"): (1, "FAIL"), ("k,g", "unique"): (1, "FAIL"), ("v", "accepted_range"): (1, "FAIL"), ("v", "unique"): (1, "FAIL"), ("k", "not_null"): (2, "FAIL")}
+        assert got == {(r.column, r.name): want[r.column, r.name] for r in some}
+    assert {r.failing_rows for r in ct.check(df.limit(0), rules, "t").collect()} == {0}
+
+
+def test_settling_equals_the_two_way_split(spark, rows):
+    data = [(i % 5, i % 3, i, i % 4 != 0) for i in range(40)] + [(None, 1, 99, True), (None, 0, 98, False), (None, 0, 98, False)]
+    df = spark.createDataFrame(data, "k int, g int, v int, ok boolean")
+    flagged = validity.flag_valid(df, F.col("ok"))
+    settled = validity.settle(flagged, ["k", "g"], [F.desc("v")])
+    valid, rejected = validity.split_valid(df, F.col("ok"))
+    assert rows(settled.filter("_is_valid").drop("_is_valid")) == rows(validity.keep_latest(valid, ["k", "g"], [F.desc("v")]))
+    assert rows(settled.filter("NOT _is_valid").drop("_is_valid")) == rows(rejected)
+
+
+def test_split_write_reads_its_input_once(spark, tmp_path, rows):
+    calls = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            calls.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(20).select("id", (F.col("id") % 3).cast("string").alias("part")).mapInArrow(seen, "id long, part string")
+    flagged = validity.flag_valid(df, F.col("id") % 4 != 0)
+    assert sinks.write_split(flagged, str(tmp_path / "s"), "_is_valid", ["part"]) == (15, 5)
+    assert calls.value == 20
+    for kept in (True, False):
+        got = rows(sinks.read_split(spark, str(tmp_path / "s"), kept, flagged.schema).select("id", "part"))
+        assert got == sorted(((i, str(i % 3)) for i in range(20) if (i % 4 != 0) == kept), key=repr)
+    assert sinks.write_split(flagged.filter("_is_valid"), str(tmp_path / "v"), "_is_valid") == (15, 0)
+    assert sinks.read_split(spark, str(tmp_path / "v"), False, flagged.schema).count() == 0
