@@ -1,21 +1,24 @@
 """Substring dedup by compact windows.
 
-A text is the sequence of its five-word shingles. For each of ``HASHES`` hash functions, the node of
+A text is the sequence of its five-word shingles. For a hash function, the node of
 the Cartesian tree over the shingles' hashes that has its least value at place ``c`` spans the compact window ``l..r``: every
-passage within it that contains ``c`` has that min-hash. Windows of at least ``WIDTH`` shingles (50 words) are kept, about
-``2 n / WIDTH`` for each function, and grouped by function and value: passages with one signature meet.
-Every window is held against two representatives of its group (those of the smallest and the largest document), which is
-linear in the group. Aligned windows of two documents are joined along their offset, and where at least ``ENOUGH``
-functions agree the passages are candidates. They are verified on the shingles themselves: the longest
+passage within it that contains ``c`` has that min-hash. Functions work in ``BANDS`` pairs. The windows of the two functions of
+a pair are joined as intervals: where they share ``WIDTH`` shingles (50 words) that hold both minima, every passage between has both
+min-hashes, and the key is the two values together. So passages meet only where two functions agree on the same stretch,
+and a frequent phrase alone brings nothing together. Two passages with a similarity of 0.8 meet in one of three pairs with a
+chance of 0.953, with one of 0.9 in 0.993.
+
+Stretches of one key are held against two representatives (those of the smallest and the largest document), which is
+linear in the group. Aligned stretches of two documents are joined along their offset and verified on the shingles themselves: the longest
 stretches with enough shared for each foreign shingle must have ``WIDTH`` shingles and a Jaccard similarity of 0.8 to their counterpart.
+Stretches that no verified passage explains after that may be like others of their group but like neither representative. They
+are grouped again by their key and one more shingle, at each of the ``ANCHORS`` from their minimum, and held against
+representatives once more: near copies share one of the four but for a chance of about 0.002.
 
 Defined results: texts of fewer than 50 words, null and empty texts have no passages; a passage that repeats within its
 document is found at each place that has no word in common with the one it is held against; rows with a null id take no part; repeated rows (equal id and
-text) are one document; an empty table gives no rows; other columns are ignored.
-
-Windows that no verified passage explains after that may be similar to others of their group but to neither representative. They
-are held against all windows, explained or not, with which they share the minima of two functions, so that a frequent phrase alone
-brings nothing together. Two passages with a similarity of 0.8 share two minima of five with a chance of 0.993.
+text) are one document, and an id has one text: of several texts under one id, spans of one may be cut from the other; an empty table gives no
+rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +34,11 @@ from harborline.llm import words as W
 from harborline.llm.tables import only_ids
 from harborline.session import written_once
 
-SIZE, WIDTH, HASHES, ENOUGH, SIMILARITY = 5, 46, 5, 1, 0.8
+SIZE, WIDTH, BANDS, SIMILARITY = 5, 46, 3, 0.8
+#: Places, from the first minimum of a stretch, whose shingles group it again.
+ANCHORS = (-14, -7, 7, 14)
+#: Bits of the filter of keys that occur twice (4 MB): fixed, whatever the corpus; it only saves moving rows.
+KEY_BITS = 25
 #: Shared shingles asked for a foreign one, from what is needed to what is enough.
 CHARGES = (4, 6, 8)
 #: How far two places of one text must be from each other for passages of ``WIDTH`` shingles not to share a word.
@@ -109,27 +116,84 @@ def _territories(values: np.ndarray, left: np.ndarray, centre: np.ndarray, right
     return own, centre, right, slack
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows ``(key, hash, doc_id, l, c, r, slack)``."""
+def joint_windows(one: tuple[np.ndarray, ...], other: tuple[np.ndarray, ...], width: int = WIDTH) -> tuple[np.ndarray, ...]:
+    """Rows of two lists of windows ``(l, c, r, ...)`` that share ``width`` places which hold both minima, and those places.
+
+    ``(row of one, row of other, l, r)``
+    """
+    l1, c1, r1 = one[:3]
+    order = np.argsort(other[1], kind="stable")
+    l2, c2, r2 = (x[order] for x in other[:3])
+    low, high = np.searchsorted(c2, l1, "left"), np.searchsorted(c2, r1, "right")
+    i = np.repeat(np.arange(len(c1)), high - low)
+    j = np.arange(len(i)) - np.repeat(np.cumsum(high - low) - (high - low), high - low) + low[i]
+    fits = (l2[j] <= c1[i]) & (c1[i] <= r2[j])
+    i, j = i[fits], j[fits]
+    left, right = np.maximum(l1[i], l2[j]), np.minimum(r1[i], r2[j])
+    wide = right - left + 1 >= width
+    return i[wide], order[j[wide]], left[wide], right[wide]
+
+
+def _joint(part: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each pair of functions: ``(band, keys, rows, l, c, r, slack, anchors)`` of its joint windows, places from the start of their text."""
+    shingles, at = W.shingles(*W.words(part.column("text")), SIZE)
+    long = np.flatnonzero(np.diff(at) >= WIDTH)
+    if not len(long):
+        return
+    sizes = np.diff(at)[long]
+    starts = 1 + np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
+    inner = np.repeat(starts - at[:-1][long], sizes) + np.repeat(at[:-1][long], sizes) + (np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes))
+    tokens = np.zeros(starts[-1] + sizes[-1] + 1, np.uint64)
+    tokens[inner] = np.concatenate([shingles[at[i] : at[i + 1]] for i in long])
+    seeds = W.randoms(2 * BANDS, 51)
+    for band in range(BANDS):
+        found = []
+        for seed in seeds[2 * band : 2 * band + 2]:
+            values = np.zeros(len(tokens), np.uint64)
+            values[inner] = W.mix(tokens[inner] ^ seed) | np.uint64(1)
+            found.append((values, *_territories(values, *compact_windows(values, WIDTH, every=True))))
+        (v1, *one), (v2, *other) = found
+        i, j, left, right = joint_windows(one, other)
+        centre, second = one[1][i], other[1][j]
+        keys = W.mix(v1[centre] + W.mix(v2[second]) + np.uint64(band))
+        rows = np.searchsorted(starts, centre, "right") - 1
+        anchors = [tokens[np.clip(centre + k, 0, len(tokens) - 1)] for k in ANCHORS]
+        yield band, keys, long[rows], left - starts[rows], centre - starts[rows], right - starts[rows], np.maximum(one[3][i], other[3][j]), np.stack(anchors, axis=1)
+
+
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``(key, n)`` by step."""
     for batch in batches:
         for part in W.steps(batch):
-            shingles, at = W.shingles(*W.words(part.column("text")), SIZE)
-            long = np.flatnonzero(np.diff(at) >= WIDTH)
-            if not len(long):
-                continue
-            sizes = np.diff(at)[long]
-            starts = 1 + np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
-            inner = np.repeat(starts - at[:-1][long], sizes) + np.repeat(at[:-1][long], sizes) + (np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes))
-            tokens = np.concatenate([shingles[at[i] : at[i + 1]] for i in long])
-            ids = part.column("doc_id").take(pa.array(long))
-            for j, seed in enumerate(W.randoms(HASHES, 51)):
-                values = np.zeros(starts[-1] + sizes[-1] + 1, np.uint64)
-                values[inner] = W.mix(tokens ^ seed) | np.uint64(1)
-                left, centre, right, slack = _territories(values, *compact_windows(values, WIDTH, every=True))
-                rows = np.searchsorted(starts, centre, "right") - 1
-                keys = W.signed(W.mix(values[centre] + np.uint64(j)))
-                places = [pa.array((p - starts[rows]).astype(np.int32)) for p in (left, centre, right)]
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(keys), j, np.int8)), ids.take(pa.array(rows)), *places, pa.array(slack)], ["key", "hash", "doc_id", "l", "c", "r", "slack"])
+            for _, keys, *_ in _joint(part):
+                unique, counts = np.unique(keys, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(W.signed(unique)), pa.array(counts)], ["key", "n"])
+
+
+def _windows(bits: np.ndarray):
+    """Rows ``(key, doc_id, l, c, r, slack, anchors)`` of the joint windows whose key may occur twice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in W.steps(batch):
+                for _, keys, rows, left, centre, right, slack, anchors in _joint(part):
+                    bit = keys >> np.uint64(64 - KEY_BITS)
+                    kept = (bits[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
+                    places = [pa.array(p[kept].astype(np.int32)) for p in (left, centre, right)]
+                    lists = pa.FixedSizeListArray.from_arrays(pa.array(_narrow(anchors[kept].ravel())), len(ANCHORS)).cast(pa.list_(pa.int32()))
+                    ids = part.column("doc_id").take(pa.array(rows[kept]))
+                    yield pa.RecordBatch.from_arrays([pa.array(W.signed(keys[kept])), ids, *places, pa.array(slack[kept]), lists], ["key", "doc_id", "l", "c", "r", "slack", "anchors"])
+
+    return run
+
+
+def _key_filter(repeated: DataFrame) -> np.ndarray:
+    bit = F.shiftrightunsigned("key", 64 - KEY_BITS)
+    words = repeated.select(bit.alias("_bit")).groupBy(F.expr("_bit div 64").alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(_bit % 64 as int))")).alias("bits"))
+    out = np.zeros(1 << (KEY_BITS - 6), np.int64)
+    for batch in words.toArrow().to_batches():  # 2 ** 19 rows at most
+        out[batch.column("at").to_numpy()] = batch.column("bits").to_numpy()
+    return out.view(np.uint64)
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,32 +305,10 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names)
 
 
-def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows ``(both, open, hash, doc_id, l, c, r, slack)``: the part that two windows of different functions share and that holds
-    both minima, under both keys; only where the group of one of them still has an open window."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            held = batch.column("windows").slice(i, 1).flatten()
-            key, kind, l, c, r, slack, near, todo = (held.field(f).to_numpy(zero_copy_only=False) for f in ("key", "hash", "l", "c", "r", "slack", "near", "open"))
-            order = np.argsort(c, kind="stable")
-            places = c[order]
-            low, high = np.searchsorted(places, l, "left"), np.searchsorted(places, r, "right")
-            one = np.repeat(np.arange(len(c)), high - low)
-            other = order[np.arange(len(one)) - np.repeat(np.cumsum(high - low) - (high - low), high - low) + low[one]]
-            fits = (kind[one] < kind[other]) & (near[one] | near[other]) & (l[other] <= c[one]) & (c[one] <= r[other])
-            one, other = one[fits], other[fits]
-            wide = np.minimum(r[one], r[other]) - np.maximum(l[one], l[other]) + 1 >= WIDTH
-            one, other = one[wide], other[wide]
-            both = W.signed(W.mix(key[one].view(np.uint64) + W.mix(key[other].view(np.uint64))))
-            doc = pa.array(np.full(len(one), batch.column("doc_id")[i].as_py(), np.int64))
-            places = [pa.array(v) for v in (np.maximum(l[one], l[other]), c[one], np.minimum(r[one], r[other]), np.maximum(slack[one], slack[other]))]
-            yield pa.RecordBatch.from_arrays([pa.array(both), pa.array(todo[one] | todo[other]), pa.array(kind[one]), doc, *places], ["both", "open", "hash", "doc_id", "l", "c", "r", "slack"])
-
-
-def _marked(live: DataFrame, links: DataFrame) -> DataFrame:
-    """``live`` with ``open``, for windows of groups of more than three whose minimum no link covers, and ``near``, for all of their groups.
-
-    In a group of up to three, the representatives are held against every other window.
+def _unexplained(live: DataFrame, links: DataFrame) -> DataFrame:
+    """The stretches of groups of more than three that a group still holds unexplained ones of, once for each anchor, with the key of both.
+
+    A stretch is explained if a link covers its minimum. In a group of up to three, the representatives are held against every other one.
     """
     sides = links.select("doc_id", F.col("start_word").alias("low"), F.col("end_word").alias("high"))
     sides = sides.union(links.select("source_id", "source_start", "source_end")).distinct()
@@ -277,25 +319,25 @@ def _marked(live: DataFrame, links: DataFrame) -> DataFrame:
     spans = sides.withColumn("reach", reach).withColumn("island", island).groupBy("doc_id", "island").agg(F.min("low").alias("low"), F.max("high").alias("high"))
     spans = spans.groupBy("doc_id").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
     covers = F.exists("spans", lambda p: (p["low"] <= F.col("c")) & (F.col("c") + SIZE <= p["high"]))
-    told = written_once(live.join(spans, "doc_id", "left").select(*live.columns, (~F.coalesce(covers, F.lit(False))).alias("alone")), "explained")
-    groups = told.groupBy("key").agg(F.count("*").alias("n"), F.max("alone").alias("some")).where("n > 3 and some").select("key", F.lit(True).alias("near"))
-    marked = told.join(groups, "key", "left").withColumn("near", F.coalesce("near", F.lit(False)))
-    return marked.select(*live.columns, "near", (F.col("near") & F.col("alone")).alias("open"))
-
-
-def _still_apart(live: DataFrame, links: DataFrame) -> DataFrame:
-    """All pairs of windows that share the minima of two functions, where no link explains one of them yet."""
-    names = ["key", "hash", "l", "c", "r", "slack", "near", "open"]
-    own = _marked(live, links).groupBy("doc_id").agg(F.collect_list(F.struct(*names)).alias("windows"), F.max("near").alias("some")).where("some")
-    rows = own.select("doc_id", "windows").mapInArrow(_signatures, "both long, open boolean, hash byte, doc_id long, l int, c int, r int, slack byte")
-    rows = written_once(rows, "double-keys")
-    groups = rows.groupBy("both").agg(F.count("*").alias("n"), F.max("open").alias("some")).where("n > 1 and some").select("both")
-    rows = written_once(rows.join(groups, "both"), "apart")
-    x, y = rows.where("open").alias("x"), rows.alias("y")
-    once = ~F.col("y.open") | (F.struct("x.doc_id", "x.c", "x.l", "x.r") < F.struct("y.doc_id", "y.c", "y.l", "y.r"))
-    pairs = x.join(y, (F.col("x.both") == F.col("y.both")) & once)
-    slack = F.greatest("x.slack", "y.slack").cast("int").alias("slack")
-    return pairs.select("x.hash", "x.doc_id", *[f"x.{p}" for p in "lcr"], slack, F.col("y.doc_id").alias("rep_id"), *[F.col(f"y.{p}").alias(f"rep_{p}") for p in "lcr"])
+    told = written_once(live.join(spans, "doc_id", "left").select(*live.columns, (~F.coalesce(covers, F.lit(False))).alias("open")), "explained")
+    groups = told.groupBy("key").agg(F.count("*").alias("n"), F.max("open").alias("some")).where("n > 3 and some").select("key")
+    near = told.join(groups, "key").select("*", F.posexplode("anchors").alias("at", "anchor"))
+    return near.withColumn("key", F.xxhash64("key", "at", "anchor")).drop("at", "anchor", "anchors")
+
+
+def _stars(live: DataFrame) -> DataFrame:
+    """Each stretch beside the two representatives of its key; where ``open`` is given, only of keys that hold an open one."""
+    own = F.struct("doc_id", "c", "l", "r", "slack")
+    if "open" in live.columns:
+        # representatives of the open ones: an explained one is held against them too
+        wanted = [F.min(F.when(F.col("open"), own)).alias("low"), F.max(F.when(F.col("open"), own)).alias("high")]
+        ends = live.groupBy("key").agg(*wanted, F.count("*").alias("n")).where("low is not null and n > 1")
+    else:
+        ends = live.groupBy("key").agg(F.min(own).alias("low"), F.max(own).alias("high")).where("low <> high")
+    ends = written_once(ends.select("key", "low", "high"), "representatives")
+    both = live.join(ends, "key").withColumn("rep", F.explode(F.array_distinct(F.array("low", "high"))))
+    slack = F.greatest("slack", "rep.slack").cast("int").alias("slack")
+    return both.select("doc_id", *"lcr", slack, F.col("rep.doc_id").alias("rep_id"), *[F.col(f"rep.{p}").alias(f"rep_{p}") for p in "lcr"])
 
 
 def _links(source: DataFrame, both: DataFrame) -> DataFrame:
@@ -305,22 +347,22 @@ def _links(source: DataFrame, both: DataFrame) -> DataFrame:
     before = F.least("c", "rep_c", F.least(F.expr("c - l"), F.expr("rep_c - rep_l")) + F.col("slack"))
     after = F.least(F.expr("r - c"), F.expr("rep_r - rep_c")) + F.col("slack")
     meets = both.where(apart)
-    meets = meets.select("doc_id", "rep_id", "hash", F.expr("c - rep_c").alias("shift"), (F.col("c") - before).alias("s"), (F.col("c") + after).alias("e"))
+    meets = meets.select("doc_id", "rep_id", F.expr("c - rep_c").alias("shift"), (F.col("c") - before).alias("s"), (F.col("c") + after).alias("e"))
     meets = meets.where(F.col("e") - F.col("s") + 1 >= WIDTH)
     # each pair of documents once, as (larger id, smaller id)
-    turned = meets.select(F.col("rep_id").alias("doc_id"), F.col("doc_id").alias("rep_id"), "hash", (-F.col("shift")).alias("shift"), F.expr("s - shift").alias("s"), F.expr("e - shift").alias("e"))
+    turned = meets.select(F.col("rep_id").alias("doc_id"), F.col("doc_id").alias("rep_id"), (-F.col("shift")).alias("shift"), F.expr("s - shift").alias("s"), F.expr("e - shift").alias("e"))
     meets = meets.where("doc_id > rep_id or (doc_id = rep_id and shift > 0)").union(turned.where("doc_id > rep_id or (doc_id = rep_id and shift > 0)")).distinct()
     # stretches of one offset that touch are one
-    along = Window.partitionBy("doc_id", "rep_id", "shift").orderBy("s", "e", "hash")
+    along = Window.partitionBy("doc_id", "rep_id", "shift").orderBy("s", "e")
     reach = F.max("e").over(along.rowsBetween(Window.unboundedPreceding, -1))
     island = F.sum(F.when(F.col("s") <= F.col("reach"), 0).otherwise(1)).over(along.rowsBetween(Window.unboundedPreceding, 0))
     stretches = meets.withColumn("reach", reach).withColumn("island", island).groupBy("doc_id", "rep_id", "shift", "island")
-    stretches = stretches.agg(F.min("s").alias("s"), F.max("e").alias("e"), F.count_distinct("hash").alias("n")).where(F.col("n") >= ENOUGH)
+    stretches = stretches.agg(F.min("s").alias("s"), F.max("e").alias("e"))
     found = written_once(stretches.select("doc_id", "rep_id", "s", "e", (F.col("s") - F.col("shift")).alias("rep_s"), (F.col("e") - F.col("shift")).alias("rep_e")), "stretches")
 
     # texts are moved once to the requests of both sides; a request of the larger id carries what it is held against
     ids = found.select("doc_id").union(found.select("rep_id"))
-    some = only_ids(source, F.col("doc_id"), ids, "doc_id").distinct()
+    some = only_ids(source, F.col("doc_id"), ids, "doc_id")
 
     def cut(requests: DataFrame, fields: list[str]) -> DataFrame:
         asked = requests.groupBy("doc_id").agg(F.collect_list(F.struct(*fields)).alias("wanted"))  # as many as a document has stretches
@@ -328,7 +370,7 @@ def _links(source: DataFrame, both: DataFrame) -> DataFrame:
         return some.join(asked.hint("merge"), "doc_id").select("doc_id", "text", "wanted").mapInArrow(_slices, f"doc_id long, {kinds}, tokens array<int>")
 
     against = found.select(F.col("rep_id").alias("doc_id"), F.col("rep_s").alias("s"), F.col("rep_e").alias("e")).distinct()
-    other = cut(against, ["s", "e"]).toDF("rep_id", "rep_s", "rep_e", "tokens_y")
+    other = cut(against, ["s", "e"]).toDF("rep_id", "rep_s", "rep_e", "tokens_y").dropDuplicates(["rep_id", "rep_s", "rep_e"])  # of repeated rows
     mine = cut(found, ["s", "e", "rep_id", "rep_s", "rep_e"]).withColumnRenamed("tokens", "tokens_x")
     pairs = mine.join(other, ["rep_id", "rep_s", "rep_e"])
     names = "doc_id long, start_word long, end_word long, source_id long, source_start long, source_end long, similarity double"
@@ -339,13 +381,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """``(doc_id, start_word, end_word, source_id, source_start, source_end, similarity)``: passages, in words from 0 with
     the end exclusive, that nearly repeat a passage of ``source_id``, a document with a smaller id or the same one."""
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).where("doc_id is not null and text is not null")
-    windows = source.mapInArrow(_windows, "key long, hash byte, doc_id long, l int, c int, r int, slack byte")
-    met = windows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    live = written_once(windows.join(met.select("key"), "key"), "windows")
-    own = F.struct("doc_id", "c", "l", "r", "slack")
-    ends = live.groupBy("key").agg(F.min(own).alias("low"), F.max(own).alias("high")).where("low <> high")
-    both = live.join(written_once(ends, "representatives"), "key").withColumn("rep", F.explode(F.array("low", "high")))
-    slack = F.greatest("slack", "rep.slack").cast("int").alias("slack")
-    both = both.select("hash", "doc_id", *"lcr", slack, F.col("rep.doc_id").alias("rep_id"), *[F.col(f"rep.{p}").alias(f"rep_{p}") for p in "lcr"])
-    links = written_once(_links(source, both), "links")
-    return links.union(_links(source, _still_apart(live, links))).distinct()
+    counted = source.select("text").mapInArrow(_keys, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    met = written_once(counted.where("n > 1").select("key"), "repeated-keys")
+    windows = source.mapInArrow(_windows(_key_filter(met)), "key long, doc_id long, l int, c int, r int, slack byte, anchors array<int>")
+    live = written_once(windows.join(met, "key"), "windows")
+    links = written_once(_links(source, _stars(live.drop("anchors"))), "links")
+    return links.union(_links(source, _stars(_unexplained(live, links)))).distinct()

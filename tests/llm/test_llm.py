@@ -356,7 +356,7 @@ def test_passages_unlike_the_representatives_of_their_group(spark):
     filler = lambda n: " ".join(f"f{next(fresh)}" for _ in range(n))
     passage = [f"p{i}" for i in range(50)]
     tokens, _ = W.shingles(*W.words(pa.array([" ".join(passage)])), compact_windows.SIZE)
-    least = [int(np.argmin(W.mix(tokens ^ seed) | np.uint64(1))) for seed in W.randoms(compact_windows.HASHES, 51)]
+    least = [int(np.argmin(W.mix(tokens ^ seed) | np.uint64(1))) for seed in W.randoms(2 * compact_windows.BANDS, 51)]
     # documents before and after that hold the least shingles of the passage, each in text of its own
     others = lambda: [f"{filler(60)} {' '.join(passage[at : at + 5])} {filler(60)}" for at in least for _ in range(16)]
     low, high = others(), others()
@@ -366,13 +366,34 @@ def test_passages_unlike_the_representatives_of_their_group(spark):
 
 
 def test_pairs_beyond_the_representatives(spark):
-    names = "key long, hash byte, doc_id long, l int, c int, r int, slack byte"
-    live = spark.createDataFrame([(1, 0, d, 0, 50, 100, 0) for d in range(6)] + [(2 + d // 2, 1, d, 0, 60, 100, 0) for d in (2, 3)], names)
-    links = spark.createDataFrame([], "doc_id long, start_word long, end_word long, source_id long, source_start long, source_end long, similarity double")
-    pairs = compact_windows._still_apart(live, links).select("doc_id", "rep_id").collect()
-    assert {tuple(r) for r in pairs} == {(2, 3)}
-    links = spark.createDataFrame([(3, 40, 100, 9, 0, 60, 1.0)], links.schema)
-    assert {tuple(r) for r in compact_windows._still_apart(live, links).select("doc_id", "rep_id").collect()} == {(2, 3)}
+    names = "key long, doc_id long, l int, c int, r int, slack byte, anchors array<int>"
+    live = spark.createDataFrame([(1, d, 0, 50, 100, 0, [d, 5 if d in (2, 3) else 10 + d, 20 + d, 30 + d]) for d in range(6)], names)
+    kind = "doc_id long, start_word long, end_word long, source_id long, source_start long, source_end long, similarity double"
+
+    def pairs(*links):
+        near = compact_windows._unexplained(live, spark.createDataFrame(list(links), kind))
+        return {tuple(sorted(r)) for r in compact_windows._stars(near).select("doc_id", "rep_id").collect() if r[0] != r[1]}
+
+    assert pairs() == {(2, 3)}
+    assert pairs((3, 40, 100, 9, 0, 60, 1.0)) == {(2, 3)}  # an explained one still answers for an open one
+    assert pairs(*[(d, 40, 100, 9, 0, 60, 1.0) for d in range(6)]) == set()
+
+
+def test_joint_windows_equal_brute_force():
+    rng = np.random.default_rng(3)
+    lists = []
+    for seed in (1, 2):
+        v = np.concatenate([[0], rng.permutation(400) + 1, [0], rng.permutation(90) + 1, [0]]).astype(np.uint64)
+        lists.append(compact_windows.compact_windows(v, 46))
+    one, other = lists
+    got = {(int(i), int(j), int(a), int(b)) for i, j, a, b in zip(*compact_windows.joint_windows(one, other), strict=True)}
+    want = set()
+    for i, (l1, c1, r1) in enumerate(zip(*one, strict=True)):
+        for j, (l2, c2, r2) in enumerate(zip(*other, strict=True)):
+            a, b = max(l1, l2), min(r1, r2)
+            if a <= min(c1, c2) and max(c1, c2) <= b and b - a + 1 >= 46:
+                want.add((i, j, int(a), int(b)))
+    assert got == want and want
 
 
 def test_similar_stretches_of_awkward_passages():
