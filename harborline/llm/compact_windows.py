@@ -229,15 +229,18 @@ def longest_stretch(shared: np.ndarray, charge: int) -> tuple[int, int]:
     return int(first[best]), int(starts[best]) + 1
 
 
-def _counterpart(x: np.ndarray, y: np.ndarray, shared: np.ndarray, charge: int) -> tuple[int, int, int, int, float]:
-    """The longest stretch of ``x``, what answers to it in ``y``, and their similarity; 0 if one is too short."""
+def _counterpart(x: np.ndarray, y: np.ndarray, shared: np.ndarray, charge: int, kinds: int) -> tuple[int, int, int, int, float]:
+    """The longest stretch of ``x``, what answers to it in ``y``, and their similarity; 0 if one is too short. Shingles are numbers below ``kinds``."""
     a, b = longest_stretch(shared, charge)
     if b - a < WIDTH:
         return a, b, 0, 0, 0.0
-    c, d = longest_stretch(np.isin(y, x[a:b]), charge)
-    own, other = np.unique(x[a:b]), np.unique(y[c:d])
-    both = len(np.intersect1d(own, other, assume_unique=True))
-    return a, b, c, d, both / (len(own) + len(other) - both) if d - c >= WIDTH else 0.0
+    own = np.zeros(kinds, bool)
+    own[x[a:b]] = True
+    c, d = longest_stretch(own[y], charge)
+    other = np.zeros(kinds, bool)
+    other[y[c:d]] = True
+    both = int(np.count_nonzero(own & other))
+    return a, b, c, d, both / (int(np.count_nonzero(own)) + int(np.count_nonzero(other)) - both) if d - c >= WIDTH else 0.0
 
 
 def verified(x: np.ndarray, y: np.ndarray) -> Iterator[tuple[int, int, int, int, float]]:
@@ -246,12 +249,20 @@ def verified(x: np.ndarray, y: np.ndarray) -> Iterator[tuple[int, int, int, int,
     A similarity of 0.8 needs four shared shingles for a foreign one on either side, and eight on both sides are enough:
     the longest stretch is tried by each of ``CHARGES``. One that fails is narrowed to what its counterpart shares, or else parted at its widest gap.
     """
-    shared, left = np.isin(x, y), [(0, len(x))]
+    if len(x) == len(y) and (x == y).all():
+        if len(x) >= WIDTH:
+            yield 0, len(x), 0, len(x), 1.0
+        return
+    names, numbers = np.unique(np.concatenate([x, y]), return_inverse=True)
+    x, y, kinds = numbers[: len(x)], numbers[len(x) :], len(names)
+    there = np.zeros(kinds, bool)
+    there[y] = True
+    shared, left = there[x], [(0, len(x))]
     while left:
         low, high = left.pop()
         held = None
         for charge in CHARGES if high - low >= WIDTH else ():
-            tried = _counterpart(x[low:high], y, shared[low:high], charge)
+            tried = _counterpart(x[low:high], y, shared[low:high], charge, kinds)
             if tried[1] - tried[0] < WIDTH:
                 break
             held = tried
@@ -264,7 +275,9 @@ def verified(x: np.ndarray, y: np.ndarray) -> Iterator[tuple[int, int, int, int,
         if similarity >= SIMILARITY:
             yield a, b, c, d, similarity
             continue
-        p, q = (a + k for k in longest_stretch(np.isin(x[a:b], y[c:d]), CHARGES[-1]))
+        there = np.zeros(kinds, bool)
+        there[y[c:d]] = True
+        p, q = (a + k for k in longest_stretch(there[x[a:b]], CHARGES[-1]))
         if WIDTH <= q - p < b - a:
             left += [(a, p), (p, q), (q, b)]
             continue
@@ -293,45 +306,27 @@ def _parted(x: np.ndarray, y: np.ndarray, shift: int) -> Iterator[tuple[int, int
                 yield a + first, b + first, c, d, similarity
 
 
-def _aligned(x: np.ndarray, x_at: np.ndarray, y: np.ndarray, y_at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For rows of pairs of passages: how many shingles of ``x`` are shared, and where they are one run of ``y``'s at the same places, its start and end.
-
-    Rows whose shared shingles are no such run have an end of -1.
-    """
-    n = len(x_at) - 1
-    rows = [np.repeat(np.arange(n), np.diff(at)) for at in (x_at, y_at)]
-    tag = lambda r, tokens: (r.astype(np.int64) << 32) | tokens.view(np.uint32).astype(np.int64)
-    shared = np.isin(tag(rows[0], x), tag(rows[1], y))
-    count = np.bincount(rows[0][shared], minlength=n)
-    place = np.arange(len(x)) - x_at[:-1][rows[0]]
-    beside = np.minimum(y_at[:-1][rows[0]] + place, max(len(y) - 1, 0))
-    same = (place < np.diff(y_at)[rows[0]]) & (x == y[beside]) if len(y) else np.zeros(len(x), bool)
-    straight = np.bincount(rows[0][shared & ~same], minlength=n) == 0
-    hits = np.flatnonzero(shared)
-    first, last = np.full(n, 0, np.int64), np.full(n, -1, np.int64)
-    first[rows[0][hits[::-1]]] = place[hits[::-1]]
-    last[rows[0][hits]] = place[hits]
-    return count, first, np.where(straight & (last - first + 1 == count), last + 1, -1)
+#: Results of verified pairs that a task remembers: copies of one passage are held against one representative.
+REMEMBERED = 20_000
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "start_word", "end_word", "source_id", "source_start", "source_end", "similarity"]
     kinds = [pa.int64()] * 6 + [pa.float64()]
+    known: dict[bytes, list] = {}
     for batch in batches:
         (x, x_at), (y, y_at) = ((c.flatten().to_numpy(zero_copy_only=False), c.offsets.to_numpy() - c.offsets[0].as_py()) for c in (batch.column("tokens_x"), batch.column("tokens_y")))
         doc, s, rep, t = (batch.column(c).to_numpy() for c in ("doc_id", "s", "rep_id", "rep_s"))
-        count, first, end = _aligned(x, x_at, y, y_at)
-        # most pairs share one run that is equal on both sides, or too little for any passage; no loop is needed for them
-        simple = (doc != rep) & (end >= 0)
-        plain = np.flatnonzero(simple & (end - first >= WIDTH))
-        a, b = first[plain], end[plain] + SIZE - 1
-        columns = [doc[plain], s[plain] + a, s[plain] + b, rep[plain], t[plain] + a, t[plain] + b, np.ones(len(plain))]
-        yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], names)
         rows = []
-        for i in np.flatnonzero(~simple & (count * (CHARGES[0] + 1) >= WIDTH * CHARGES[0])).tolist():
+        for i in range(len(doc)):
             own, other = x[x_at[i] : x_at[i + 1]], y[y_at[i] : y_at[i + 1]]
-            found = _parted(own, other, int(s[i] - t[i])) if doc[i] == rep[i] else verified(own, other)
-            rows += [(int(doc[i]), int(s[i]) + a, int(s[i]) + b + SIZE - 1, int(rep[i]), int(t[i]) + c, int(t[i]) + d + SIZE - 1, similarity) for a, b, c, d, similarity in found]
+            shift = int(s[i] - t[i]) if doc[i] == rep[i] else 0
+            pair = b"%d:%d:" % (shift, len(own)) + own.tobytes() + other.tobytes()
+            if pair not in known:
+                if len(known) >= REMEMBERED:
+                    known.clear()
+                known[pair] = list(_parted(own, other, shift) if shift else verified(own, other))
+            rows += [(int(doc[i]), int(s[i]) + a, int(s[i]) + b + SIZE - 1, int(rep[i]), int(t[i]) + c, int(t[i]) + d + SIZE - 1, similarity) for a, b, c, d, similarity in known[pair]]
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names)
 
 

@@ -379,34 +379,6 @@ def test_pairs_beyond_the_representatives(spark):
     assert pairs(*[(d, 40, 100, 9, 0, 60, 1.0) for d in range(6)]) == set()
 
 
-def test_shared_runs_are_found_without_a_loop():
-    rng = np.random.default_rng(4)
-    cases = []
-    for kind in range(60):
-        x, y = rng.integers(0, 10**6, 80), rng.integers(0, 10**6, 80)
-        a, b = sorted(rng.integers(0, 80, 2))
-        if kind % 3:
-            x[a:b] = y[a:b]
-        if kind % 5 == 0:
-            x[rng.integers(0, 80)] = y[rng.integers(0, 80)]
-        if kind % 7 == 0:
-            y = y[: rng.integers(0, 80)]
-        cases.append((x.astype(np.int32), y.astype(np.int32)))
-    at = lambda k: np.concatenate([[0], np.cumsum([len(c[k]) for c in cases])])
-    count, first, end = compact_windows._aligned(np.concatenate([c[0] for c in cases]), at(0), np.concatenate([c[1] for c in cases]), at(1))
-    for i, (x, y) in enumerate(cases):
-        shared = np.isin(x, y)
-        assert count[i] == shared.sum()
-        if end[i] >= 0:
-            run = np.arange(first[i], end[i])
-            assert set(run) == set(np.flatnonzero(shared)) and (x[run] == y[run]).all()
-            want = [v for v in compact_windows.verified(x, y)]
-            assert ([(first[i], end[i], first[i], end[i], 1.0)] if len(run) >= 46 else []) == want
-        elif shared.sum() * 5 < 46 * 4:
-            assert list(compact_windows.verified(x, y)) == []
-    assert (end >= 0).sum() > 20
-
-
 def test_joint_windows_equal_brute_force():
     rng = np.random.default_rng(3)
     lists = []
