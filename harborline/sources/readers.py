@@ -13,7 +13,7 @@ from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructFi
 
 from harborline.operators.projection import cast_columns
 from harborline.session import written_once
-from harborline.sources import inventory
+from harborline.sources import folders, inventory
 
 RESCUED = "_rescued_data"
 _CORRUPT = "_corrupt_record"
@@ -295,13 +295,11 @@ def rescued_sample(df: DataFrame, n: int = 10) -> DataFrame:
 
 def saved_schema(spark: SparkSession, path: str) -> StructType | None:
     """The schema persisted at ``path``, or None if there is none yet."""
-    from pyspark.errors import AnalysisException
     import json
 
-    try:
-        lines = spark.read.text(path, wholetext=True).head(1)
-    except AnalysisException:
+    if not folders.exists(spark, path):
         return None
+    lines = spark.read.text(path, wholetext=True).head(1)
     return StructType.fromJson(json.loads(lines[0].value)) if lines else None
 
 
