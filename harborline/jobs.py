@@ -6,16 +6,16 @@ They only wire plans, sources and sinks together, for ``spark-submit`` or a note
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from harborline.operators.contracts import check, enforce
 from harborline.operators.forecast import prepare_series, seasonal_forecast
 from harborline.operators.validity import VALID_FLAG
-from harborline.plans import bronze, forecasting, gold, marts, silver
+from harborline.plans import bronze, catalogue, forecasting, gold, marts, silver
 from harborline.sources.readers import read_table
-from harborline.sources.sinks import ensure_namespace, materialize, read_split, write_split, write_table
+from harborline.sources.sinks import read_split, write_split, write_table
 from harborline.streaming.events import ORDER_KEY, ORDER_TIME, OrderTables, fold_state, parse_events, read_state, run_order_stream
 from harborline.streaming.ingest import ingest_json_stream
 
@@ -71,32 +71,13 @@ def forecast_job(spark: SparkSession, namespace: str, horizon: int = 30) -> Data
     return forecasting.run_record(forecasting.evaluate(series, n=horizon), spark.table(f"{namespace}.demand_forecast"))
 
 
-def staged(spark: SparkSession, namespace: str, names: Sequence[str]) -> Mapping[str, DataFrame]:
-    """Staging views over gold tables."""
-    return {
-        name: materialize(getattr(marts, f"stg_{name}")(spark.table(f"{namespace}.{name}")), f"stg_{name}")
-        for name in names
-    }
-
-
 def marts_job(spark: SparkSession, namespace: str, target: str, strict: bool = True) -> dict[str, DataFrame]:
-    """Stage the six gold tables, check their contracts, and rebuild the five mart tables.
+    """Publish the six staging views and the daily model, check the contracts, and rebuild the five mart tables.
 
     With ``strict`` a failed contract stops the job before any mart is written.
     """
-    views = staged(spark, namespace, [model.removeprefix("stg_") for model in marts.staging_contracts()])
+    views = catalogue.publish_views(spark, namespace, target)
     if strict:
         for model, rules in marts.staging_contracts().items():
-            enforce(check(views[model.removeprefix("stg_")], rules, model))
-    daily = marts.int_daily_performance(
-        views["daily_delivery_summary"], views["delivery_sla"], views["weather_delay_impact"]
-    )
-    built = {
-        "mart_daily_performance": daily,
-        "mart_weather_delay_correlation": marts.mart_weather_delay_correlation(daily),
-        "mart_review_analytics": marts.mart_review_analytics(views["review_summary"]),
-        "mart_vendor_performance": marts.mart_vendor_performance(views["order_status_current"]),
-        "mart_demand_forecast": marts.mart_demand_forecast(views["demand_forecast"]),
-    }
-    ensure_namespace(spark, target)
-    return {name: materialize(df, f"{target}.{name}", "table") for name, df in built.items()}
+            enforce(check(views[model], rules, model))
+    return catalogue.publish_tables(spark, target)

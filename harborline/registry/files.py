@@ -11,7 +11,7 @@ from pyspark.sql.types import DateType, DoubleType, LongType, StringType, Struct
 from harborline.functions.columns import month_in_path
 from harborline.operators.profiling import run_summary, sample_rows
 from harborline.operators.projection import lower_names
-from harborline.plans import gold, inputs, marts
+from harborline.plans import catalogue, gold, inputs, marts
 from harborline.plans.bronze import build_trips_bronze
 from harborline.plans.external import read_exported
 from harborline.registry.core import query, shown
@@ -219,6 +219,25 @@ def exported_gold_to_daily_model(spark, sf_dir):
     return shown(model, total_revenue=6)
 
 
+@query(
+    TRIPS
+    + f"""SELECT {day("pickup_date")} AS pickup_date, trip_count, round(total_revenue, 6) AS total_revenue,
+  precipitation_mm, snowfall_cm, temp_max_c, temp_min_c, sla_total_trips, on_time_trips, delayed_trips,
+  round(on_time_rate + 1e-11, 8) AS on_time_rate, round(avg_delay_minutes + 1e-11, 8) AS avg_delay_minutes,
+  weather_severity, weather_on_time_rate, weather_avg_delay_minutes, days_of_severity
+FROM daily_perf LEFT JOIN (SELECT weather_severity, count(*) AS days_of_severity FROM daily_perf GROUP BY 1) USING (weather_severity)"""
+)
+def catalogue_models(spark, sf_dir):
+    """Gold tables, persistent views over them, and two marts as tables of a fresh namespace, read back together."""
+    base = scratch_dir(spark, "catalogue")
+    space = base.rsplit("-", 1)[-1]
+    gold.build_gold(gold.trip_gold_tables(gold_trips(spark, sf_dir)), f"gold_{space}", f"{base}/gold")
+    sinks.ensure_namespace(spark, f"models_{space}", f"{base}/models")
+    built = catalogue.publish(spark, f"gold_{space}", f"models_{space}", ["mart_daily_performance", "mart_weather_delay_correlation"])
+    tiers = built["mart_weather_delay_correlation"].select("weather_severity", F.col("day_count").alias("days_of_severity"))
+    return shown(built["mart_daily_performance"].join(tiers, "weather_severity", "left"), total_revenue=6)
+
+
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
 def json_path_projection(spark, sf_dir):
     event = inputs.table(spark, sf_dir, "events")

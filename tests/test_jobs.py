@@ -1,13 +1,16 @@
 """The jobs end to end, from landed files to marts, against the registered queries."""
 
+import datetime as dt
 import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from harborline import jobs
 from harborline.operators.contracts import ContractViolation
-from harborline.plans import inputs
+from harborline.plans import catalogue, gold, inputs, marts
+from harborline.plans.external import GOLD_SCHEMAS
 from harborline.registry.core import QUERIES, shown
 from harborline.registry.trips import PERIOD
 from harborline.streaming.events import event_source
@@ -78,3 +81,30 @@ def test_all_jobs(spark, landed, rows):
     same(rows, built["mart_vendor_performance"], QUERIES["mart_vendor_performance"](spark, SMALL), total_order_value=4)
     assert built["mart_weather_delay_correlation"].count() == 4
     assert built["mart_demand_forecast"].filter("pct_error IS NOT NULL").count() == days
+    assert {t.name: t.tableType for t in spark.catalog.listTables("job_marts") if not t.isTemporary} == {
+        name: "VIEW" if name in catalogue.VIEWS else "MANAGED" for name in catalogue.NEEDS
+    }
+    for name in ("review_summary", "demand_forecast", "order_status_current"):
+        same(rows, spark.table(f"job_marts.stg_{name}"), shown(getattr(marts, f"stg_{name}")(spark.table(f"{space}.{name}"))))
+
+
+def test_views_stand_between_gold_and_marts(spark, tmp_path):
+    tables = {
+        name: spark.createDataFrame([], StructType.fromDDL(ddl)) for name, ddl in GOLD_SCHEMAS.items() if name in ("delivery_sla", "weather_delay_impact")
+    }
+    first = dt.date(2023, 1, 1)
+    tables["daily_delivery_summary"] = spark.createDataFrame([(first, 3, 1.0, 2.0, 1.0, 1.0, 0.0, 0.0, 1.0, 0.0)], GOLD_SCHEMAS["daily_delivery_summary"])
+    gold.build_gold(tables, "views_gold", str(tmp_path / "gold"))
+    views = catalogue.publish_views(spark, "views_gold", "views_models", ["mart_daily_performance"])
+    assert list(views)[-1] == "int_daily_performance" and len(views) == 4  # made after what it reads, and nothing else
+    assert catalogue.build_order()[-1] in catalogue.TABLES
+    daily = spark.table("views_models.int_daily_performance")
+    assert daily.dtypes == marts.int_daily_performance(*[spark.table(f"views_gold.{t}") for t in ("daily_delivery_summary", "delivery_sla", "weather_delay_impact")]).dtypes
+    plan = daily.select("pickup_date", "trip_count", "sla_total_trips")._jdf.queryExecution().executedPlan().toString()
+    # one scan a gold table and none between the views; columns are pruned through both layers
+    assert plan.count("FileScan") <= 3 and "total_revenue" not in plan
+    assert [r.trip_count for r in daily.collect()] == [3]
+    gold.build_gold({"daily_delivery_summary": tables["daily_delivery_summary"].withColumn("trip_count", F.lit(8).cast("long"))}, "views_gold")
+    assert [r.trip_count for r in spark.table("views_models.int_daily_performance").collect()] == [8]
+    again = catalogue.publish(spark, "views_gold", "views_models", ["mart_daily_performance"])
+    assert again["mart_daily_performance"].count() == 1
