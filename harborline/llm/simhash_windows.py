@@ -2,9 +2,11 @@
 
 Each benchmark item has a 256-bit SimHash of its five-word shingles, weighted by their counts.
 Every window of a document that is as long as the item gets one too. The fingerprints are cut into
-16 blocks of 16 bits: two fingerprints within ``RADIUS`` bits differ by at most ``RADIUS // 16`` bits in
-one block at least. The search is a full scan: each window is held against all items of its length, with no lookup by block
-(``RADIUS`` is 4 standard deviations above the distance expected at the similarity sought).
+16 blocks of 16 bits: two fingerprints within ``RADIUS`` bits differ by at most ``RADIUS // 16 = 3`` bits in
+one block at least (``RADIUS`` is 4 standard deviations above the distance expected at the similarity sought).
+The index holds, for each length and block, the values within ``reach`` bits of each item's; a window looks up all values within the
+``3 - reach`` bits left, so that together they find every item within the radius. ``reach`` is the largest whose index is
+within ``MOST_ENTRIES``: the more items, the more of the work moves from the index to the lookups. What is found does not depend on it.
 Pairs within the radius are verified by the exact weighted Jaccard similarity of their shingles,
 ``sum(min(counts)) / sum(max(counts))``. Windows that hold too few shingles of the benchmark
 to reach the similarity with any item of their length are not fingerprinted; that loses none.
@@ -21,6 +23,7 @@ all columns, rows with null ids included; empty tables find nothing.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +33,10 @@ from pyspark.sql import functions as F
 from harborline.llm import words as W
 
 SIZE, SIMILARITY = 5, 0.8
-LANES, RADIUS, BLOCK_BITS = 4, 64, 16
+LANES, RADIUS, BLOCK_BITS = 4, 63, 16
+BLOCKS = LANES * 64 // BLOCK_BITS
+#: Entries of the index of one broadcast block of items, 8 bytes each.
+MOST_ENTRIES = 1 << 22
 #: Characters of benchmark text in one broadcast block.
 BLOCK_CHARS = 4_000_000
 FINDING = "doc_id long, item_id long, start_word long, n_words long, similarity double"
@@ -47,6 +53,41 @@ def _packed(ones: np.ndarray, m: np.ndarray) -> np.ndarray:
     return np.packbits(2 * ones > m[:, None], axis=1).view(np.uint16)
 
 
+def masks(most: int) -> np.ndarray:
+    """All block values with at most ``most`` bits set."""
+    return np.array([sum(1 << b for b in bits) for k in range(most + 1) for bits in combinations(range(BLOCK_BITS), k)], np.uint32)
+
+
+class Blocks:
+    """The multi-index over fingerprints: sorted keys, a block's number above one of its values, and the fingerprint each is of."""
+
+    def __init__(self, marks: np.ndarray, reach: int):
+        self.marks, self.probes = marks, masks(RADIUS // BLOCKS - reach)
+        keys = self._keys(marks, masks(reach))
+        order = np.argsort(keys, axis=None, kind="stable")
+        self.keys = keys.ravel()[order]
+        self.of = (order // keys.shape[1]).astype(np.int32)
+
+    @staticmethod
+    def _keys(marks: np.ndarray, around: np.ndarray) -> np.ndarray:
+        """For each fingerprint the keys of all values around those of its blocks."""
+        own = marks.astype(np.uint32) | (np.arange(BLOCKS, dtype=np.uint32) << BLOCK_BITS)
+        return (own[:, :, None] ^ around).reshape(len(marks), BLOCKS * len(around))
+
+    def near(self, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All pairs (row of ``marks``, own fingerprint) within the radius."""
+        keys = self._keys(marks, self.probes)
+        low = np.searchsorted(self.keys, keys.ravel(), "left")
+        n = np.searchsorted(self.keys, keys.ravel(), "right") - low
+        hit = np.flatnonzero(n)
+        low, n = low[hit], n[hit]
+        found = self.of[np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+        pairs = np.unique(np.repeat(hit // keys.shape[1], n) * len(self.marks) + found)
+        row, own = pairs // max(len(self.marks), 1), pairs % max(len(self.marks), 1)
+        close = np.bitwise_count(marks[row] ^ self.marks[own]).sum(axis=1, dtype=np.int64) <= RADIUS
+        return row[close], own[close]
+
+
 class Items:
     """The fingerprints of a block of benchmark items, cut into blocks of bits."""
 
@@ -63,7 +104,11 @@ class Items:
         self.known = np.unique(np.concatenate([s for s, _ in self.sets])) if len(some) else np.zeros(0, np.uint64)
         self.bitmap = np.zeros(1 << 20, bool)
         self.bitmap[(self.known >> np.uint64(44)).astype(np.int64)] = True
-        self.by_length = {int(n): np.flatnonzero(self.n_words == n) for n in np.unique(self.n_words)}
+        reach = max([r for r in range(RADIUS // BLOCKS + 1) if len(some) * BLOCKS * len(masks(r)) <= MOST_ENTRIES], default=0)
+        self.by_length = {}
+        for n in np.unique(self.n_words):
+            items = np.flatnonzero(self.n_words == n)
+            self.by_length[int(n)] = items, Blocks(self.marks[items], reach)
 
     def hits(self, shingles: np.ndarray) -> np.ndarray:
         """Which shingles occur in the benchmark."""
@@ -74,14 +119,6 @@ class Items:
             found[where] = self.known[k] == shingles[where]
         return found
 
-    def near(self, marks: np.ndarray, items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (window, item) within the radius: a full scan of the items given."""
-        apart = np.bitwise_count(marks[:, None, :] ^ self.marks[items][None, :, :])
-        candidate = (apart <= RADIUS // (256 // BLOCK_BITS)).any(axis=2)
-        w, i = np.nonzero(candidate)
-        close = apart[w, i].sum(axis=1, dtype=np.int64) <= RADIUS
-        return w[close], items[i[close]]
-
     def similarity(self, window: np.ndarray, item: int) -> float:
         known, counts = self.sets[item]
         own, own_counts = np.unique(window, return_counts=True)
@@ -96,7 +133,7 @@ class Items:
             return []
         total = np.concatenate([[0], np.cumsum(hit)])
         best: dict[int, tuple[int, int, int, float]] = {}
-        for length, items in self.by_length.items():
+        for length, (items, blocks) in self.by_length.items():
             width = min(max(length - SIZE + 1, 1), len(shingles))
             if length < SIZE and n_words != length:
                 continue
@@ -110,7 +147,8 @@ class Items:
                 sums = np.zeros((some[-1] + width - low + 1, LANES * 64), np.int32)
                 np.cumsum(fingerprint_bits(shingles[low : some[-1] + width]), axis=0, out=sums[1:])
                 marks = _packed(sums[some - low + width] - sums[some - low], np.full(len(some), width))
-                for w, item in zip(*self.near(marks, items), strict=True):
+                for w, own in zip(*blocks.near(marks), strict=True):
+                    item = int(items[own])
                     start = int(some[w])
                     score = self.similarity(shingles[start : start + width], item)
                     if score >= SIMILARITY and score > best.get(item, (0, 0, 0, 0.0))[3]:

@@ -128,14 +128,57 @@ def test_decontamination_finds_planted_items(spark):
     assert simhash_windows.findings(frame(spark, texts), bench.limit(0)).count() == 0
 
 
-def test_fingerprint_index_finds_all_within_radius():
-    rng = np.random.default_rng(0)
-    index = simhash_windows.Items([1], [" ".join(f"w{i}" for i in range(40))])
-    for flips in (0, 30, 64):
-        bits = np.unpackbits(index.marks[0].view(np.uint8))
-        bits[rng.permutation(256)[:flips]] ^= 1
-        w, _ = index.near(np.packbits(bits).view(np.uint16)[None], np.array([0]))
-        assert len(w) == 1
+@pytest.mark.parametrize("reach", [0, 1, 2, 3])
+def test_fingerprint_index_equals_a_scan(reach):
+    rng = np.random.default_rng(reach)
+    own = rng.integers(0, 2, (40, 256), np.uint8)
+    own[7] = own[3]  # equal fingerprints are both found
+    asked = own[rng.integers(0, 40, 60)]
+    for row, flips in zip(asked, [0, 1, 30, 62, 63, 64, 65, 100] * 8):
+        row[rng.permutation(256)[:flips]] ^= 1
+    spread = own[0].copy()
+    spread[np.arange(63) * 4] ^= 1  # three or four bits in every block
+    asked = np.vstack([asked, spread])
+    packed = lambda bits: np.packbits(bits, axis=1).view(np.uint16)
+    got = simhash_windows.Blocks(packed(own), reach).near(packed(asked))
+    apart = (asked[:, None, :] != own[None, :, :]).sum(axis=2)
+    assert set(zip(*got)) == set(zip(*np.nonzero(apart <= simhash_windows.RADIUS)))
+    assert {0, 3, 7} & set(got[1].tolist()) and len(got[0]) > 20
+    none = simhash_windows.Blocks(packed(own)[:0], reach).near(packed(asked))
+    assert len(none[0]) == 0
+    assert len(simhash_windows.Blocks(packed(own), reach).near(packed(asked)[:0])[0]) == 0
+
+
+def test_decontamination_does_not_depend_on_the_index(spark, monkeypatch):
+    rng = random.Random(31)
+    items = [prose(rng, n) for n in (20, 20, 33, 33, 70)]
+    bench = spark.createDataFrame([*enumerate(items), (9, items[0])], "item_id long, text string")
+    texts = []
+    for item in items * 3:
+        edited = item.split()
+        for at in rng.sample(range(len(edited)), rng.randint(0, len(edited) // 20)):
+            edited[at] = "new"
+        texts.append(f"{prose(rng, 30)} {' '.join(edited)} {prose(rng, 30)}")
+    run = lambda: sorted(map(tuple, simhash_windows.findings(frame(spark, texts), bench).collect()))
+    whole = run()
+    for most in (1, 5 * 16 * 17, 5 * 16 * 137):
+        monkeypatch.setattr(simhash_windows, "MOST_ENTRIES", most)
+        assert run() == whole
+
+    def shingles(words):
+        return Counter(tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1)))
+
+    best = {}
+    for d, text in enumerate(texts):
+        words = text.split()
+        for item_id, item in [*enumerate(items), (9, items[0])]:
+            there, n = shingles(item.split()), len(item.split())
+            for start in range(len(words) - n + 1):
+                here = shingles(words[start : start + n])
+                score = (here & there).total() / (here | there).total()
+                if score >= 0.8 and score > best.get((d, item_id), 0):
+                    best[d, item_id] = score
+    assert {(r[0], r[1]): round(r[4], 9) for r in whole} == {k: round(v, 9) for k, v in best.items()}
 
 
 SPEECH = {"aa": "ka ke ki ko ku kan ken", "bb": "sha she shi ost ust ein lich", "cc": "ña ción llo rre ez ado"}
