@@ -1,6 +1,8 @@
 """Embedding near-dedup by a pivot-permutation index.
 
-Reference points (pivots) are drawn from a bounded sample of the vectors. A vector is described by the
+Reference points (pivots) are drawn from a bounded sample of the vectors: ``PIVOTS`` of them up to ``USUAL`` vectors of a length, then as the root
+of their number, so that lists grow with the root of the table too, up to ``MOST_PIVOTS`` and ``PIVOT_VALUES`` components (beyond, with the
+table). Lengths beyond the ``SAMPLED_LENGTHS`` commonest have fixed random directions as pivots. A vector is described by the
 ordered list of its ``NEAREST`` nearest pivots; the inverted lists hold, for each pivot, the vectors that name it. Two
 vectors with a cosine of 0.98 or more name mostly the same pivots, so candidates are the pairs of one label whose
 lists share ``SHARED`` pivots or more. The lists are kept by triples of pivots, which meet exactly the pairs with three
@@ -20,6 +22,7 @@ links, but are never a component's id unless it has no other.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +34,15 @@ from harborline.llm.tables import components, sampled
 from harborline.session import written_once
 
 PIVOTS, NEAREST, SHARED, LEAST = 192, 9, 3, 0.98
+#: Number of vectors of a length from which on the pivots become more, and the bounds on pivots and their components.
+USUAL, MOST_PIVOTS, PIVOT_VALUES = 10_000, 4_096, 1 << 22
+SAMPLED_LENGTHS = 16
+
+
+def pivots_for(vectors: int, size: int, least: int = PIVOTS) -> int:
+    """How many pivots describe so many vectors of that length."""
+    wanted = max(least, math.isqrt(least * least * vectors // USUAL))
+    return max(min(wanted, MOST_PIVOTS, PIVOT_VALUES // size), NEAREST)
 
 
 def _matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -40,11 +52,22 @@ def _matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return values[at[0] : at[-1]], at - at[0]
 
 
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """The vectors times powers of two that bring their largest components near 1, so that squares neither overflow nor vanish."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, keepdims=True))[1])
+
+
 def _units(vectors: np.ndarray) -> np.ndarray:
+    vectors = _scaled(vectors)
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
-def _describe(pivots: dict[int, np.ndarray]):
+def directions(size: int, least: int = PIVOTS) -> np.ndarray:
+    """Fixed random pivots of a length that has no sampled ones."""
+    return _units(np.random.default_rng(size).standard_normal((pivots_for(0, size, least), size)))
+
+
+def _describe(pivots: dict[int, np.ndarray], least: int):
     """The nearest pivots of each vector (pivots by dimension), nearest first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -53,10 +76,12 @@ def _describe(pivots: dict[int, np.ndarray]):
             sizes = np.diff(at)
             lists: list[list[int]] = [[]] * len(sizes)
             for size in np.unique(sizes):
-                own = np.flatnonzero(sizes == size) if int(size) in pivots else []
-                for some in np.array_split(own, len(own) // 2048 + 1) if len(own) else ():
+                own = np.flatnonzero(sizes == size)
+                points = pivots.get(int(size))
+                points = directions(int(size), least) if points is None else points
+                for some in np.array_split(own, len(own) // 2048 + 1):
                     units = _units(values[at[some][:, None] + np.arange(size)])
-                    near = np.argsort(-(units @ pivots[int(size)].T), axis=1, kind="stable")[:, :NEAREST]
+                    near = np.argsort(-(units @ points.T), axis=1, kind="stable")[:, :NEAREST]
                     for row, names in zip(some, near.tolist(), strict=True):
                         lists[row] = names
             yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("label"), pa.array(lists, pa.list_(pa.int32()))], ["node", "label", "near"])
@@ -75,8 +100,8 @@ def _verified(least: float):
             for size in np.unique(n[same]):
                 own = np.flatnonzero(same & (n == size))
                 for some in np.array_split(own, len(own) // 4096 + 1):
-                    x = a[a_at[some][:, None] + np.arange(size)]
-                    y = b[b_at[some][:, None] + np.arange(size)]
+                    x = _scaled(a[a_at[some][:, None] + np.arange(size)])
+                    y = _scaled(b[b_at[some][:, None] + np.arange(size)])
                     keep[some] = (x * y).sum(axis=1) / (np.sqrt((x * x).sum(axis=1)) * np.sqrt((y * y).sum(axis=1))) >= least
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in ("a", "b")], ["a", "b"])
 
@@ -94,13 +119,13 @@ def near_vectors(embeddings: DataFrame, least: float = LEAST, pivots: int = PIVO
     classes = rows.where("node is not null").groupBy("node").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies"), F.first("label").alias("label"), F.first("vector").alias("vector"))
     classes = written_once(classes, "vectors")
 
-    # a vector whose length no other has links with nothing and needs no pivots
-    sizes = [r[0] for r in classes.groupBy(F.size("vector").alias("size")).agg(F.count("*").alias("n")).where("n > 1").select("size").collect()]
+    lengths = classes.groupBy(F.size("vector").alias("size")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "size").limit(SAMPLED_LENGTHS).collect()
     points = {}
-    for size in sizes:
-        some = sampled(classes.where(F.size("vector") == size).select("node", "vector"), F.col("node"), pivots, nearest_seed).collect()
-        points[int(size)] = _units(np.array([r["vector"] for r in some]))
-    lists = classes.select("node", "label", "vector").mapInArrow(_describe(points), f"node long, label {classes.schema['label'].dataType.simpleString()}, near array<int>")
+    for size, n in lengths:
+        if n > 1:
+            some = sampled(classes.where(F.size("vector") == size).select("node", "vector"), F.col("node"), pivots_for(n, size, pivots), nearest_seed).collect()
+            points[size] = _units(np.array([r["vector"] for r in some]))
+    lists = classes.select("node", "label", "vector").mapInArrow(_describe(points, pivots), f"node long, label {classes.schema['label'].dataType.simpleString()}, near array<int>")
     lists = written_once(lists, "pivot-lists")
 
     ordered = lists.select("node", "label", F.array_sort("near").alias("near"))

@@ -488,3 +488,24 @@ def test_vectors_of_many_lengths(spark):
     rows = [(n, [1.0] * n, 1) for n in range(1, 81)] + [(100, [1.0, 1.0, 1.01], 1)]
     got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in pivot_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()}
     assert got == {n: (0, n) for n in range(1, 81)} | {3: (1, 3), 100: (1, 3)}
+
+
+def test_vectors_of_rare_lengths_and_extreme_sizes(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for n in range(2, 42):  # more lengths than have sampled pivots; each twice, nearly
+        v = rng.normal(size=n)
+        rows += [(2 * n, v.tolist(), 1), (2 * n + 1, (v * 1.5 + 1e-3).tolist(), 1)]
+    big = rng.normal(size=9)
+    rows += [(1000, (big * 1e200).tolist(), 2), (1001, (big * 1e-200).tolist(), 2), (1002, (-big * 1e200).tolist(), 2)]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in pivot_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    linked = {n: np.dot(a, b) / np.linalg.norm(a) / np.linalg.norm(b) >= 0.98 for (n, a, _), (_, b, _) in zip(rows[:80:2], rows[1:80:2], strict=True)}
+    assert sum(linked.values()) > 35
+    for n, yes in linked.items():
+        assert (got[n], got[n + 1]) == (((1, n), (1, n)) if yes else ((0, n), (0, n + 1)))
+    assert (got[1000], got[1001], got[1002]) == ((1, 1000), (1, 1000), (0, 1002))
+
+
+def test_pivots_grow_with_the_root_of_the_table():
+    assert [pivot_dedup.pivots_for(n, 64) for n in (10, 10_000, 40_000, 1_000_000, 10**9)] == [192, 192, 384, 1920, 4096]
+    assert pivot_dedup.pivots_for(10**9, 4096) == 1024
