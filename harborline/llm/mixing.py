@@ -6,7 +6,9 @@ projected-gradient least squares: the expected tokens of domain ``k``, ``sum(r *
 posterior[k])``, shall equal the target weight times the token budget, with ``r >= 0`` (and ``r <= most`` where a caller sets it). The gradient needs the
 domain totals only, so a step is one pass over the documents that returns one small row per
 task; the rates themselves follow from a document's posterior and the steps' few numbers and are never moved.
-Steps start from rate 1 and are taken in the metric of the tokens, so the rates stay as near to 1 as the targets allow.
+Steps start from rate 1 and are taken in the metric of the tokens, so the rates stay as near to 1 as the targets allow. As long as no posterior at all
+could bring a rate to its bound, the totals follow from the moments of the first pass, and steps need no pass. At most ``MOST_PASSES`` steps with
+a pass follow; targets not met by then are logged.
 
 A domain for which no target is given keeps the share of the tokens it has, and the targets given share the
 rest; it is logged by name. Targets of 0 have to be given as such: documents that belong to such a domain alone get rate 0.
@@ -37,6 +39,7 @@ BITS, FIT_ROWS = 13, 3000
 MOST_RATE = float("inf")
 #: Steps end where each domain is within ``ENOUGH`` of all tokens, or where the squared residual falls by less than ``STILL`` of itself.
 ENOUGH, STILL = 1e-4, 1e-4
+MOST_PASSES = 500
 #: Target token weights by language; documents labelled as of low quality are a domain of their own.
 TARGETS = {"de": 0.20, "en": 0.45, "es": 0.15, "fr": 0.18, "low": 0.02}
 
@@ -126,26 +129,41 @@ def shares(given: np.ndarray, present: np.ndarray) -> np.ndarray:
     return goal / goal.sum()
 
 
+def _far(short: np.ndarray, tokens: float) -> bool:
+    return np.abs(short).max() > ENOUGH * tokens
+
+
+def _free_steps(short: np.ndarray, moments: np.ndarray, scale: np.ndarray, reach: float, most: float, tokens: float) -> tuple[np.ndarray, np.ndarray]:
+    """The sum of the first steps, of those that can bring no rate to a bound, and what the totals are above their goal after them."""
+    moved, last = np.zeros(len(short)), np.inf
+    while _far(short, tokens) and (residual := float(np.square(scale * short).sum())) <= last * (1 - STILL):
+        further = moved + scale**2 * short / reach
+        if further.max() > 1 or 1 - further.min() > most:
+            break
+        short, moved, last = short - moments @ (further - moved), further, residual
+    return moved, short
+
+
 def fit_rates(members: DataFrame, goal: np.ndarray, most: float = MOST_RATE) -> tuple[list[np.ndarray], np.ndarray]:
     """The gradient steps whose rates bring the domain totals to ``goal`` (see ``shares``), and what each total is then above it."""
-    steps: list[np.ndarray] = []
-    totals, moments = _totals(members, steps, most, len(goal))
+    totals, moments = _totals(members, [], most, len(goal))
     tokens = totals.sum()
     if tokens == 0:
-        return steps, np.zeros(len(goal))
+        return [], np.zeros(len(goal))
     goal = shares(goal, totals / tokens)
     # scaled by domain, so that a small one converges as fast as a large one
     scale = 1 / np.sqrt(np.maximum(totals, 1e-9 * tokens))
     reach = np.linalg.eigvalsh(scale[:, None] * moments * scale[None, :])[-1]
-    last = np.inf
-    while True:
-        short = totals - goal * tokens
+    free, short = _free_steps(totals - goal * tokens, moments, scale, reach, most, tokens)
+    steps, last = [free] if free.any() else [], np.inf
+    for _ in range(MOST_PASSES):
         residual = float(np.square(scale * short).sum())
-        if np.abs(short).max() <= ENOUGH * tokens or residual > last * (1 - STILL):
-            return steps, short / tokens
+        if not _far(short, tokens) or residual > last * (1 - STILL):
+            break
         last = residual
         steps.append(scale**2 * short / reach)
-        totals, _ = _totals(members, steps, most, len(goal))
+        short = _totals(members, steps, most, len(goal))[0] - goal * tokens
+    return steps, short / tokens
 
 
 def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, most: float = MOST_RATE) -> DataFrame:

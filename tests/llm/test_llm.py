@@ -484,6 +484,35 @@ def test_rates_of_a_rare_domain_meet_targets(spark, caplog):
     assert [r for r in caplog.records if r.levelname == "WARNING" and "'bb': -0.2" in r.message]
 
 
+@pytest.mark.parametrize(("goal", "most", "passes"), [([0.3, 0.3, 0.4], np.inf, 1), ([0.75, 0.15, 0.1], np.inf, 60), ([0.4, 0.33, 0.27], 1.5, 1)])
+def test_rates_equal_plain_projected_gradient(spark, monkeypatch, goal, most, passes):
+    rng = np.random.default_rng(12)
+    p = rng.dirichlet([0.3, 0.3, 0.3], 400)
+    n = rng.integers(0, 500, 400)
+    members = spark.createDataFrame([(i, i, int(k), q.tolist()) for i, (k, q) in enumerate(zip(n, p))], "doc_id long, text_key long, tokens long, posterior array<double>").cache()
+    seen = []
+    plain = mixing._totals
+    monkeypatch.setattr(mixing, "_totals", lambda *args: seen.append(1) or plain(*args))
+    steps, over = mixing.fit_rates(members, np.array(goal), most)
+    got = mixing.rates(p, steps, most)
+    assert len(seen) <= passes and (passes == 1 or len(seen) > 1)
+
+    want, tokens = np.ones(400), n.sum()
+    at_first = p.T @ n
+    metric = 1 / at_first
+    reach = np.linalg.eigvalsh((p * n[:, None] * metric**0.5).T @ (p * metric**0.5))[-1]
+    last = np.inf
+    while True:
+        short = p.T @ (want * n) - np.array(goal) * tokens
+        residual = (metric * short**2).sum()
+        if np.abs(short).max() <= 1e-4 * tokens or residual > last * (1 - 1e-4):
+            break
+        last, want = residual, np.clip(want - p @ (metric * short / reach), 0, most)
+    assert np.abs(got - want).max() < 0.02 and np.abs(over - short / tokens).max() < 2e-4
+    if passes == 1:
+        assert np.abs(got - want).max() < 1e-9
+
+
 def test_vectors_of_many_lengths(spark):
     rows = [(n, [1.0] * n, 1) for n in range(1, 81)] + [(100, [1.0, 1.0, 1.01], 1)]
     got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in pivot_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()}
