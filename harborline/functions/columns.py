@@ -22,13 +22,18 @@ def as_column(c: ColumnLike) -> Column:
 # --- keys, strings, paths ---------------------------------------------------------
 
 
+def key_text(*parts: ColumnLike, sep: str = "|") -> Column:
+    """The text that ``surrogate_key`` is a hash of: shorter, and equal where the key is."""
+    return F.concat_ws(sep, *[as_column(p).cast("string") for p in parts])
+
+
 def surrogate_key(*parts: ColumnLike, sep: str = "|") -> Column:
     """Deterministic SHA-256 key over the text of ``parts``.
 
     ``concat_ws`` skips NULLs, so the key is never NULL and two rows that differ only in
     which part is NULL can share it; pair it with a validity rule on the parts.
     """
-    return F.sha2(F.concat_ws(sep, *[as_column(p).cast("string") for p in parts]), 256)
+    return F.sha2(key_text(*parts, sep=sep), 256)
 
 
 def file_stem(path: ColumnLike, suffix: str) -> Column:

@@ -35,7 +35,7 @@ def trips_job(
     """Landed trip files and weather JSON to bronze, silver, enriched and the three trip gold tables."""
     bronze.build_trips_bronze(spark, landing, f"{base}/bronze/trips", manifest=f"{base}/manifests/trips")
     settled = silver.trips_settled(read_table(spark, f"{base}/bronze/trips"), tiebreak)
-    kept, rejected = write_split(settled, f"{base}/silver/trips", VALID_FLAG, partition_by)
+    kept, rejected = write_split(settled, f"{base}/silver/trips", VALID_FLAG, partition_by, derive=silver.with_trip_columns)
     trips = read_split(spark, f"{base}/silver/trips", True, settled.schema)
     joined = silver.trips_enriched(trips, silver.weather_days(spark, weather))
     enriched = write_table(joined, f"{base}/silver/trips_weather", partition_by=partition_by)
@@ -49,7 +49,7 @@ def reviews_job(spark: SparkSession, landing: str, base: str, namespace: str, ti
     target = f"{base}/bronze/reviews"
     ingest_json_stream(spark, landing, f"{base}/schemas/reviews", f"{base}/checkpoints/reviews", target)
     settled = silver.reviews_settled(read_table(spark, target), tiebreak)
-    kept, rejected = write_split(settled, f"{base}/silver/reviews", VALID_FLAG, ["category"])
+    kept, rejected = write_split(settled, f"{base}/silver/reviews", VALID_FLAG, ["category"], derive=silver.derive_reviews)
     summary = gold.review_summary(read_split(spark, f"{base}/silver/reviews", True, settled.schema))
     return {"reviews": kept, "review_rejects": rejected, **gold.build_gold({"review_summary": summary}, namespace)}
 

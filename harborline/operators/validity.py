@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from harborline.functions.columns import as_column
+
 VALID_FLAG = "_is_valid"
 
 
@@ -31,7 +33,7 @@ def split_valid(df: DataFrame, cond: Column, null_policy: str = "reject") -> tup
     return df.filter(settled), df.filter(~settled)
 
 
-def keep_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], row: Sequence[str] | None = None) -> DataFrame:
+def keep_latest(df: DataFrame, keys: Sequence[str | Column], order_by: Sequence[Column], row: Sequence[str] | None = None) -> DataFrame:
     """One row per key: the first under ``order_by``; ties go to the smaller hash of the whole row.
 
     The hash makes the winner the same in every run, whatever the order of the input.
@@ -47,7 +49,7 @@ def keep_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column],
     return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
 
 
-def settle(flagged: DataFrame, keys: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
+def settle(flagged: DataFrame, keys: Sequence[str | Column], order_by: Sequence[Column]) -> DataFrame:
     """The newest valid row of each key and all rejected rows, with their flag, in one pass over the input.
 
     Each rejected row is a group of its own in the window that ranks valid rows, so all of them pass and the group
@@ -55,7 +57,7 @@ def settle(flagged: DataFrame, keys: Sequence[str], order_by: Sequence[Column])
     """
     valid = F.col(VALID_FLAG)
     groups = [f"_key{i}" for i in range(len(keys))]
-    own = {g: F.when(valid, F.col(k)) for g, k in zip(groups, keys, strict=True)} | {"_own": F.when(~valid, F.monotonically_increasing_id())}
+    own = {g: F.when(valid, as_column(k)) for g, k in zip(groups, keys, strict=True)} | {"_own": F.when(~valid, F.monotonically_increasing_id())}
     row = [c for c in flagged.columns if c != VALID_FLAG]
     return keep_latest(flagged.withColumns(own), [VALID_FLAG, *groups, "_own"], order_by, row).drop(*groups, "_own")
 

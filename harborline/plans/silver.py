@@ -12,6 +12,7 @@ from harborline.functions.columns import (
     epoch_millis,
     file_stem,
     first_field,
+    key_text,
     minutes_between,
     review_valid,
     surrogate_key,
@@ -53,12 +54,24 @@ def _latest_order(tiebreak: Sequence[str]) -> list[Column]:
     return [F.desc("_ingested_at"), *[F.desc(c) for c in tiebreak]]
 
 
+# What makes a trip and a review one.
+TRIP_KEY = ("vendor_id", "pickup_ts", "pickup_location_id", "dropoff_location_id")
+REVIEW_KEY = ("asin", "user_id", "review_ts")
+
+
 def derive_trips(bronze: DataFrame) -> DataFrame:
     """Delivery names, surrogate key, duration and date."""
-    named = rename_present(bronze, TRIP_NAMES)
+    return with_trip_columns(rename_present(bronze, TRIP_NAMES))
+
+
+def with_trip_columns(named: DataFrame) -> DataFrame:
+    """Surrogate key, duration and date from the other columns of a trip.
+
+    Applied again above a shuffle, it spares moving them: the key alone is 64 bytes of random text a row.
+    """
     return named.withColumns(
         {
-            "delivery_id": surrogate_key("vendor_id", "pickup_ts", "pickup_location_id", "dropoff_location_id"),
+            "delivery_id": surrogate_key(*TRIP_KEY),
             "trip_duration_minutes": minutes_between("pickup_ts", "dropoff_ts"),
             "pickup_date": F.to_date("pickup_ts"),
         }
@@ -72,7 +85,7 @@ def trips_flagged(bronze: DataFrame) -> DataFrame:
 def trips_silver(bronze: DataFrame, tiebreak: Sequence[str] = (), null_policy: str = "reject") -> tuple[DataFrame, DataFrame]:
     """``(valid and deduplicated, rejected)`` trips."""
     valid, rejected = split_valid(derive_trips(bronze), trip_valid(), null_policy)
-    return keep_latest(valid, ["delivery_id"], _latest_order(tiebreak)), rejected
+    return with_trip_columns(keep_latest(valid, [key_text(*TRIP_KEY)], _latest_order(tiebreak))), rejected
 
 
 def weather_days(spark: SparkSession, path: str) -> DataFrame:
@@ -87,18 +100,23 @@ def trips_enriched(silver: DataFrame, weather: DataFrame) -> DataFrame:
 
 
 def derive_reviews(bronze: DataFrame) -> DataFrame:
-    """Timestamp, image fields, surrogate key and category."""
+    """Timestamp, image fields, surrogate key and category; applied again above a shuffle, it spares moving them."""
     stamped = bronze.withColumn("review_ts", epoch_millis("timestamp"))
     return stamped.withColumns(
         {
             "image_count": array_count("images"),
             "primary_image_url": first_field("images", "large_image_url"),
-            "review_id": surrogate_key("asin", "user_id", "review_ts"),
+            "review_id": surrogate_key(*REVIEW_KEY),
             "category": file_stem("_source_file", ".jsonl"),
         }
     )
 
 
+def with_review_key(reviews: DataFrame) -> DataFrame:
+    """The surrogate key from the columns it is made of."""
+    return reviews.withColumn("review_id", surrogate_key(*REVIEW_KEY))
+
+
 def reviews_flagged(bronze: DataFrame) -> DataFrame:
     return flag_valid(derive_reviews(bronze), review_valid())
 
@@ -106,17 +124,17 @@ def reviews_flagged(bronze: DataFrame) -> DataFrame:
 def reviews_silver(bronze: DataFrame, tiebreak: Sequence[str] = (), null_policy: str = "reject") -> tuple[DataFrame, DataFrame]:
     """``(valid and deduplicated, rejected)`` reviews."""
     valid, rejected = split_valid(derive_reviews(bronze), review_valid(), null_policy)
-    return keep_latest(valid, ["review_id"], _latest_order(tiebreak)), rejected
+    return derive_reviews(keep_latest(valid, [key_text(*REVIEW_KEY)], _latest_order(tiebreak))), rejected
 
 
 def trips_settled(bronze: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Valid and deduplicated trips, and the rejected ones, with their flag, from one pass over bronze."""
-    return settle(trips_flagged(bronze), ["delivery_id"], _latest_order(tiebreak))
+    return with_trip_columns(settle(trips_flagged(bronze), [key_text(*TRIP_KEY)], _latest_order(tiebreak)))
 
 
 def reviews_settled(bronze: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Valid and deduplicated reviews, and the rejected ones, with their flag, from one pass over bronze."""
-    return settle(reviews_flagged(bronze), ["review_id"], _latest_order(tiebreak))
+    return derive_reviews(settle(reviews_flagged(bronze), [key_text(*REVIEW_KEY)], _latest_order(tiebreak)))
 
 
 def build_silver(

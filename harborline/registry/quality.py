@@ -202,7 +202,7 @@ def trip_split_write(spark, sf_dir):
     """Valid and rejected trips written by one job over one read of bronze, and their counts as observed on the way."""
     target = scratch_dir(spark, "trip-split")
     settled = silver.trips_settled(inputs.raw_trips(spark, sf_dir), inputs.TRIP_TIEBREAK)
-    observed = write_split(settled, target, VALID_FLAG, ["vendor_id"])
+    observed = write_split(settled, target, VALID_FLAG, ["vendor_id"], derive=silver.with_trip_columns)
     sides = []
     for name, kept, n in zip(("trips", "trip_rejects"), (True, False), observed, strict=True):
         side = read_split(spark, target, kept, settled.schema)

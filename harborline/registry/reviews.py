@@ -35,7 +35,7 @@ def review_silver_valid(spark, sf_dir):
     """Writes the silver table partitioned by category and its rejects in one job, then reads the valid side back."""
     target = scratch_dir(spark, "reviews")
     settled = silver.reviews_settled(inputs.raw_reviews(spark, sf_dir), ["o_orderkey"]).select(*_ROW, *_IMAGES, VALID_FLAG)
-    write_split(settled, target, VALID_FLAG, ["category"])
+    write_split(settled, target, VALID_FLAG, ["category"], derive=silver.with_review_key)
     return shown(read_split(spark, target, True, settled.schema).select(*_ROW, *_IMAGES))
 
 

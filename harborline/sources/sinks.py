@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -46,16 +46,21 @@ def quarantine(df: DataFrame, target: str, fmt: str = "parquet") -> int:
 SPLIT = "is_valid"
 
 
-def write_split(settled: DataFrame, target: str, flag: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> tuple[int, int]:
+def write_split(settled: DataFrame, target: str, flag: str, partition_by: Sequence[str] = (), fmt: str = "parquet", derive: Callable[[DataFrame], DataFrame] | None = None) -> tuple[int, int]:
     """Write kept and rejected rows in one job, each under its own folder, and return their counts.
 
     The input is computed once: the counts are observed while it is written. ``read_split`` reads one side.
+    Columns that ``derive`` computes from the others are computed once more above the rebalancing shuffle and not moved through it.
     """
     out = settled.withColumnRenamed(flag, SPLIT)
     seen = Observation()
     kept = F.col(SPLIT)
     observed = out.observe(seen, F.count_if(kept).alias("kept"), F.count_if(~kept).alias("rejected"))
-    observed.hint("rebalance", kept, *[F.col(c) for c in partition_by]).write.format(fmt).mode("overwrite").partitionBy(SPLIT, *partition_by).save(target)
+    dealt = observed.hint("rebalance", kept, *[F.col(c) for c in partition_by])
+    writer = (derive(dealt) if derive else dealt).write
+    if fmt == "parquet":
+        writer = writer.option("compression", "zstd")  # keys in hexadecimal take half the room
+    writer.format(fmt).mode("overwrite").partitionBy(SPLIT, *partition_by).save(target)
     return seen.get["kept"], seen.get["rejected"]
 
 
