@@ -248,7 +248,11 @@ def _repeated_sql(table: str, key: str, source: str) -> str:
     )
 )
 def silver_quality_summary(spark, sf_dir):
-    trips = written_once(silver_trips(spark, sf_dir).select(*TRIP_REQUIRED, "pickup_date"), "silver-trips")
-    reviews = written_once(silver_reviews(spark, sf_dir).select(*REVIEW_REQUIRED, "rating"), "silver-reviews")
+    # keys and other derived columns are computed where they are read, and not stored
+    stored = dict.fromkeys([*silver.TRIP_KEY, *TRIP_REQUIRED])
+    trips = silver.with_trip_columns(written_once(silver_trips(spark, sf_dir).select(*[c for c in stored if c != "delivery_id"]), "silver-trips"))
+    stored = dict.fromkeys([*silver.REVIEW_KEY, *REVIEW_REQUIRED, "rating"])
+    reviews = written_once(silver_reviews(spark, sf_dir).select(*[c for c in stored if c != "review_id"]), "silver-reviews")
+    reviews = silver.with_review_key(reviews)
     enriched = silver.trips_enriched(trips, inputs.weather(spark))
     return quality_summary(trips, reviews, enriched, 0)

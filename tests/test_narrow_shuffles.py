@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from harborline.functions.columns import surrogate_key
 from harborline.plans import silver
+from harborline.registry import quality
 from harborline.sources import sinks
 
 
@@ -31,3 +33,19 @@ def test_keys_are_not_shuffled(spark, tmp_path):
     assert sinks.write_split(settled, target, "_is_valid", ["vendor_id"], derive=silver.with_trip_columns) == (2, 2)
     both = sinks.read_split(spark, target, True, settled.schema).union(sinks.read_split(spark, target, False, settled.schema))
     assert sorted(map(str, both.select(*again.columns).collect())) == sorted(map(str, made.collect()))
+
+
+def test_quality_summary_stores_no_keys(spark, monkeypatch):
+    trips = silver.trips_silver(_bronze_trips(spark), ["n"])[0]
+    twice = trips.union(trips.where("n = 2"))
+    reviews = spark.createDataFrame([("a", "u", 0, 4.0), ("a", "u", 0, 5.0), ("b", None, 1, 1.0)], "asin string, user_id string, t long, rating double")
+    reviews = reviews.withColumn("review_ts", F.timestamp_millis("t")).withColumn("review_id", surrogate_key("asin", "user_id", "review_ts"))
+    stored = {}
+    monkeypatch.setattr(quality, "silver_trips", lambda *_: twice)
+    monkeypatch.setattr(quality, "silver_reviews", lambda *_: reviews)
+    monkeypatch.setattr(quality, "written_once", lambda df, name: stored.setdefault(name, df))
+    found = {r["check_name"]: (r["actual"], r["status"]) for r in quality.silver_quality_summary(spark, "").collect()}
+    assert not {"delivery_id", "review_id"} & {c for df in stored.values() for c in df.columns}
+    assert found["trips duplicate delivery_id"] == ("1", "FAIL") and found["reviews duplicate review_id"] == ("1", "FAIL")
+    assert found["reviews.user_id nulls"] == ("1", "FAIL") and found["trips.delivery_id nulls"] == ("0", "PASS")
+    assert found["reviews.rating range"] == ("1.0-5.0", "PASS") and found["trips_weather.temp_max_c nulls"] == ("3", "FAIL")
