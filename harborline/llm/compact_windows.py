@@ -23,6 +23,7 @@ rows; other columns are ignored.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,47 +43,75 @@ ANCHORS = (-14, -7, 7, 14)
 KEY_BITS = 25
 #: Shared shingles asked for a foreign one, from what is needed to what is enough.
 CHARGES = (4, 6, 8)
+#: Bytes of text whose windows are computed at once: the arrays of a step stay in a core's own cache.
+STEP_BYTES = 1 << 18
 #: How far two places of one text must be from each other for passages of ``WIDTH`` shingles not to share a word.
 APART = WIDTH + SIZE - 1
 
 
-def _spread(x: np.ndarray, width: int, pick) -> np.ndarray:
-    """``pick`` over the ``width`` values from each place on, by doubling; shorter at the end."""
-    out, have = x, 1
-    while have < width:
-        step = min(have, width - have)
-        out = np.concatenate([pick(out[:-step], out[step:]), out[-step:]]) if len(out) > step else out
-        have += step
+def _widened(x: np.ndarray, by: int, pick, out: np.ndarray, back: bool = False) -> np.ndarray:
+    """``pick`` of each place and the one ``by`` places on (with ``back`` before it); the last (first) ones keep their own."""
+    rest = max(len(x) - by, 0)
+    own, kept = (slice(len(x) - rest, None), slice(0, len(x) - rest)) if back else (slice(0, rest), slice(rest, None))
+    pick(x[:rest], x[len(x) - rest :], out=out[own])
+    out[kept] = x[kept]
     return out
 
 
-def compact_windows(values: np.ndarray, width: int, every: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _reach(tables: list[np.ndarray], heads: np.ndarray, back: bool, room: np.ndarray) -> np.ndarray:
+    """The last place from each head on up to which all values are at least its own. ``tables`` of the least of
+    1, 2, 4, ... places are added as they are needed, in rows of ``room``."""
+    values, end = tables[0], len(tables[0])
+    own, at = values[heads], heads.copy()
+
+    def fits(level: int, some: np.ndarray) -> np.ndarray:
+        start = at[some] - (1 << level) if back else at[some] + 1
+        inside = (start >= 0) & (start + (1 << level) <= end)
+        some, start = some[inside], start[inside]
+        return some[tables[level][start] >= own[some]]
+
+    # the heads whose way is 2 ** level places at least, level by level, and then their way in powers of two
+    everyone, base = np.arange(len(heads)), min(5, len(tables) - 1)
+    far, some = [], fits(base, everyone)
+    while len(some):
+        far.append(some)
+        if base + len(far) == len(tables):
+            tables.append(_widened(tables[-1], 1 << (len(tables) - 1), np.minimum, room[len(tables)]))
+        some = fits(base + len(far), some)
+    for level in range(base + len(far) - 1, -1, -1):
+        at[fits(level, far[level - base] if level >= base else everyone)] += -(1 << level) if back else 1 << level
+    return at
+
+
+def room_for(places: int) -> np.ndarray:
+    """Working space of ``compact_windows``; touched as far as it is needed, and used again it spares new memory."""
+    return np.empty((places.bit_length() + 5, places), np.uint64)
+
+
+def compact_windows(values: np.ndarray, width: int, every: bool = False, room: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(l, c, r)`` of the windows of at least ``width`` places; value 0 separates texts and is in no window.
 
     Equal values share a window, which is given once, with the first of their places, or with ``every`` one of them.
     """
-    least = _spread(values, width, np.minimum)
+    if len(values) < width:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    room = room_for(len(values)) if room is None else room
+    tables, have = [values], 1
+    while 2 * have <= width:
+        tables.append(_widened(tables[-1], have, np.minimum, room[len(tables)]))
+        have *= 2
+    spare = room[-3:]
+    least = _widened(tables[-1], width - have, np.minimum, spare[0])
     least[max(len(values) - width + 1, 0) :] = 0
     # a place heads a wide window if it is the least of some ``width`` places around it
-    most = _spread(least[::-1], width, np.maximum)[::-1]
+    most, have = least, 1
+    while have < width:
+        step = min(have, width - have)
+        most = _widened(most, step, np.maximum, spare[1] if most is not spare[1] else spare[2], back=True)
+        have += step
     heads = np.flatnonzero((most == values) & (values > 0))
-    jump = 32
-    block = _spread(values, jump, np.minimum)
-    bounds = []
-    for back in (True, False):
-        at, own = heads.copy(), values[heads]
-        for step in (jump, 16, 8, 4, 2, 1):
-            table = block if step == jump else _spread(values, step, np.minimum)
-            todo = np.arange(len(at))
-            while len(todo):
-                start = at[todo] - step if back else at[todo] + 1
-                fits = (start >= 0) & (start + step <= len(values))
-                fits[fits] = table[start[fits]] >= own[todo[fits]]
-                todo = todo[fits]
-                at[todo] += -step if back else step
-                if step < jump:
-                    break
-        bounds.append(at)
+    bounds = [_reach(tables, heads, back, room) for back in (True, False)]
+    own = values[heads]
     if every:
         return bounds[0], heads, bounds[1]
     _, first = np.unique(np.stack([bounds[0], own.view(np.int64)], axis=1), axis=0, return_index=True) if len(heads) else (None, np.zeros(0, np.int64))
@@ -96,17 +125,18 @@ def _territories(values: np.ndarray, left: np.ndarray, centre: np.ndarray, right
     A place that is within ``APART`` of the last one kept is answered for by that, with ``slack``. A window ends ``WIDTH`` beyond the
     next kept places, so that the windows of a text that repeats itself throughout grow with its length and not with its square.
     """
-    order = np.lexsort((centre, values[centre], left))
+    order = np.lexsort((values[centre], left))  # places come in ascending order
     left, centre, right = left[order], centre[order], right[order]
     head = np.ones(len(left), bool)
     head[1:] = (left[1:] != left[:-1]) | (values[centre[1:]] != values[centre[:-1]])
     keep, slack = head.copy(), np.zeros(len(left), np.int8)
-    last = 0
-    for i in np.flatnonzero(~head):
-        last = i - 1 if head[i - 1] else last
-        keep[i] = centre[i] - centre[last] >= APART
-        if keep[i]:
-            last = i
+    last = -1
+    after = np.flatnonzero(~head)
+    for i, place, before, first in zip(after.tolist(), centre[after].tolist(), centre[after - 1].tolist(), head[after - 1].tolist(), strict=True):
+        if first:
+            last, kept_place = i - 1, before
+        if place - kept_place >= APART:
+            keep[i], last, kept_place = True, i, place
         else:
             slack[last] = APART
     left, centre, right, head, slack = left[keep], centre[keep], right[keep], head[keep], slack[keep]
@@ -135,7 +165,7 @@ def joint_windows(one: tuple[np.ndarray, ...], other: tuple[np.ndarray, ...], wi
     return i[wide], order[j[wide]], left[wide], right[wide]
 
 
-def _joint(part: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def _joint(part: pa.RecordBatch, anchored: bool = True) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """For each pair of functions: ``(band, keys, rows, l, c, r, slack, anchors)`` of its joint windows, places from the start of their text."""
     shingles, at = W.shingles(*W.words(part.column("text")), SIZE)
     long = np.flatnonzero(np.diff(at) >= WIDTH)
@@ -146,27 +176,29 @@ def _joint(part: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray,
     inner = np.repeat(starts - at[:-1][long], sizes) + np.repeat(at[:-1][long], sizes) + (np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes))
     tokens = np.zeros(starts[-1] + sizes[-1] + 1, np.uint64)
     tokens[inner] = np.concatenate([shingles[at[i] : at[i + 1]] for i in long])
-    found = []
+    between = np.concatenate([starts - 1, [len(tokens) - 1]])
+    found, room = [], room_for(len(tokens))
     for seed in W.randoms(FUNCTIONS, 51):
-        values = np.zeros(len(tokens), np.uint64)
-        values[inner] = W.mix(tokens[inner] ^ seed) | np.uint64(1)
-        found.append((values, *_territories(values, *compact_windows(values, WIDTH, every=True))))
+        values = W.mix(tokens ^ seed) | np.uint64(1)
+        values[between] = 0
+        found.append((values, *_territories(values, *compact_windows(values, WIDTH, every=True, room=room))))
     for band, pair in enumerate(PAIRS):
         (v1, *one), (v2, *other) = (found[k] for k in pair)
         i, j, left, right = joint_windows(one, other)
         centre, second = one[1][i], other[1][j]
         keys = W.mix(v1[centre] + W.mix(v2[second]) + np.uint64(band))
         rows = np.searchsorted(starts, centre, "right") - 1
-        anchors = [tokens[np.clip(centre + k, 0, len(tokens) - 1)] for k in ANCHORS]
-        yield band, keys, long[rows], left - starts[rows], centre - starts[rows], right - starts[rows], np.maximum(one[3][i], other[3][j]), np.stack(anchors, axis=1)
+        anchors = [tokens[np.clip(centre + k, 0, len(tokens) - 1)] for k in ANCHORS if anchored]
+        yield band, keys, long[rows], left - starts[rows], centre - starts[rows], right - starts[rows], np.maximum(one[3][i], other[3][j]), np.stack(anchors, axis=1) if anchored else None
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows ``(key, n)`` by step."""
     for batch in batches:
-        for part in W.steps(batch):
-            for _, keys, *_ in _joint(part):
-                unique, counts = np.unique(keys, return_counts=True)
+        for part in W.steps(batch, limit=STEP_BYTES):
+            found = [keys for _, keys, *_ in _joint(part, anchored=False)]
+            if found:
+                unique, counts = np.unique(np.concatenate(found), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(W.signed(unique)), pa.array(counts)], ["key", "n"])
 
 
@@ -175,7 +207,7 @@ def _windows(bits: np.ndarray):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in W.steps(batch):
+            for part in W.steps(batch, limit=STEP_BYTES):
                 for _, keys, rows, left, centre, right, slack, anchors in _joint(part):
                     bit = keys >> np.uint64(64 - KEY_BITS)
                     kept = (bits[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
@@ -217,30 +249,47 @@ def _narrow(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-def longest_stretch(shared: np.ndarray, charge: int) -> tuple[int, int]:
-    """Start and end of the longest stretch, from a shared shingle to a shared one, with at least ``charge`` shared ones for each foreign one."""
-    starts = np.flatnonzero(shared)
-    if not len(starts):
-        return 0, 0
-    sums = np.concatenate([[0], np.cumsum(np.where(shared, 1, -charge))])
-    low = np.minimum.accumulate(sums[starts])
-    first = starts[np.searchsorted(-low, -sums[starts + 1])]  # the first start from which the balance up to an end is not negative
-    best = int(np.argmax(starts - first))
-    return int(first[best]), int(starts[best]) + 1
-
-
-def _counterpart(x: np.ndarray, y: np.ndarray, shared: np.ndarray, charge: int, kinds: int) -> tuple[int, int, int, int, float]:
-    """The longest stretch of ``x``, what answers to it in ``y``, and their similarity; 0 if one is too short. Shingles are numbers below ``kinds``."""
-    a, b = longest_stretch(shared, charge)
-    if b - a < WIDTH:
-        return a, b, 0, 0, 0.0
-    own = np.zeros(kinds, bool)
-    own[x[a:b]] = True
-    c, d = longest_stretch(own[y], charge)
-    other = np.zeros(kinds, bool)
-    other[y[c:d]] = True
+def _runs(marked: np.ndarray) -> tuple[list[int], list[int]]:
+    """Starts and ends of the runs of marked places."""
+    framed = np.zeros(len(marked) + 2, bool)
+    framed[1:-1] = marked
+    edges = (framed[1:] != framed[:-1]).nonzero()[0].tolist()
+    return edges[::2], edges[1::2]
+
+
+def _within(runs: tuple[list[int], list[int]], low: int, high: int) -> tuple[list[int], list[int]]:
+    """What of the runs lies in ``low..high``, counted from ``low``."""
+    starts, ends = runs
+    i, j = bisect_right(ends, low), bisect_left(starts, high)
+    return [max(s, low) - low for s in starts[i:j]], [min(e, high) - low for e in ends[i:j]]
+
+
+def longest_stretch(runs: tuple[list[int], list[int]], charge: int) -> tuple[int, int]:
+    """Start and end of the longest stretch, from a shared shingle to a shared one, with at least ``charge`` shared ones for each foreign one.
+
+    ``runs`` are those of shared shingles. The balance rises within a run, so that a stretch starts where a run starts and ends where one ends.
+    """
+    best, at = (0, 0), 0
+    balance, lows, firsts = 0, [], []  # balances fallen to below all before, with their sign turned, and where
+    for start, end in zip(*runs, strict=True):
+        balance -= charge * (start - at)
+        if not lows or -balance > lows[-1]:
+            lows.append(-balance)
+            firsts.append(start)
+        balance += end - start
+        first = firsts[bisect_left(lows, -balance)]  # the first start from which the balance up to here is not negative
+        if end - first > best[1] - best[0]:
+            best = first, end
+        at = end
+    return best
+
+
+def _similarity(y: np.ndarray, own: np.ndarray, size: int) -> float:
+    """Jaccard similarity of ``own``, a set of ``size`` shingles given by marks, to those of ``y``."""
+    other = np.zeros(len(own), bool)
+    other[y] = True
     both = int(np.count_nonzero(own & other))
-    return a, b, c, d, both / (int(np.count_nonzero(own)) + int(np.count_nonzero(other)) - both) if d - c >= WIDTH else 0.0
+    return both / (size + int(np.count_nonzero(other)) - both)
 
 
 def verified(x: np.ndarray, y: np.ndarray) -> Iterator[tuple[int, int, int, int, float]]:
@@ -253,19 +302,33 @@ def verified(x: np.ndarray, y: np.ndarray) -> Iterator[tuple[int, int, int, int,
         if len(x) >= WIDTH:
             yield 0, len(x), 0, len(x), 1.0
         return
-    names, numbers = np.unique(np.concatenate([x, y]), return_inverse=True)
-    x, y, kinds = numbers[: len(x)], numbers[len(x) :], len(names)
+    # shingles as numbers below ``kinds``
+    both = np.concatenate([x, y])
+    order = both.argsort()
+    ranked = both[order]
+    numbers = np.zeros(len(both), np.int64)
+    numbers[order[1:]] = np.cumsum(ranked[1:] != ranked[:-1])
+    x, y, kinds = numbers[: len(x)], numbers[len(x) :], int(numbers[order[-1]]) + 1
     there = np.zeros(kinds, bool)
     there[y] = True
-    shared, left = there[x], [(0, len(x))]
+    shared, left = _runs(there[x]), [(0, len(x))]
     while left:
         low, high = left.pop()
-        held = None
-        for charge in CHARGES if high - low >= WIDTH else ():
-            tried = _counterpart(x[low:high], y, shared[low:high], charge, kinds)
-            if tried[1] - tried[0] < WIDTH:
+        if high - low < WIDTH:
+            continue
+        here = _within(shared, low, high)
+        held = mine = None
+        for charge in CHARGES:
+            a, b = longest_stretch(here, charge)
+            if b - a < WIDTH:
                 break
-            held = tried
+            if mine is None or held[:2] != (a, b):
+                own = np.zeros(kinds, bool)
+                own[x[low + a : low + b]] = True
+                mine, size = _runs(own[y]), int(np.count_nonzero(own))
+            c, d = longest_stretch(mine, charge)
+            if held is None or held[:4] != (a, b, c, d):
+                held = a, b, c, d, _similarity(y[c:d], own, size) if d - c >= WIDTH else 0.0
             if held[4] >= SIMILARITY:
                 break
         if held is None:
@@ -277,15 +340,15 @@ def verified(x: np.ndarray, y: np.ndarray) -> Iterator[tuple[int, int, int, int,
             continue
         there = np.zeros(kinds, bool)
         there[y[c:d]] = True
-        p, q = (a + k for k in longest_stretch(there[x[a:b]], CHARGES[-1]))
+        p, q = (a + k for k in longest_stretch(_runs(there[x[a:b]]), CHARGES[-1]))
         if WIDTH <= q - p < b - a:
             left += [(a, p), (p, q), (q, b)]
             continue
-        own = a + np.flatnonzero(shared[a:b])
-        gaps = np.diff(own)
-        if gaps.max() > 1:
-            widest = int(np.argmax(gaps))
-            left += [(a, int(own[widest]) + 1), (int(own[widest + 1]), b)]
+        starts, ends = _within(shared, a, b)
+        gaps = [start - end for start, end in zip(starts[1:], ends, strict=False)]
+        if gaps:
+            widest = gaps.index(max(gaps))
+            left += [(a, a + ends[widest]), (a + starts[widest + 1], b)]
 
 
 def _parted(x: np.ndarray, y: np.ndarray, shift: int) -> Iterator[tuple[int, int, int, int, float]]:
@@ -331,9 +394,9 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _unexplained(live: DataFrame, links: DataFrame) -> DataFrame:
-    """The stretches of groups of more than three that a group still holds unexplained ones of, once for each anchor, with the key of both.
+    """The stretches of the groups that still hold unexplained ones, once for each anchor, with the key of both.
 
-    A stretch is explained if a link covers its minimum. In a group of up to three, the representatives are held against every other one.
+    A stretch is explained if a link covers its minimum.
     """
     sides = links.select("doc_id", F.col("start_word").alias("low"), F.col("end_word").alias("high"))
     sides = sides.union(links.select("source_id", "source_start", "source_end")).distinct()
@@ -345,21 +408,19 @@ def _unexplained(live: DataFrame, links: DataFrame) -> DataFrame:
     spans = spans.groupBy("doc_id").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
     covers = F.exists("spans", lambda p: (p["low"] <= F.col("c")) & (F.col("c") + SIZE <= p["high"]))
     told = written_once(live.join(spans, "doc_id", "left").select(*live.columns, (~F.coalesce(covers, F.lit(False))).alias("open")), "explained")
-    groups = told.groupBy("key").agg(F.count("*").alias("n"), F.max("open").alias("some")).where("n > 3 and some").select("key")
-    near = told.join(groups, "key").select("*", F.posexplode("anchors").alias("at", "anchor"))
+    some = told.where("open").select("key").distinct()
+    near = only_ids(told, F.col("key"), some, "key").join(some, "key", "left_semi").select("*", F.posexplode("anchors").alias("at", "anchor"))
     return near.withColumn("key", F.xxhash64("key", "at", "anchor")).drop("at", "anchor", "anchors")
 
 
 def _stars(live: DataFrame) -> DataFrame:
     """Each stretch beside the two representatives of its key; where ``open`` is given, only of keys that hold an open one."""
     own = F.struct("doc_id", "c", "l", "r", "slack")
-    if "open" in live.columns:
-        # representatives of the open ones: an explained one is held against them too
-        wanted = [F.min(F.when(F.col("open"), own)).alias("low"), F.max(F.when(F.col("open"), own)).alias("high")]
-        ends = live.groupBy("key").agg(*wanted, F.count("*").alias("n")).where("low is not null and n > 1")
-    else:
-        ends = live.groupBy("key").agg(F.min(own).alias("low"), F.max(own).alias("high")).where("low <> high")
-    ends = written_once(ends.select("key", "low", "high"), "representatives")
+    # representatives of the open ones: an explained one is held against them too
+    shown = live.where("open") if "open" in live.columns else live
+    ends = shown.groupBy("key").agg(F.min(own).alias("low"), F.max(own).alias("high"))
+    ends = ends if "open" in live.columns else ends.where("low <> high")
+    ends = written_once(ends, "representatives")
     both = live.join(ends, "key").withColumn("rep", F.explode(F.array_distinct(F.array("low", "high"))))
     slack = F.greatest("slack", "rep.slack").cast("int").alias("slack")
     return both.select("doc_id", *"lcr", slack, F.col("rep.doc_id").alias("rep_id"), *[F.col(f"rep.{p}").alias(f"rep_{p}") for p in "lcr"])
@@ -409,8 +470,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     the end exclusive, that nearly repeat a passage of ``source_id``, a document with a smaller id or the same one."""
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).where("doc_id is not null and text is not null")
     counted = source.select("text").mapInArrow(_keys, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    met = written_once(counted.where("n > 1").select("key"), "repeated-keys")
+    # of a group of up to three, the representatives are held against every other one, so larger ones only are looked at again
+    met = written_once(counted.where("n > 1").select("key", (F.col("n") > 3).alias("large")), "repeated-keys")
     windows = source.mapInArrow(_windows(_key_filter(met)), "key long, doc_id long, l int, c int, r int, slack byte, anchors array<int>")
     live = written_once(windows.join(met, "key"), "windows")
-    links = written_once(_links(source, _stars(live.drop("anchors"))), "links")
-    return links.union(_links(source, _stars(_unexplained(live, links)))).distinct()
+    links = written_once(_links(source, _stars(live.drop("anchors", "large"))), "links")
+    return links.union(_links(source, _stars(_unexplained(live.where("large").drop("large"), links)))).distinct()

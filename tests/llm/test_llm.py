@@ -538,3 +538,31 @@ def test_vectors_of_rare_lengths_and_extreme_sizes(spark):
 def test_pivots_grow_with_the_root_of_the_table():
     assert [pivot_dedup.pivots_for(n, 64) for n in (10, 10_000, 40_000, 1_000_000, 10**9)] == [192, 192, 384, 1920, 4096]
     assert pivot_dedup.pivots_for(10**9, 4096) == 1024
+
+
+def test_longest_stretches_of_runs_equal_those_of_places():
+    rng = np.random.default_rng(8)
+    for _ in range(300):
+        shared, charge = rng.random(int(rng.integers(1, 120))) < rng.choice([0.3, 0.8, 0.95]), int(rng.choice([1, 4, 8]))
+        sums = np.concatenate([[0], np.cumsum(np.where(shared, 1, -charge))])
+        on = np.flatnonzero(shared).tolist()
+        longest = max((b - a + 1 for a in on for b in on if b >= a and sums[b + 1] >= sums[a]), default=0)
+        a, b = compact_windows.longest_stretch(compact_windows._runs(shared), charge)
+        assert b - a == longest and (not longest or (shared[a] and shared[b - 1] and sums[b] >= sums[a]))
+
+
+def test_only_stretches_of_unexplained_groups_are_looked_at_again(spark):
+    names = "key long, doc_id long, l int, c int, r int, slack byte, anchors array<int>"
+    live = spark.createDataFrame([(k, d, 0, 50, 100, 0, [d, 10 + d, 20 + d, 30 + d]) for k in (1, 2) for d in range(10 * k, 10 * k + 6)], names)
+    kind = "doc_id long, start_word long, end_word long, source_id long, source_start long, source_end long, similarity double"
+    told = [(d, 40, 100, 9, 0, 60, 1.0) for d in (*range(10, 16), *range(21, 26))]
+    near = compact_windows._unexplained(live, spark.createDataFrame(told, kind))
+    assert {r["doc_id"] for r in near.collect()} == set(range(20, 26))
+    # representatives are sought among the open ones alone
+    stars = compact_windows._stars(near)
+    assert {r["rep_id"] for r in stars.collect()} == {20}
+    values = np.random.default_rng(9).integers(1, 2**62, 200_000, dtype=np.uint64)
+    tables, room = [values], compact_windows.room_for(len(values))
+    heads = np.array([int(values.argmin())])
+    assert compact_windows._reach(tables, heads, False, room)[0] == len(values) - 1 and compact_windows._reach(tables, heads, True, room)[0] == 0
+    assert len(tables) <= 19  # steps grow with the logarithm of a window's length
