@@ -39,6 +39,7 @@ SIZE, WIDTH, SIMILARITY = 5, 46, 0.8
 FUNCTIONS, PAIRS = 6, ((0, 1), (2, 3), (4, 5))
 #: Places, from the first minimum of a stretch, whose shingles group it again.
 ANCHORS = (-14, -7, 7, 14)
+ANCHORED = [f"anchor_{k}" for k in range(len(ANCHORS))]
 #: Bits of the filter of keys that occur twice (4 MB): fixed, whatever the corpus; it only saves moving rows.
 KEY_BITS = 25
 #: Shared shingles asked for a foreign one, from what is needed to what is enough.
@@ -63,11 +64,16 @@ def _reach(tables: list[np.ndarray], heads: np.ndarray, back: bool, room: np.nda
     1, 2, 4, ... places are added as they are needed, in rows of ``room``."""
     values, end = tables[0], len(tables[0])
     own, at = values[heads], heads.copy()
+    # between separators no way leaves the table: what it has beyond an end is cut off there and holds the separator
+    sealed = end > 0 and not values[0] and not values[-1]
 
     def fits(level: int, some: np.ndarray) -> np.ndarray:
         start = at[some] - (1 << level) if back else at[some] + 1
-        inside = (start >= 0) & (start + (1 << level) <= end)
-        some, start = some[inside], start[inside]
+        if sealed:
+            start = np.maximum(start, 0)
+        else:
+            inside = (start >= 0) & (start + (1 << level) <= end)
+            some, start = some[inside], start[inside]
         return some[tables[level][start] >= own[some]]
 
     # the heads whose way is 2 ** level places at least, level by level, and then their way in powers of two
@@ -79,7 +85,12 @@ def _reach(tables: list[np.ndarray], heads: np.ndarray, back: bool, room: np.nda
             tables.append(_widened(tables[-1], 1 << (len(tables) - 1), np.minimum, room[len(tables)]))
         some = fits(base + len(far), some)
     for level in range(base + len(far) - 1, -1, -1):
-        at[fits(level, far[level - base] if level >= base else everyone)] += -(1 << level) if back else 1 << level
+        step = -(1 << level) if back else 1 << level
+        if sealed and level < base:
+            start = np.maximum(at + step, 0) if back else at + 1
+            np.add(at, step, out=at, where=tables[level].take(start) >= own)
+        else:
+            at[fits(level, far[level - base] if level >= base else everyone)] += step
     return at
 
 
@@ -125,7 +136,7 @@ def _territories(values: np.ndarray, left: np.ndarray, centre: np.ndarray, right
     A place that is within ``APART`` of the last one kept is answered for by that, with ``slack``. A window ends ``WIDTH`` beyond the
     next kept places, so that the windows of a text that repeats itself throughout grow with its length and not with its square.
     """
-    order = np.lexsort((values[centre], left))  # places come in ascending order
+    order = np.argsort(left, kind="stable")  # places come in ascending order; among windows of one start, the values fall with them
     left, centre, right = left[order], centre[order], right[order]
     head = np.ones(len(left), bool)
     head[1:] = (left[1:] != left[:-1]) | (values[centre[1:]] != values[centre[:-1]])
@@ -165,8 +176,9 @@ def joint_windows(one: tuple[np.ndarray, ...], other: tuple[np.ndarray, ...], wi
     return i[wide], order[j[wide]], left[wide], right[wide]
 
 
-def _joint(part: pa.RecordBatch, anchored: bool = True) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For each pair of functions: ``(band, keys, rows, l, c, r, slack, anchors)`` of its joint windows, places from the start of their text."""
+def _joint(part: pa.RecordBatch, anchored: bool = True) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]]:
+    """For each pair of functions: ``(band, keys, rows, l, c, r, slack, anchors)`` of its joint windows, places from the start of their text,
+    and the shingles at each of ``ANCHORS``."""
     shingles, at = W.shingles(*W.words(part.column("text")), SIZE)
     long = np.flatnonzero(np.diff(at) >= WIDTH)
     if not len(long):
@@ -189,21 +201,19 @@ def _joint(part: pa.RecordBatch, anchored: bool = True) -> Iterator[tuple[int, n
         keys = W.mix(v1[centre] + W.mix(v2[second]) + np.uint64(band))
         rows = np.searchsorted(starts, centre, "right") - 1
         anchors = [tokens[np.clip(centre + k, 0, len(tokens) - 1)] for k in ANCHORS if anchored]
-        yield band, keys, long[rows], left - starts[rows], centre - starts[rows], right - starts[rows], np.maximum(one[3][i], other[3][j]), np.stack(anchors, axis=1) if anchored else None
+        yield band, keys, long[rows], left - starts[rows], centre - starts[rows], right - starts[rows], np.maximum(one[3][i], other[3][j]), anchors
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows ``(key, n)`` by step."""
+    """The key of each joint window."""
     for batch in batches:
         for part in W.steps(batch, limit=STEP_BYTES):
-            found = [keys for _, keys, *_ in _joint(part, anchored=False)]
-            if found:
-                unique, counts = np.unique(np.concatenate(found), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(W.signed(unique)), pa.array(counts)], ["key", "n"])
+            for _, keys, *_ in _joint(part, anchored=False):
+                yield pa.RecordBatch.from_arrays([pa.array(W.signed(keys))], ["key"])
 
 
 def _windows(bits: np.ndarray):
-    """Rows ``(key, doc_id, l, c, r, slack, anchors)`` of the joint windows whose key may occur twice."""
+    """Rows ``(key, doc_id, l, c, r, slack, anchor_0, ...)`` of the joint windows whose key may occur twice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -212,9 +222,9 @@ def _windows(bits: np.ndarray):
                     bit = keys >> np.uint64(64 - KEY_BITS)
                     kept = (bits[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
                     places = [pa.array(p[kept].astype(np.int32)) for p in (left, centre, right)]
-                    lists = pa.FixedSizeListArray.from_arrays(pa.array(_narrow(anchors[kept].ravel())), len(ANCHORS)).cast(pa.list_(pa.int32()))
+                    near = [pa.array(_narrow(anchors[k][kept])) for k in range(len(ANCHORS))]
                     ids = part.column("doc_id").take(pa.array(rows[kept]))
-                    yield pa.RecordBatch.from_arrays([pa.array(W.signed(keys[kept])), ids, *places, pa.array(slack[kept]), lists], ["key", "doc_id", "l", "c", "r", "slack", "anchors"])
+                    yield pa.RecordBatch.from_arrays([pa.array(W.signed(keys[kept])), ids, *places, pa.array(slack[kept]), *near], ["key", "doc_id", "l", "c", "r", "slack", *ANCHORED])
 
     return run
 
@@ -229,7 +239,7 @@ def _key_filter(repeated: DataFrame) -> np.ndarray:
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The shingles of the stretches asked for, with the other columns of each request."""
+    """The shingles of the stretches asked for, with the columns of each request."""
     for batch in batches:
         for part in W.steps(batch):
             shingles, at = W.shingles(*W.words(part.column("text")), SIZE)
@@ -241,7 +251,7 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lengths = np.concatenate([[0], np.cumsum([len(p) for p in pieces])]).astype(np.int32)
             tokens = pa.ListArray.from_arrays(pa.array(lengths), pa.array(np.concatenate(pieces) if pieces else np.zeros(0, np.int32)))
             names = [flat.type.field(k).name for k in range(flat.type.num_fields)]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(rows)), *[flat.field(k) for k in range(len(names))], tokens], ["doc_id", *names, "tokens"])
+            yield pa.RecordBatch.from_arrays([*[flat.field(k) for k in range(len(names))], tokens], [*names, "tokens"])
 
 
 def _narrow(shingles: np.ndarray) -> np.ndarray:
@@ -374,22 +384,32 @@ REMEMBERED = 20_000
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The similar passages of stretches that follow, without an ``own_id``, the stretch they are held against."""
     names = ["doc_id", "start_word", "end_word", "source_id", "source_start", "source_end", "similarity"]
     kinds = [pa.int64()] * 6 + [pa.float64()]
     known: dict[bytes, list] = {}
+    against, other = None, None
     for batch in batches:
-        (x, x_at), (y, y_at) = ((c.flatten().to_numpy(zero_copy_only=False), c.offsets.to_numpy() - c.offsets[0].as_py()) for c in (batch.column("tokens_x"), batch.column("tokens_y")))
-        doc, s, rep, t = (batch.column(c).to_numpy() for c in ("doc_id", "s", "rep_id", "rep_s"))
+        tokens = batch.column("tokens")
+        flat, at = tokens.flatten().to_numpy(zero_copy_only=False), (tokens.offsets.to_numpy() - tokens.offsets[0].as_py()).tolist()
+        doc = batch.column("own_id").to_pylist()
+        s, rep, t, u = (batch.column(c).to_numpy().tolist() for c in ("s", "rep_id", "rep_s", "rep_e"))
         rows = []
         for i in range(len(doc)):
-            own, other = x[x_at[i] : x_at[i + 1]], y[y_at[i] : y_at[i + 1]]
-            shift = int(s[i] - t[i]) if doc[i] == rep[i] else 0
-            pair = b"%d:%d:" % (shift, len(own)) + own.tobytes() + other.tobytes()
+            own = flat[at[i] : at[i + 1]]
+            if doc[i] is None:
+                if against != (rep[i], t[i], u[i]):  # else a repeated row
+                    against, other, after = (rep[i], t[i], u[i]), own.copy(), own.tobytes()
+                continue
+            if against != (rep[i], t[i], u[i]):
+                continue
+            shift = s[i] - t[i] if doc[i] == rep[i] else 0
+            pair = b"%d:%d:" % (shift, len(own)) + own.tobytes() + after
             if pair not in known:
                 if len(known) >= REMEMBERED:
                     known.clear()
                 known[pair] = list(_parted(own, other, shift) if shift else verified(own, other))
-            rows += [(int(doc[i]), int(s[i]) + a, int(s[i]) + b + SIZE - 1, int(rep[i]), int(t[i]) + c, int(t[i]) + d + SIZE - 1, similarity) for a, b, c, d, similarity in known[pair]]
+            rows += [(doc[i], s[i] + a, s[i] + b + SIZE - 1, rep[i], t[i] + c, t[i] + d + SIZE - 1, similarity) for a, b, c, d, similarity in known[pair]]
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names)
 
 
@@ -407,10 +427,14 @@ def _unexplained(live: DataFrame, links: DataFrame) -> DataFrame:
     spans = sides.withColumn("reach", reach).withColumn("island", island).groupBy("doc_id", "island").agg(F.min("low").alias("low"), F.max("high").alias("high"))
     spans = spans.groupBy("doc_id").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
     covers = F.exists("spans", lambda p: (p["low"] <= F.col("c")) & (F.col("c") + SIZE <= p["high"]))
-    told = written_once(live.join(spans, "doc_id", "left").select(*live.columns, (~F.coalesce(covers, F.lit(False))).alias("open")), "explained")
+    # the anchors are kept in columns of their own until they are dealt out, as lists are dear to move
+    own = [c for c in live.columns if c != "anchors"]
+    flat = live.select(*own, *[F.col("anchors")[k].alias(name) for k, name in enumerate(ANCHORED)])
+    told = written_once(flat.join(spans, "doc_id", "left").select(*flat.columns, (~F.coalesce(covers, F.lit(False))).alias("open")), "explained")
     some = told.where("open").select("key").distinct()
-    near = only_ids(told, F.col("key"), some, "key").join(some, "key", "left_semi").select("*", F.posexplode("anchors").alias("at", "anchor"))
-    return near.withColumn("key", F.xxhash64("key", "at", "anchor")).drop("at", "anchor", "anchors")
+    near = only_ids(told, F.col("key"), some, "key").join(some, "key", "left_semi")
+    near = near.select(*own, "open", F.posexplode(F.array(*ANCHORED)).alias("at", "anchor"))
+    return near.withColumn("key", F.xxhash64("key", "at", "anchor")).drop("at", "anchor")
 
 
 def _stars(live: DataFrame) -> DataFrame:
@@ -421,7 +445,9 @@ def _stars(live: DataFrame) -> DataFrame:
     ends = shown.groupBy("key").agg(F.min(own).alias("low"), F.max(own).alias("high"))
     ends = ends if "open" in live.columns else ends.where("low <> high")
     ends = written_once(ends, "representatives")
-    both = live.join(ends, "key").withColumn("rep", F.explode(F.array_distinct(F.array("low", "high"))))
+    # the representatives are held against each other once
+    reps = F.when(F.expr("low = high"), F.array("low")).when(own == F.col("low"), F.array("high")).when(own == F.col("high"), F.expr("slice(array(low), 1, 0)"))
+    both = live.join(ends.hint("shuffle_hash"), "key").withColumn("rep", F.explode(reps.otherwise(F.array("low", "high"))))
     slack = F.greatest("slack", "rep.slack").cast("int").alias("slack")
     return both.select("doc_id", *"lcr", slack, F.col("rep.doc_id").alias("rep_id"), *[F.col(f"rep.{p}").alias(f"rep_{p}") for p in "lcr"])
 
@@ -439,8 +465,8 @@ def _links(source: DataFrame, both: DataFrame) -> DataFrame:
     either = lambda yes, no: F.when(turned, yes).otherwise(no)
     back = [(F.col(p) - F.col("shift"), F.col(p)) for p in ("s", "e")]
     sides = [either(F.col("rep_id"), F.col("doc_id")).alias("doc_id"), either(F.col("doc_id"), F.col("rep_id")).alias("rep_id"), either(-F.col("shift"), F.col("shift")).alias("shift")]
-    meets = meets.select(*sides, *[either(*pair).alias(p) for p, pair in zip(("s", "e"), back, strict=True)]).distinct()
-    # stretches of one offset that touch are one
+    meets = meets.select(*sides, *[either(*pair).alias(p) for p, pair in zip(("s", "e"), back, strict=True)])
+    # stretches of one offset that touch are one, equal ones among them
     along = Window.partitionBy("doc_id", "rep_id", "shift").orderBy("s", "e")
     reach = F.max("e").over(along.rowsBetween(Window.unboundedPreceding, -1))
     island = F.sum(F.when(F.col("s") <= F.col("reach"), 0).otherwise(1)).over(along.rowsBetween(Window.unboundedPreceding, 0))
@@ -448,31 +474,29 @@ def _links(source: DataFrame, both: DataFrame) -> DataFrame:
     stretches = stretches.agg(F.min("s").alias("s"), F.max("e").alias("e"))
     found = written_once(stretches.select("doc_id", "rep_id", "s", "e", (F.col("s") - F.col("shift")).alias("rep_s"), (F.col("e") - F.col("shift")).alias("rep_e")), "stretches")
 
-    # texts are moved once to the requests of both sides; a request of the larger id carries what it is held against
+    # texts are moved and cut once for the requests of both sides: those of the larger id name it, and meet at what they are held against
     ids = found.select("doc_id").union(found.select("rep_id"))
     some = only_ids(source, F.col("doc_id"), ids, "doc_id")
-
-    def cut(requests: DataFrame, fields: list[str]) -> DataFrame:
-        asked = requests.groupBy("doc_id").agg(F.collect_list(F.struct(*fields)).alias("wanted"))  # as many as a document has stretches
-        kinds = ", ".join(f"{c} {requests.schema[c].dataType.simpleString()}" for c in fields)
-        return some.join(asked.hint("merge"), "doc_id").select("doc_id", "text", "wanted").mapInArrow(_slices, f"doc_id long, {kinds}, tokens array<int>")
-
-    against = found.select(F.col("rep_id").alias("doc_id"), F.col("rep_s").alias("s"), F.col("rep_e").alias("e")).distinct()
-    other = cut(against, ["s", "e"]).toDF("rep_id", "rep_s", "rep_e", "tokens_y").dropDuplicates(["rep_id", "rep_s", "rep_e"])  # of repeated rows
-    mine = cut(found, ["s", "e", "rep_id", "rep_s", "rep_e"]).withColumnRenamed("tokens", "tokens_x")
-    pairs = mine.join(other, ["rep_id", "rep_s", "rep_e"])
+    against = [F.col(c) for c in ("rep_id", "rep_s", "rep_e")]
+    asked = found.select("doc_id", F.struct("s", "e", *against, F.col("doc_id").alias("own_id")).alias("request"))
+    asked = asked.union(found.select("rep_id", F.struct(F.col("rep_s").alias("s"), F.col("rep_e").alias("e"), *against, F.lit(None).cast("long").alias("own_id"))))
+    asked = asked.groupBy("doc_id").agg(F.collect_set("request").alias("wanted"))  # as many as a document has stretches
+    kinds = "s int, e int, rep_id long, rep_s int, rep_e int, own_id long"
+    cut = some.join(asked.hint("merge"), "doc_id").select("text", "wanted").mapInArrow(_slices, f"{kinds}, tokens array<int>")
+    met = cut.drop("e").repartition(*against).sortWithinPartitions(*against, "own_id")  # null, the side held against, comes first
     names = "doc_id long, start_word long, end_word long, source_id long, source_start long, source_end long, similarity double"
-    return pairs.select("doc_id", "s", "rep_id", "rep_s", "tokens_x", "tokens_y").mapInArrow(_verify, names).distinct()
+    return met.mapInArrow(_verify, names).distinct()
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, start_word, end_word, source_id, source_start, source_end, similarity)``: passages, in words from 0 with
     the end exclusive, that nearly repeat a passage of ``source_id``, a document with a smaller id or the same one."""
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).where("doc_id is not null and text is not null")
-    counted = source.select("text").mapInArrow(_keys, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    counted = source.select("text").mapInArrow(_keys, "key long").groupBy("key").agg(F.count("*").alias("n"))
     # of a group of up to three, the representatives are held against every other one, so larger ones only are looked at again
     met = written_once(counted.where("n > 1").select("key", (F.col("n") > 3).alias("large")), "repeated-keys")
-    windows = source.mapInArrow(_windows(_key_filter(met)), "key long, doc_id long, l int, c int, r int, slack byte, anchors array<int>")
-    live = written_once(windows.join(met, "key"), "windows")
-    links = written_once(_links(source, _stars(live.drop("anchors", "large"))), "links")
-    return links.union(_links(source, _stars(_unexplained(live.where("large").drop("large"), links)))).distinct()
+    windows = source.mapInArrow(_windows(_key_filter(met)), "key long, doc_id long, l int, c int, r int, slack byte, " + ", ".join(f"{c} int" for c in ANCHORED))
+    live = written_once(windows.join(met.hint("shuffle_hash"), "key"), "windows")
+    links = written_once(_links(source, _stars(live.drop(*ANCHORED, "large"))), "links")
+    large = live.where("large").withColumn("anchors", F.array(*ANCHORED)).drop(*ANCHORED, "large")
+    return links.union(_links(source, _stars(_unexplained(large, links)))).distinct()

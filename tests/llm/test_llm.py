@@ -566,3 +566,45 @@ def test_only_stretches_of_unexplained_groups_are_looked_at_again(spark):
     heads = np.array([int(values.argmin())])
     assert compact_windows._reach(tables, heads, False, room)[0] == len(values) - 1 and compact_windows._reach(tables, heads, True, room)[0] == 0
     assert len(tables) <= 19  # steps grow with the logarithm of a window's length
+
+
+def test_passages_move_and_cut_texts_once(spark):
+    names = "key long, doc_id long, l int, c int, r int, slack byte"
+    live = spark.createDataFrame([(k, d, 0, 50, 100, 0) for k, many in ((1, 2), (2, 4)) for d in range(10 * k, 10 * k + many)], names)
+    met = [(r["doc_id"], r["rep_id"]) for r in compact_windows._stars(live).collect()]
+    # the two representatives of a key meet once, and every other stretch both of them
+    assert sorted(met) == [(10, 11), (20, 23), (21, 20), (21, 23), (22, 20), (22, 23)]
+    source = frame(spark, ["a"]).select("doc_id", "text")
+    plan = compact_windows._links(source, compact_windows._stars(live))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 2  # one to cut, one to verify
+
+
+def test_stretches_are_verified_where_they_follow_what_they_are_held_against():
+    names = ["s", "rep_id", "rep_s", "rep_e", "own_id", "tokens"]
+    kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int32())]
+    text = list(range(60))
+    rows = [(4, 1, 4, 63, None, text), (4, 1, 4, 63, None, text), (9, 1, 4, 63, 5, text), (7, 1, 4, 63, 6, text), (9, 1, 4, 64, 5, text), (0, 2, 0, 59, None, text[::-1]), (3, 2, 0, 59, 8, text[::-1])]
+    whole = pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names)
+    want = [(5, 9, 73, 1, 4, 68, 1.0), (6, 7, 71, 1, 4, 68, 1.0), (8, 3, 67, 2, 0, 64, 1.0)]
+    for size in (1, 2, 7):  # a side may end one batch and the other begin the next
+        parts = [whole.slice(at, size) for at in range(0, len(rows), size)]
+        assert [tuple(r.values()) for b in compact_windows._verify(iter(parts)) for r in b.to_pylist()] == want
+
+
+def test_reach_between_separators_equals_brute_force():
+    rng = np.random.default_rng(11)
+    for _ in range(20):
+        values = np.concatenate([[0], rng.integers(1, 30, int(rng.integers(1, 150))), [0], rng.integers(1, 9, int(rng.integers(1, 90))), [0]]).astype(np.uint64)
+        heads, room = np.flatnonzero(values), compact_windows.room_for(len(values))
+        tables = [values]
+        for level in range(5):
+            tables.append(compact_windows._widened(tables[-1], 1 << level, np.minimum, room[level + 1]))
+        for back in (True, False):
+            step = -1 if back else 1
+            want = []
+            for at in heads.tolist():
+                until = at
+                while values[until + step] >= values[at]:
+                    until += step
+                want.append(until)
+            assert compact_windows._reach(list(tables), heads, back, room).tolist() == want
