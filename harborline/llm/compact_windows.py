@@ -88,7 +88,7 @@ def _reach(tables: list[np.ndarray], heads: np.ndarray, back: bool, room: np.nda
         step = -(1 << level) if back else 1 << level
         if sealed and level < base:
             start = np.maximum(at + step, 0) if back else at + 1
-            np.add(at, step, out=at, where=tables[level].take(start) >= own)
+            at += (tables[level].take(start) >= own) * step
         else:
             at[fits(level, far[level - base] if level >= base else everyone)] += step
     return at
@@ -452,6 +452,45 @@ def _stars(live: DataFrame) -> DataFrame:
     return both.select("doc_id", *"lcr", slack, F.col("rep.doc_id").alias("rep_id"), *[F.col(f"rep.{p}").alias(f"rep_{p}") for p in "lcr"])
 
 
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows ``(doc_id, rep_id, shift, s, e, group)``, sorted by a hash of the first three, those of one offset that touch as one row.
+
+    Only the rows of the last hash wait for what follows: the meetings of two documents at one offset.
+    """
+
+    def merged(rows: pa.RecordBatch) -> pa.RecordBatch:
+        doc, rep, shift, s, e, group = (c.to_numpy() for c in rows.columns)
+        runs = np.concatenate([[0], np.cumsum(group[1:] != group[:-1])])
+        order = np.argsort((runs << 32) + s)
+        changes = lambda by: (doc[by][1:] != doc[by][:-1]) | (rep[by][1:] != rep[by][:-1]) | (shift[by][1:] != shift[by][:-1])
+        new = np.concatenate([[True], changes(order)])
+        if np.count_nonzero(new) != runs[-1] + 1:  # two offsets of one hash
+            order = np.lexsort((s, shift, rep, doc))
+            new[1:] = changes(order)
+        offset = np.cumsum(new) << 32  # the furthest end so far, by offset
+        reach = np.maximum.accumulate(offset + e[order]) - offset
+        new[1:] |= s[order][1:] > reach[:-1]
+        first = np.flatnonzero(new)
+        ends = reach[np.append(first[1:], len(s)) - 1].astype(np.int32)
+        return pa.RecordBatch.from_arrays([pa.array(c[order[first]]) for c in (doc, rep, shift, s)] + [pa.array(ends)], rows.schema.names[:5])
+
+    waiting: list[pa.RecordBatch] = []
+    for batch in batches:
+        group = batch.column("group").to_numpy()
+        if not len(group):
+            continue
+        if waiting and group[0] != waiting[-1].column("group")[-1].as_py():
+            yield merged(pa.concat_batches(waiting))
+            waiting = []
+        last = int(np.searchsorted(group, group[-1]))
+        if last:
+            yield merged(pa.concat_batches([*waiting, batch.slice(0, last)]))
+            waiting = []
+        waiting.append(batch.slice(last))
+    if waiting:
+        yield merged(pa.concat_batches(waiting))
+
+
 def _links(source: DataFrame, both: DataFrame) -> DataFrame:
     """The verified passages among pairs of windows."""
     apart = (F.col("doc_id") != F.col("rep_id")) | (F.abs(F.expr("c - rep_c")) >= APART)
@@ -466,12 +505,10 @@ def _links(source: DataFrame, both: DataFrame) -> DataFrame:
     back = [(F.col(p) - F.col("shift"), F.col(p)) for p in ("s", "e")]
     sides = [either(F.col("rep_id"), F.col("doc_id")).alias("doc_id"), either(F.col("doc_id"), F.col("rep_id")).alias("rep_id"), either(-F.col("shift"), F.col("shift")).alias("shift")]
     meets = meets.select(*sides, *[either(*pair).alias(p) for p, pair in zip(("s", "e"), back, strict=True)])
-    # stretches of one offset that touch are one, equal ones among them
-    along = Window.partitionBy("doc_id", "rep_id", "shift").orderBy("s", "e")
-    reach = F.max("e").over(along.rowsBetween(Window.unboundedPreceding, -1))
-    island = F.sum(F.when(F.col("s") <= F.col("reach"), 0).otherwise(1)).over(along.rowsBetween(Window.unboundedPreceding, 0))
-    stretches = meets.withColumn("reach", reach).withColumn("island", island).groupBy("doc_id", "rep_id", "shift", "island")
-    stretches = stretches.agg(F.min("s").alias("s"), F.max("e").alias("e"))
+    # one column sorts faster than five, and the meetings of an offset are few
+    along = ["doc_id", "rep_id", "shift"]
+    sorted_meets = meets.repartition(*along).withColumn("group", F.xxhash64(*along)).sortWithinPartitions("group")
+    stretches = sorted_meets.mapInArrow(_merged, "doc_id long, rep_id long, shift int, s int, e int")
     found = written_once(stretches.select("doc_id", "rep_id", "s", "e", (F.col("s") - F.col("shift")).alias("rep_s"), (F.col("e") - F.col("shift")).alias("rep_e")), "stretches")
 
     # texts are moved and cut once for the requests of both sides: those of the larger id name it, and meet at what they are held against

@@ -608,3 +608,29 @@ def test_reach_between_separators_equals_brute_force():
                     until += step
                 want.append(until)
             assert compact_windows._reach(list(tables), heads, back, room).tolist() == want
+
+
+def test_meetings_of_an_offset_that_touch_are_one():
+    rng = random.Random(15)
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
+    names = ["doc_id", "rep_id", "shift", "s", "e", "group"]
+    rows = [(d, r, k, s := rng.randrange(400), s + rng.randrange(46, 90), (d + r) * 7 - 20) for d in range(3) for r in range(3) for k in (-4, 9) for _ in range(12)]
+    rows += rng.sample(rows, 30)
+    rng.shuffle(rows)
+    rows.sort(key=lambda r: r[5])  # several offsets share a hash
+    want = set()
+    for offset in {r[:3] for r in rows}:
+        spans = []
+        for s, e in sorted(r[3:5] for r in rows if r[:3] == offset):
+            if spans and s <= spans[-1][1]:
+                spans[-1][1] = max(spans[-1][1], e)
+            else:
+                spans.append([s, e])
+        want |= {(*offset, *span) for span in spans}
+    for given in (rows, [(*r[:5], hash(r[:3])) for r in sorted(rows, key=lambda r: hash(r[:3]))]):
+        whole = pa.RecordBatch.from_arrays([pa.array([r[k] for r in given], kind) for k, kind in enumerate(kinds)], names)
+        for size in (1, 5, 1000):
+            parts = [whole.slice(at, size) for at in range(0, len(rows), size)]
+            got = [tuple(r.values()) for b in compact_windows._merged(iter([whole.slice(0, 0), *parts])) for r in b.to_pylist()]
+            assert len(got) == len(want) and set(got) == want
+    assert list(compact_windows._merged(iter([]))) == []
