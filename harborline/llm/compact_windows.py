@@ -120,8 +120,16 @@ def compact_windows(values: np.ndarray, width: int, every: bool = False, room: n
         step = min(have, width - have)
         most = _widened(most, step, np.maximum, spare[1] if most is not spare[1] else spare[2], back=True)
         have += step
-    heads = np.flatnonzero((most == values) & (values > 0))
-    bounds = [_reach(tables, heads, back, room) for back in (True, False)]
+    # the first smaller value beyond a wide window heads a wide one itself or separates texts, so that heads and separators tell all bounds
+    places = np.concatenate([[-1], np.flatnonzero(most == values), [len(values)]])
+    stops = np.zeros(len(places), np.uint64)
+    stops[1:-1] = values[places[1:-1]]
+    tables, rows = [stops], np.empty((len(places).bit_length() + 1, len(places)), np.uint64)
+    for level in range(min(4, len(places).bit_length())):
+        tables.append(_widened(tables[-1], 1 << level, np.minimum, rows[len(tables)]))
+    inner = np.flatnonzero(stops)
+    heads = places[inner]
+    bounds = [places[_reach(tables, inner, True, rows) - 1] + 1, places[_reach(tables, inner, False, rows) + 1] - 1]
     own = values[heads]
     if every:
         return bounds[0], heads, bounds[1]

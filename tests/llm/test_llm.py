@@ -634,3 +634,20 @@ def test_meetings_of_an_offset_that_touch_are_one():
             got = [tuple(r.values()) for b in compact_windows._merged(iter([whole.slice(0, 0), *parts])) for r in b.to_pylist()]
             assert len(got) == len(want) and set(got) == want
     assert list(compact_windows._merged(iter([]))) == []
+
+
+def test_bounds_of_windows_without_separators_equal_brute_force():
+    rng = np.random.default_rng(16)
+    for values in (np.arange(1, 200), np.arange(200, 0, -1), np.full(120, 7), rng.integers(1, 40, 500), rng.integers(0, 300, 700), np.zeros(60, np.int64)):
+        values = values.astype(np.uint64)
+        want = set()
+        for p in np.flatnonzero(values).tolist():
+            a = b = p
+            while a > 0 and values[a - 1] >= values[p]:
+                a -= 1
+            while b + 1 < len(values) and values[b + 1] >= values[p]:
+                b += 1
+            if b - a + 1 >= 46:
+                want.add((a, p, b))
+        got = compact_windows.compact_windows(values, 46, every=True)
+        assert set(zip(*[x.tolist() for x in got], strict=True)) == want
