@@ -12,6 +12,9 @@ is verified by its cosine in double precision.
 Equal vectors of one label are indexed once and count as many links as they are. Vectors that are null, zero,
 or hold null or non-finite components, and those without a label, link with nothing.
 
+The joins whose sides grow with the table are hinted to merge. Spark sizes a table by its compressed file and an exploded one as if each row
+stayed one row, so that it would send every vector's 84 triples, or other rows of many times that size, through the driver as a small table.
+
 The index is approximate: a pair whose lists share fewer pivots is missed. ``tests/llm`` measures the recall against
 brute force. Verified links are never wrong.
 
@@ -108,6 +111,14 @@ def _verified(least: float):
     return run
 
 
+def _drawn(classes: DataFrame, rows: int, seed: int) -> np.ndarray:
+    """The vectors of so many sampled classes. Only these reach the driver: their nodes are chosen first, and not among the results of a collect, which get
+    as many rows from each partition."""
+    nodes = sampled(classes.select("node"), F.col("node"), rows, seed)
+    some = classes.select("node", "vector").join(F.broadcast(nodes), "node").select(F.xxhash64(F.lit(seed), "node").alias("hash"), "node", "vector").collect()
+    return np.array([r["vector"] for r in sorted(some, key=lambda r: (r["hash"], r["node"]))])
+
+
 def near_vectors(embeddings: DataFrame, least: float = LEAST, pivots: int = PIVOTS, nearest_seed: int = 3) -> DataFrame:
     """Per row: ``vec_id``, ``n_links``, ``component_id``, ``kept``."""
     sound = F.size("embedding") > 0
@@ -123,8 +134,7 @@ def near_vectors(embeddings: DataFrame, least: float = LEAST, pivots: int = PIVO
     points = {}
     for size, n in lengths:
         if n > 1:
-            some = sampled(classes.where(F.size("vector") == size).select("node", "vector"), F.col("node"), pivots_for(n, size, pivots), nearest_seed).collect()
-            points[size] = _units(np.array([r["vector"] for r in some]))
+            points[size] = _units(_drawn(classes.where(F.size("vector") == size), pivots_for(n, size, pivots), nearest_seed))
     lists = classes.select("node", "label", "vector").mapInArrow(_describe(points, pivots), f"node long, label {classes.schema['label'].dataType.simpleString()}, near array<int>")
     lists = written_once(lists, "pivot-lists")
 
@@ -136,18 +146,18 @@ def near_vectors(embeddings: DataFrame, least: float = LEAST, pivots: int = PIVO
     x, y = entries.alias("x"), entries.alias("y")
     first = F.slice(F.array_intersect("x.near", "y.near"), 1, SHARED)
     meets = (F.col("x.label") == F.col("y.label")) & (F.col("x.triple") == F.col("y.triple")) & (F.col("x.node") < F.col("y.node"))
-    pairs = x.join(y, meets & ((first == F.col("x.triple")) | (F.get("x.triple", F.lit(0)) == -1))).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    pairs = x.join(y.hint("merge"), meets & ((first == F.col("x.triple")) | (F.get("x.triple", F.lit(0)) == -1))).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
     of = lambda side: classes.select(F.col("node").alias(side), F.col("vector").alias(f"vector_{side}"))
-    links = written_once(pairs.join(of("a"), "a").join(of("b"), "b").mapInArrow(_verified(least), "a long, b long"), "links")
+    links = written_once(pairs.join(of("a").hint("merge"), "a").join(of("b").hint("merge"), "b").mapInArrow(_verified(least), "a long, b long"), "links")
 
     both = links.union(links.select("b", "a")).toDF("node", "other")
     copies = classes.select(F.col("node").alias("other"), "copies")
-    others = both.join(copies, "other").groupBy("node").agg(F.sum("copies").alias("others"))
+    others = both.join(copies.hint("merge"), "other").groupBy("node").agg(F.sum("copies").alias("others"))
     roots = components(links)
     named = classes.select("node", "copies", "vec_id").join(roots, "node", "left").select("node", "copies", "vec_id", F.coalesce("root", "node").alias("root"))
     smallest = named.groupBy("root").agg(F.min("vec_id").alias("component_id"))
     facts = named.join(smallest, "root").join(others, "node", "left").select("node", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), "component_id")
     facts = written_once(facts, "vector-links")
-    out = rows.select("vec_id", "node").join(facts, "node", "left")
+    out = rows.select("vec_id", "node").join(facts.hint("merge"), "node", "left")
     component = F.when(F.col("node").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))

@@ -25,6 +25,7 @@ from harborline.llm import (
     simhash_windows,
 )
 from harborline.llm import words as W
+from harborline.llm.tables import sampled
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 ODD = [None, "", "   \n ", "one", "a b", "a b", "é ü ñ", "x" * 3000, "7 " * 4000]
@@ -540,6 +541,33 @@ def test_pivots_grow_with_the_root_of_the_table():
     assert pivot_dedup.pivots_for(10**9, 4096) == 1024
 
 
+def test_tables_of_vectors_are_not_broadcast_whatever_their_files_hold(spark, monkeypatch):
+    # 600 vectors: their files are far below the threshold, and so is what Spark thinks of 600 x 84 triples
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(300, 16))
+    rows = [(i, v.tolist(), i % 2) for i, v in enumerate(np.concatenate([base, base * 1.5 + 1e-3]))]
+    frames, write = {}, pivot_dedup.written_once
+    monkeypatch.setattr(pivot_dedup, "written_once", lambda df, label: write(frames.setdefault(label, df), label))
+    frames["result"] = pivot_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in frames["result"].collect()}
+    assert got == {i: (1, i % 300) for i in range(600)}
+    for name, keys in (("links", "label triple a b"), ("vector-links", "other"), ("result", "node")):
+        frames[name].collect()
+        plan = frames[name]._jdf.queryExecution().executedPlan().toString()
+        joined = {k for found in re.findall(r"SortMergeJoin(?:\(skew=true\))? \[([^]]*)\]", plan) for k in re.findall(r"(\w+)#", found)}
+        sent = {k for found in re.findall(r"BroadcastHashJoin \[([^]]*)\]", plan) for k in re.findall(r"(\w+)#", found)}
+        assert joined >= set(keys.split()) and not sent & set(keys.split()), plan
+
+
+def test_pivots_are_the_sampled_vectors_in_their_order(spark):
+    rng = np.random.default_rng(7)
+    rows = [(int(k), v.tolist()) for k, v in zip(rng.integers(-(2**62), 2**62, 500), rng.normal(size=(500, 6)), strict=True)]
+    frame = spark.createDataFrame(rows, "node long, vector array<double>").repartition(7)
+    for n in (9, 200, 1000):
+        want = [r["vector"] for r in sampled(frame, F.col("node"), n, 3).collect()]
+        assert pivot_dedup._drawn(frame, n, 3).tolist() == want and len(want) == min(n, 500)
+
+
 def test_longest_stretches_of_runs_equal_those_of_places():
     rng = np.random.default_rng(8)
     for _ in range(300):
